@@ -1,8 +1,9 @@
-"""Exact token ids by the ``tokenizers`` library, with a cache of space-bounded chunks.
+"""Exact token ids by the ``tokenizers`` library, with a cache of chunks.
 
-Both tokenizer files split a text before they merge. A single space between two visible characters always
-separates such pieces, so a text's ids are those of its chunks in a row; a chunk for which that isn't certain
-(runs of white space, spaces at an end) sends its text to a slower path that is certain.
+Both tokenizer files split a text into pieces before they merge, so a text's ids are those of its chunks in a row
+wherever chunks end at a border of pieces. Such borders are certain at a single space between visible characters, before
+a line feed between them, and between a letter or digit and ASCII punctuation. A text with other white space (runs,
+spaces at an end) takes a slower path with the certain borders only.
 """
 
 from __future__ import annotations
@@ -12,16 +13,22 @@ import re
 from array import array
 from itertools import chain
 
-#: Whole chunks, and words without their punctuation, kept in a worker's memory; beyond that a cache starts anew.
-CACHE_CHUNKS, CACHE_WORDS = 250_000, 900_000
+#: Chunks kept in a worker's memory; beyond that the cache starts anew.
+CACHE_CHUNKS = 800_000
 _SURE = re.compile(r"(?<=\S) (?=\S)")
-#: Letters, then ASCII punctuation: two pieces under both files' patterns.
-_WORD = re.compile(r"(\n?[^\W\d_]+)([!-/:-@\[-^`{-~]*)")
+#: Punctuation after a letter or digit; marked chunks have no space before them.
+_PUNCT = re.compile(r"[!-/:-@\[-^`{-~](?<=[^\W_].)")
+_MARK = "\x01"
 _OPEN: dict[tuple[str, bool], Encoder] = {}
 
 
+def _odd(text: str) -> bool:
+    """Whether a text must be encoded as a whole: it holds the mark, or perhaps a special token."""
+    return _MARK in text or "<|" in text
+
+
 class Encoder:
-    """``spaced``: white space is part of tokens (byte-level files); else it only separates words."""
+    """``spaced``: white space is part of tokens (byte-level files); else it only separates words, and case is folded."""
 
     def __init__(self, path: str, spaced: bool):
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
@@ -29,62 +36,59 @@ class Encoder:
 
         self.tok, self.spaced = Tokenizer.from_file(path), spaced
         self.cache: dict[str, bytes | None] = {}
-        self.words: dict[str, bytes] = {}
 
     def _ids(self, chunks: list[str]) -> list[bytes]:
         return [array("i", e.ids).tobytes() for e in self.tok.encode_batch_fast(chunks, add_special_tokens=False)]
 
-    def _key(self, word: str) -> str:
-        """What is encoded for a word after a space or a line feed; where case is folded anyway, one form for both."""
-        if self.spaced:
-            return word if word[0] == "\n" else " " + word
-        return word.lower() if word.isascii() else word
-
     def _learn(self, parts: list[list[str]]) -> None:
-        if len(self.cache) > CACHE_CHUNKS:
-            self.cache.clear()
-        if len(self.words) > CACHE_WORDS:
-            self.words.clear()
-        cache, words, split, spaced = self.cache, self.words, [], self.spaced
+        cache = self.cache
+        if len(cache) > CACHE_CHUNKS:
+            cache.clear()
+        new, raw = [], []
         for p in set(chain.from_iterable(parts)).difference(cache):
-            m = _WORD.fullmatch(p)
-            if m:
-                split.append((p, self._key(m[1]), m[2]))
-                continue
-            q = p[1:] if p[:1] == "\n" else p
-            if spaced and (not q or q[0].isspace() or q[-1].isspace()):
+            if p[:1] == _MARK:
+                new.append(p)
+                raw.append(p[1:])
+            elif not self.spaced:
+                new.append(p)
+                raw.append(p)
+            elif not p or p[-1].isspace() or (p[0].isspace() and (p[0] != "\n" or p[1].isspace())):
                 cache[p] = None
             else:
-                split.append((p, p if not spaced or p[0] == "\n" else " " + p, ""))
-        new = list({x for s in split for x in s[1:]}.difference(words))
-        words.update(zip(new, self._ids(new), strict=True))
-        for p, word, tail in split:
-            cache[p] = words[word] + words[tail] if tail else words[word]
+                new.append(p)
+                raw.append(p if p[0] == "\n" else " " + p)
+        cache.update(zip(new, self._ids(raw), strict=True))
 
     def _slow(self, text: str) -> bytes:
         head, *rest = _SURE.split(text)
         return b"".join(self._ids([head, *(" " + p for p in rest)]))
 
+    def _folded(self, text: str) -> str:
+        """Lower case, with punctuation apart, where that is certain to be what the file does itself."""
+        try:
+            text.encode("latin-1")
+        except UnicodeEncodeError:
+            return text
+        return _PUNCT.sub(r" \g<0>", text.lower())
+
     def encode(self, texts: list[str]) -> list[bytes]:
         """Ids of each text as native 32-bit integers."""
+        get, out = self.cache.__getitem__, []
         if not self.spaced:
-            parts = [t.replace("\n", " ").split(" ") for t in texts]
+            parts = [self._folded(t).replace("\n", " ").split(" ") if not _odd(t) else [] for t in texts]
             self._learn(parts)
-            get = self.cache.__getitem__
-            return [b"".join(map(get, p)) for p in parts]
-        parts = [t.replace("\n", " \n").split(" ") for t in texts]
+            return [b"".join(map(get, p)) if p else self._ids([t])[0] for t, p in zip(texts, parts, strict=True)]
+        parts = [_PUNCT.sub(" \x01\\g<0>", t).replace("\n", " \n").split(" ") if not _odd(t) else [""] for t in texts]
         heads = [p[0] for p in parts]
         for p in parts:
             del p[0]
         self._learn(parts)
-        first = self._ids(heads)
-        get, out = self.cache.__getitem__, []
-        for t, h, f, p in zip(texts, heads, first, parts, strict=True):
-            if not p:
-                out.append(f)
-                continue
+        for t, h, f, p in zip(texts, heads, self._ids(heads), parts, strict=True):
             try:
-                if not h or h[-1].isspace():
+                if _odd(t):
+                    out += self._ids([t])
+                    continue
+                if p and (not h or h[-1].isspace()):
                     raise TypeError
                 out.append(f + b"".join(map(get, p)))
             except TypeError:
