@@ -6,6 +6,7 @@ hashes words does so here, vectorised over the UTF-8 buffer of a batch.
 
 from __future__ import annotations
 
+import gc
 import tempfile
 import uuid
 from collections.abc import Iterator
@@ -45,9 +46,15 @@ def stored(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def free(spark: SparkSession) -> None:
+    """Let Spark delete the shuffle files of steps whose results are stored; it does so as their handles are collected."""
+    gc.collect()
+    spark.sparkContext._jvm.System.gc()
+
+
 def input_bytes(df: DataFrame) -> int:
     """Bytes of the files under ``df`` by the optimizer's estimate; 0 where it has none."""
-    size = int(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes().toString())
+    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
     return 0 if size >= 1 << 60 else size
 
 
@@ -94,9 +101,19 @@ _IS_SPACE = np.zeros(256, bool)
 _IS_SPACE[[0x20, 9, 10, 11, 12, 13]] = True
 
 
+def mix(h: np.ndarray) -> np.ndarray:
+    """A bijection of 64 bits that spreads them."""
+    h = h.copy()
+    h ^= h >> np.uint64(30)
+    h *= np.uint64(0xBF58476D1CE4E5B9)
+    h ^= h >> np.uint64(27)
+    h *= np.uint64(0x94D049BB133111EB)
+    h ^= h >> np.uint64(31)
+    return h
+
+
 def _byte_tables() -> tuple[np.ndarray, np.ndarray]:
-    rng = np.random.Generator(np.random.PCG64(20240229))
-    exact = rng.integers(1, 1 << 63, 256, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
+    exact = mix(np.arange(1, 257, dtype=np.uint64) * np.uint64(0x9E3779B97F4A7C15)) | np.uint64(1)
     lower = exact.copy()
     lower[65:91] = exact[97:123]
     return exact, lower
@@ -122,17 +139,6 @@ def _powers(n: int) -> tuple[np.ndarray, np.ndarray]:
     return _POWERS["up"][:n], _POWERS["down"][:n]
 
 
-def mix(h: np.ndarray) -> np.ndarray:
-    """A bijection of 64 bits that spreads them."""
-    h = h.copy()
-    h ^= h >> np.uint64(30)
-    h *= np.uint64(0xBF58476D1CE4E5B9)
-    h ^= h >> np.uint64(27)
-    h *= np.uint64(0x94D049BB133111EB)
-    h ^= h >> np.uint64(31)
-    return h
-
-
 class Words:
     """The words of some texts: ``start``/``end`` byte positions, ``first[i]:first[i+1]`` the words of text i."""
 

@@ -2,17 +2,25 @@
 
 from __future__ import annotations
 
+from tidemark.llm.contamination import op6_decontamination
+from tidemark.llm.jaccard import op1_ngram_jaccard
+from tidemark.llm.katz import op9_katz_score
 from tidemark.llm.packing import op7_packing
 from tidemark.llm.quality import op2_quality_rules
-from tidemark.llm.secrets import op10_secret_scan
+from tidemark.llm.secret_scan import op10_secret_scan
+from tidemark.llm.substring import op5_substring_dedup
 from tidemark.llm.token_store import op4_token_store
 from tidemark.llm.url_filter import op8_url_filter
 
 QUERIES = {
+    "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_rules": op2_quality_rules,
     "op4_token_store": op4_token_store,
+    "op5_substring_dedup": op5_substring_dedup,
+    "op6_decontamination": op6_decontamination,
     "op7_packing": op7_packing,
     "op8_url_filter": op8_url_filter,
+    "op9_katz_score": op9_katz_score,
     "op10_secret_scan": op10_secret_scan,
 }
 ORACLES: dict[str, str] = {}
