@@ -31,7 +31,7 @@ WIDTH, GRAM = 35, 16
 #: Segments of one anchor that a shard takes whole.
 HOT = 20_000
 #: Bytes of text of a block, and of input files for each shard.
-BLOCK_BYTES, SHARD_BYTES = 12_000_000, 16 << 20
+BLOCK_BYTES, SHARD_BYTES = 8_000_000, 6 << 20
 BLOCK = "block long, payload binary"
 
 
