@@ -29,7 +29,9 @@ from tidemark.llm.exchange import MESSAGE, bounds, pack, rows_of, small, unpack
 
 #: Bytes of text whose signatures a block gathers, bytes of input files for each shard, members of a stripe.
 BLOCK_BYTES, SHARD_BYTES, STRIPE = 12_000_000, 16 << 20, 1024
-SETS = "doc_id long, node long, n_shingles long"
+SETS = "doc_id long, node long, n_shingles long, sketch binary"
+#: Documents to verify that each task is told of; more are found by a join on their ids.
+TOLD = 1_000_000
 BUCKETS = "bucket long, node long, place long"
 
 
@@ -61,7 +63,8 @@ def _sets(n: int):
         for b in common.steps(batches):
             s = Sets(b.column("text"), n)
             node = pa.array(s.node, mask=s.size == 0)
-            yield pa.RecordBatch.from_arrays([b.column("doc_id"), node, pa.array(s.size)], ["doc_id", "node", "n_shingles"])
+            each = [sketch(s.values[i:j]) for i, j in zip(s.first[:-1].tolist(), s.first[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([b.column("doc_id"), node, pa.array(s.size), pa.array(each, pa.binary())], ["doc_id", "node", "n_shingles", "sketch"])
 
     return run
 
@@ -216,11 +219,8 @@ def _profiles(n: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.steps(batches):
             s = Sets(b.column("text"), n)
-            each = [s.values[s.first[i] : s.first[i + 1]] for i in range(b.num_rows)]
-            yield pa.RecordBatch.from_arrays(
-                [pa.array(s.node), pa.array(s.size), pa.array([sketch(v) for v in each], pa.binary()), pa.array([v.tobytes() for v in each], pa.binary())],
-                ["node", "n", "sketch", "shingles"],
-            )
+            each = [s.values[i:j].tobytes() for i, j in zip(s.first[:-1].tolist(), s.first[1:].tolist(), strict=True)]
+            yield pa.RecordBatch.from_arrays([pa.array(s.node), pa.array(each, pa.binary())], ["node", "shingles"])
 
     return run
 
@@ -269,12 +269,19 @@ def _stripe_pairs(percent: int):
     return run
 
 
-def _links(pairs: DataFrame, profiles: DataFrame, percent: int) -> DataFrame:
-    """The pairs (x, y) that link, checked on whole sets."""
-    full = profiles.select("node", "shingles")
+def _links(pairs: DataFrame, rows: DataFrame, heads: DataFrame, n: int, percent: int) -> DataFrame:
+    """The pairs (x, y) that link, checked on whole sets; only the texts of sets in some pair are read into sets again."""
+    pairs = common.stored(pairs, "pairs")
+    wanted = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct().join(heads, "node").where("head is not null")
+    wanted = common.stored(wanted.select(F.col("head").alias("doc_id")).distinct(), "wanted")
+    few = wanted.count() <= TOLD
+    texts = rows.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+    full = common.stored(texts.mapInArrow(_profiles(n), "node long, shingles binary"), "profiles")
     got = pairs.join(full.select(F.col("node").alias("x"), F.col("shingles").alias("px")), "x")
     got = got.join(full.select(F.col("node").alias("y"), F.col("shingles").alias("py")), "y")
-    return got.select("x", "y", "px", "py").mapInArrow(_verify(percent), "x long, y long")
+    links = common.stored(got.select("x", "y", "px", "py").mapInArrow(_verify(percent), "x long, y long"), "links")
+    common.free(rows.sparkSession)
+    return links
 
 
 def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -294,13 +301,8 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: s
     buckets = common.stored(signed.groupBy("shard").applyInArrow(_buckets, BUCKETS).distinct(), "buckets")
     common.free(spark)
 
-    members = buckets.select("node").distinct()
-    wanted = heads.join(members, "node", "left_semi").where("head is not null").select(F.col("head").alias("doc_id"))
-    texts = rows.join(wanted, "doc_id", "left_semi")
-    full = texts.mapInArrow(_profiles(n), "node long, n long, sketch binary, shingles binary")
-    profiles = common.stored(full.join(members, "node", "left_semi").dropDuplicates(["node"]), "profiles")
-    common.free(spark)
-    brief = profiles.select("node", "n", "sketch")
+    brief = sets.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    brief = common.stored(brief, "sketches")
 
     def side(s: str) -> DataFrame:
         return brief.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("sketch").alias(f"s{s}"))
@@ -309,7 +311,7 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: s
     first = buckets.where("place > 0").select("bucket", F.col("node").alias("x")).join(lead, "bucket").select("x", "y").distinct()
     near = first.join(side("x"), "x").join(side("y"), "y").select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(_near(percent), "x long, y long, far long")
     nearest = near.groupBy("x").agg(F.min_by("y", F.struct("far", "y")).alias("y"))
-    links = common.stored(_links(nearest, profiles, percent), "links")
+    links = _links(nearest, rows, heads, n, percent)
     joined = components(links.toDF("u", "v"))
 
     placed = buckets.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
@@ -325,7 +327,7 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: s
     )
     rest = spread.select("bucket", "i", "j", "node", "place", "component", "n", "sketch").groupBy("bucket", "i", "j")
     rest = rest.applyInArrow(_stripe_pairs(percent), "x long, y long").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    more = common.stored(_links(rest, profiles, percent), "links")
+    more = _links(rest, rows, heads, n, percent)
     final = components(links.unionByName(more).toDF("u", "v"))
 
     heads = heads.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
