@@ -5,6 +5,7 @@ from __future__ import annotations
 from tidemark.llm.contamination import op6_decontamination
 from tidemark.llm.jaccard import op1_ngram_jaccard
 from tidemark.llm.katz import op9_katz_score
+from tidemark.llm.language import op3_language_id, op3_page_language
 from tidemark.llm.packing import op7_packing
 from tidemark.llm.quality import op2_quality_rules
 from tidemark.llm.secret_scan import op10_secret_scan
@@ -15,6 +16,8 @@ from tidemark.llm.url_filter import op8_url_filter
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
     "op2_quality_rules": op2_quality_rules,
+    "op3_language_id": op3_language_id,
+    "op3_page_language": op3_page_language,
     "op4_token_store": op4_token_store,
     "op5_substring_dedup": op5_substring_dedup,
     "op6_decontamination": op6_decontamination,
