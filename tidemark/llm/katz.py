@@ -2,7 +2,7 @@
 
 Documents become blocks of a few million tokens: a sorted vocabulary of word hashes and the tokens as places in it. A
 block sends each shard (a range of hashes) its distinct words and word pairs in order, delta coded; a shard adds the
-counts of all blocks, stores them as its part of the n-gram tables, and answers each block in the block's own order. So
+counts of all blocks, and answers each block in the block's own order: the n-gram tables, partitioned by shard and block. So
 what travels is distinct n-grams of blocks, never tokens, and no task sees more than its range or its block.
 
 The model: Good-Turing discounted counts d(c) * c for c up to ``K``; larger counts lose ``TINY`` of one occurrence, so
@@ -30,7 +30,7 @@ from tidemark.llm.exchange import MESSAGE, bounds, each_row, pack, rows_of, smal
 #: Counts up to K are discounted by Good-Turing; larger ones lose TINY.
 K, TINY = 5, 0.01
 #: Tokens of a block; fewer where a partition ends.
-BLOCK_TOKENS = 3_000_000
+BLOCK_TOKENS = 2_300_000
 #: Bytes of input files for each shard.
 SHARD_BYTES = 16 << 20
 END, BEGIN = np.uint64(0x5EED00000000E0D1), np.uint64(0x5EED00000000B091)
@@ -89,10 +89,10 @@ class Block:
     def __init__(self, payload: bytes):
         self.ids, raw = pickle.loads(payload)
         size, self.vocab, tokens = unpack(raw)
-        self.size, self.tokens = size.astype(np.int64), tokens.astype(np.int64)
+        self.size, self.tokens = size.astype(np.int64), tokens.astype(np.int32)
         self.end = np.cumsum(self.size)
         self.held = np.array([held_out(i) for i in self.ids], bool)
-        self.doc = np.repeat(np.arange(len(self.ids)), self.size)
+        self.doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.size)
         self.train = ~self.held[self.doc]
 
     def unigrams(self) -> np.ndarray:
@@ -104,7 +104,8 @@ class Block:
         before[1:] = self.vocab[self.tokens[:-1]]
         before[self.end - self.size] = BEGIN
         h, first, at = np.unique(pair_hash(before, self.vocab[self.tokens]), return_index=True, return_inverse=True)
-        return h, np.bincount(at[self.train], minlength=len(h)), first, at
+        at = at.astype(np.int32)
+        return h, np.bincount(at[self.train], minlength=len(h)), first.astype(np.int32), at
 
 
 def _ask(shards: int):
@@ -123,8 +124,16 @@ def _ask(shards: int):
     return run
 
 
-def _add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+def _add(tables: bool):
     """A shard's n-gram table, and for each block its n-grams' counts, and which of the pairs seen it is to sum up."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return _added(key, table, tables)
+
+    return run
+
+
+def _added(key: tuple[pa.Scalar, ...], table: pa.Table, tables: bool) -> pa.Table:
     kind, shard = key[0].as_py(), key[1].as_py()
     got = [(b, *unpack(p)) for b, p in sorted(zip(table["block"].to_pylist(), table["payload"].to_pylist(), strict=True))]
     every = np.concatenate([g[1] for g in got])
@@ -138,7 +147,7 @@ def _add(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     trained = np.flatnonzero(own)
     np.minimum.at(owner, at[trained], trained)
     stats = [int((total == i).sum()) for i in range(1, K + 2)]
-    rows = [(f"{kind} table", shard, None, pack(names[seen], small(total[seen])), int(seen.sum()), int(total.sum()), *stats)]
+    rows = [(f"{kind} table", shard, None, pack(names[seen], small(total[seen])) if tables else b"", int(seen.sum()), int(total.sum()), *stats)]
     for i, (b, h, _) in enumerate(got):
         mine = at[where[i] : where[i + 1]]
         owned = owner[mine] == np.arange(where[i], where[i] + len(h))
@@ -211,17 +220,18 @@ def _sum_up(model: Model, shards: int):
                 if a["kind"] == "pair":
                     own[lo:hi] = np.unpackbits(bits, count=hi - lo)
             n_begin = int(c1[np.searchsorted(b.vocab, END)])  # every document ends once
-            past = np.empty(len(b.tokens), np.int64)  # histories as places in the vocabulary; one more is the beginning
+            past = np.empty(len(b.tokens), np.int32)  # histories as places in the vocabulary; one more is the beginning
             past[1:] = b.tokens[:-1]
             past[b.end - b.size] = len(b.vocab)
             c_past = np.append(c1, n_begin)
             p1 = model.word(c1)
             # the tokens, by document
-            pair, word = c2[at], c1[b.tokens]
-            seen = pair > 0
-            score = np.where(seen, np.log10(np.where(seen, discounted(pair, model.d2), 1) / np.maximum(1, c_past[past])), np.log10(p1[b.tokens]))
-            add = lambda v: np.bincount(b.doc, v, len(b.ids))
-            base, known, score = add(model.base(word)), add(word > 0), add(score)
+            seen = c2[at] > 0
+            direct = np.log10(np.where(c2 > 0, discounted(c2, model.d2), 1))[at] - np.log10(np.maximum(1, c_past))[past]
+            score = np.where(seen, direct, np.log10(p1)[b.tokens])
+            del direct
+            add = lambda v: np.bincount(b.doc, v, len(b.ids))  # noqa: B023, E731
+            base, known, score = add(model.base(c1)[b.tokens]), add((c1 > 0)[b.tokens]), add(score)
             ask = np.flatnonzero(~seen & (c_past[past] > 0))
             need, place = np.unique(past[ask], return_inverse=True)
             # sums over the pairs that are this block's to sum, by history
@@ -255,7 +265,7 @@ def _alphas(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     total = np.zeros(len(names))
     total[at] = np.concatenate([g[4] for g in got])
     alpha = np.maximum(1 - left / np.maximum(1, total), 1e-300) / np.maximum(1 - mass, 1e-12)
-    rows = [("alpha table", key[0].as_py(), None, pack(names, alpha))]
+    rows = []
     for b, *_, need in got:
         if len(need):
             rows.append(("alpha", key[0].as_py(), b, pack(alpha[np.searchsorted(names, need)])))
@@ -279,19 +289,20 @@ def _finish(model: Model):
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tables: bool = False) -> DataFrame:
     """Learn from the documents that aren't held out, and score all.
 
     doc_id, held_out, n_tokens (words and one end), n_known (tokens that training has), train_tokens, base_score
     (additively smoothed words), score (log10 probability of the text under the model). Null or empty text: the end
-    token alone. Rows with one id are documents of their own; a null id is trained on. Without training documents each
+    token alone. What is stored by shard and block are the counts that the blocks asked for; ``tables`` adds each shard's
+    hashes and counts as a table of their own (rows of kind ``word table`` and ``pair table``). Rows with one id are documents of their own; a null id is trained on. Without training documents each
     token has probability 1 under the model. Empty table: no rows. Other columns are not read.
     """
     rows = common.texts(docs, id_col, text_col)
     shards = common.shards_for(docs, SHARD_BYTES)
     blocks = common.stored(rows.mapInArrow(_blocks, BLOCK), "blocks")
     asked = blocks.mapInArrow(_ask(shards), MESSAGE)
-    answers = common.stored(asked.groupBy("kind", "shard").applyInArrow(_add, ANSWER), "ngrams")
+    answers = common.stored(asked.groupBy("kind", "shard").applyInArrow(_add(tables), ANSWER), "ngrams")
     common.free(docs.sparkSession)
     model = Model(_totals(answers, "word"), _totals(answers, "pair"))
 
