@@ -6,50 +6,20 @@ hashes words does so here, vectorised over the UTF-8 buffer of a batch.
 
 from __future__ import annotations
 
-import gc
-import tempfile
-import uuid
 from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
 import pyarrow.compute as pc
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-#: Bytes of text that one vectorised step holds; a longer text is one step of its own.
-STEP_BYTES = 2_000_000
-
-
-def shared_dir(spark: SparkSession) -> str:
-    """The folder that driver and executors share: ``spark.checkpoint.dir``; a temporary one only where it is unset."""
-    sc = spark.sparkContext
-    base = sc.getConf().get("spark.checkpoint.dir")
-    if not base:
-        jvm_dir = sc._jsc.sc().getCheckpointDir()
-        base = jvm_dir.get() if jvm_dir.isDefined() else None
-    if not base:
-        base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
-        sc.setCheckpointDir(base)
-    return base.rstrip("/")
-
+from tidemark.scratch import free, scratch_path, shared_dir, stored
 
-def scratch_path(spark: SparkSession, name: str) -> str:
-    return f"{shared_dir(spark)}/{name}-{uuid.uuid4().hex}"
+__all__ = ["free", "scratch_path", "shared_dir", "stored"]
 
-
-def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` to the shared folder and read it back: lineage ends here and nothing is computed twice."""
-    spark = df.sparkSession
-    path = scratch_path(spark, name)
-    df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
-
-
-def free(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of steps whose results are stored; it does so as their handles are collected."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+#: Bytes of text that one vectorised step holds; a longer text is one step of its own.
+STEP_BYTES = 2_000_000
 
 
 def input_bytes(df: DataFrame) -> int:
