@@ -117,7 +117,7 @@ def topic_mapping(spark, d):
  p as (select threshold, count(distinct t1) / 20 as coverage, {views.q6('avg(j)')} as mj from j group by 1)
  select threshold, {s6('coverage')}, {s6('mj', 'mean_jaccard')}, {s6('(mj - min(mj) over ()) / case when max(mj) over () = min(mj) over () then 1 else max(mj) over () - min(mj) over () end', 'scaled')} from p""")
 def mapping_validation(spark, d):
-    mapped = sm.at_thresholds(rounded(sm.semantic_mapping(_cells(spark, d)), "score"), [0.02, 0.1, 0.2])
+    mapped = stored(sm.at_thresholds(rounded(sm.semantic_mapping(_cells(spark, d)), "score"), [0.02, 0.1, 0.2]), "mapped")
     return rounded(sm.validate_mapping(mapped, views.theta(spark, d), 20), "coverage", "mean_jaccard", "scaled")
 
 
