@@ -7,6 +7,9 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import clean, ngrams, words
 
+#: Names that each task is told of to drop other n-grams before the shuffle.
+MOST_NAMES = 500_000
+
 
 def phrase_hits(docs: DataFrame, gazetteer: DataFrame, lengths: list[int], text_cols: list[str], key: str = "doc_id") -> DataFrame:
     """key, location_id, level, tf: phrases of the gazetteer (id, level, name) in any of the texts.
@@ -14,8 +17,10 @@ def phrase_hits(docs: DataFrame, gazetteer: DataFrame, lengths: list[int], text_
     Containment becomes an equi-join: documents are cut into n-grams of the names' lengths.
     """
     names = gazetteer.select(F.col("id").alias("location_id"), "level", F.array_join(words(clean(F.col("name"))), "_").alias("gram")).where("gram <> ''")
-    per = [F.array(*(ngrams(words(clean(F.col(t))), n) for t in text_cols)) for n in lengths]
-    grams = docs.select(key, F.explode(F.flatten(F.concat(*per))).alias("gram")).groupBy(key, "gram").agg(F.count("*").alias("tf"))
+    texts = docs.select(key, F.explode(F.array(*map(F.col, text_cols))).alias("t")).select(key, words(clean(F.col("t"))).alias("w"))
+    grams = texts.select(key, F.explode(F.concat(*(ngrams(F.col("w"), n) for n in lengths))).alias("gram"))
+    grams = grams.join(F.broadcast(names.select("gram").distinct()), "gram", "left_semi") if names.count() <= MOST_NAMES else grams
+    grams = grams.groupBy(key, "gram").agg(F.count("*").alias("tf"))
     return grams.join(names, "gram").select(key, "location_id", "level", "tf")
 
 
