@@ -90,6 +90,7 @@ def brute_components(rows, n, percent):
 @pytest.mark.parametrize("n, percent, stripe", [(4, 85, 1024), (5, 80, 2)])
 def test_jaccard(spark, rows, monkeypatch, n, percent, stripe):
     monkeypatch.setattr(jaccard, "STRIPE", stripe)
+    monkeypatch.setattr(jaccard, "SET_STRIPE", stripe)
     got = jaccard.near_duplicates(frame(spark, rows), n=n, percent=percent).collect()
     assert len(got) == len(rows)
     mine = sorted(((r["doc_id"], r["n_shingles"], r["component_id"]) for r in got if r["doc_id"] is not None), key=str)
@@ -99,6 +100,7 @@ def test_jaccard(spark, rows, monkeypatch, n, percent, stripe):
 def test_jaccard_variants(spark, monkeypatch):
     """A group of variants of one text, of which many pairs don't link."""
     monkeypatch.setattr(jaccard, "STRIPE", 8)
+    monkeypatch.setattr(jaccard, "SET_STRIPE", 5)
     rng, rows = random.Random(1), []
     for i in range(60):
         w = BASE.split()

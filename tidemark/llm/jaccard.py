@@ -7,11 +7,10 @@ partitions: in one of them two similar sets differ at most once. Each is cut int
 a signature, the hash of the set's elements there: the two that the difference missed agree. So similar sets share a
 signature, whatever the data; sets that don't are never compared.
 
-Sets that share a signature form a bucket. Buckets never become all their pairs. First each member meets the bucket's
-leading member: parity sketches (whose differing bits never exceed the differing elements) discard what cannot link,
-each set keeps its nearest candidate, and those pairs are verified on the whole sets. Then, in buckets whose members
-are not all connected, sketches of members of different components are compared in stripes of bounded size, and what
-survives is verified too. What is left unverified is already connected or provably no link, so components are exact.
+Sets that share a signature form a bucket. Buckets never become all their pairs. Parity sketches, whose differing bits never
+exceed the differing elements, are compared inside a bucket, in stripes of bounded size; a spanning forest of the pairs
+that they leave possible gives clusters, outside which no link can be. The sets of a cluster are then compared in full,
+again in stripes, passing over pairs that links already connect; a spanning forest of the links gives the components.
 """
 
 from __future__ import annotations
@@ -27,12 +26,13 @@ from tidemark.llm import common
 from tidemark.operators.graph import components
 from tidemark.llm.exchange import MESSAGE, bounds, pack, rows_of, small, unpack
 
-#: Bytes of text whose signatures a block gathers, bytes of input files for each shard, members of a stripe.
-BLOCK_BYTES, SHARD_BYTES, STRIPE = 12_000_000, 16 << 20, 1024
+#: Bytes of text whose signatures a block gathers, bytes of input files for each shard; members of a stripe of sketches, and
+#: of whole sets.
+BLOCK_BYTES, SHARD_BYTES, STRIPE, SET_STRIPE = 12_000_000, 16 << 20, 1024, 256
 SETS = "doc_id long, node long, n_shingles long, sketch binary"
 #: Documents to verify that each task is told of; more are found by a join on their ids.
 TOLD = 1_000_000
-BUCKETS = "bucket long, node long, place long"
+BUCKETS = "bucket long, node long, members long"
 
 
 class Sets:
@@ -155,7 +155,7 @@ def _sign(n: int, percent: int, shards: int):
 
 
 def _buckets(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """Members of each bucket of two or more sets; buckets of equal members are one. A member's place is by its hash."""
+    """Members of each bucket of two or more sets; buckets of equal members are one."""
     got = [unpack(p) for p in table["payload"].to_pylist()]
     sig = np.concatenate([g[0] for g in got])
     node = np.concatenate([g[2][g[1]] for g in got])
@@ -168,16 +168,15 @@ def _buckets(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
     count = np.diff(np.append(start, len(sig)))
     start, count = start[count > 1], count[count > 1]
     if not len(start):
-        return pa.table({"bucket": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "place": pa.array([], pa.int64())})
+        return pa.table({"bucket": pa.array([], pa.int64()), "node": pa.array([], pa.int64()), "members": pa.array([], pa.int64())})
     total = np.add.reduceat(common.mix(node[common.ragged(start, count)] + np.uint64(0x2545F4914F6CDD1D)), np.cumsum(count) - count)
     total, lead = np.unique(common.mix(total + count.astype(np.uint64)), return_index=True)
     start, count = start[lead], count[lead]
-    place = np.arange(int(count.sum())) - np.repeat(np.cumsum(count) - count, count)
     return pa.table(
         {
             "bucket": pa.array(np.repeat(total.view(np.int64), count)),
             "node": pa.array(node[common.ragged(start, count)].view(np.int64)),
-            "place": pa.array(place),
+            "members": pa.array(np.repeat(count, count)),
         }
     )
 
@@ -192,27 +191,49 @@ def sketch(values: np.ndarray) -> bytes:
     return np.packbits(np.bincount(cell, minlength=bits) & 1, bitorder="little").tobytes()
 
 
-def fold(s: np.ndarray, words: int) -> np.ndarray:
-    """Sketches (rows of 64-bit words) at fewer cells."""
-    while s.shape[1] > words:
-        half = s.shape[1] // 2
-        s = s[:, :half] ^ s[:, half:]
-    return s
-
-
-def may_link(na: np.ndarray, a: list[bytes], nb: np.ndarray, b: list[bytes], percent: int) -> tuple[np.ndarray, np.ndarray]:
-    """Whether each pair's sketches leave a link possible, and how many cells differ."""
-    most = (100 - percent) * (na + nb) // (100 + percent)
-    far = np.zeros(len(na), np.int64)
-    ok = np.abs(na - nb) <= most
-    la, lb = np.array([len(x) for x in a]), np.array([len(x) for x in b])
-    for x, y in {(int(i), int(j)) for i, j in zip(la[ok], lb[ok], strict=True)}:
-        at = np.flatnonzero(ok & (la == x) & (lb == y))
-        u = np.frombuffer(b"".join(a[i] for i in at), np.uint64).reshape(len(at), -1)
-        v = np.frombuffer(b"".join(b[i] for i in at), np.uint64).reshape(len(at), -1)
-        words = min(u.shape[1], v.shape[1])
-        far[at] = np.bitwise_count(fold(u, words) ^ fold(v, words)).sum(axis=1)
-    return ok & (far <= most), far
+class Group:
+    """Sets of one stripe pair by their sketches, and which are connected so far."""
+
+    def __init__(self, t: pa.Table, percent: int):
+        self.node, self.size, self.percent = t["node"].to_pylist(), t["n"].to_pylist(), percent
+        self.stripe = t["stripe"].to_pylist()
+        raw = t["sketch"].to_pylist()
+        self.bits = [8 * len(x) for x in raw]
+        self.cells = [{8 * len(x): int.from_bytes(x, "little")} for x in raw]
+        self.parent = list(range(len(raw)))
+
+    def find(self, x: int) -> int:
+        while self.parent[x] != x:
+            self.parent[x] = self.parent[self.parent[x]]
+            x = self.parent[x]
+        return x
+
+    def at(self, x: int, bits: int) -> int:
+        """x's sketch at fewer cells."""
+        own = self.cells[x]
+        if bits not in own:
+            wide = self.at(x, 2 * bits)
+            own[bits] = (wide >> bits) ^ (wide & ((1 << bits) - 1))
+        return own[bits]
+
+    def may_link(self, x: int, y: int) -> bool:
+        most = (100 - self.percent) * (self.size[x] + self.size[y]) // (100 + self.percent)
+        if abs(self.size[x] - self.size[y]) > most:
+            return False
+        bits = min(self.bits[x], self.bits[y])
+        return (self.at(x, bits) ^ self.at(y, bits)).bit_count() <= most
+
+    def forest(self, i: int, j: int, links) -> pa.Table:
+        """Pairs of stripes i and j for which ``links`` holds, but for those that earlier ones connect."""
+        left, right = ([k for k, s in enumerate(self.stripe) if s == x] for x in (i, j))
+        xs, ys = [], []
+        for x in left:
+            for y in right:
+                if (i != j or self.node[x] < self.node[y]) and self.find(x) != self.find(y) and links(x, y):
+                    self.parent[self.find(x)] = self.find(y)
+                    xs.append(self.node[x])
+                    ys.append(self.node[y])
+        return pa.table({"u": pa.array(xs, pa.int64()), "v": pa.array(ys, pa.int64())})
 
 
 def _profiles(n: int):
@@ -225,63 +246,36 @@ def _profiles(n: int):
     return run
 
 
-def _near(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            col = lambda c: b.column(c)  # noqa: B023, E731
-            ok, far = may_link(col("nx").to_numpy(), col("sx").to_pylist(), col("ny").to_numpy(), col("sy").to_pylist(), percent)
-            out = pa.RecordBatch.from_arrays([col("x"), col("y"), pa.array(far)], ["x", "y", "far"])
-            yield out.filter(pa.array(ok))
+def _possible(percent: int):
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        g = Group(t, percent)
+        return g.forest(key[1].as_py(), key[2].as_py(), g.may_link)
 
     return run
 
 
-def _verify(percent: int):
-    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            ok = []
-            for p, q in zip(b.column("px").to_pylist(), b.column("py").to_pylist(), strict=True):
-                u, v = np.frombuffer(p, np.uint64), np.frombuffer(q, np.uint64)
-                both = len(np.intersect1d(u, v, assume_unique=True))
-                ok.append(100 * both >= percent * (len(u) + len(v) - both))
-            yield pa.RecordBatch.from_arrays([b.column("x"), b.column("y")], ["x", "y"]).filter(pa.array(ok, pa.bool_()))
-
-    return run
+def _certain(percent: int):
+    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
+        g = Group(t, percent)
+        sets = [np.frombuffer(x, np.uint64) for x in t["shingles"].to_pylist()]
 
+        def links(x: int, y: int) -> bool:
+            if not g.may_link(x, y):
+                return False
+            both = len(np.intersect1d(sets[x], sets[y], assume_unique=True))
+            return 100 * both >= percent * (len(sets[x]) + len(sets[y]) - both)
 
-def _stripe_pairs(percent: int):
-    """Pairs of different components in one stripe pair of one bucket that the sketches leave possible."""
-
-    def run(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        i, j = key[1].as_py(), key[2].as_py()
-        node, comp, n, place = (t[c].to_numpy() for c in ("node", "component", "n", "place"))
-        sk, left = t["sketch"].to_pylist(), place // STRIPE
-        a, b = np.flatnonzero(left == i), np.flatnonzero(left == j)
-        out_x, out_y = [], []
-        for x in a.tolist():
-            y = b[(comp[b] != comp[x]) & ((i != j) | (place[b] > place[x]))]
-            if len(y):
-                ok, _ = may_link(np.full(len(y), n[x]), [sk[x]] * len(y), n[y], [sk[k] for k in y], percent)
-                out_x += [node[x]] * int(ok.sum())
-                out_y += node[y[ok]].tolist()
-        return pa.table({"x": pa.array(out_x, pa.int64()), "y": pa.array(out_y, pa.int64())})
+        return g.forest(key[1].as_py(), key[2].as_py(), links)
 
     return run
 
 
-def _links(pairs: DataFrame, rows: DataFrame, heads: DataFrame, n: int, percent: int) -> DataFrame:
-    """The pairs (x, y) that link, checked on whole sets; only the texts of sets in some pair are read into sets again."""
-    pairs = common.stored(pairs, "pairs")
-    wanted = pairs.select(F.col("x").alias("node")).union(pairs.select("y")).distinct().join(heads, "node").where("head is not null")
-    wanted = common.stored(wanted.select(F.col("head").alias("doc_id")).distinct(), "wanted")
-    few = wanted.count() <= TOLD
-    texts = rows.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
-    full = common.stored(texts.mapInArrow(_profiles(n), "node long, shingles binary"), "profiles")
-    got = pairs.join(full.select(F.col("node").alias("x"), F.col("shingles").alias("px")), "x")
-    got = got.join(full.select(F.col("node").alias("y"), F.col("shingles").alias("py")), "y")
-    links = common.stored(got.select("x", "y", "px", "py").mapInArrow(_verify(percent), "x long, y long"), "links")
-    common.free(rows.sparkSession)
-    return links
+def _stripes(rows: DataFrame, group: str, size: int):
+    """``rows`` (with ``members``, their group's number) once for each pair of stripes that they belong to, grouped."""
+    n = F.expr(f"(members - 1) div {size} + 1")
+    x = rows.withColumn("stripe", F.pmod(F.xxhash64("node"), n)).withColumn("other", F.explode(F.sequence(F.lit(0), n - 1)))
+    x = x.withColumn("i", F.least("stripe", "other")).withColumn("j", F.greatest("stripe", "other"))
+    return x.drop("other", "members").groupBy(group, "i", "j")
 
 
 def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -301,34 +295,20 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: s
     buckets = common.stored(signed.groupBy("shard").applyInArrow(_buckets, BUCKETS).distinct(), "buckets")
     common.free(spark)
 
-    brief = sets.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
-    brief = common.stored(brief, "sketches")
-
-    def side(s: str) -> DataFrame:
-        return brief.select(F.col("node").alias(s), F.col("n").alias(f"n{s}"), F.col("sketch").alias(f"s{s}"))
-
-    lead = buckets.where("place = 0").select("bucket", F.col("node").alias("y"))
-    first = buckets.where("place > 0").select("bucket", F.col("node").alias("x")).join(lead, "bucket").select("x", "y").distinct()
-    near = first.join(side("x"), "x").join(side("y"), "y").select("x", "y", "nx", "ny", "sx", "sy").mapInArrow(_near(percent), "x long, y long, far long")
-    nearest = near.groupBy("x").agg(F.min_by("y", F.struct("far", "y")).alias("y"))
-    links = _links(nearest, rows, heads, n, percent)
-    joined = components(links.toDF("u", "v"))
-
-    placed = buckets.join(joined, "node", "left").withColumn("component", F.coalesce("component", "node"))
-    open_ones = placed.groupBy("bucket").agg(F.min("component").alias("a"), F.max("component").alias("b"), F.count("*").alias("members"))
-    open_ones = open_ones.where("a <> b").select("bucket", "members")
-    stripe, last = F.expr(f"place div {STRIPE}"), F.expr(f"(members - 1) div {STRIPE}")
-    spread = (
-        placed.join(open_ones, "bucket")
-        .join(brief, "node")
-        .withColumn("other", F.explode(F.sequence(F.lit(0), last)))
-        .withColumn("i", F.least(stripe, F.col("other")))
-        .withColumn("j", F.greatest(stripe, F.col("other")))
-    )
-    rest = spread.select("bucket", "i", "j", "node", "place", "component", "n", "sketch").groupBy("bucket", "i", "j")
-    rest = rest.applyInArrow(_stripe_pairs(percent), "x long, y long").select(F.least("x", "y").alias("x"), F.greatest("x", "y").alias("y")).distinct()
-    more = _links(rest, rows, heads, n, percent)
-    final = components(links.unionByName(more).toDF("u", "v"))
+    sketches = sets.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    sketches = common.stored(sketches, "sketches")
+    near = _stripes(buckets.join(sketches, "node"), "bucket", STRIPE).applyInArrow(_possible(percent), "u long, v long")
+    clusters = common.stored(components(near).withColumnRenamed("component", "cluster"), "clusters")
+    common.free(spark)
+
+    wanted = common.stored(clusters.join(heads, "node").where("head is not null").select(F.col("head").alias("doc_id")).distinct(), "wanted")
+    few = wanted.count() <= TOLD
+    texts = rows.join(F.broadcast(wanted) if few else wanted, "doc_id", "left_semi")
+    whole = common.stored(texts.mapInArrow(_profiles(n), "node long, shingles binary"), "profiles")
+    known = clusters.join(clusters.groupBy("cluster").agg(F.count("*").alias("members")), "cluster")
+    known = known.join(sketches, "node").join(whole, "node")
+    links = _stripes(known, "cluster", SET_STRIPE).applyInArrow(_certain(percent), "u long, v long")
+    final = components(links)
 
     heads = heads.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = heads.groupBy("component").agg(F.min("head").alias("component_id"))
