@@ -25,7 +25,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
-from tidemark.llm.exchange import MESSAGE, bounds, each_row, pack, rows_of, small, unpack, with_answers
+from tidemark.llm.exchange import MESSAGE, bounds, each_row, pack, rows_of, small, trim, unpack, with_answers
 
 #: Counts up to K are discounted by Good-Turing; larger ones lose TINY.
 K, TINY = 5, 0.01
@@ -120,6 +120,8 @@ def _ask(shards: int):
                 for s in np.flatnonzero(np.diff(cut)).tolist():
                     lo, hi = cut[s], cut[s + 1]
                     yield rows_of([(kind, s, r["block"], pack(hashes[lo:hi], small(n[lo:hi])))], MESSAGE)
+            del b, h, count, hashes, n
+            trim()
 
     return run
 
@@ -253,6 +255,8 @@ def _sum_up(model: Model, shards: int):
                 if x.stop > x.start or y.stop > y.start:
                     body = pack(hh[x], left[o1][x], mass[o1][x], small(c_past[hist][o1][x]), nh[y])
                     yield rows_of([("sums", s, r["block"], body)], MESSAGE)
+            del b, c1, c2, h, at, first, past, score, base
+            trim()
 
     return run
 

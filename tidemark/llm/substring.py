@@ -5,8 +5,8 @@ alone. Neighbouring windows with one anchor form a segment. Segments whose ancho
 repeated window and go no further. The others meet in the shard of their anchor's hash. A shard indexes its distinct
 segments: suffix array, Burrows-Wheeler transform, and a wavelet matrix of bit vectors with ranks. Segments are then
 streamed backwards through the index; the longest suffix that still occurs twice ends at each place (its matching
-statistic), and stretches of at least ``width`` words are reported. A segment that occurs more than once is indexed
-twice, once for each of two copies.
+statistic), and stretches of at least ``width`` words are reported. Equal segments are indexed once; for one that occurs
+more than once in the corpus, a single place in the index is enough.
 
 An anchor with very many segments would make one shard large; its segments are cut into single windows, which go to the
 shards of their own hashes, where equal ones meet just as well.
@@ -25,13 +25,13 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import common
-from tidemark.llm.exchange import MESSAGE, bounds, each_row, pack, rows_of, small, unpack, with_answers
+from tidemark.llm.exchange import MESSAGE, bounds, each_row, pack, rows_of, small, trim, unpack, with_answers
 
-WIDTH, GRAM = 35, 16
+WIDTH, GRAM = 35, 8
 #: Segments of one anchor that a shard takes whole.
 HOT = 20_000
 #: Bytes of text of a block, and of input files for each shard.
-BLOCK_BYTES, SHARD_BYTES = 8_000_000, 6 << 20
+BLOCK_BYTES, SHARD_BYTES = 6_000_000, 4 << 20
 BLOCK = "block long, payload binary"
 
 
@@ -168,6 +168,8 @@ def _send_segments(shards: int, width: int):
                 raw = w.data[common.ragged(lo, hi - lo)].tobytes()
                 body = pickle.dumps((pack(small(hi - lo), copies[x].astype(np.uint8)), len(raw), codec.compress(raw, asbytes=True)))
                 yield rows_of([("segment", s, r["block"], body)], MESSAGE)
+            del seg, w
+            trim()
 
     return run
 
@@ -205,30 +207,31 @@ class FMIndex:
             packed = np.packbits(bit, bitorder="little")
             packed = np.pad(packed, (0, 8 - len(packed) % 8 + 8)).view(np.uint64) if len(packed) % 8 else np.pad(packed, (0, 8)).view(np.uint64)
             self.bits.append(packed)
-            self.ones.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed[:-1]).astype(np.int64))]))
+            self.ones.append(np.concatenate([[0], np.cumsum(np.bitwise_count(packed[:-1]).astype(np.int32))]).astype(np.int32))
             self.zeros.append(int((~bit).sum()))
             seq = np.concatenate([seq[~bit], seq[bit]])
-        self.base = self._descend(np.arange(sigma), np.zeros(sigma, np.int64))
+        self.below = self.below.astype(np.int32)
+        self.base = self._descend(np.arange(sigma, dtype=np.int32), np.zeros(sigma, np.int32))
 
     def _rank(self, i: int, p: np.ndarray) -> np.ndarray:
         word, shift = p >> 6, (p & 63).astype(np.uint64)
         mask = (np.uint64(1) << shift) - np.uint64(1)
-        return self.ones[i][word] + np.bitwise_count(self.bits[i][word] & mask)
+        return self.ones[i][word] + np.bitwise_count(self.bits[i][word] & mask).astype(np.int32)
 
     def _descend(self, c: np.ndarray, p: np.ndarray) -> np.ndarray:
         for i in range(self.levels):
             r = self._rank(i, p)
-            p = np.where((c >> (self.levels - 1 - i)) & 1, self.zeros[i] + r, p - r)
+            p = np.where((c >> (self.levels - 1 - i)) & 1, r + np.int32(self.zeros[i]), p - r)
         return p
 
     def extend(self, c: np.ndarray, lo: np.ndarray, hi: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
         """The interval of c + pattern, from that of pattern."""
-        both = self._descend(np.concatenate([c, c]), np.concatenate([lo, hi])) - np.tile(self.base[c], 2) + np.tile(self.below[c], 2)
+        both = self._descend(np.concatenate([c, c]), np.concatenate([lo, hi])) + np.tile(self.below[c] - self.base[c], 2)
         return both[: len(c)], both[len(c) :]
 
 
-def repeated_windows(fm: FMIndex, text: np.ndarray, first: np.ndarray, size: np.ndarray, width: int) -> np.ndarray:
-    """Which windows of segments ``text[first:first+size]`` occur twice in the index; windows in a row, by segment."""
+def repeated_windows(fm: FMIndex, text: np.ndarray, first: np.ndarray, size: np.ndarray, need: np.ndarray, width: int) -> np.ndarray:
+    """Which windows of segments ``text[first:first+size]`` have ``need`` places in the index; in a row, by segment."""
     windows = size - width + 1
     out = np.cumsum(windows) - windows
     gain = np.zeros(int(windows.sum()) + 1, np.int64)
@@ -236,11 +239,11 @@ def repeated_windows(fm: FMIndex, text: np.ndarray, first: np.ndarray, size: np.
     live = np.arange(len(size))
     while len(live):
         at = end[live].copy()
-        lo, hi = np.zeros(len(live), np.int64), np.full(len(live), fm.n)
+        lo, hi = np.zeros(len(live), np.int32), np.full(len(live), fm.n, np.int32)
         go = np.arange(len(live))
         while len(go):
             lo2, hi2 = fm.extend(text[first[live[go]] + at[go] - 1], lo[go], hi[go])
-            ok = hi2 - lo2 >= 2
+            ok = hi2 - lo2 >= need[live[go]]
             go = go[ok]
             lo[go], hi[go] = lo2[ok], hi2[ok]
             at[go] -= 1
@@ -273,15 +276,15 @@ def _match(width: int):
         _, lead, place = np.unique(content, return_index=True, return_inverse=True)
         copies = np.minimum(2, np.bincount(place, np.concatenate([g[2] for g in got]), len(lead))).astype(np.int64)
         # the text of the index: 0 ends it, 1 stands between items
-        item = np.repeat(lead, copies)
-        gap = np.cumsum(size[item] + 1) - 1
-        body = np.ones(int((size[item] + 1).sum()) + 1, np.int64)
+        gap = np.cumsum(size[lead] + 1) - 1
+        body = np.ones(int((size[lead] + 1).sum()) + 1, np.int32)
         body[-1] = 0
         filled = np.ones(len(body) - 1, bool)
         filled[gap] = False
-        body[:-1][filled] = text[common.ragged(first[item], size[item])] + 2
+        text = text.astype(np.int32) + 2
+        body[:-1][filled] = text[common.ragged(first[lead], size[lead])]
         fm = FMIndex(body, len(symbols) + 2)
-        flags = repeated_windows(fm, text + 2, first[lead], size[lead], width)
+        flags = repeated_windows(fm, text, first[lead], size[lead], np.where(copies > 1, 1, 2), width)
         windows = size[lead] - width + 1
         begin = np.cumsum(windows) - windows
         rows, at = [], 0
@@ -289,6 +292,8 @@ def _match(width: int):
             mine = place[at : at + len(sizes)]
             at += len(sizes)
             rows.append(("segment", key[0].as_py(), b, np.packbits(flags[common.ragged(begin[mine], windows[mine])]).tobytes()))
+        del fm, body, text, data, got
+        trim()
         return pa.Table.from_batches([rows_of(rows, MESSAGE)])
 
     return run
@@ -328,6 +333,8 @@ def _remove(shards: int, width: int, with_text: bool):
             if with_text:
                 cols, names = [*cols, pa.array(out["kept_text"], pa.string())], [*names, "kept_text"]
             yield pa.RecordBatch.from_arrays(cols, names)
+            del seg, cols, out
+            trim()
 
     return run
 
