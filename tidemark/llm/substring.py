@@ -89,11 +89,12 @@ class Segments:
                 new = np.ones(len(v), bool)
                 new[1:] = (np.diff(v) != 1) | (val[1:] != val[:-1])
                 at = np.flatnonzero(new)
-                self.start, self.anchor = v[at], val[at]
+                self.start, lowest = v[at], val[at]
+                self.anchor = common.mix(lowest)  # least hashes are all small; shards go by ranges
                 self.count = np.diff(np.append(at, len(v)))
                 size = self.count + width - GRAM
                 seg = np.repeat(np.arange(len(at)), size)
-                same = g[common.ragged(self.start, size)] == self.anchor[seg]
+                same = g[common.ragged(self.start, size)] == lowest[seg]
                 self.weight = np.bincount(seg[same], minlength=len(at))
 
     def anchors(self) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
