@@ -111,7 +111,7 @@ def test_clot_growth():
 
 def test_greedy_combos(spark):
     pairs = spark.createDataFrame([("a", "b", 9), ("a", "c", 1), ("b", "c", 1)], "topic_1 string, topic_2 string, common_docs long")
-    assert topics.greedy_combos(pairs, 1) == [("a", "b", 9), ("a", "c", 1)]
+    assert topics.greedy_combos(pairs, 1) == [("a", "b", 9), ("a", "c", 1), ("b", "c", 1)]
 
 
 def test_search_and_dimension(spark):

@@ -24,7 +24,7 @@ def json_items(spark: SparkSession, path: str, schema: str | None = None) -> Dat
 def url_records(spark: SparkSession, path: str, fields: tuple[str, ...] = ("id", "url", "date", "source")) -> DataFrame:
     """Files of records of as many lines as ``fields``."""
     n = len(fields)
-    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split(F.rtrim("value"), "\r?\n")).alias("pos", "line"))
+    lines = spark.read.text(path, wholetext=True).select(F.col("_metadata.file_path").alias("path"), F.posexplode(F.split(F.regexp_replace("value", r"\s+$", ""), "\r?\n")).alias("pos", "line"))
     record = lines.groupBy("path", F.floor(F.col("pos") / n).alias("record"))
     return record.agg(*(F.max(F.when(F.col("pos") % n == i, F.col("line"))).alias(f) for i, f in enumerate(fields))).drop("path", "record")
 
