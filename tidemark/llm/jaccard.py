@@ -283,9 +283,9 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: s
 
     Words are lower-cased (A-Z); a set is the distinct n-word shingles of the whole text, or the whole sequence where it
     has fewer words. Documents link when 100 * intersection >= percent * union; component_id is the least doc_id that
-    links reach. Null texts and texts without words have empty sets and link with nothing; a document with a null id
-    links too, but names no component unless all its ids are null. Equal rows are documents of one set. Empty table: no
-    rows. Only the named columns are read.
+    links reach. Null texts and texts without words have empty sets and link with nothing. A row with a null id takes the
+    component of equal texts that have an id; a text that only such rows have links with nothing (null). Equal rows are
+    documents of one set. Empty table: no rows. Only the named columns are read.
     """
     spark = docs.sparkSession
     rows, shards = common.texts(docs, id_col, text_col), common.shards_for(docs, SHARD_BYTES)
