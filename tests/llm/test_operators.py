@@ -432,6 +432,40 @@ def test_katz(spark, rows, monkeypatch):
     assert all(r["score"] == 0 and r["n_known"] == 0 for r in alone.collect())
 
 
+def test_katz_tables(spark, rows, monkeypatch, tmp_path):
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", 5000)
+    made = []
+    path = lambda spark, name: made.append(f"file://{tmp_path}/{name}{len(made)}") or made[-1]
+    monkeypatch.setattr(katz.common, "scratch_path", path)
+    got = {r["doc_id"]: r["score"] for r in katz.score(frame(spark, rows)).where("doc_id is not null").collect()}
+    at = next(p for p in made if "/katz" in p)
+    word, pair, alpha = ({r["hash"]: (r["count"], r["weight"]) for r in katz.model_table(spark, at, k).collect()} for k in ("word", "pair", "alpha"))
+
+    def names(t):
+        import pyarrow as pa
+
+        w = common.Words(*common.buffer_of(pa.array([t or ""])))
+        return np.append(w.hashes(lower=True), katz.END)
+
+    train = [names(t) for i, t in rows if i is None or not katz.held_out(i)]
+    past = lambda w: np.insert(w[:-1], 0, katz.BEGIN)
+    c1, c2 = Counter(), Counter()
+    for w in train:
+        c1.update(w.view(np.int64).tolist())
+        c2.update(katz.pair_hash(past(w), w).view(np.int64).tolist())
+    assert {h: c for h, (c, _) in word.items()} == c1 and {h: c for h, (c, _) in pair.items()} == c2
+    assert alpha.keys() == {int(h) for w in train for h in past(w).view(np.int64)}
+    unknown = 1 - sum(p for _, p in word.values())
+    ids = Counter(i for i, _ in rows)
+    for i, t in rows:
+        if i is not None and ids[i] == 1:
+            w, want = names(t), 0.0
+            for h, x, p in zip(past(w).view(np.int64).tolist(), w.view(np.int64).tolist(), katz.pair_hash(past(w), w).view(np.int64).tolist()):
+                n, a = alpha.get(h, (1, 1.0))
+                want += math.log10(pair[p][1] / n if p in pair else a * word.get(x, (0, unknown))[1])
+            assert got[i] == pytest.approx(want, rel=1e-6, abs=1e-4)
+
+
 def test_katz_beats_the_base_on_held_out_text(spark):
     docs = spark.read.parquet("/root/testdata/sf0.01/documents.parquet")
     r = katz.score(docs).where("held_out").agg(F.sum("score").alias("s"), F.sum("base_score").alias("b")).first()

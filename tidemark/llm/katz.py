@@ -2,8 +2,9 @@
 
 Documents become blocks of a few million tokens: a sorted vocabulary of word hashes and the tokens as places in it. A
 block sends each shard (a range of hashes) its distinct words and word pairs in order, delta coded; a shard adds the
-counts of all blocks, and answers each block in the block's own order: the n-gram tables, partitioned by shard and block. So
-what travels is distinct n-grams of blocks, never tokens, and no task sees more than its range or its block.
+counts of all blocks, stores them as its part of the word and pair tables, and answers each block from that part in the
+block's own order. The backoff weights become a table in the same way. So what travels is distinct n-grams of blocks,
+never tokens, and no task sees more than its range or its block. ``model_table`` reads the stored model.
 
 The model: Good-Turing discounted counts d(c) * c for c up to ``K``; larger counts lose ``TINY`` of one occurrence, so
 that every history has something to give. p(w | h) = d c(h, w) / c(h) where the pair was seen, else alpha(h) p(w), and
@@ -127,7 +128,7 @@ def _ask(shards: int):
 
 
 def _add(tables: bool):
-    """A shard's n-gram table, and for each block its n-grams' counts, and which of the pairs seen it is to sum up."""
+    """A shard's n-gram table, and for each block its n-grams' counts from it, and which of the pairs seen it is to sum up."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
         return _added(key, table, tables)
@@ -261,15 +262,24 @@ def _sum_up(model: Model, shards: int):
     return run
 
 
-def _alphas(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-    """alpha of every history of a shard, and each block's answer."""
+def _alphas(tables: bool):
+    """The table of alphas of every history of a shard, and each block's answer."""
+
+    def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
+        return _alphas_of(key, table, tables)
+
+    return run
+
+
+def _alphas_of(key: tuple[pa.Scalar, ...], table: pa.Table, tables: bool) -> pa.Table:
     got = [(b, *unpack(p)) for b, p in sorted(zip(table["block"].to_pylist(), table["payload"].to_pylist(), strict=True))]
     names, at = np.unique(np.concatenate([g[1] for g in got]), return_inverse=True)
     left, mass = (np.bincount(at, np.concatenate([g[i] for g in got]), len(names)) for i in (2, 3))
     total = np.zeros(len(names))
     total[at] = np.concatenate([g[4] for g in got])
     alpha = np.maximum(1 - left / np.maximum(1, total), 1e-300) / np.maximum(1 - mass, 1e-12)
-    rows = []
+    known = total > 0
+    rows = [("alpha table", key[0].as_py(), None, pack(names[known], small(total[known].astype(np.int64)), alpha[known]))] if tables else []
     for b, *_, need in got:
         if len(need):
             rows.append(("alpha", key[0].as_py(), b, pack(alpha[np.searchsorted(names, need)])))
@@ -293,26 +303,64 @@ def _finish(model: Model):
     return run
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tables: bool = False) -> DataFrame:
+def _entries(model: Model, kind: str):
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for r in each_row(batches):
+            names, count, *alpha = unpack(r["payload"])
+            count = count.astype(np.int64)
+            weight = alpha[0] if alpha else model.word(count) if kind == "word" else discounted(count, model.d2)
+            shard = pa.array(np.full(len(names), r["shard"], np.int32))
+            yield pa.RecordBatch.from_arrays([shard, pa.array(names.view(np.int64)), pa.array(count), pa.array(weight.astype(float))], ["shard", "hash", "count", "weight"])
+
+    return run
+
+
+def model_table(spark: SparkSession, at: str, kind: str) -> DataFrame:
+    """shard, hash, count, weight of the model that ``score`` stored in the folder ``at``.
+
+    ``kind`` "word": hashes of words and p(w); "pair": ``pair_hash`` of a history and a word, and the discounted count;
+    "alpha": hashes of histories, their counts and alpha. Hashes are the 64 bits as a signed number.
+    """
+    ngrams = spark.read.schema(ANSWER).parquet(f"{at}/ngrams")
+    model = Model(_totals(ngrams, "word"), _totals(ngrams, "pair"))
+    rows = spark.read.schema(MESSAGE).parquet(f"{at}/alphas") if kind == "alpha" else ngrams
+    found = rows.where(F.col("kind") == f"{kind} table").select("shard", "payload")
+    return found.mapInArrow(_entries(model, kind), "shard int, hash long, count long, weight double")
+
+
+def _written(df: DataFrame, path: str) -> DataFrame:
+    df.write.parquet(path)
+    return df.sparkSession.read.schema(df.schema).parquet(path)
+
+
+def _delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
+
+
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tables: bool = True, at: str | None = None) -> DataFrame:
     """Learn from the documents that aren't held out, and score all.
 
     doc_id, held_out, n_tokens (words and one end), n_known (tokens that training has), train_tokens, base_score
     (additively smoothed words), score (log10 probability of the text under the model). Null or empty text: the end
-    token alone. What is stored by shard and block are the counts that the blocks asked for; ``tables`` adds each shard's
-    hashes and counts as a table of their own (rows of kind ``word table`` and ``pair table``). Rows with one id are documents of their own; a null id is trained on. Without training documents each
-    token has probability 1 under the model. Empty table: no rows. Other columns are not read.
+    token alone. The word, pair and alpha tables are stored by shard in the folder ``at`` (by default one in the shared
+    folder) and stay there for ``model_table``; ``tables=False`` leaves them out. Rows with one id are documents of their
+    own; a null id is trained on. Without training documents each token has probability 1 under the model. Empty
+    table: no rows. Other columns are not read.
     """
     rows = common.texts(docs, id_col, text_col)
     shards = common.shards_for(docs, SHARD_BYTES)
-    blocks = common.stored(rows.mapInArrow(_blocks, BLOCK), "blocks")
+    at = at or common.scratch_path(docs.sparkSession, "katz")
+    blocks = _written(rows.mapInArrow(_blocks, BLOCK), f"{at}/blocks")
     asked = blocks.mapInArrow(_ask(shards), MESSAGE)
-    answers = common.stored(asked.groupBy("kind", "shard").applyInArrow(_add(tables), ANSWER), "ngrams")
+    answers = _written(asked.groupBy("kind", "shard").applyInArrow(_add(tables), ANSWER), f"{at}/ngrams")
     common.free(docs.sparkSession)
     model = Model(_totals(answers, "word"), _totals(answers, "pair"))
 
     summed = common.stored(with_answers(blocks, answers).mapInArrow(_sum_up(model, shards), MESSAGE), "sums")
+    _delete(docs.sparkSession, f"{at}/blocks")  # every block's state is stored by now
     common.free(docs.sparkSession)
-    alphas = common.stored(summed.where("kind = 'sums'").groupBy("shard").applyInArrow(_alphas, MESSAGE), "alphas")
+    alphas = _written(summed.where("kind = 'sums'").groupBy("shard").applyInArrow(_alphas(tables), MESSAGE), f"{at}/alphas")
     state = summed.where("kind = 'state'").select("block", "payload")
     return with_answers(state, alphas).mapInArrow(_finish(model), RESULT)
 
