@@ -172,6 +172,24 @@ def test_quality_rejects_bad_and_keeps_good(spark):
     assert none == 0 and quality.judge(docs.limit(0), labels).count() == 0
 
 
+def test_quality_rejects_junk_of_the_given_tables(spark):
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    x = quality.judge(docs, labels).join(labels.groupBy("doc_id").agg(F.max("quality").alias("q")), "doc_id", "left")
+    x = x.join(docs.select("doc_id", "lang"), "doc_id").where("not base_failed").groupBy("lang", "q").agg(F.count("*").alias("n"), F.count_if(~F.col("kept")).alias("cut"))
+    got = {(r["lang"], r["q"]): (r["n"], r["cut"]) for r in x.collect()}
+    print(got)
+    n, cut = got["en", 0]
+    assert cut == n
+    n, cut = got["en", 1]
+    assert n >= quality.labels_needed(4) and cut <= quality.RISK * n
+
+
+def test_sequences_of_tests():
+    assert quality.sequences([[0.01, 0.024, 0.5], [0.03, 0.001]], 0.05) == [2, 0]
+    assert quality.sequences([[0.01, 0.02], [0.03, 0.06]], 0.05) == [2, 1]  # the first passes its level on
+    assert quality.sequences([], 0.05) == [] and quality.labels_needed(4) == 597
+
+
 def test_binomial_tail():
     exact = lambda x, n, p: sum(math.comb(n, k) * p**k * (1 - p) ** (n - k) for k in range(x + 1))
     for x, n, p in ((0, 10, 0.1), (3, 50, 0.05), (7, 200, 0.02), (10, 10, 0.5)):

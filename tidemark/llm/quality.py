@@ -2,11 +2,13 @@
 
 Each rule scores a document; a document at or over the rule's cutoff is rejected. Cutoffs come from a fixed grid.
 For each stratum, rule and cutoff, the labelled good documents are a holdout: n of them, x at or over the cutoff. The
-exact binomial test of "this cutoff rejects at least a share ``risk`` of good documents" has the p-value
-P(Binomial(n, risk) <= x); a cutoff is safe when that is at most ``level`` divided by the number of tests of all strata
-(Bonferroni). Each rule gets an equal part of the allowed risk, so that all rules together reject at most ``risk`` of a
-stratum's good documents with probability ``1 - level``. The strictest safe cutoff is used; a stratum with too few
-labels gets none and keeps its documents.
+exact binomial test of "this cutoff rejects at least a share of ``risk`` / rules of good documents" has the p-value
+P(Binomial(n, risk / rules) <= x). The cutoffs of a rule are nested, so they are tested in fixed sequence from the
+laxest on, each at the sequence's whole level, until one fails; the last safe one is used. The ``level`` is divided
+over the sequences of all strata and rules; a sequence that ends with every cutoff safe gives its part to the others
+(Holm's principle for sequences). So all rules together reject at most ``risk`` of a stratum's good documents, in all
+strata at once, with probability ``1 - level``. A stratum with fewer good labels than ``labels_needed`` gets no cutoff
+and keeps its documents.
 """
 
 from __future__ import annotations
@@ -29,6 +31,8 @@ RULES = ("symbol_share", "capital_share", "bang_share", "dup_line_share", "repea
 GRID = (0.02, 0.04, 0.06, 0.08, 0.1, 0.15, 0.2, 0.25, 0.3, 0.4, 0.5, 0.6, 0.7, 0.8, 0.9)
 _SYMBOL = re.compile(r"[#*$%&|<>]+")
 _SPACE = b" \t\n\x0b\x0c\r"
+#: Share of a stratum's good documents that all rules together may reject, and the probability of more.
+RISK, LEVEL = 0.05, 0.05
 FEATURES = "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in BASE) + ", " + ", ".join(f"{c} double" for c in RULES)
 
 
@@ -105,29 +109,40 @@ def binomial_tail(x: int, n: int, p: float) -> float:
     return float(min(1.0, math.exp(top) * np.exp(logs - top).sum()))
 
 
-def _safe(tests: int, risk: float, level: float):
+def labels_needed(strata: int, risk: float = RISK, level: float = LEVEL) -> int:
+    """Good labels from which a cutoff that rejects none of them is safe, before any level is passed on."""
+    return math.ceil(math.log(level / (strata * len(RULES))) / math.log1p(-risk / len(RULES)))
+
+
+def sequences(p_values: list[list[float]], level: float) -> list[int]:
+    """How many leading tests of each sequence are rejected, at ``level`` for all of them together."""
+    done, open_ = [0] * len(p_values), set(range(len(p_values)))
+    while open_:
+        each = level / len(open_)
+        for i in open_:
+            while done[i] < len(p_values[i]) and p_values[i][done[i]] <= each:
+                done[i] += 1
+        ended = {i for i in open_ if done[i] == len(p_values[i])}
+        if not ended:
+            break
+        open_ -= ended
+    return done
+
+
+def _safe(risk: float, level: float):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        for b in batches:
-            rows = b.to_pylist()
-            out = {"stratum": [r["stratum"] for r in rows]}
-            for i, rule in enumerate(RULES):
-                cut = []
-                for r in rows:
-                    cut.append(None)
-                    for j, c in enumerate(GRID):
-                        x, n = r[f"x{i}_{j}"], r["n"]
-                        if x <= risk / len(RULES) * n and binomial_tail(x, n, risk / len(RULES)) <= level / tests:
-                            cut[-1] = c
-                            break
-                out[rule] = pa.array(cut, pa.float64())
-            out["stratum"] = pa.array(out["stratum"], pa.string())
-            yield pa.RecordBatch.from_pydict(out)
+        rows = [r for b in batches for r in b.to_pylist()]
+        share, lax = risk / len(RULES), range(len(GRID) - 1, -1, -1)
+        p = [[binomial_tail(x, r["n"], share) if (x := r[f"x{i}_{j}"]) <= share * r["n"] else 1.0 for j in lax] for r in rows for i in range(len(RULES))]
+        cut = [GRID[-k] if k else None for k in sequences(p, level)]
+        cols = [pa.array(cut[i :: len(RULES)], pa.float64()) for i in range(len(RULES))]
+        yield pa.RecordBatch.from_arrays([pa.array([r["stratum"] for r in rows], pa.string()), *cols], ["stratum", *RULES])
 
     return run
 
 
-def cutoffs(scored: DataFrame, labels: DataFrame, *, risk: float = 0.01, level: float = 0.05) -> DataFrame:
-    """stratum and a cutoff for each rule (null: none is safe).
+def cutoffs(scored: DataFrame, labels: DataFrame, *, risk: float = RISK, level: float = LEVEL) -> DataFrame:
+    """stratum and a cutoff for each rule (null: none is safe). One task holds the counts, a row for each stratum.
 
     ``labels``: doc_id, quality. A document counts once, as good if any of its labels is 1; null labels don't count.
     """
@@ -145,12 +160,11 @@ def cutoffs(scored: DataFrame, labels: DataFrame, *, risk: float = 0.01, level:
         *(F.count_if(F.col(rule) >= c).alias(f"x{i}_{j}") for i, rule in enumerate(RULES) for j, c in enumerate(GRID)),
     )
     counts = common.stored(counts, "holdout")
-    tests = max(1, counts.count()) * len(RULES) * len(GRID)
-    return counts.mapInArrow(_safe(tests, risk, level), "stratum string, " + ", ".join(f"{r} double" for r in RULES))
+    return counts.coalesce(1).mapInArrow(_safe(risk, level), "stratum string, " + ", ".join(f"{r} double" for r in RULES))
 
 
 def judge(
-    docs: DataFrame, labels: DataFrame, *, risk: float = 0.01, level: float = 0.05,
+    docs: DataFrame, labels: DataFrame, *, risk: float = RISK, level: float = LEVEL,
     id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
 ) -> DataFrame:
     """doc_id, base counts, base_failed, kept and the rules that rejected it (``rejected_by``), for every document.
