@@ -515,6 +515,13 @@ def test_secrets(spark, rows):
     assert secret_scan.find_secrets(empty(spark)).count() == 0
 
 
+def test_secrets_that_a_base_span_cuts(spark):
+    texts = ['secret = "Abcdef12!Qz$9rest"', 'api_key: "24be64439e3e49cf46b2d7c90f3602a3%tail9"', 'token = "Abcdef12"']
+    got = {r["doc_id"]: r["text"] for r in secret_scan.redact(spark.createDataFrame(list(enumerate(texts)), TEXT)).collect()}
+    assert got == {0: '[REDACTED]"', 1: '[REDACTED]"', 2: '[REDACTED]"'}
+    assert [len(secret_scan.scan(t)[1]) for t in texts] == [1, 1, 0]
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, 'x token = "24be64439e3e49cf46b2d7c90f3602a3" y', "k"), (2, None, None), (3, "plain", "k")], "doc_id long, text string, other string")
     got = {r["doc_id"]: (r["text"], r["other"]) for r in secret_scan.redact(df).collect()}

@@ -4,7 +4,7 @@ Three base patterns (assign, access, hex) are always reported. The method then r
 as name-value pairs: it finds assignment signs, takes the name before and the expression after (quoted literals,
 joined by ``+`` or ``.`` or by mere adjacency, and names bound before), propagates constants in text order, and scores
 the value by how sensitive the target's name is and how random the value looks. Literals of a value over the threshold
-are reported as kind ``literal`` where no base span covers them.
+are reported as kind ``literal`` unless base spans cover the whole of them.
 """
 
 from __future__ import annotations
@@ -109,6 +109,14 @@ def pairs(text: str) -> list[tuple[str, str, list[tuple[int, int]]]]:
     return out
 
 
+def covered(lo: int, hi: int, spans: list[tuple[int, int, int]]) -> bool:
+    """Whether ``spans``, in order of their starts, leave nothing of lo..hi."""
+    for i, _, j in spans:
+        if i <= lo < j:
+            lo = j
+    return lo >= hi
+
+
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and the method's further ones, as (start, kind, end)."""
     base = base_spans(text)
@@ -116,7 +124,7 @@ def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, in
     for name, value, spans in pairs(text):
         if (s := name_score(name)) and s + value_score(value) >= THRESHOLD:
             more.update((i, 3, j) for i, j in spans if j - i >= 3)
-    return base, sorted(x for x in more if not any(b[0] < x[2] and x[0] < b[2] for b in base))
+    return base, sorted(x for x in more if not covered(x[0], x[2], base))
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
