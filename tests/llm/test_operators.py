@@ -4,6 +4,7 @@ import hashlib
 import math
 import random
 import re
+import time
 import zlib
 from collections import Counter, defaultdict
 
@@ -522,6 +523,24 @@ def test_secrets_that_a_base_span_cuts(spark):
     assert [len(secret_scan.scan(t)[1]) for t in texts] == [1, 1, 0]
 
 
+def test_unquoted_and_long_secrets():
+    cut = lambda t: [t[i:j] for i, _, j in secret_scan.scan(t)[1]]
+    for line, want in [
+        ("AWS_SECRET_ACCESS_KEY=wJalrXUtnFEMI/K7MDENG/bPxRfiCY9", "wJalrXUtnFEMI/K7MDENG/bPxRfiCY9"), ("pwd=Zx81kk22Lw0p9", "Zx81kk22Lw0p9"),
+        ("db_credentials: Zx81kk22Lw0p9  # old", "Zx81kk22Lw0p9"), ("passphrase = correct-horse-7", "correct-horse-7"), ("export DB_PWD=9kk22Lw0p9Zx", "9kk22Lw0p9Zx"),
+        ("x;pwd=Zx81kk22Lw0p9;y=1", "Zx81kk22Lw0p9"), ("pwd=Zx81kk22Lw0p9;server=a", "Zx81kk22Lw0p9"), ("run --pwd=Zx81kk22Lw0p9 now", "Zx81kk22Lw0p9"),
+    ]:
+        assert cut(f"a = b\n{line}\nend") == [want] and cut(line) == [want]
+    for line in ("pwd = get_pwd(user1)", "pwd = os.environ['X1']", "pwd = $PWD_OF_1", "pwd: none", "the pwd: Zx81kk22Lw0p9", "passphrase = settings.passphrase", "pwd = 123456", "title = Zx81kk22Lw0p9"):
+        assert cut(line) == []
+    long = "Zx81kk22Lw0p9" * 8000
+    assert cut(f'private_key = "{long}"') == [long] and cut(f"pwd={long}") == [long] and cut(f'{"a" * 300}_pwd = "Zx81kk22Lw0p9"') == ["Zx81kk22Lw0p9"]
+    start = time.process_time()
+    for t in ("a=" * 300_000, "pwd=a;" * 100_000, 'pwd="' * 100_000, "x" * 1_000_000 + "=1", "pwd: a " * 100_000):
+        secret_scan.scan(t)
+    assert time.process_time() - start < 20
+
+
 def test_redaction(spark):
     df = spark.createDataFrame([(1, 'x token = "24be64439e3e49cf46b2d7c90f3602a3" y', "k"), (2, None, None), (3, "plain", "k")], "doc_id long, text string, other string")
     got = {r["doc_id"]: (r["text"], r["other"]) for r in secret_scan.redact(df).collect()}

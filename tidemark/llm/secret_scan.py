@@ -2,7 +2,9 @@
 
 Three base patterns (assign, access, hex) are always reported. The method then reads source and configuration syntax
 as name-value pairs: it finds assignment signs, takes the name before and the expression after (quoted literals,
-joined by ``+`` or ``.`` or by mere adjacency, and names bound before), propagates constants in text order, and scores
+joined by ``+`` or ``.`` or by mere adjacency, and names bound before). Where that finds no literal and the place has
+the shape of configuration (a name that begins its line, or ``name=value`` without spaces), the unquoted text up to the
+line's end, a comment or the next setting is the value; calls, references and bare words are not. The method propagates constants in text order, and scores
 the value by how sensitive the target's name is and how random the value looks. Literals of a value over the threshold
 are reported as kind ``literal`` unless base spans cover the whole of them.
 """
@@ -36,10 +38,19 @@ SENSITIVE = {
 #: Values that stand for a secret.
 PLACEHOLDERS = re.compile(r"(?i)change.?me|example|placeholder|dummy|your[_-]|xxxx|\*\*\*|<[^>]*>|\$\{|\{\{|^(none|null|true|false|test|todo)$")
 THRESHOLD = 4.0
-
-_SIGN = re.compile(r"[ \t]*(:=|=>|=(?![=>])|:(?![:/=]))[ \t]*(?=[\"'`A-Za-z_])")
-_NAME = re.compile(r"(?:^|[\s{,;(\[.>$@])[\"']?([A-Za-z_][A-Za-z0-9_.\-]{0,63})[\"']?\]?$")
-_ITEM = re.compile(r"""[ \t]*(?:"((?:[^"\\\n]|\\.){0,4096})"|'((?:[^'\\\n]|\\.){0,4096})'|`([^`\n]{0,4096})`|([A-Za-z_][A-Za-z0-9_.]{0,63}))""")
+#: Characters of a value that are resolved and propagated.
+MOST_VALUE = 65_536
+
+_SIGN = re.compile(r"[ \t]*+(:=|=>|=(?![=>])|:(?![:/=]))[ \t]*+(?=[^\s])")
+_NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
+_ITEM = re.compile(r"""[ \t]*+(?:"([^"\\\n]*+(?:\\.[^"\\\n]*+)*+)"|'([^'\\\n]*+(?:\\.[^'\\\n]*+)*+)'|`([^`\n]*+)`|([A-Za-z_][A-Za-z0-9_.]*+))""")
+#: What may stand before a name that begins its line.
+_LEAD = re.compile(r"[ \t]*+(?:(?:export|set|setx|env|ENV|ARG|-)[ \t]+)?[{\"']?\Z")
+#: Where an unquoted value ends: before a comment, or a separator and the next setting.
+_END = re.compile(r"[ \t]+(?:#|;|//)|[;,&][ \t]*(?=[A-Za-z_][A-Za-z0-9_.\-]{0,200}[ \t]*[=:])|[\r\n]")
+_TIGHT = re.compile(r"[^\s;,&|\"'`<>]+")
+_CODE = re.compile(r"[A-Za-z_][\w.]*[ \t]*[(\[]|[$%@&!*|>({\[]|\d+(\.\d+)?\Z|(?i:null|none|true|false)\Z")
+_BARE = re.compile(r"[A-Za-z_.]+\Z")
 _JOIN = re.compile(r"[ \t]*(?:\+|\.\.|&)[ \t]*|[ \t]*(?=[\"'])")
 _CAMEL = re.compile(r"[A-Z]?[a-z]+|[A-Z]+(?![a-z])|\d+")
 
@@ -75,37 +86,74 @@ def value_score(value: str) -> float:
     return 0.5 * (len(value) >= 12) + 0.5 * min(classes, 3) + (entropy(value) >= 3.0) * 1.0
 
 
+def name_before(text: str, end: int) -> tuple[str, int]:
+    """The name that ends at ``end``, quoted or not, and where it begins; '' where there is none."""
+    j = end - (text[end - 1 : end] == "]")
+    j -= text[j - 1 : j] in ("'", '"')
+    i = j
+    while i and text[i - 1] in _NAME_CHARS:
+        i -= 1
+    while i < j and not (text[i].isalpha() or text[i] == "_"):
+        i += 1
+    return text[i:j], i
+
+
+def unquoted(text: str, name: str, start: int, sign: int, at: int) -> tuple[int, int] | None:
+    """The span of an unquoted value from ``at`` on, where the name, which begins at ``start``, stands as in configuration."""
+    if not _CAMEL.search(name) or not name_score(name):
+        return None
+    tight = text[sign : at].strip() == "=" and at - sign == 1
+    lead = text.rfind("\n", max(0, start - 80), start) + 1
+    first = (lead or start <= 80) and _LEAD.match(text, lead, start)
+    if first:
+        end = m.start() if (m := _END.search(text, at)) else len(text)
+        end = at + len(text[at:end].rstrip(" \t;,"))
+    elif tight and (m := _TIGHT.match(text, at)):
+        end = m.end()
+    else:
+        return None
+    if end <= at or text[at] in "\"'`" or _CODE.match(text, at, end):
+        return None
+    if _BARE.match(text, at, end) and not (tight and name.isupper()):
+        return None
+    return at, end
+
+
 def pairs(text: str) -> list[tuple[str, str, list[tuple[int, int]]]]:
-    """(name, resolved value, literal spans) of each assignment whose value resolves to literals, in text order."""
-    if '"' not in text and "'" not in text and "`" not in text:
-        return []
+    """(name, resolved value, literal spans) of each assignment whose value resolves to literals, in text order.
+
+    Of a value over ``MOST_VALUE`` characters only the beginning is resolved, with all spans; it is not propagated.
+    """
     known: dict[str, tuple[str, list[tuple[int, int]]]] = {}
     out = []
     for m in _SIGN.finditer(text):
-        name = _NAME.search(text, max(0, m.start() - 80, text.rfind("\n", 0, m.start())), m.start())
+        name, start = name_before(text, m.start())
         if not name:
             continue
-        value, spans, at = "", [], m.end()
+        value, spans, at, bare = "", {}, m.end(), False
         while item := _ITEM.match(text, at):
             if item[4] is not None:
                 if item[4] not in known:
-                    value, spans = "", []
+                    value, spans = "", {}
                     break
                 got, where = known[item[4]]
-                value += got
-                spans = spans + where
+                value += got if len(value) <= MOST_VALUE else ""
+                spans |= dict.fromkeys(where)
             else:
                 k = next(i for i in (1, 2, 3) if item[i] is not None)
-                value += item[k]
-                spans = [*spans, item.span(k)]
+                value += item[k] if len(value) <= MOST_VALUE else ""
+                spans[item.span(k)] = None
             at = item.end()
             step = _JOIN.match(text, at)
             if not step:
                 break
             at = step.end()
-        if spans and len(value) <= 65_536:
-            known[name[1]] = value, spans
-            out.append((name[1], value, spans))
+        if not spans and (span := unquoted(text, name, start, m.start(), m.end())):
+            value, spans, bare = text[slice(*span)], {span: None}, True
+        if spans:
+            if len(value) <= MOST_VALUE and not bare:
+                known[name] = value, list(spans)
+            out.append((name, value, list(spans)))
     return out
 
 
