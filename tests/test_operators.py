@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
-from tidemark.operators import artm, clusters, criteria, dynamics, graph, relational, topics, wordpiece
+from tidemark.operators import artm, clusters, criteria, dynamics, graph, relational, similarity, topics, wordpiece
 from tidemark.sources import files
 from tidemark.streaming import feeds, windows
 
@@ -109,6 +109,13 @@ def test_clot_growth():
     assert clusters.grow(dm, 0.6, 0) == [0, 1, 2]
 
 
+def test_nearest_in_blocks(spark):
+    rng = np.random.default_rng(4)
+    v = spark.createDataFrame([(i, rng.normal(size=4).tolist()) for i in range(60)], "vec_id long, embedding array<double>")
+    rows = lambda most: sorted(map(tuple, similarity.nearest(v, v.where("vec_id % 3 = 0"), 3, most_queries=most).collect()))
+    assert rows(7) == rows(20) and len(rows(7)) == 60
+
+
 def test_greedy_combos(spark):
     pairs = spark.createDataFrame([("a", "b", 9), ("a", "c", 1), ("b", "c", 1)], "topic_1 string, topic_2 string, common_docs long")
     assert topics.greedy_combos(pairs, 1) == [("a", "b", 9), ("a", "c", 1), ("b", "c", 1)]

@@ -2,10 +2,13 @@
 
 from __future__ import annotations
 
+from functools import reduce
+
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import min_max, q6
+from tidemark.scratch import stored
 
 
 def cooccurrence(doc_words: DataFrame, vocabulary: DataFrame, diagonal: bool = False) -> DataFrame:
@@ -82,11 +85,19 @@ def dot(a: Column, b: Column) -> Column:
 
 
 def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", most_queries: int = 10_000) -> DataFrame:
-    """query_id, key, similarity, rank: each query's k nearest rows by cosine. Queries are a stated, counted set; all rows
-    pass it once, keeping k for each query before the shuffle."""
+    """query_id, key, similarity, rank: each query's k nearest rows by cosine. All rows pass a broadcast block of queries,
+    keeping k for each query before the shuffle. More than ``most_queries`` are dealt into blocks of about 4/5 of that by
+    a hash of the key; the rows pass once for each block, one block after the other, and each result is stored."""
     n = queries.count()
     if n > most_queries:
-        raise ValueError(f"{n} queries; give at most {most_queries} at once")
+        blocks = -(-5 * n // (4 * most_queries))
+        block = F.pmod(F.xxhash64(key), F.lit(blocks))
+        found = [stored(_nearest(vectors, queries.where(block == i), k, key, vector), "nearest") for i in range(blocks)]
+        return reduce(DataFrame.unionByName, found)
+    return _nearest(vectors, queries, k, key, vector)
+
+
+def _nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str, vector: str) -> DataFrame:
     unit = lambda c: F.sqrt(dot(F.col(c), F.col(c)))
     q = F.broadcast(queries.select(F.col(key).alias("query_id"), F.col(vector).alias("q")).withColumn("nq", unit("q")))
     x = vectors.select(key, F.col(vector).alias("v")).withColumn("nv", unit("v")).crossJoin(q).where(F.col(key) != F.col("query_id"))
