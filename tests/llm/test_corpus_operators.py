@@ -227,13 +227,23 @@ ODD = ["<|endoftext|> a <|endoftext|>b", "don't (x) y_. z.. 3,4 a²! \"q\"", "x
 
 
 @pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-def test_encoder_is_exact(rows, name, spaced):
+@pytest.mark.parametrize("cache", [48 << 20, 1000])
+def test_encoder_is_exact(rows, monkeypatch, name, spaced, cache):
+    import pyarrow as pa
     from tokenizers import Tokenizer
 
+    monkeypatch.setattr(tokens, "CACHE_BYTES", cache)
     plain, enc = Tokenizer.from_file(P.path(name)), tokens.Encoder(P.path(name), spaced)
-    texts = [t or "" for _, t in rows] + ODD
-    for t, got in zip(texts, enc.encode(texts), strict=True):
-        assert np.frombuffer(got, np.int32).tolist() == plain.encode(t, add_special_tokens=False).ids
+    rng = random.Random(8)
+    parts = list("aZé×÷ÉñŉИİßΣ1²'\"-.,!<|\n\t \x01\x02") + ["  ", " a", "'s", "'ll ", "\u0301", "\u00a0", "\u3000", "\u2028", "博", "🙂", "<|endoftext|>", "<|ENDOFTEXT|>", "word ", "\nWord", "x" * 200]
+    texts = [t or "" for _, t in rows] + ODD + ["".join(rng.choice(parts) for _ in range(rng.randint(0, 12))) for _ in range(20_000)]
+    for lo in range(0, len(texts), 3000):
+        part = texts[lo : lo + 3000]
+        ids, n = enc.encode(pa.array(part, pa.string()))
+        at = np.cumsum(n) - n
+        for t, i, k in zip(part, at.tolist(), n.tolist(), strict=True):
+            assert ids[i : i + k].tolist() == plain.encode(t, add_special_tokens=False).ids, t
+    assert enc.keys.nbytes + enc.row.nbytes + enc.first.nbytes + enc.size.nbytes + enc.ids.nbytes <= cache
 
 
 def reference_ids(name, end, rows):

@@ -10,7 +10,7 @@ import pytest
 
 sys.path.insert(0, os.path.dirname(__file__))
 pipeline = pytest.importorskip("corpus_pipeline")
-from test_operators import WORD, brute_components  # noqa: E402
+from test_corpus_operators import WORD, brute_components  # noqa: E402
 
 from tidemark.llm import contamination, quality, secret_scan  # noqa: E402
 
