@@ -131,20 +131,25 @@ class Words:
         self.first = np.searchsorted(self.start, offs)
 
     def hashes(self, lower: bool = False) -> np.ndarray:
-        """64-bit hash of each word; with ``lower``, A-Z count as a-z. Works through the bytes in steps."""
-        table, n = (_LOWER if lower else _EXACT), len(self.start)
-        out, i = np.zeros(n, np.uint64), 0
-        while i < n:
-            a = int(self.start[i])
-            j = max(i + 1, int(np.searchsorted(self.end, a + STEP_BYTES, "right")))
-            b = int(self.end[j - 1])
-            up, down = _powers(b - a)
-            run = np.zeros(b - a + 1, np.uint64)
-            np.cumsum(table[self.data[a:b]] * up, out=run[1:])
-            lo, hi = self.start[i:j] - a, self.end[i:j] - a
-            out[i:j] = mix((run[hi] - run[lo]) * down[lo] + (hi - lo).astype(np.uint64))
-            i = j
-        return out
+        """64-bit hash of each word; with ``lower``, A-Z count as a-z."""
+        return range_hashes(self.data, self.start, self.end, lower)
+
+
+def range_hashes(data: np.ndarray, start: np.ndarray, end: np.ndarray, lower: bool = False) -> np.ndarray:
+    """64-bit hash of each range of bytes, in ascending order and apart. Works through the bytes in steps."""
+    table, n = (_LOWER if lower else _EXACT), len(start)
+    out, i = np.zeros(n, np.uint64), 0
+    while i < n:
+        a = int(start[i])
+        j = max(i + 1, int(np.searchsorted(end, a + STEP_BYTES, "right")))
+        b = int(end[j - 1])
+        up, down = _powers(b - a)
+        run = np.zeros(b - a + 1, np.uint64)
+        np.cumsum(table[data[a:b]] * up, out=run[1:])
+        lo, hi = start[i:j] - a, end[i:j] - a
+        out[i:j] = mix((run[hi] - run[lo]) * down[lo] + (hi - lo).astype(np.uint64))
+        i = j
+    return out
 
 
 def grams(h: np.ndarray, n: int) -> np.ndarray:

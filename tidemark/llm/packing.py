@@ -26,29 +26,29 @@ PIECES = "part int, local long, doc_id long, start long, length int, ids_crc32 l
 def _cut(path: str, spaced: bool, end_id: int, window: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part = tokens.encoder(path, spaced), TaskContext.get().partitionId()
-        tail, seen = np.array([end_id], np.int32).tobytes(), np.zeros(window + 1, np.int64)
+        seen = np.zeros(window + 1, np.int64)
         for b in common.steps(batches):
-            rows: dict[str, list] = {k: [] for k in ("local", "row", "start", "length", "crc", "total")}
-            for i, x in enumerate(enc.encode(b.column("text").to_pylist())):
-                x += tail
-                total = len(x) // 4
-                for at in range(0, total, window):
-                    n = min(window, total - at)
-                    for k, v in (("local", int(seen[n])), ("row", i), ("start", at), ("length", n), ("crc", zlib.crc32(x[at * 4 : (at + n) * 4])), ("total", total)):
-                        rows[k].append(v)
-                    seen[n] += 1
+            ids, n = enc.encode(b.column("text"))
+            ids = np.insert(ids, np.cumsum(n), np.int32(end_id)).astype("<u4", copy=False)
+            total = n + 1
+            pieces = -(-total // window)
+            row = np.repeat(np.arange(len(total)), pieces)
+            start = window * (np.arange(len(row)) - np.repeat(np.cumsum(pieces) - pieces, pieces))
+            length = np.minimum(window, total[row] - start)
+            at = (np.cumsum(total) - total)[row] + start
+            crc = [zlib.crc32(ids[i : i + k]) for i, k in zip(at.tolist(), length.tolist(), strict=True)]
+            order = np.argsort(length, kind="stable")  # pieces of one length are numbered in the order of the partition
+            group, lead, count = np.unique(length[order], return_index=True, return_counts=True)
+            local = np.empty(len(row), np.int64)
+            local[order] = np.arange(len(row)) + np.repeat(seen[group] - lead, count)
+            seen[group] += count
             yield pa.RecordBatch.from_arrays(
                 [
-                    pa.array(np.full(len(rows["row"]), part, np.int32)),
-                    pa.array(rows["local"], pa.int64()),
-                    b.column("doc_id").take(pa.array(rows["row"], pa.int64())),
-                    pa.array(rows["start"], pa.int64()),
-                    pa.array(rows["length"], pa.int32()),
-                    pa.array(rows["crc"], pa.int64()),
-                    pa.array(rows["total"], pa.int64()),
+                    pa.array(np.full(len(row), part, np.int32)), pa.array(local), b.column("doc_id").take(pa.array(row)), pa.array(start),
+                    pa.array(length.astype(np.int32)), pa.array(crc, pa.int64()), pa.array(total[row]),
                 ],
                 ["part", "local", "doc_id", "start", "length", "ids_crc32", "doc_tokens"],
-            )
+            )
 
     return run
 

@@ -32,19 +32,16 @@ LAYOUT = {
     "parquet.dictionary.page.size": str(1 << 20),
     "compression": "zstd",
 }
-#: Ids that one Arrow batch carries at most, but for a longer document.
-BATCH_IDS = 1 << 20
 
 
 def _encode(path: str, spaced: bool, end_id: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         enc, part, start = tokens.encoder(path, spaced), TaskContext.get().partitionId(), 0
-        tail = np.array([end_id], np.int32).tobytes()
         for b in common.steps(batches):
-            ids = [x + tail for x in enc.encode(b.column("text").to_pylist())]
-            n = np.array([len(x) // 4 for x in ids], np.int64)
+            ids, n = enc.encode(b.column("text"))
+            values = np.insert(ids, np.cumsum(n), np.int32(end_id))
+            n = n + 1
             ends = np.cumsum(n)
-            values = np.frombuffer(b"".join(ids), np.int32)
             lists = pa.ListArray.from_arrays(pa.array(np.concatenate([[0], ends]), pa.int32()), pa.array(values))
             starts = pa.array(start + ends - n)
             start += int(ends[-1])
