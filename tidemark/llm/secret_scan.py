@@ -4,9 +4,14 @@ Three base patterns (assign, access, hex) are always reported. The method then r
 as name-value pairs: it finds assignment signs, takes the name before and the expression after (quoted literals,
 joined by ``+`` or ``.`` or by mere adjacency, and names bound before). Where that finds no literal and the place has
 the shape of configuration (a name that begins its line, or ``name=value`` without spaces), the unquoted text up to the
-line's end, a comment or the next setting is the value; calls, references and bare words are not. The method propagates constants in text order, and scores
-the value by how sensitive the target's name is and how random the value looks. Literals of a value over the threshold
-are reported as kind ``literal`` unless base spans cover the whole of them.
+line's end, a comment or the next setting is the value, and signs inside it are text; calls, references and bare words
+are no values. The method propagates constants in text order, and scores the value by how sensitive the target's name is
+and how random the value looks. Literals of a value over the threshold are reported as kind ``literal`` unless base spans
+cover the whole of them.
+
+A value is a tree whose leaves are literals; a name that is bound to it only refers to it. Lengths, kinds of characters
+and their counts are added up along the tree, and a literal is reported once, so time and memory follow the text's
+length, whatever is joined or doubled; no literal, name or line is too long.
 """
 
 from __future__ import annotations
@@ -14,6 +19,7 @@ from __future__ import annotations
 import hashlib
 import math
 import re
+from bisect import bisect_right
 from collections import Counter
 from collections.abc import Iterator
 
@@ -36,18 +42,17 @@ SENSITIVE = {
     "credential": 2.5, "credentials": 2.5, "bearer": 2.5, "authorization": 2.0, "client secret": 3.0, "webhook": 1.5,
 }
 #: Values that stand for a secret.
-PLACEHOLDERS = re.compile(r"(?i)change.?me|example|placeholder|dummy|your[_-]|xxxx|\*\*\*|<[^>]*>|\$\{|\{\{|^(none|null|true|false|test|todo)$")
+PLACEHOLDERS = re.compile(r"(?i)change.?me|example|placeholder|dummy|your[_-]|xxxx|\*\*\*|<[^<>]*>|\$\{|\{\{")
+EMPTY_WORDS = frozenset({"none", "null", "true", "false", "test", "todo"})
 THRESHOLD = 4.0
-#: Characters of a value that are resolved and propagated.
-MOST_VALUE = 65_536
 
-_SIGN = re.compile(r"[ \t]*+(:=|=>|=(?![=>])|:(?![:/=]))[ \t]*+(?=[^\s])")
+_SIGN = re.compile(r"(:=|=>|=(?![=>])|:(?![:/=]))[ \t]*+(?=[^\s])")
 _NAME_CHARS = frozenset("ABCDEFGHIJKLMNOPQRSTUVWXYZabcdefghijklmnopqrstuvwxyz0123456789_.-")
 _ITEM = re.compile(r"""[ \t]*+(?:"([^"\\\n]*+(?:\\.[^"\\\n]*+)*+)"|'([^'\\\n]*+(?:\\.[^'\\\n]*+)*+)'|`([^`\n]*+)`|([A-Za-z_][A-Za-z0-9_.]*+))""")
 #: What may stand before a name that begins its line.
 _LEAD = re.compile(r"[ \t]*+(?:(?:export|set|setx|env|ENV|ARG|-)[ \t]+)?[{\"']?\Z")
 #: Where an unquoted value ends: before a comment, or a separator and the next setting.
-_END = re.compile(r"[ \t]+(?:#|;|//)|[;,&][ \t]*(?=[A-Za-z_][A-Za-z0-9_.\-]{0,200}[ \t]*[=:])|[\r\n]")
+_END = re.compile(r"(?<![ \t])[ \t]++(?:#|;|//)|[;,&][ \t]*+(?=[A-Za-z_][A-Za-z0-9_.\-]*+[ \t]*+[=:])|[\r\n]")
 _TIGHT = re.compile(r"[^\s;,&|\"'`<>]+")
 _CODE = re.compile(r"[A-Za-z_][\w.]*[ \t]*[(\[]|[$%@&!*|>({\[]|\d+(\.\d+)?\Z|(?i:null|none|true|false)\Z")
 _BARE = re.compile(r"[A-Za-z_.]+\Z")
@@ -73,17 +78,66 @@ def name_score(name: str) -> float:
     return max([0.0, *(v for k, v in SENSITIVE.items() if f" {k} " in flat)])
 
 
-def entropy(value: str) -> float:
-    n = len(value)
-    return -sum(c / n * math.log2(c / n) for c in Counter(value).values()) if n else 0.0
+class Value:
+    """A literal (``span``), or the join of other values; ``sums`` are of the whole tree."""
 
+    __slots__ = ("parts", "reported", "span", "sums")
 
-def value_score(value: str) -> float:
-    """0 for prose, placeholders and short values; else up to 3 by length, character classes and entropy."""
-    if len(value) < 6 or " " in value or PLACEHOLDERS.search(value):
+    def __init__(self, span: tuple[int, int] | None = None, parts: tuple[Value, ...] = ()):
+        self.span, self.parts, self.sums, self.reported = span, parts, None, False
+
+    def literals(self, text: str) -> Iterator[str]:
+        """The literals in order; a value that doubles itself has very many."""
+        stack = [self]
+        while stack:
+            v = stack.pop()
+            if v.span is not None:
+                yield text[slice(*v.span)]
+            stack += reversed(v.parts)
+
+
+def _leaf_sums(value: str) -> tuple:
+    """Length, whether it can be no secret, kinds of characters as bits, counts of characters (beyond ASCII, of 64 groups)."""
+    kinds = sum(bool(re.search(p, value)) << i for i, p in enumerate((r"[a-z]", r"[A-Z]", r"\d", r"[^A-Za-z0-9]")))
+    counts: dict[int, int] = {}
+    for c, n in Counter(value).items():
+        k = ord(c) if ord(c) < 128 else 128 + ord(c) % 64
+        counts[k] = counts.get(k, 0) + n
+    return len(value), " " in value or PLACEHOLDERS.search(value) is not None, kinds, counts
+
+
+def sums_of(value: Value, text: str) -> tuple:
+    stack = [value]
+    while stack:
+        v = stack[-1]
+        if v.sums is None and (todo := [p for p in v.parts if p.sums is None]):
+            stack += todo
+            continue
+        stack.pop()
+        if v.sums is None and v.span is not None:
+            v.sums = _leaf_sums(text[slice(*v.span)])
+        elif v.sums is None:
+            size, plain, kinds, counts = 0, False, 0, {}
+            for p in v.parts:
+                size, plain, kinds = size + p.sums[0], plain or p.sums[1], kinds | p.sums[2]
+                for k, n in p.sums[3].items():
+                    counts[k] = counts.get(k, 0) + n
+            v.sums = size, plain, kinds, counts
+    return value.sums
+
+
+def entropy(counts: dict[int, int]) -> float:
+    """Bits for each character."""
+    n = sum(counts.values())
+    return -sum(c / n * math.log2(c / n) for c in counts.values()) if n else 0.0
+
+
+def value_score(value: Value, text: str) -> float:
+    """0 for prose, placeholders and short values; else up to 3 by length, kinds of characters and entropy."""
+    size, plain, kinds, counts = sums_of(value, text)
+    if size < 6 or plain or (value.span is not None and text[slice(*value.span)].lower() in EMPTY_WORDS):
         return 0.0
-    classes = sum(bool(re.search(p, value)) for p in (r"[a-z]", r"[A-Z]", r"\d", r"[^A-Za-z0-9]"))
-    return 0.5 * (len(value) >= 12) + 0.5 * min(classes, 3) + (entropy(value) >= 3.0) * 1.0
+    return 0.5 * (size >= 12) + 0.5 * min(kinds.bit_count(), 3) + (entropy(counts) >= 3.0) * 1.0
 
 
 def name_before(text: str, end: int) -> tuple[str, int]:
@@ -98,14 +152,11 @@ def name_before(text: str, end: int) -> tuple[str, int]:
     return text[i:j], i
 
 
-def unquoted(text: str, name: str, start: int, sign: int, at: int) -> tuple[int, int] | None:
-    """The span of an unquoted value from ``at`` on, where the name, which begins at ``start``, stands as in configuration."""
-    if not _CAMEL.search(name) or not name_score(name):
-        return None
-    tight = text[sign : at].strip() == "=" and at - sign == 1
-    lead = text.rfind("\n", max(0, start - 80), start) + 1
-    first = (lead or start <= 80) and _LEAD.match(text, lead, start)
-    if first:
+def unquoted(text: str, name: str, start: int, sign: int, at: int, line: int | None) -> tuple[int, int] | None:
+    """The span of an unquoted value from ``at`` on, where the name, which begins at ``start``, stands as in configuration;
+    ``line``: where its line begins, if no other sign is before it there."""
+    tight = text[sign:at] == "="
+    if line is not None and _LEAD.match(text, line, start):
         end = m.start() if (m := _END.search(text, at)) else len(text)
         end = at + len(text[at:end].rstrip(" \t;,"))
     elif tight and (m := _TIGHT.match(text, at)):
@@ -119,60 +170,80 @@ def unquoted(text: str, name: str, start: int, sign: int, at: int) -> tuple[int,
     return at, end
 
 
-def pairs(text: str) -> list[tuple[str, str, list[tuple[int, int]]]]:
-    """(name, resolved value, literal spans) of each assignment whose value resolves to literals, in text order.
-
-    Of a value over ``MOST_VALUE`` characters only the beginning is resolved, with all spans; it is not propagated.
-    """
-    known: dict[str, tuple[str, list[tuple[int, int]]]] = {}
-    out = []
+def pairs(text: str) -> Iterator[tuple[str, Value]]:
+    """(name, value) of each assignment whose value resolves to literals, in text order."""
+    known: dict[str, Value] = {}
+    line, seen, fresh, taken = 0, 0, True, 0
     for m in _SIGN.finditer(text):
-        name, start = name_before(text, m.start())
+        if m.start() < taken:  # inside an unquoted value
+            continue
+        sign = m.start()
+        while sign and text[sign - 1] in " \t":
+            sign -= 1
+        name, start = name_before(text, sign)
+        feed = text.rfind("\n", seen, m.start())
+        if feed >= 0:
+            line, fresh = feed + 1, True
+        first, fresh, seen = fresh, False, m.start()
         if not name:
             continue
-        value, spans, at, bare = "", {}, m.end(), False
+        parts, at = [], m.end()
         while item := _ITEM.match(text, at):
             if item[4] is not None:
                 if item[4] not in known:
-                    value, spans = "", {}
+                    parts = []
                     break
-                got, where = known[item[4]]
-                value += got if len(value) <= MOST_VALUE else ""
-                spans |= dict.fromkeys(where)
+                parts.append(known[item[4]])
             else:
-                k = next(i for i in (1, 2, 3) if item[i] is not None)
-                value += item[k] if len(value) <= MOST_VALUE else ""
-                spans[item.span(k)] = None
+                parts.append(Value(item.span(next(i for i in (1, 2, 3) if item[i] is not None))))
             at = item.end()
             step = _JOIN.match(text, at)
             if not step:
                 break
             at = step.end()
-        if not spans and (span := unquoted(text, name, start, m.start(), m.end())):
-            value, spans, bare = text[slice(*span)], {span: None}, True
-        if spans:
-            if len(value) <= MOST_VALUE and not bare:
-                known[name] = value, list(spans)
-            out.append((name, value, list(spans)))
-    return out
+        if parts:
+            known[name] = value = parts[0] if len(parts) == 1 else Value(parts=tuple(parts))
+            yield name, value
+        elif name_score(name) and (span := unquoted(text, name, start, m.start(), m.end(), line if first else None)):
+            taken = span[1]
+            yield name, Value(span)
 
 
-def covered(lo: int, hi: int, spans: list[tuple[int, int, int]]) -> bool:
-    """Whether ``spans``, in order of their starts, leave nothing of lo..hi."""
+def united(spans: list[tuple[int, int, int]]) -> tuple[list[int], list[int]]:
+    """Starts and ends of the union of ``spans``, which come in order of their starts."""
+    starts, ends = [], []
     for i, _, j in spans:
-        if i <= lo < j:
-            lo = j
-    return lo >= hi
+        if ends and i <= ends[-1]:
+            ends[-1] = max(ends[-1], j)
+        else:
+            starts.append(i)
+            ends.append(j)
+    return starts, ends
 
 
 def scan(text: str) -> tuple[list[tuple[int, int, int]], list[tuple[int, int, int]]]:
     """Base spans, and the method's further ones, as (start, kind, end)."""
     base = base_spans(text)
     more = set()
-    for name, value, spans in pairs(text):
-        if (s := name_score(name)) and s + value_score(value) >= THRESHOLD:
-            more.update((i, 3, j) for i, j in spans if j - i >= 3)
-    return base, sorted(x for x in more if not covered(x[0], x[2], base))
+    for name, value in pairs(text):
+        if value.reported or not (s := name_score(name)) or s + value_score(value, text) < THRESHOLD:
+            continue
+        stack = [value]
+        while stack:
+            v = stack.pop()
+            if v.reported:
+                continue
+            v.reported = True
+            stack += v.parts
+            if v.span is not None and v.span[1] - v.span[0] >= 3:
+                more.add((v.span[0], 3, v.span[1]))
+    starts, ends = united(base)
+
+    def covered(lo: int, hi: int) -> bool:
+        k = bisect_right(starts, lo) - 1
+        return k >= 0 and hi <= ends[k]
+
+    return base, sorted(x for x in more if not covered(x[0], x[2]))
 
 
 def _joined(spans: list[tuple[int, int, int]]) -> str:
@@ -206,7 +277,11 @@ def find_secrets(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text"
 
 
 def redact(docs: DataFrame, text_col: str = "text", mark: str = "[REDACTED]") -> DataFrame:
-    """``docs`` with every span of its text replaced by ``mark``; all columns stay, null texts stay null."""
+    """``docs`` with every span of its text replaced by ``mark``; spans that overlap or touch a replaced one go with it.
+
+    All rows and columns stay, in their types: null and empty texts as they are, rows with one id or a null id each for
+    itself, further columns of whatever name untouched. Empty table: no rows.
+    """
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
