@@ -420,6 +420,59 @@ def test_urls(spark):
     assert url_filter.judge(pages.limit(0)).count() == 0
 
 
+def brute_urls(rows, rules):
+    """(host, path, rule, verdict) of each (url, [absolute targets])."""
+    parts = lambda u: re.match(r"([^/?#]*)([^?#]*)", u.split("://", 1)[1], re.S).groups() if u and "://" in u else ("", "")
+    parent, out = {}, []
+
+    def find(x):
+        while parent.setdefault(x, x) != x:
+            x = parent[x]
+        return x
+
+    def node(u):
+        h, p = parts(u)
+        return (lower(h) + p.rstrip("/")) if h else None
+
+    def rule(u):
+        h, p = parts(u)
+        fits = [r for r in rules if (lower(h) == r.host or lower(h).endswith("." + r.host)) and p.startswith(r.path)]
+        return max(fits, key=lambda r: len(r.name), default=None)
+
+    for u, targets in rows:
+        for t in targets:
+            if node(u) and node(t):
+                parent[find(node(u))] = find(node(t))
+    votes = defaultdict(set)
+    for u, _ in rows:
+        if node(u):
+            votes[find(node(u))].add(rule(u).action if rule(u) else None)
+    for u, _ in rows:
+        seen = votes[find(node(u))] if node(u) else set()
+        r, (h, p) = rule(u), parts(u)
+        out.append((lower(h), p, r.name if r else None, r.action if r else "allow" if "allow" in seen else "block" if "block" in seen else "allow"))
+    return out
+
+
+def test_urls_against_brute_force(spark):
+    """Null and repeated ids with different urls, chains, cycles, repeated rows."""
+    rng, rows = random.Random(6), []
+    url = lambda: f"http{rng.choice(['', 's'])}://{rng.choice(['a', 'B', 'c'])}{rng.randrange(9)}.{rng.choice(['com', 'net', 'org', 'example.com', 'tld'])}/{rng.choice(['en', 'de', 'es', 'fr'])}/{rng.randrange(9)}{rng.choice(['', '/', '?q=1', '#x'])}"
+    known = [url() for _ in range(150)]
+    for i in range(220):
+        targets = [rng.choice(known) for _ in range(rng.choice([0, 0, 0, 1, 1, 2]))]
+        html = "".join(f'<link rel="canonical" href="{t}">' if rng.random() < 0.5 else f'<meta http-equiv="refresh" content="0; url={t}">' for t in targets)
+        rows.append((rng.choice([None, 7, i % 40, i]), rng.choice(known), html, targets))
+    rows += rows[:20] + [(None, None, '<link rel="canonical" href="http://x.com/en/">', []), (3, "no host", "", [])]
+    rows += [(None, f"http://chain.tld/{i}", f'<link rel="canonical" href="http://chain.tld/{i + 1}">', [f"http://chain.tld/{i + 1}"]) for i in range(30)]
+    rows.append((None, "http://chain.tld/30", '<link rel="canonical" href="http://z.com/en/1">', ["http://z.com/en/1"]))
+    rows.append((None, "http://z.com/en/1", "x" * 3_000_000, []))
+    pages = spark.createDataFrame([r[:3] for r in rows], "page_id long, url string, html string").withColumn("node", F.lit("k")).repartition(3)
+    got = Counter(tuple(r) for r in url_filter.judge(pages).select("page_id", "host", "path", "rule", "verdict").collect())
+    assert got == Counter((r[0], *x) for r, x in zip(rows, brute_urls([(r[1], r[3]) for r in rows], url_filter.RULES), strict=True))
+    assert sum(n for k, n in got.items() if k[1] == "chain.tld" and k[4] == "block") == 31
+
+
 # 9 --------------------------------------------------------------------------------------------------------------------
 
 

@@ -39,21 +39,21 @@ _NODE = "case when host <> '' then host || regexp_replace(path, '/+$', '') end"
 
 
 def _targets(tag: str, has: str, value: str) -> str:
-    return f"""select page_id, url, regexp_extract(t, '{value}', 1, 'is') as target from (select page_id, url,
- unnest(regexp_extract_all(html, '<{tag}\\b[^>]*\\b{has}[^>]*>', 0, 'is')) as t from pages where url is not null)"""
+    return f"""select node, host, path, regexp_extract(t, '{value}', 1, 'is') as target from (select node, host, path,
+ unnest(regexp_extract_all(html, '<{tag}\\b[^>]*\\b{has}[^>]*>', 0, 'is')) as t from c where url is not null)"""
 
 
 ORACLES: dict[str, str] = {
-    "op8_url_filter": f"""with recursive a as (select page_id, {_AFTER.format("url")} as rest from pages),
- b as (select page_id, coalesce({_HOST.format("rest")}, '') as host, coalesce({_PATH.format("rest")}, '') as path from a),
+    "op8_url_filter": f"""with recursive a as (select page_id, url, html, {_AFTER.format("url")} as rest from pages),
+ b as (select page_id, url, html, coalesce({_HOST.format("rest")}, '') as host, coalesce({_PATH.format("rest")}, '') as path from a),
  c as (select *, case {_RULE} end as rule, case {_ACTION} end as action, {_NODE} as node from b),
  t as ({_targets("link", "rel\\s*=\\s*[\"'']?canonical", "\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)")} union all
  {_targets("meta", "http-equiv\\s*=\\s*[\"'']?refresh", "\\burl\\s*=\\s*''?([^\"''\\s>]+)")} union all
  {_targets("meta", "property\\s*=\\s*[\"'']og:url", "\\bcontent\\s*=\\s*[\"'']([^\"'']+)")}),
- u as (select page_id, case when contains(target, '://') then target when starts_with(target, '//') then 'x:' || target when starts_with(target, '/') then 'x://' || host || target
- else 'x://' || host || regexp_extract(path, '^(.*/)?', 0) || target end as target from t join c using (page_id) where target <> ''),
- v as (select page_id, {_AFTER.format("target")} as rest from u), w as (select page_id, {_HOST.format("rest")} as host, {_PATH.format("rest")} as path from v),
- e as (select c.node as x, {_NODE.replace("host", "w.host").replace("path,", "w.path,")} as y from w join c using (page_id)),
+ u as (select node as x, case when contains(target, '://') then target when starts_with(target, '//') then 'x:' || target when starts_with(target, '/') then 'x://' || host || target
+ else 'x://' || host || regexp_extract(path, '^(.*/)?', 0) || target end as target from t where target <> ''),
+ v as (select x, {_AFTER.format("target")} as rest from u), w as (select x, {_HOST.format("rest")} as host, {_PATH.format("rest")} as path from v),
+ e as (select distinct x, {_NODE} as y from w),
  f as (select x, y from e where x is not null and y is not null union select y, x from e where x is not null and y is not null),
  reach(p, q) as (select node, node from c where node is not null union select p, y from reach join f on x = q),
  g as (select p as node, max(case when action = 'allow' then 1 else 0 end) as al, max(case when action = 'block' then 1 else 0 end) as bl from reach join c on c.node = q group by 1)

@@ -58,7 +58,7 @@ def address(url: Column) -> Column:
 
 
 def links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, target): canonical links, meta refreshes and og:url of each page, made absolute against its url."""
+    """(page_id, url, target): canonical links, meta refreshes and og:url of each page row, made absolute against its url."""
     tag = lambda name, has: rf"(?is)<{name}\b[^>]*\b{has}[^>]*>"
     found = F.concat(
         F.transform(
@@ -79,6 +79,7 @@ def links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_
     scheme = F.regexp_extract("url", r"(?s)^(.*?://)", 1)
     return rows.select(
         "page_id",
+        "url",
         F.when(F.col("target").contains("://"), F.col("target"))
         .when(F.col("target").startswith("//"), F.concat(F.regexp_replace(scheme, "//", ""), "target"))
         .when(F.col("target").startswith("/"), F.concat(scheme, host_of(F.col("url")), "target"))
@@ -104,7 +105,9 @@ def judge(
 
     ``redirects``: further edges (source url, target url) from a crawl log. Equal addresses are one node, whatever their
     number of pages; a target that is no page still connects those that name it. A null url, or one without ``://``, has
-    empty host and path, no rule and no alias, and is allowed. Repeated rows are judged alike. Empty table: no rows.
+    empty host and path, no rule and no alias, and is allowed. A link belongs to the url of its row, so rows with a null id
+    link too, and rows with one id and different urls link each for itself; repeated rows are judged alike. Null or very
+    long html is no matter. Empty table: no rows. Only the named columns are read.
     """
     url = F.col(url_col).cast("string")
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), F.col(html_col).alias("html"))
@@ -114,7 +117,7 @@ def judge(
     judged = common.stored(
         judged.select("page_id", "host", "path", "m.rule", "m.action", F.when(F.col("host") != "", F.xxhash64(address(F.col("url")))).alias("node")), "judged"
     )
-    made = links(base).join(base.select("page_id", "url").where("page_id is not null"), "page_id").select("url", "target")
+    made = links(base).select("url", "target")
     if redirects is not None:
         made = made.unionByName(redirects.toDF("url", "target"))
     key = lambda c: F.when(host_of(F.col(c)) != "", F.xxhash64(address(F.col(c))))
