@@ -221,6 +221,94 @@ def test_language_evidence(spark):
     assert {r["language"] for r in language.identify(df, train.limit(0)).collect()} == {None}
 
 
+def brute_languages(rows, labelled, folds):
+    """(language, confidence, text_language) of rows (fold, text, declared, host, suffix) by labelled (fold, text, label)."""
+    m = (1 << 64) - 1
+
+    def cells(t):
+        raw, out = t.encode().lower(), Counter()
+        for i in range(len(raw) - 2):
+            x = raw[i] | raw[i + 1] << 8 | raw[i + 2] << 16
+            x = (x ^ x >> 30) * 0xBF58476D1CE4E5B9 & m
+            x = (x ^ x >> 27) * 0x94D049BB133111EB & m
+            out[(x ^ x >> 31) % language.CELLS] += 1
+        return out
+
+    names = sorted({x for _, _, x in labelled})
+    models = []
+    for f in range(folds):
+        count = {n: Counter() for n in names}
+        for g, t, x in labelled:
+            if folds == 1 or g != f:
+                count[x].update(cells(t))
+        models.append({n: (c, math.log(sum(c.values()) + language.CELLS / 2)) for n, c in count.items()})
+    seen, total, said, by_host, by_suffix = [], Counter(), defaultdict(Counter), defaultdict(Counter), defaultdict(Counter)
+    for f, t, declared, host, suffix in rows:
+        c = cells(t)
+        n = sum(c.values())
+        weight = min(n, language.TEXT_WEIGHT) / max(1, n)
+        logs = [weight * sum(k * (math.log(models[f][x][0][i] + 0.5) - models[f][x][1]) for i, k in c.items()) for x in names]
+        guess = logs.index(max(logs)) if n else None
+        seen.append((logs, guess))
+        if n:
+            total[guess] += 1
+            by_host[host][guess] += 1
+            by_suffix[suffix][guess] += 1
+            if declared:
+                said[guess][names.index(declared) if declared in names else len(names)] += 1
+    out, k = [], language.KAPPA
+    prior = [(total[i] + 1) / (sum(total.values()) + len(names)) for i in range(len(names))]
+    for (logs, guess), (_, _, declared, host, suffix) in zip(seen, rows):
+        post = []
+        for i in range(len(names)):
+            above = (by_suffix[suffix][i] + k * prior[i]) / (sum(by_suffix[suffix].values()) + k)
+            p = logs[i] + math.log((by_host[host][i] + k * above) / (sum(by_host[host].values()) + k))
+            if declared:
+                j = names.index(declared) if declared in names else len(names)
+                p += math.log((said[i][j] + 0.5 + 4 * (i == j)) / (sum(said[i].values()) + 0.5 * (len(names) + 1) + 4))
+            post.append(p)
+        top = max(post)
+        out.append((names[post.index(top)], 1 / sum(math.exp(p - top) for p in post), names[guess] if guess is not None else None))
+    return out
+
+
+def same_languages(got, want):
+    assert len(got) == len(want)
+    for a, b in zip(got, want, strict=True):
+        assert a[0] == b[0] and a[2] == b[2] and a[1] == pytest.approx(b[1], abs=1e-3)
+
+
+@pytest.mark.parametrize("pages", [False, True])
+def test_language_queries_against_brute_force(spark, pages):
+    docs = spark.read.parquet(f"{DATA}/documents.parquet")
+    fold = F.pmod(F.xxhash64("text"), F.lit(2))
+    labelled = [tuple(r) for r in docs.select(fold, "text", "lang").collect()]
+    if pages:
+        table = language.page_rows(spark.read.parquet(f"{DATA}/pages.parquet")).orderBy("id").collect()
+        want = brute_languages([(0, r["text"], r["declared"], r["host"], r["suffix"]) for r in table], labelled, 1)
+        got = language.op3_page_language(spark, DATA).orderBy("page_id").collect()
+        assert [r["page_id"] for r in got] == [r["id"] for r in table]
+    else:
+        table = docs.select(fold.alias("fold"), "doc_id", "text", "lang", "source").orderBy("doc_id").collect()
+        want = brute_languages([(r["fold"], r["text"], r["lang"], r["source"], "") for r in table], labelled, 2)
+        got = language.op3_language_id(spark, DATA).orderBy("doc_id").collect()
+        assert [r["doc_id"] for r in got] == [r["doc_id"] for r in table]
+    same_languages([(r["language"], r["confidence"], r["text_language"]) for r in got], want)
+
+
+def test_language_of_awkward_rows(spark):
+    """Null html and ids, a long text, a host and a suffix without readable text, clashing names, 80 languages."""
+    train = [(f"{chr(97 + i % 26)}{chr(97 + i // 26)} {chr(97 + i // 26)}{chr(97 + i % 26)}{chr(97 + i % 26)} " * 30, f"l{i:02}") for i in range(80)]
+    labelled = spark.createDataFrame(train, "text string, label string").withColumn("declared", F.lit(1))
+    rows = [(i, t, None, "h.x", "x") for i, (t, _) in enumerate(train)] + [(None, train[3][0] * 3000, "L05", "h.x", "x"), (100, None, None, "new.x", "x"), (101, "", "l07", None, None), (101, "", "l07", None, None)]
+    df = spark.createDataFrame(rows, "id long, text string, declared string, host string, suffix string").withColumn("prior", F.lit(1))
+    got = language.identify(df, labelled).collect()
+    assert len(got) == len(rows) and {r["id"]: r["language"] for r in got if r["id"] is not None and r["id"] < 80} == {i: x for i, (_, x) in enumerate(train)}
+    assert [r["language"] for r in got if r["id"] is None] == ["l03"] and {r["language"] for r in got if r["id"] == 101} == {"l07"}
+    pages = spark.createDataFrame([(1, None, None), (None, "http://a.x/b", "<html lang=de><p>der</p>"), (2, "nohost", "")], "page_id long, url string, html string")
+    assert language.identify(language.page_rows(pages), labelled).count() == 3
+
+
 # 4, 7 -----------------------------------------------------------------------------------------------------------------
 
 ODD = ["<|endoftext|> a <|endoftext|>b", "don't (x) y_. z.. 3,4 a²! \"q\"", "x \x01", "a\x01b ,c", "ΑΣ! É! Ñ", "İ.x", "a\x1c b", "it's,that'LL", "é.x", "x. \ny", "　x ", "a\r\nb\n\n\nc "]

@@ -4,6 +4,9 @@ The posterior of a language is proportional to three factors: the likelihood of
 often a page of that language declares what this one declares; and a prior of the page's host. Host priors are smoothed
 hierarchically: all pages, then the address suffix, then the host, each level worth ``KAPPA`` pages of the one above.
 Counts for the last two come from grouped aggregation over all rows, by the language that the text alone suggests.
+
+Where a row's own tag is also a label of the text models, the models are cross-fitted: texts fall into folds by a hash, and
+a text is judged by models of the other folds. So its tag counts once, as what it declares, and copies of it don't help.
 """
 
 from __future__ import annotations
@@ -12,14 +15,15 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+import pyarrow.compute as pc
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
 from tidemark.llm.url_filter import host_of
 
-#: Hashed trigrams; labelled rows that the text models are fitted on; weight of a level of the hierarchy; languages.
-CELLS, SAMPLE_ROWS, KAPPA, MOST_LANGUAGES = 1 << 14, 20_000, 20.0, 64
+#: Hashed trigrams; labelled rows that the text models are fitted on; weight of a level of the hierarchy.
+CELLS, SAMPLE_ROWS, KAPPA = 1 << 14, 20_000, 20.0
 #: Trigrams that a text counts for at most: they overlap, and so say less than as many independent ones.
 TEXT_WEIGHT = 60.0
 EVIDENCE = "id long, declared string, host string, suffix string, guess int, logs array<double>"
@@ -39,51 +43,60 @@ def trigrams(b: pa.RecordBatch) -> tuple[np.ndarray, np.ndarray]:
 
 
 def _counts(names: list[str]):
+    place = {n: i for i, n in enumerate(names)}
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        total = np.zeros((len(names), CELLS), np.int64)
-        place = {n: i for i, n in enumerate(names)}
         for b in common.steps(batches):
             cell, row = trigrams(b)
-            lang = np.array([place[x] for x in b.column("label").to_pylist()])
-            total += np.bincount(lang[row] * CELLS + cell, minlength=total.size).reshape(total.shape)
-        lang, cell = np.nonzero(total)
-        yield pa.RecordBatch.from_arrays(
-            [pa.array(lang.astype(np.int32)), pa.array(cell.astype(np.int32)), pa.array(total[lang, cell])], ["lang", "cell", "n"]
-        )
+            lang = np.array([place[x] for x in b.column("label").to_pylist()], np.int64)
+            fold = b.column("fold").to_numpy(zero_copy_only=False).astype(np.int64)
+            code, n = np.unique((fold[row] * len(names) + lang[row]) * CELLS + cell, return_counts=True)
+            yield pa.RecordBatch.from_arrays([pa.array(code), pa.array(n.astype(np.int64))], ["code", "n"])
 
     return run
 
 
-def fit(labelled: DataFrame, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
-    """Languages and their log trigram probabilities, from about ``sample_rows`` rows (text, label) chosen by hash.
+def _fold(folds: int) -> Column:
+    return F.pmod(F.xxhash64("text"), F.lit(folds)).cast("int")
+
+
+def fit(labelled: DataFrame, folds: int = 1, sample_rows: int = SAMPLE_ROWS) -> tuple[list[str], np.ndarray]:
+    """Languages, and for each fold their log trigram probabilities without that fold's texts (with one fold, of all), from
+    about ``sample_rows`` rows (text, label) chosen by hash.
 
-    The driver gets CELLS numbers for each of at most MOST_LANGUAGES languages, the most frequent ones.
+    Every label is a language. Driver and tasks hold CELLS numbers (64 KiB) for each language and fold.
     """
     known = labelled.where("label is not null and label <> '' and text is not null").select("text", "label")
-    top = known.groupBy("label").count().orderBy(F.desc("count"), "label").limit(MOST_LANGUAGES).collect()
-    names, total = sorted(r["label"] for r in top), sum(r["count"] for r in top)
+    counts = known.groupBy("label").count().collect()
+    names, total = sorted(r["label"] for r in counts), sum(r["count"] for r in counts)
     if not names:
-        return [], np.zeros((0, CELLS))
+        return [], np.zeros((folds, 0, CELLS), np.float32)
     share = min(1.0, sample_rows / total)
-    part = known.where(F.col("label").isin(names) & (F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1))
-    rows = part.mapInArrow(_counts(names), "lang int, cell int, n long").groupBy("lang", "cell").agg(F.sum("n").alias("n")).collect()
-    count = np.full((len(names), CELLS), 0.5)
-    for r in rows:
-        count[r["lang"], r["cell"]] += r["n"]
-    return names, np.log(count / count.sum(axis=1, keepdims=True))
+    part = known.where(F.pmod(F.xxhash64("text"), F.lit(1_000_000)) < int(share * 1_000_000) + 1).withColumn("fold", _fold(folds))
+    rows = part.mapInArrow(_counts(names), "code long, n long").groupBy("code").agg(F.sum("n").alias("n")).toArrow()
+    count = np.zeros(folds * len(names) * CELLS)
+    count[rows["code"].to_numpy()] = rows["n"].to_numpy()
+    count = count.reshape(folds, len(names), CELLS)
+    count = (count.sum(axis=0) - count if folds > 1 else count) + 0.5
+    return names, np.log(count / count.sum(axis=2, keepdims=True)).astype(np.float32)
 
 
-def _evidence(model: np.ndarray):
+def _evidence(models: np.ndarray):
+    size = models.shape[1]
+
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in common.steps(batches):
             cell, row = trigrams(b)
             n = np.bincount(row, minlength=b.num_rows)
-            logs = np.stack([np.bincount(row, m[cell], b.num_rows) for m in model], 1) if len(model) else np.zeros((b.num_rows, 0))
+            fold = b.column("fold").to_numpy(zero_copy_only=False)
+            logs = np.zeros((b.num_rows, size))
+            for f, model in enumerate(models):
+                mine = fold[row] == f if len(models) > 1 else slice(None)
+                for i in range(size):
+                    logs[:, i] += np.bincount(row[mine], model[i][cell[mine]], b.num_rows)
             logs *= (np.minimum(n, TEXT_WEIGHT) / np.maximum(n, 1))[:, None]
-            guess = logs.argmax(axis=1) if len(model) else np.zeros(b.num_rows, np.int64)
-            guess = np.where(n > 0, guess, -1).astype(np.int32)
-            flat = pa.array(logs.reshape(-1))
-            lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * len(model), pa.int32()), flat)
+            guess = np.where(n > 0, logs.argmax(axis=1), -1).astype(np.int32)
+            lists = pa.ListArray.from_arrays(pa.array(np.arange(b.num_rows + 1) * size, pa.int32()), pa.array(logs.reshape(-1)))
             yield pa.RecordBatch.from_arrays(
                 [b.column("id"), b.column("declared"), b.column("host"), b.column("suffix"), pa.array(guess), lists],
                 ["id", "declared", "host", "suffix", "guess", "logs"],
@@ -92,14 +105,26 @@ def _evidence(model: np.ndarray):
     return run
 
 
-def _shares(level: DataFrame, above: Column, size: int) -> Column:
-    """(counts + KAPPA * shares above) / (all counts + KAPPA), an array by language."""
-    total = F.aggregate("n", F.lit(0.0), lambda a, x: a + x)
-    return F.transform(F.sequence(F.lit(0), F.lit(size - 1)), lambda i: (F.get(F.col("n"), i) + KAPPA * F.get(above, i)) / (total + KAPPA))
+def _tally(counted: DataFrame, keys: list[str], name: str) -> DataFrame:
+    """For each key, the counts by language: at most one entry for each."""
+    per = counted.groupBy(*keys, "guess").agg(F.sum("c").alias("c"))
+    return per.groupBy(*keys).agg(F.collect_list(F.struct("guess", "c")).alias(name))
+
 
+def _table(col: pa.Array, size: int) -> np.ndarray:
+    """Counts by row and language of a column of lists; a null list counts nothing."""
+    out = np.zeros((len(col), size))
+    lists = pc.list_value_length(col).fill_null(0).to_numpy(zero_copy_only=False)
+    entries = pc.list_flatten(col)
+    if len(entries):
+        lang, n = pc.struct_field(entries, 0), pc.struct_field(entries, 1)
+        out[np.repeat(np.arange(len(col)), lists), lang.to_numpy(zero_copy_only=False)] = n.to_numpy(zero_copy_only=False)
+    return out
 
-def _by(rows: DataFrame, keys: list[str], size: int) -> DataFrame:
-    return rows.groupBy(*keys).agg(F.array(*(F.sum(F.when(F.col("guess") == i, F.col("c")).otherwise(0.0)) for i in range(size))).alias("n"))
+
+def smoothed(counts: np.ndarray, above: np.ndarray) -> np.ndarray:
+    """(counts + KAPPA * shares of the level above) / (all counts + KAPPA), by row."""
+    return (counts + KAPPA * above) / (counts.sum(axis=1, keepdims=True) + KAPPA)
 
 
 def _fuse(names: list[str], declares: np.ndarray, prior: np.ndarray):
@@ -112,10 +137,9 @@ def _fuse(names: list[str], declares: np.ndarray, prior: np.ndarray):
             n = b.num_rows
             logs = b.column("logs").flatten().to_numpy(zero_copy_only=False).reshape(n, len(names)).copy()
             alone = logs.argmax(axis=1)
-            host = [x if x is not None else prior for x in b.column("prior").to_pylist()]
-            logs += np.log(np.array(host))
-            said = [place.get(x, len(names)) if x else -1 for x in b.column("declared").to_pylist()]
-            logs += np.where(np.array(said)[:, None] >= 0, np.log(declares.T[np.array(said)]), 0)
+            logs += np.log(smoothed(_table(b.column("host_n"), len(names)), smoothed(_table(b.column("suffix_n"), len(names)), prior)))
+            said = np.array([place.get(x, len(names)) if x else -1 for x in b.column("declared").to_pylist()])
+            logs += np.where(said[:, None] >= 0, np.log(declares.T[said]), 0)
             p = np.exp(logs - logs.max(axis=1, keepdims=True))
             p /= p.sum(axis=1, keepdims=True)
             best = p.argmax(axis=1)
@@ -131,15 +155,16 @@ def _fuse(names: list[str], declares: np.ndarray, prior: np.ndarray):
     return run
 
 
-def identify(rows: DataFrame, labelled: DataFrame) -> DataFrame:
+def identify(rows: DataFrame, labelled: DataFrame, folds: int = 1) -> DataFrame:
     """id, declared, language, confidence, text_language for every row.
 
-    ``rows``: id, text, declared, host, suffix; ``labelled``: text, label. Null or empty text leaves the other evidence;
-    an absent declaration (null or '') counts for nothing, one that is no known language counts as other; a null host
-    or suffix is ''. Ties go to the first language by name. Without labelled rows language is null. Rows with equal ids
-    are judged each for itself. Empty table: no rows.
+    ``rows``: id, text, declared, host, suffix; ``labelled``: text, label, with ``folds`` over 1 where these are the rows'
+    own tags. Null or empty text leaves the other evidence; an absent declaration (null or '') counts for nothing, one that
+    is no known language counts as other; a null host or suffix is ''. Ties go to the first language by name. Without
+    labelled rows language is null. Rows with equal ids, or a null one, are judged each for itself, by their whole texts.
+    Empty table: no rows. Other columns are not read.
     """
-    names, model = fit(labelled)
+    names, models = fit(labelled, folds)
     out = "id long, declared string, language string, confidence double, text_language string"
     base = rows.select(
         F.col("id").cast("long").alias("id"),
@@ -147,25 +172,27 @@ def identify(rows: DataFrame, labelled: DataFrame) -> DataFrame:
         F.lower(F.coalesce(F.col("declared").cast("string"), F.lit(""))).alias("declared"),
         F.coalesce(F.col("host"), F.lit("")).alias("host"),
         F.coalesce(F.col("suffix"), F.lit("")).alias("suffix"),
-    )
+    ).withColumn("fold", _fold(folds))
     if not names:
         return base.select("id", "declared", F.lit(None).cast("string").alias("language"), F.lit(0.0).alias("confidence"), F.lit(None).cast("string").alias("text_language"))
-    size = len(names)
-    seen = common.stored(base.mapInArrow(_evidence(model), EVIDENCE), "evidence")
-    counted = common.stored(seen.where("guess >= 0").groupBy("host", "suffix", "declared", "guess").agg(F.count("*").cast("double").alias("c")), "counts")
+    size, place = len(names), {n: i for i, n in enumerate(names)}
+    seen = common.stored(base.mapInArrow(_evidence(models), EVIDENCE), "evidence")
+    counted = seen.groupBy("host", "suffix", "declared", "guess").agg(F.count("*").cast("double").alias("c"))
+    counted = common.stored(counted, "counts")
     total = np.zeros(size)
     declares = np.full((size, size + 1), 0.5) + 4 * np.eye(size, size + 1)
-    said = F.coalesce(*(F.when(F.col("declared") == n, F.lit(i)) for i, n in enumerate(names)), F.when(F.col("declared") != "", F.lit(size)), F.lit(-1))
-    for r in counted.groupBy("guess", said.alias("said")).agg(F.sum("c").alias("c")).collect():
+    said = F.when(F.col("declared").isin(names) | (F.col("declared") == ""), F.col("declared")).otherwise(F.lit("\x00"))  # what is no language is one thing
+    known = counted.where("guess >= 0")
+    for r in known.groupBy("guess", said.alias("said")).agg(F.sum("c").alias("c")).collect():
         total[r["guess"]] += r["c"]
-        if r["said"] >= 0:
-            declares[r["guess"], r["said"]] += r["c"]
+        if r["said"]:
+            declares[r["guess"], place.get(r["said"], size)] += r["c"]
     prior = (total + 1) / (total + 1).sum()
     declares /= declares.sum(axis=1, keepdims=True)
-    above = F.array(*(F.lit(float(x)) for x in prior))
-    suffixes = _by(counted, ["suffix"], size).select("suffix", _shares(counted, above, size).alias("above"))
-    hosts = _by(counted, ["host", "suffix"], size).join(suffixes, "suffix").select("host", "suffix", _shares(counted, F.col("above"), size).alias("prior"))
-    return seen.join(hosts, ["host", "suffix"], "left").select("id", "declared", "guess", "logs", "prior").mapInArrow(_fuse(names, declares, prior), out)
+    hosts = counted.select("host", "suffix").distinct()  # a host without any readable text still has its suffix
+    hosts = hosts.join(_tally(known, ["host", "suffix"], "host_n"), ["host", "suffix"], "left").join(_tally(known, ["suffix"], "suffix_n"), "suffix", "left")
+    judged = seen.join(hosts, ["host", "suffix"]).select("id", "declared", "guess", "logs", "host_n", "suffix_n")
+    return judged.mapInArrow(_fuse(names, declares, prior), out)
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
@@ -182,10 +209,10 @@ def page_rows(pages: DataFrame) -> DataFrame:
 
 
 def op3_language_id(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """Every document: its tag is the declaration, its source the host."""
+    """Every document: its tag is the declaration, its source the host; text models of the other half of the texts."""
     docs = spark.read.parquet(f"{sf_dir}/documents.parquet")
     rows = docs.select(F.col("doc_id").alias("id"), "text", F.col("lang").alias("declared"), F.col("source").alias("host"), F.lit("").alias("suffix"))
-    return identify(rows, docs.select("text", F.col("lang").alias("label"))).withColumnRenamed("id", "doc_id")
+    return identify(rows, docs.select("text", F.col("lang").alias("label")), folds=2).withColumnRenamed("id", "doc_id")
 
 
 def op3_page_language(spark: SparkSession, sf_dir: str) -> DataFrame:
