@@ -10,7 +10,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.scratch import stored
+from tidemark.scratch import discard, stored
 
 
 def _star(edges: DataFrame, large: bool) -> DataFrame:
@@ -34,7 +34,8 @@ def components(edges: DataFrame, rounds: int = 60) -> DataFrame:
     edges = edges.where("u is not null and v is not null and u <> v").select(F.greatest("u", "v").alias("u"), F.least("u", "v").alias("v")).distinct()
     edges, last = stored(edges, "edges"), None
     for _ in range(rounds):
-        edges = stored(_star(_star(edges, True), False), "edges")
+        before, edges = edges, stored(_star(_star(edges, True), False), "edges")
+        discard(before)
         now = edges.agg(F.count("*"), F.sum(F.hash("u", "v").cast("long")), F.sum(F.xxhash64("v", "u") % 1_000_003)).first()
         if now == last:
             break

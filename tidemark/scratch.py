@@ -10,13 +10,16 @@ from pyspark.sql import DataFrame, SparkSession
 
 
 def shared_dir(spark: SparkSession) -> str:
-    """``spark.checkpoint.dir``; a temporary folder only where it is unset, as in tests."""
+    """``spark.checkpoint.dir``; where it is unset, a temporary folder in local mode, as in tests, and an error on a cluster,
+    whose executors don't share one."""
     sc = spark.sparkContext
     base = sc.getConf().get("spark.checkpoint.dir")
     if not base:
         jvm_dir = sc._jsc.sc().getCheckpointDir()
         base = jvm_dir.get() if jvm_dir.isDefined() else None
     if not base:
+        if sc.master.partition("[")[0] != "local":
+            raise RuntimeError("spark.checkpoint.dir must name a folder that driver and executors share")
         base = "file://" + tempfile.mkdtemp(prefix="tidemark-")
         sc.setCheckpointDir(base)
     return base.rstrip("/")
@@ -27,14 +30,28 @@ def scratch_path(spark: SparkSession, name: str) -> str:
 
 
 def stored(df: DataFrame, name: str) -> DataFrame:
-    """Write ``df`` and read it back; a lost executor costs at most the step in hand."""
+    """Write ``df`` and read it back; a lost executor costs at most the step in hand. ``discard`` deletes the table."""
     spark = df.sparkSession
     path = scratch_path(spark, name)
     df.write.parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+    out = spark.read.schema(df.schema).parquet(path)
+    out.scratch = path
+    return out
+
+
+def discard(*tables: DataFrame) -> None:
+    """Delete tables of ``stored`` that nothing reads any more."""
+    for t in tables:
+        delete(t.sparkSession, t.scratch)
+
+
+def delete(spark: SparkSession, path: str) -> None:
+    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
+    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
 
 
 def free(spark: SparkSession) -> None:
-    """Let Spark delete the shuffle files of steps whose results are stored; it does so as their handles are collected."""
+    """Let Spark delete the shuffle files of steps whose results are stored; it does so as their handles are collected.
+    Only a hint that lowers the use of disk early; no result or limit rests on it."""
     gc.collect()
     spark.sparkContext._jvm.System.gc()
