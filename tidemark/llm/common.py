@@ -14,18 +14,20 @@ import pyarrow.compute as pc
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tidemark.scratch import free, scratch_path, shared_dir, stored
+from tidemark.scratch import discard, free, scratch_path, shared_dir, stored
 
-__all__ = ["free", "scratch_path", "shared_dir", "stored"]
+__all__ = ["discard", "free", "scratch_path", "shared_dir", "stored"]
 
 #: Bytes of text that one vectorised step holds; a longer text is one step of its own.
 STEP_BYTES = 2_000_000
 
 
 def input_bytes(df: DataFrame) -> int:
-    """Bytes of the files under ``df`` by the optimizer's estimate; 0 where it has none."""
-    size = int(str(df._jdf.queryExecution().optimizedPlan().stats().sizeInBytes()))
-    return 0 if size >= 1 << 60 else size
+    """Bytes of the tables that ``df`` reads, each as often as it is read, whatever joins make of them; one whose size is
+    not known counts 0."""
+    leaves = df._jdf.queryExecution().optimizedPlan().collectLeaves()
+    sizes = (int(str(leaves.apply(i).stats().sizeInBytes())) for i in range(leaves.size()))
+    return sum(s for s in sizes if s < 1 << 60)
 
 
 def shards_for(df: DataFrame, bytes_each: int = 48 << 20) -> int:

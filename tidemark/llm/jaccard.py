@@ -309,6 +309,7 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: s
     known = known.join(sketches, "node").join(whole, "node")
     links = _stripes(known, "cluster", SET_STRIPE).applyInArrow(_certain(percent), "u long, v long")
     final = components(links)
+    common.discard(buckets, sketches, clusters, wanted, whole)
 
     heads = heads.join(final, "node", "left").withColumn("component", F.coalesce("component", "node"))
     least = heads.groupBy("component").agg(F.min("head").alias("component_id"))

@@ -26,6 +26,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common
+from tidemark.scratch import delete
 from tidemark.llm.exchange import MESSAGE, bounds, each_row, pack, rows_of, small, trim, unpack, with_answers
 
 #: Counts up to K are discounted by Good-Turing; larger ones lose TINY.
@@ -333,11 +334,6 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def _delete(spark: SparkSession, path: str) -> None:
-    folder = spark._jvm.org.apache.hadoop.fs.Path(path)
-    folder.getFileSystem(spark._jsc.hadoopConfiguration()).delete(folder, True)
-
-
 def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tables: bool = True, at: str | None = None) -> DataFrame:
     """Learn from the documents that aren't held out, and score all.
 
@@ -358,7 +354,7 @@ def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", table
     model = Model(_totals(answers, "word"), _totals(answers, "pair"))
 
     summed = common.stored(with_answers(blocks, answers).mapInArrow(_sum_up(model, shards), MESSAGE), "sums")
-    _delete(docs.sparkSession, f"{at}/blocks")  # every block's state is stored by now
+    delete(docs.sparkSession, f"{at}/blocks")  # every block's state is stored by now
     common.free(docs.sparkSession)
     alphas = _written(summed.where("kind = 'sums'").groupBy("shard").applyInArrow(_alphas(tables), MESSAGE), f"{at}/alphas")
     state = summed.where("kind = 'state'").select("block", "payload")

@@ -33,7 +33,7 @@ _SYMBOL = re.compile(r"[#*$%&|<>]+")
 _SPACE = b" \t\n\x0b\x0c\r"
 #: Share of a stratum's good documents that all rules together may reject, and the probability of more.
 RISK, LEVEL = 0.05, 0.05
-FEATURES = "doc_id long, stratum string, " + ", ".join(f"{c} long" for c in BASE) + ", " + ", ".join(f"{c} double" for c in RULES)
+FEATURES = "doc_id long, row long, stratum string, " + ", ".join(f"{c} long" for c in BASE) + ", " + ", ".join(f"{c} double" for c in RULES)
 
 
 def repeat_words(words: list[bytes]) -> int:
@@ -84,13 +84,15 @@ def _features(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
     for b in common.steps(batches):
         got = list(zip(*map(measures, b.column("text").to_pylist()), strict=True))
         cols = [pa.array(x, pa.int64() if i < len(BASE) else pa.float64()) for i, x in enumerate(got)]
-        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("stratum"), *cols], ["doc_id", "stratum", *names])
+        yield pa.RecordBatch.from_arrays([b.column("doc_id"), b.column("row"), b.column("stratum"), *cols], ["doc_id", "row", "stratum", *names])
 
 
-def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang") -> DataFrame:
-    """A row for each document: base counts and rule scores of its whole text (null: none); a null stratum is ''."""
+def features(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", row_col: str | None = None) -> DataFrame:
+    """A row for each document: base counts and rule scores of its whole text (null: none); a null stratum is ''. ``row``
+    is ``row_col``, a long that tells rows with one id apart (null without it)."""
     rows = docs.select(
         F.col(id_col).cast("long").alias("doc_id"),
+        (F.col(row_col) if row_col else F.lit(None)).cast("long").alias("row"),
         F.coalesce(F.col(text_col).cast("string"), F.lit("")).alias("text"),
         F.coalesce(F.col(stratum_col).cast("string"), F.lit("")).alias("stratum"),
     )
@@ -165,15 +167,16 @@ def cutoffs(scored: DataFrame, labels: DataFrame, *, risk: float = RISK, level:
 
 def judge(
     docs: DataFrame, labels: DataFrame, *, risk: float = RISK, level: float = LEVEL,
-    id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang",
+    id_col: str = "doc_id", text_col: str = "text", stratum_col: str = "lang", row_col: str | None = None,
 ) -> DataFrame:
     """doc_id, base counts, base_failed, kept and the rules that rejected it (``rejected_by``), for every document.
 
     base_failed: under 50 words, or more than half of them repeated. Null or empty text: all counts 0, failed. Rows with
     one id are judged each by its own text; a null id is judged too but never labelled. Empty tables give empty results;
-    without labels the method rejects nothing. Only the named columns are read.
+    without labels the method rejects nothing. Ties with a cutoff are rejected. Only the named columns are read; ``row_col``,
+    if given, comes back as ``row``.
     """
-    scored = common.stored(features(docs, id_col, text_col, stratum_col), "features")
+    scored = common.stored(features(docs, id_col, text_col, stratum_col, row_col), "features")
     cut = cutoffs(scored, labels, risk=risk, level=level).select("stratum", *(F.col(r).alias(f"cut_{r}") for r in RULES))
     failed = (F.col("n_words") < 50) | (100 * F.col("n_repeat_words") > 50 * F.col("n_words"))
     hit = F.array_compact(F.array(*(F.when(F.col(r) >= F.col(f"cut_{r}"), F.lit(r)) for r in RULES)))
@@ -181,7 +184,7 @@ def judge(
         scored.join(cut, "stratum", "left")
         .withColumn("base_failed", failed)
         .withColumn("rejected_by", F.when(F.col("base_failed"), F.array(F.lit("base"))).otherwise(hit))
-        .select("doc_id", *BASE, "base_failed", (F.size("rejected_by") == 0).alias("kept"), F.array_join("rejected_by", ",").alias("rejected_by"))
+        .select("doc_id", *(["row"] if row_col else []), *BASE, "base_failed", (F.size("rejected_by") == 0).alias("kept"), F.array_join("rejected_by", ",").alias("rejected_by"))
     )
 
 
