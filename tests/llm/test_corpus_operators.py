@@ -564,41 +564,61 @@ def test_urls_against_brute_force(spark):
 # 9 --------------------------------------------------------------------------------------------------------------------
 
 
-def test_katz(spark, rows, monkeypatch):
-    monkeypatch.setattr(katz, "BLOCK_TOKENS", 5000)
-    got = katz.score(frame(spark, rows), tables=True).collect()
+def brute_katz(rows, order):
+    """Rows of the result by the definition, and a check that the model is normalised."""
     docs = [(i, WORD.findall(lower(t or "")) + ["</s>"]) for i, t in rows]
     held = lambda i: i is not None and zlib.crc32(str(i).encode()) % 5 == 1
+    grams = lambda w, k: [tuple((["<s>"] * (k - 1) + w)[j : j + k]) for j in range(len(w))]
     train = [w for i, w in docs if not held(i)]
-    c1 = Counter(x for w in train for x in w)
-    c2 = Counter((a, b) for w in train for a, b in zip(["<s>"] + w[:-1], w))
-    n, v = sum(c1.values()), len(c1)
-    freq = lambda c: [sum(x == r for x in c.values()) for r in range(1, katz.K + 2)]
-    d1, d2 = katz.discounts(freq(c1)), katz.discounts(freq(c2))
-    cut = lambda c, d: d[c] * c if c <= katz.K else c - katz.TINY
-    unknown = 1 - sum(cut(c, d1) for c in c1.values()) / n
-    p1 = lambda w: cut(c1[w], d1) / n if w in c1 else unknown
-    left, mass = defaultdict(float), defaultdict(float)
-    for (a, b), c in c2.items():
-        left[a] += cut(c, d2)
-        mass[a] += p1(b)
-    count = lambda h: len(train) if h == "<s>" else c1[h]
-    alpha = lambda h: (1 - left[h] / count(h)) / (1 - mass[h]) if count(h) else 1.0
-    p2 = lambda a, b: cut(c2[a, b], d2) / count(a) if (a, b) in c2 else alpha(a) * p1(b)
-    assert sum(map(p1, c1)) + unknown == pytest.approx(1)
-    for h in ["<s>", *random.Random(1).sample(sorted(c1), 5)]:
-        assert h == "</s>" or sum(p2(h, w) for w in c1) + alpha(h) * unknown == pytest.approx(1)
-    want = []
+    counts = [Counter(g for w in train for g in grams(w, k)) for k in range(1, order + 1)]
+    past = [Counter(g[:-1] for w in train for g in grams(w, k)) for k in range(1, order + 1)]
+    n, v = sum(counts[0].values()), len(counts[0])
+    d = [katz.discounts([sum(x == r for x in c.values()) for r in range(1, katz.K + 2)]) for c in counts]
+    cut = lambda g: (lambda c, d: d[c] * c if c <= katz.K else c - katz.TINY)(counts[len(g) - 1][g], d[len(g) - 1])
+    unknown = 1 - sum(map(cut, counts[0])) / n
+    after = [defaultdict(list) for _ in counts]
+    for k, c in enumerate(counts):
+        for g in c:
+            after[k][g[:-1]].append(g[-1])
+    memo = {}
+
+    def alpha(h):
+        if h not in memo:
+            seen = after[len(h)][h]
+            memo[h] = (1 - sum(cut((*h, w)) for w in seen) / past[len(h)][h]) / (1 - sum(p(h[1:], w) for w in seen))
+        return memo[h]
+
+    def p(h, w):
+        g = (*h, w)
+        if counts[len(h)][g]:
+            return cut(g) / (past[len(h)][h] if h else n)
+        if not h:
+            return unknown
+        return (alpha(h) if past[len(h)][h] else 1) * p(h[1:], w)
+
+    rng = random.Random(1)
+    for k in range(order):
+        for h in rng.sample(sorted(past[k]), min(4, len(past[k]))):
+            out = unknown * math.prod(alpha(h[j:]) for j in range(len(h)) if past[len(h) - j][h[j:]])
+            assert sum(p(h, w) for (w,) in counts[0]) + out == pytest.approx(1)
     for i, w in docs:
-        s = sum(math.log10(p2(a, b)) for a, b in zip(["<s>"] + w[:-1], w))
-        base = sum(math.log10((c1.get(x, 0) + 0.5) / (n + 0.5 * (v + 1))) for x in w)
-        want.append((str(i), held(i), len(w), sum(x in c1 for x in w), n, base, s))
+        s = sum(math.log10(p(g[:-1], g[-1])) for g in grams(w, order))
+        base = sum(math.log10((counts[0].get((x,), 0) + 0.5) / (n + 0.5 * (v + 1))) for x in w)
+        yield str(i), held(i), len(w), sum((x,) in counts[0] for x in w), n, base, s
+
+
+@pytest.mark.parametrize("order", [1, 2, 3, 4])
+def test_katz(spark, rows, monkeypatch, order):
+    monkeypatch.setattr(katz, "BLOCK_TOKENS", 5000)
+    got = katz.score(frame(spark, rows), order=order).collect()
+    want = list(brute_katz(rows, order))
     mine = [(str(r["doc_id"]), r["held_out"], r["n_tokens"], r["n_known"], r["train_tokens"], r["base_score"], r["score"]) for r in got]
     assert len(mine) == len(want)
     for a, b in zip(sorted(mine), sorted(want)):
         assert a[:5] == b[:5] and a[5:] == pytest.approx(b[5:], rel=1e-9, abs=1e-6)
-    assert katz.score(empty(spark)).count() == 0
-    alone = katz.score(spark.createDataFrame([(5, "a b")], TEXT).where("doc_id < 0").union(spark.createDataFrame([(i, "a b") for i in range(9) if held(i)], TEXT)))
+    assert katz.score(empty(spark), order=order).count() == 0
+    held = lambda i: zlib.crc32(str(i).encode()) % 5 == 1
+    alone = katz.score(spark.createDataFrame([(i, "a b") for i in range(9) if held(i)], TEXT), order=order)
     assert all(r["score"] == 0 and r["n_known"] == 0 for r in alone.collect())
 
 
@@ -609,7 +629,7 @@ def test_katz_tables(spark, rows, monkeypatch, tmp_path):
     monkeypatch.setattr(katz.common, "scratch_path", path)
     got = {r["doc_id"]: r["score"] for r in katz.score(frame(spark, rows)).where("doc_id is not null").collect()}
     at = next(p for p in made if "/katz" in p)
-    word, pair, alpha = ({r["hash"]: (r["count"], r["weight"]) for r in katz.model_table(spark, at, k).collect()} for k in ("word", "pair", "alpha"))
+    word, pair, alpha = ({r["hash"]: (r["count"], r["weight"]) for r in katz.model_table(spark, at, k).collect()} for k in ("word", "pair", "alpha2"))
 
     def names(t):
         import pyarrow as pa

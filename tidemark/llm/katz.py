@@ -1,16 +1,19 @@
-"""Operator 9: Katz backoff language model.
+"""Operator 9: Katz backoff language model of any order.
 
 Documents become blocks of a few million tokens: a sorted vocabulary of word hashes and the tokens as places in it. A
-block sends each shard (a range of hashes) its distinct words and word pairs in order, delta coded; a shard adds the
-counts of all blocks, stores them as its part of the word and pair tables, and answers each block from that part in the
-block's own order. The backoff weights become a table in the same way. So what travels is distinct n-grams of blocks,
+block sends each shard (a range of hashes) its distinct n-grams of each order, in order and delta coded; a shard adds the
+counts of all blocks, stores them as its part of that order's table, and answers each block from that part in the
+block's own order. The backoff weights become tables in the same way. So what travels is distinct n-grams of blocks,
 never tokens, and no task sees more than its range or its block. ``model_table`` reads the stored model.
 
 The model: Good-Turing discounted counts d(c) * c for c up to ``K``; larger counts lose ``TINY`` of one occurrence, so
-that every history has something to give. p(w | h) = d c(h, w) / c(h) where the pair was seen, else alpha(h) p(w), and
+that every history has something to give. For a history h, h' being h without its first word,
+p(w | h) = d c(h, w) / c(h) where that n-gram was seen, else alpha(h) p(w | h') where the history was seen, else p(w | h');
 p(w) = d c(w) / N where the word was seen, else the mass that the discounted words leave. alpha(h) is the mass that h's
-pairs leave over the mass that their words leave in p, from sums over all of h's pairs: exactly normalised. A text
-begins in a state of its own that is no token.
+n-grams leave over the mass that their words leave in p(. | h'), from sums over all of h's n-grams: exactly normalised.
+With an n-gram its end was seen too, so these sums need counts only, and one exchange gives the alphas of all orders. A
+token's recursion ends at the longest n-gram that was seen; its logarithm is that n-gram's and the alphas' above. A text
+begins in a state of its own that is no token, as often as the order needs.
 """
 
 from __future__ import annotations
@@ -31,6 +34,8 @@ from tidemark.llm.exchange import MESSAGE, bounds, each_row, pack, rows_of, smal
 
 #: Counts up to K are discounted by Good-Turing; larger ones lose TINY.
 K, TINY = 5, 0.01
+#: Words of the longest n-grams. Each further order adds about as much to store and to send as the pairs.
+ORDER = 2
 #: Tokens of a block; fewer where a partition ends.
 BLOCK_TOKENS = 2_300_000
 #: Bytes of input files for each shard.
@@ -43,9 +48,22 @@ RESULT = "doc_id long, held_out boolean, n_tokens long, n_known long, train_toke
 
 
 def pair_hash(h: np.ndarray, w: np.ndarray) -> np.ndarray:
+    """Hash of an n-gram from that of its history and its last word."""
     return common.mix(h * np.uint64(0x9E3779B97F4A7C15) + common.mix(w + np.uint64(0x632BE59BD9B4E019)))
 
 
+def begin(n: int) -> np.uint64:
+    """Hash of a history of ``n`` beginnings."""
+    h = np.array([BEGIN])
+    for _ in range(n - 1):
+        h = pair_hash(h, np.array([BEGIN]))
+    return h[0]
+
+
+def kind(order: int) -> str:
+    return {1: "word", 2: "pair"}.get(order, f"gram{order}")
+
+
 def held_out(doc_id: int | None) -> bool:
     return doc_id is not None and zlib.crc32(str(doc_id).encode()) % 5 == 1
 
@@ -97,32 +115,45 @@ class Block:
         self.doc = np.repeat(np.arange(len(self.ids), dtype=np.int32), self.size)
         self.train = ~self.held[self.doc]
 
-    def unigrams(self) -> np.ndarray:
-        return np.bincount(self.tokens[self.train], minlength=len(self.vocab))
-
-    def pairs(self) -> tuple[np.ndarray, np.ndarray, np.ndarray, np.ndarray]:
-        """Hashes ascending, their counts in training, the token each is first seen at, and each token's place."""
-        before = np.empty(len(self.tokens), np.uint64)
-        before[1:] = self.vocab[self.tokens[:-1]]
-        before[self.end - self.size] = BEGIN
-        h, first, at = np.unique(pair_hash(before, self.vocab[self.tokens]), return_index=True, return_inverse=True)
-        at = at.astype(np.int32)
-        return h, np.bincount(at[self.train], minlength=len(h)), first.astype(np.int32), at
-
-
-def _ask(shards: int):
-    """Each block's words and pairs, by shard."""
+    def grams(self, order: int) -> Iterator[Grams]:
+        """Words, then the n-grams of each further order up to ``order``."""
+        n = len(self.vocab)
+        got = Grams(1, self.vocab, np.bincount(self.tokens[self.train], minlength=n), self.tokens, None)
+        yield got
+        starts, place = self.end - self.size, got.at
+        name = self.vocab[self.tokens]
+        for k in range(2, order + 1):
+            past = np.empty(len(place), np.int32)  # histories as places among the n-grams before; one more is the beginning
+            past[1:] = place[:-1]
+            past[starts] = len(got.names)
+            before = np.empty(len(name), np.uint64)
+            before[1:] = name[:-1]
+            before[starts] = begin(k - 1)
+            name = pair_hash(before, self.vocab[self.tokens])
+            names, at = np.unique(name, return_inverse=True)
+            place = at.astype(np.int32)
+            got = Grams(k, names, np.bincount(place[self.train], minlength=len(names)), place, past)
+            yield got
+
+
+class Grams:
+    """A block's distinct n-grams by ascending hash, their counts in training, and each token's n-gram and history."""
+
+    def __init__(self, order: int, names: np.ndarray, count: np.ndarray, at: np.ndarray, past: np.ndarray | None):
+        self.order, self.names, self.count, self.at, self.past = order, names, count, at, past
+
+
+def _ask(shards: int, order: int):
+    """Each block's n-grams, by order and shard."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in each_row(batches):
-            b = Block(r["payload"])
-            h, count, _, _ = b.pairs()
-            for kind, hashes, n in (("word", b.vocab, b.unigrams()), ("pair", h, count)):
-                cut = bounds(hashes, shards)
+            for g in Block(r["payload"]).grams(order):
+                cut = bounds(g.names, shards)
                 for s in np.flatnonzero(np.diff(cut)).tolist():
                     lo, hi = cut[s], cut[s + 1]
-                    yield rows_of([(kind, s, r["block"], pack(hashes[lo:hi], small(n[lo:hi])))], MESSAGE)
-            del b, h, count, hashes, n
+                    yield rows_of([(kind(g.order), s, r["block"], pack(g.names[lo:hi], small(g.count[lo:hi])))], MESSAGE)
+            del g
             trim()
 
     return run
@@ -138,7 +169,7 @@ def _add(tables: bool):
 
 
 def _added(key: tuple[pa.Scalar, ...], table: pa.Table, tables: bool) -> pa.Table:
-    kind, shard = key[0].as_py(), key[1].as_py()
+    name, shard = key[0].as_py(), key[1].as_py()
     got = [(b, *unpack(p)) for b, p in sorted(zip(table["block"].to_pylist(), table["payload"].to_pylist(), strict=True))]
     every = np.concatenate([g[1] for g in got])
     names, at = np.unique(every, return_inverse=True)
@@ -151,11 +182,11 @@ def _added(key: tuple[pa.Scalar, ...], table: pa.Table, tables: bool) -> pa.Tabl
     trained = np.flatnonzero(own)
     np.minimum.at(owner, at[trained], trained)
     stats = [int((total == i).sum()) for i in range(1, K + 2)]
-    rows = [(f"{kind} table", shard, None, pack(names[seen], small(total[seen])) if tables else b"", int(seen.sum()), int(total.sum()), *stats)]
+    rows = [(f"{name} table", shard, None, pack(names[seen], small(total[seen])) if tables else b"", int(seen.sum()), int(total.sum()), *stats)]
     for i, (b, h, _) in enumerate(got):
         mine = at[where[i] : where[i + 1]]
         owned = owner[mine] == np.arange(where[i], where[i] + len(h))
-        rows.append((kind, shard, b, pack(small(total[mine]), np.packbits(owned)), 0, 0, *[0] * (K + 1)))
+        rows.append((name, shard, b, pack(small(total[mine]), np.packbits(owned)), 0, 0, *[0] * (K + 1)))
     return pa.Table.from_batches([rows_of(rows, ANSWER)])
 
 
@@ -185,116 +216,136 @@ def discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
 class Model:
     """What a task needs besides its n-grams: a few numbers."""
 
-    def __init__(self, words: dict, pairs: dict):
+    def __init__(self, stats: list[dict]):
+        """``stats``: of each order's counts, from words on."""
+        self.order, words = len(stats), stats[0]
         self.total, self.types = words["total"], words["types"]
-        self.d1, self.d2 = (discounts([x[f"n{i}"] for i in range(1, K + 2)]) for x in (words, pairs))
-        kept = sum(x * self.d1[i] * i for i, x in enumerate([0, *(words[f"n{i}"] for i in range(1, K + 1))]))
+        self.d = [discounts([x[f"n{i}"] for i in range(1, K + 2)]) for x in stats]
+        kept = sum(x * self.d[0][i] * i for i, x in enumerate([0, *(words[f"n{i}"] for i in range(1, K + 1))]))
         low = sum(words[f"n{i}"] for i in range(1, K + 1))
         low_tokens = sum(i * words[f"n{i}"] for i in range(1, K + 1))
         kept += (self.total - low_tokens) - TINY * (self.types - low)
         self.unknown = 1 - kept / self.total if self.total else 1.0
 
     def word(self, c: np.ndarray) -> np.ndarray:
-        return np.where(c > 0, discounted(c, self.d1) / max(1, self.total), self.unknown)
+        return np.where(c > 0, discounted(c, self.d[0]) / max(1, self.total), self.unknown)
 
     def base(self, c: np.ndarray) -> np.ndarray:
         return np.log10((c + 0.5) / (self.total + 0.5 * (self.types + 1)))
 
 
-def _totals(answers: DataFrame, kind: str) -> dict:
+def _model(answers: DataFrame, order: int) -> Model:
     names = ["types", "total", *(f"n{i}" for i in range(1, K + 2))]
-    row = answers.where(F.col("kind") == f"{kind} table").agg(*(F.coalesce(F.sum(c), F.lit(0)).alias(c) for c in names)).first()
-    return row.asDict()
+    rows = answers.where("block is null").groupBy("kind").agg(*(F.sum(c).alias(c) for c in names)).collect()
+    found = {r["kind"]: r.asDict() for r in rows}
+    return Model([found.get(f"{kind(k)} table", dict.fromkeys(names, 0)) for k in range(1, order + 1)])
 
 
 def _sum_up(model: Model, shards: int):
-    """Scores a block as far as alphas aren't needed; sends its pairs' sums, and the histories whose alpha it needs."""
+    """Scores a block as far as alphas aren't needed; sends its n-grams' sums, and the histories whose alpha it needs."""
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in each_row(batches):
             b = Block(r["payload"])
-            c1 = np.zeros(len(b.vocab), np.int64)
-            h, _, first, at = b.pairs()
-            c2, own = np.zeros(len(h), np.int64), np.zeros(len(h), bool)
-            cuts = {"word": bounds(b.vocab, shards), "pair": bounds(h, shards)}
+            add = lambda v: np.bincount(b.doc, v, len(b.ids))  # noqa: B023, E731
+            answers: dict[str, list] = {}
             for a in r["answers"]:
-                lo, hi = cuts[a["kind"]][a["shard"]], cuts[a["kind"]][a["shard"] + 1]
-                count, bits = unpack(a["payload"])
-                (c1 if a["kind"] == "word" else c2)[lo:hi] = count
-                if a["kind"] == "pair":
+                answers.setdefault(a["kind"], []).append((a["shard"], a["payload"]))
+            levels = []  # of each order: log p of seen n-grams, whether seen, whether the history was
+            for g in b.grams(model.order):
+                c, own, cut = np.zeros(len(g.names), np.int64), np.zeros(len(g.names), bool), bounds(g.names, shards)
+                for s, payload in answers.pop(kind(g.order), ()):
+                    lo, hi = cut[s], cut[s + 1]
+                    count, bits = unpack(payload)
+                    c[lo:hi] = count
                     own[lo:hi] = np.unpackbits(bits, count=hi - lo)
-            n_begin = int(c1[np.searchsorted(b.vocab, END)])  # every document ends once
-            past = np.empty(len(b.tokens), np.int32)  # histories as places in the vocabulary; one more is the beginning
-            past[1:] = b.tokens[:-1]
-            past[b.end - b.size] = len(b.vocab)
-            c_past = np.append(c1, n_begin)
-            p1 = model.word(c1)
-            # the tokens, by document
-            seen = c2[at] > 0
-            direct = np.log10(np.where(c2 > 0, discounted(c2, model.d2), 1))[at] - np.log10(np.maximum(1, c_past))[past]
-            score = np.where(seen, direct, np.log10(p1)[b.tokens])
-            del direct
-            add = lambda v: np.bincount(b.doc, v, len(b.ids))  # noqa: B023, E731
-            base, known, score = add(model.base(c1)[b.tokens]), add((c1 > 0)[b.tokens]), add(score)
-            ask = np.flatnonzero(~seen & (c_past[past] > 0))
-            need, place = np.unique(past[ask], return_inverse=True)
-            # sums over the pairs that are this block's to sum, by history
-            mine = first[own]
-            hist, where = np.unique(past[mine], return_inverse=True)
-            names = np.append(b.vocab, BEGIN)
-            left = np.bincount(where, discounted(c2[own], model.d2), len(hist))
-            mass = np.bincount(where, p1[b.tokens[mine]], len(hist))
-            hh, nh = names[hist], names[need]
-            o1, o2 = np.argsort(hh), np.argsort(nh)
-            hh, nh = hh[o1], nh[o2]
-            rank = np.empty(len(need), np.int64)
-            rank[o2] = np.arange(len(need))
-            state = pack(b.size, b.held.astype(np.uint8), known.astype(np.int64), base, score, small(rank[place]), small(b.doc[ask]))
+                if g.order == 1:
+                    n_begin = int(c[np.searchsorted(b.vocab, END)])  # every document ends once
+                    p1 = model.word(c)
+                    base, known = add(model.base(c)[g.at]), add((c > 0)[g.at])
+                    score, low = np.log10(p1)[g.at], p1[g.at]  # p(. | h') of each token, where seen
+                else:
+                    c_past = np.append(last, n_begin)  # noqa: F821
+                    seen, open_ = c[g.at] > 0, c_past[g.past] > 0
+                    levels.append((g.order, seen, open_, g.past, np.append(names, begin(g.order - 1))))  # noqa: F821
+                    yield from sums(r["block"], g, c, own, c_past, np.append(names, begin(g.order - 1)), low)  # noqa: F821
+                    left = discounted(c, model.d[g.order - 1])
+                    low = left[g.at] / np.maximum(1, c_past)[g.past]
+                    score = np.where(seen, np.log10(np.where(c > 0, left, 1))[g.at] - np.log10(np.maximum(1, c_past))[g.past], score)
+                    del left, c_past, seen, open_
+                last, names = c, g.names
+                del g, c, own
+            score, above = add(score), np.zeros(len(b.tokens), bool)
+            needs = []
+            for k, seen, open_, past, hist in reversed(levels):  # an alpha for each order over the longest n-gram seen
+                above |= seen
+                ask = np.flatnonzero(~above & open_)
+                need, place = np.unique(past[ask], return_inverse=True)
+                names = hist[need]
+                order = np.argsort(names)
+                rank = np.empty(len(need), np.int64)
+                rank[order] = np.arange(len(need))
+                needs += [np.bincount(b.doc[ask], minlength=len(b.ids)).astype(np.uint32), small(rank[place])]
+                names, cut = names[order], bounds(names[order], shards)
+                for s in np.flatnonzero(np.diff(cut)).tolist():
+                    yield rows_of([(f"need{k}", s, r["block"], pack(names[cut[s] : cut[s + 1]]))], MESSAGE)
+            state = pack(b.size, b.held.astype(np.uint8), known.astype(np.int64), base, score, *needs)
             yield rows_of([("state", -1, r["block"], pickle.dumps((b.ids, state)))], MESSAGE)
-            cut1, cut2 = bounds(hh, shards), bounds(nh, shards)
-            for s in range(shards):
-                x, y = slice(cut1[s], cut1[s + 1]), slice(cut2[s], cut2[s + 1])
-                if x.stop > x.start or y.stop > y.start:
-                    body = pack(hh[x], left[o1][x], mass[o1][x], small(c_past[hist][o1][x]), nh[y])
-                    yield rows_of([("sums", s, r["block"], body)], MESSAGE)
-            del b, c1, c2, h, at, first, past, score, base
+            del b, levels, needs, score, base, above, last, names
             trim()
 
+    def sums(block: int, g: Grams, c: np.ndarray, own: np.ndarray, c_past: np.ndarray, hist: np.ndarray, low: np.ndarray) -> Iterator[pa.RecordBatch]:
+        """By history: over the n-grams that this block is to sum up, their discounted counts and lower probabilities."""
+        first = np.empty(len(c), np.int64)
+        first[g.at[::-1]] = np.arange(len(g.at) - 1, -1, -1)
+        mine = first[own]
+        past, where = np.unique(g.past[mine], return_inverse=True)
+        left = np.bincount(where, discounted(c[own], model.d[g.order - 1]), len(past))
+        mass = np.bincount(where, low[mine], len(past))
+        names = hist[past]
+        order = np.argsort(names)
+        names, cut = names[order], bounds(names[order], shards)
+        for s in np.flatnonzero(np.diff(cut)).tolist():
+            x = slice(cut[s], cut[s + 1])
+            yield rows_of([(f"sums{g.order}", s, block, pack(names[x], left[order][x], mass[order][x], small(c_past[past][order][x])))], MESSAGE)
+
     return run
 
 
 def _alphas(tables: bool):
-    """The table of alphas of every history of a shard, and each block's answer."""
+    """The table of alphas of every history of a shard and order, and each block's answer."""
 
     def run(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
-        return _alphas_of(key, table, tables)
+        order, shard = key[0].as_py(), key[1].as_py()
+        rows = sorted(zip(table["kind"].to_pylist(), table["block"].to_pylist(), table["payload"].to_pylist(), strict=True))
+        got = [unpack(p) for k, _, p in rows if k.startswith("sums")]
+        names, at = np.unique(np.concatenate([g[0] for g in got] or [np.zeros(0, np.uint64)]), return_inverse=True)
+        add = lambda i: np.bincount(at, np.concatenate([g[i] for g in got]), len(names)) if got else np.zeros(0)
+        left, mass, total = add(1), add(2), np.zeros(len(names))
+        if got:
+            total[at] = np.concatenate([g[3] for g in got])
+        alpha = np.maximum(1 - left / np.maximum(1, total), 1e-300) / np.maximum(1 - mass, 1e-12)
+        out = [(f"alpha{order} table", shard, None, pack(names, small(total.astype(np.int64)), alpha))] if tables else []
+        for k, b, p in rows:
+            if k.startswith("need"):
+                (need,) = unpack(p)
+                out.append((f"alpha{order}", shard, b, pack(alpha[np.searchsorted(names, need)])))
+        return pa.Table.from_batches([rows_of(out, MESSAGE)])
 
     return run
 
 
-def _alphas_of(key: tuple[pa.Scalar, ...], table: pa.Table, tables: bool) -> pa.Table:
-    got = [(b, *unpack(p)) for b, p in sorted(zip(table["block"].to_pylist(), table["payload"].to_pylist(), strict=True))]
-    names, at = np.unique(np.concatenate([g[1] for g in got]), return_inverse=True)
-    left, mass = (np.bincount(at, np.concatenate([g[i] for g in got]), len(names)) for i in (2, 3))
-    total = np.zeros(len(names))
-    total[at] = np.concatenate([g[4] for g in got])
-    alpha = np.maximum(1 - left / np.maximum(1, total), 1e-300) / np.maximum(1 - mass, 1e-12)
-    known = total > 0
-    rows = [("alpha table", key[0].as_py(), None, pack(names[known], small(total[known].astype(np.int64)), alpha[known]))] if tables else []
-    for b, *_, need in got:
-        if len(need):
-            rows.append(("alpha", key[0].as_py(), b, pack(alpha[np.searchsorted(names, need)])))
-    return pa.Table.from_batches([rows_of(rows, MESSAGE)])
-
-
 def _finish(model: Model):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in each_row(batches):
             ids, raw = pickle.loads(r["payload"])
-            size, held, known, base, score, place, doc = unpack(raw)
-            if len(place):  # answers in the order of hashes, in which the block counted its places
-                logs = np.concatenate([np.log10(unpack(a["payload"])[0]) for a in sorted(r["answers"], key=lambda a: a["shard"])])
-                score = score + np.bincount(doc, logs[place], len(ids))
+            size, held, known, base, score, *needs = unpack(raw)
+            for k in range(model.order, 1, -1):  # answers in the order of hashes, in which the block counted its places
+                n, place, *needs = needs
+                if len(place):
+                    mine = sorted((a["shard"], a["payload"]) for a in r["answers"] if a["kind"] == f"alpha{k}")
+                    logs = np.concatenate([np.log10(unpack(p)[0]) for _, p in mine])
+                    score = score + np.bincount(np.repeat(np.arange(len(ids)), n), logs[place], len(ids))
             n = len(ids)
             yield pa.RecordBatch.from_arrays(
                 [pa.array(ids, pa.int64()), pa.array(held.astype(bool)), pa.array(size), pa.array(known), pa.array(np.full(n, model.total, np.int64)), pa.array(base), pa.array(score)],
@@ -304,29 +355,31 @@ def _finish(model: Model):
     return run
 
 
-def _entries(model: Model, kind: str):
+def _entries(model: Model, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in each_row(batches):
             names, count, *alpha = unpack(r["payload"])
             count = count.astype(np.int64)
-            weight = alpha[0] if alpha else model.word(count) if kind == "word" else discounted(count, model.d2)
+            weight = alpha[0] if alpha else model.word(count) if order == 1 else discounted(count, model.d[order - 1])
             shard = pa.array(np.full(len(names), r["shard"], np.int32))
             yield pa.RecordBatch.from_arrays([shard, pa.array(names.view(np.int64)), pa.array(count), pa.array(weight.astype(float))], ["shard", "hash", "count", "weight"])
 
     return run
 
 
-def model_table(spark: SparkSession, at: str, kind: str) -> DataFrame:
-    """shard, hash, count, weight of the model that ``score`` stored in the folder ``at``.
+def model_table(spark: SparkSession, at: str, name: str, order: int = 2) -> DataFrame:
+    """shard, hash, count, weight of the model of ``order`` that ``score`` stored in the folder ``at``.
 
-    ``kind`` "word": hashes of words and p(w); "pair": ``pair_hash`` of a history and a word, and the discounted count;
-    "alpha": hashes of histories, their counts and alpha. Hashes are the 64 bits as a signed number.
+    ``name`` "word": hashes of words and p(w); "pair", "gram3" and so on: ``pair_hash`` of a history and a word, and the
+    discounted count; "alpha2" and so on: hashes of that order's histories, their counts and alpha. Hashes are the 64 bits
+    as a signed number.
     """
     ngrams = spark.read.schema(ANSWER).parquet(f"{at}/ngrams")
-    model = Model(_totals(ngrams, "word"), _totals(ngrams, "pair"))
-    rows = spark.read.schema(MESSAGE).parquet(f"{at}/alphas") if kind == "alpha" else ngrams
-    found = rows.where(F.col("kind") == f"{kind} table").select("shard", "payload")
-    return found.mapInArrow(_entries(model, kind), "shard int, hash long, count long, weight double")
+    model = _model(ngrams, order)
+    rows = spark.read.schema(MESSAGE).parquet(f"{at}/alphas") if name.startswith("alpha") else ngrams
+    found = rows.where(F.col("kind") == f"{name} table").select("shard", "payload")
+    of = next((k for k in range(1, order + 1) if kind(k) == name), 0)
+    return found.mapInArrow(_entries(model, of), "shard int, hash long, count long, weight double")
 
 
 def _written(df: DataFrame, path: str) -> DataFrame:
@@ -334,29 +387,31 @@ def _written(df: DataFrame, path: str) -> DataFrame:
     return df.sparkSession.read.schema(df.schema).parquet(path)
 
 
-def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tables: bool = True, at: str | None = None) -> DataFrame:
-    """Learn from the documents that aren't held out, and score all.
+def score(docs: DataFrame, id_col: str = "doc_id", text_col: str = "text", tables: bool = True, at: str | None = None, order: int = ORDER) -> DataFrame:
+    """Learn n-grams up to ``order`` from the documents that aren't held out, and score all.
 
     doc_id, held_out, n_tokens (words and one end), n_known (tokens that training has), train_tokens, base_score
     (additively smoothed words), score (log10 probability of the text under the model). Null or empty text: the end
-    token alone. The word, pair and alpha tables are stored by shard in the folder ``at`` (by default one in the shared
+    token alone. The tables of n-grams and alphas are stored by shard in the folder ``at`` (by default one in the shared
     folder) and stay there for ``model_table``; ``tables=False`` leaves them out. Rows with one id are documents of their
     own; a null id is trained on. Without training documents each token has probability 1 under the model. Empty
     table: no rows. Other columns are not read.
     """
     rows = common.texts(docs, id_col, text_col)
-    shards = common.shards_for(docs, SHARD_BYTES)
+    shards = common.shards_for(docs, SHARD_BYTES * 2 // order)
     at = at or common.scratch_path(docs.sparkSession, "katz")
     blocks = _written(rows.mapInArrow(_blocks, BLOCK), f"{at}/blocks")
-    asked = blocks.mapInArrow(_ask(shards), MESSAGE)
+    asked = blocks.mapInArrow(_ask(shards, order), MESSAGE)
     answers = _written(asked.groupBy("kind", "shard").applyInArrow(_add(tables), ANSWER), f"{at}/ngrams")
+    del asked
     common.free(docs.sparkSession)
-    model = Model(_totals(answers, "word"), _totals(answers, "pair"))
+    model = _model(answers, order)
 
     summed = common.stored(with_answers(blocks, answers).mapInArrow(_sum_up(model, shards), MESSAGE), "sums")
     delete(docs.sparkSession, f"{at}/blocks")  # every block's state is stored by now
     common.free(docs.sparkSession)
-    alphas = _written(summed.where("kind = 'sums'").groupBy("shard").applyInArrow(_alphas(tables), MESSAGE), f"{at}/alphas")
+    about = summed.where("shard >= 0").withColumn("of", F.regexp_extract("kind", r"(\d+)$", 1).cast("int"))
+    alphas = _written(about.groupBy("of", "shard").applyInArrow(_alphas(tables), MESSAGE), f"{at}/alphas")
     state = summed.where("kind = 'state'").select("block", "payload")
     return with_answers(state, alphas).mapInArrow(_finish(model), RESULT)
 
