@@ -4,6 +4,7 @@ from __future__ import annotations
 
 import gc
 import tempfile
+import time
 import uuid
 
 from pyspark.sql import DataFrame, SparkSession
@@ -53,5 +54,7 @@ def delete(spark: SparkSession, path: str) -> None:
 def free(spark: SparkSession) -> None:
     """Let Spark delete the shuffle files of steps whose results are stored; it does so as their handles are collected.
     Only a hint that lowers the use of disk early; no result or limit rests on it."""
-    gc.collect()
-    spark.sparkContext._jvm.System.gc()
+    for _ in range(2):  # handles of handles
+        gc.collect()
+        spark.sparkContext._jvm.System.gc()
+        time.sleep(0.2)
