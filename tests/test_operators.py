@@ -117,8 +117,54 @@ def test_nearest_in_blocks(spark):
 
 
 def test_greedy_combos(spark):
-    pairs = spark.createDataFrame([("a", "b", 9), ("a", "c", 1), ("b", "c", 1)], "topic_1 string, topic_2 string, common_docs long")
-    assert topics.greedy_combos(pairs, 1) == [("a", "b", 9), ("a", "c", 1), ("b", "c", 1)]
+    pairs = spark.createDataFrame([("a", "b", 9), ("a", "c", 5), ("a", "d", 1), ("b", "c", 4), ("b", "d", 3), ("c", "d", 2)], "topic_1 string, topic_2 string, common_docs long")
+    # a sends its largest; b passes over a-b, which doesn't count, and sends b-c; c passes over b-c and sends a-c
+    assert topics.greedy_combos(pairs, 9, 1) == [("a", "b", 9), ("b", "c", 4), ("a", "c", 5), ("b", "d", 3)]
+    assert topics.greedy_combos(pairs, 4, 1) == [("a", "b", 9), ("a", "c", 5), ("b", "c", 4), ("c", "d", 2), ("b", "d", 3)]
+    assert topics.greedy_combos(pairs, 0, 0) == [("a", "b", 9), ("a", "c", 5), ("a", "d", 1), ("b", "c", 4), ("b", "d", 3), ("c", "d", 2)]
+
+
+def test_combos_need_unlike_words(spark):
+    theta = spark.createDataFrame([(i, t, 0.5) for i in range(4) for t in "abc"] + [(9, "a", 0.09), (9, "b", 0.9)], "document_id long, topic_id string, topic_weight double")
+    phi = spark.createDataFrame([("a", "x", 0.5), ("a", "y", 0.5), ("b", "x", 0.5), ("b", "y", 0.5), ("c", "z", 1.0)], "topic_id string, word string, weight double")
+    found = topics.combos(theta, phi)
+    assert sorted(map(tuple, found.collect())) == [("a", "c", 4), ("b", "c", 4)]
+    assert topics.combo_documents(theta, found).count() == 8
+
+
+def test_marks_on_a_scale_from_0(spark):
+    theta = spark.createDataFrame([(1, "a", 0.6), (1, "b", 0.4)], "document_id long, topic_id string, topic_weight double")
+    m = criteria.marks(spark.createDataFrame([("a", 1.0), ("a", 0.5)], "topic_id string, value double"))
+    value = lambda **k: criteria.evaluate(theta, m, **k).first()["value"]
+    assert value() == pytest.approx(0.45) and value(negative=True) == pytest.approx(-0.45)
+    assert value(low=0.0, negative=True) == pytest.approx(0.6 * 0.25 + 0.4)  # the topic without a mark counts 1
+    ends = lambda **k: tuple(criteria.extremes(theta, m, **k).select("topic_ids_top", "topic_ids_bottom").first())
+    assert ends(low=0.0) == (["a"], []) and ends(low=0.0, negative=True) == (["b", "a"], [])
+    assert ends() == (["a"], []) and ends(negative=True) == ([], ["a"])
+    assert ends(low=-1.0, high=2.0) == ([], ["b"])  # centre 0.5: a's 0.45 is in the band
+
+
+def test_alerts(spark):
+    theta = spark.createDataFrame([(1, "a", 0.6), (1, "b", 0.4), (2, "a", 0.9), (3, "c", 0.5), (3, "b", 0.5)], "document_id long, topic_id string, topic_weight double")
+    m = spark.createDataFrame([("a", 1.0), ("b", -1.0)], "topic_id string, mark double")
+    limits = spark.createDataFrame([(0.1, 0.45)], "value_at double, weight_at double")
+    ids = lambda kind, least=0: sorted(r["document_id"] for r in criteria.report(theta, m, limits, kind, least).collect())
+    assert ids(1) == [1, 2] and ids(-1) == [3] and ids(0) == [1, 2, 3]
+    assert ids(0, 2) == [3] and ids(1, 1) == [1, 2] and ids(1, 2) == []
+
+
+def test_admission_order(spark):
+    df = spark.createDataFrame([(1, "short", "x"), (1, "l" * 120, "x"), (2, "l" * 120, "x"), (3, "b", "some hate"), (None, "l" * 120, "x")], "doc_id long, text string, corpus string")
+    got = relational.admit(df, gate=F.col("text") != "b")
+    assert sorted((str(r["doc_id"]), len(r["text"])) for r in got.collect()) == [("1", 120), ("2", 120), ("None", 120)]  # equal texts stay
+    assert relational.admit(df).where("doc_id = 3").count() == 1
+
+
+def test_null_keys_are_numbered(spark):
+    df = spark.createDataFrame([(None,), (70_000,), (5,), (None,), (140_000,)], "k long")
+    got = sorted((r["row_number"], r["k"]) for r in relational.numbered(df, "k").collect())
+    assert got == [(1, None), (2, None), (3, 5), (4, 70_000), (5, 140_000)]
+    assert relational.percent_slice(df, "k", 0, 50).count() == 3
 
 
 def test_search_and_dimension(spark):

@@ -12,36 +12,39 @@ from tidemark.operators.topics import topic_index
 TINY = 2.0**-20
 
 
-def marks(evals: DataFrame, low: float = -1.0, negative: bool = False) -> DataFrame:
-    """Mean expert value of each topic; ``negative`` turns it round (around 0, or around 1/2 for a scale from 0)."""
-    v = F.avg("value")
-    if negative:
-        v = -v if low < 0 else F.lit(1.0) - v
-    return evals.groupBy("topic_id").agg(v.alias("mark"))
+def marks(evals: DataFrame) -> DataFrame:
+    """Mean expert value of each topic."""
+    return evals.groupBy("topic_id").agg(F.avg("value").alias("mark"))
 
 
-def _marked(theta: DataFrame, m: DataFrame, least: float, most: int) -> DataFrame:
+def _marked(theta: DataFrame, m: DataFrame, low: float, negative: bool, least: float, most: int) -> DataFrame:
+    """Each document's ``most`` heaviest topics with their marks, 0 where none was given. ``negative`` then turns the mark
+    round: its sign on a scale from below 0, else to what is left of 1 (so that a topic without a mark counts 1)."""
     rank = F.row_number().over(Window.partitionBy("document_id").orderBy(F.desc("topic_weight"), "topic_id"))
     x = theta.where(F.col("topic_weight") >= least).withColumn("rank", rank).where(F.col("rank") <= most)
-    return x.join(m, "topic_id", "left").withColumn("mark", F.coalesce("mark", F.lit(0.0)))
+    mark = F.coalesce("mark", F.lit(0.0))
+    if negative:
+        mark = -mark if low < 0 else 1.0 - mark
+    return x.join(m, "topic_id", "left").withColumn("mark", mark)
 
 
-def evaluate(theta: DataFrame, m: DataFrame, least: float = 0.001, most: int = 50) -> DataFrame:
-    """document_id, value: mean mark of the document's topics by weight; topics without a mark count 0."""
-    x = _marked(theta, m, least, most)
+def evaluate(theta: DataFrame, m: DataFrame, low: float = -1.0, negative: bool = False, least: float = 0.001, most: int = 50) -> DataFrame:
+    """document_id, value: mean mark of the document's topics by weight, on a scale from ``low``."""
+    x = _marked(theta, m, low, negative, least, most)
     return x.groupBy("document_id").agg((F.sum(F.col("topic_weight") * F.col("mark")) / F.sum("topic_weight")).alias("value"), F.count("*").alias("n_topics"))
 
 
-def extremes(theta: DataFrame, m: DataFrame, low: float = -1.0, least: float = 0.001, most: int = 50, k: int = 3) -> DataFrame:
-    """document_id, topic_ids_top, topic_ids_bottom: the k largest contributions beyond the neutral band on each side."""
-    up, down = (0.1, -0.1) if low < 0 else (0.001, 0.001)
-    x = _marked(theta, m, least, most).withColumn("part", F.col("topic_weight") * F.col("mark"))
+def extremes(theta: DataFrame, m: DataFrame, low: float = -1.0, high: float = 1.0, negative: bool = False, least: float = 0.001, most: int = 50, k: int = 3) -> DataFrame:
+    """document_id, topic_ids_top, topic_ids_bottom: the k largest contributions over, and the k smallest under, the
+    neutral band. On a scale from below 0 the band is 0.1 around its centre; a scale from 0 has a band up to 0.001 and
+    no bottom."""
+    centre, near = ((low + high) / 2, 0.1) if low < 0 else (0.0, 0.001)
+    x = _marked(theta, m, low, negative, least, most).withColumn("part", F.round(F.col("topic_weight") * F.col("mark"), 12))
     by = Window.partitionBy("document_id")
-    x = x.withColumn("t", F.row_number().over(by.orderBy(F.desc(F.round("part", 12)), "topic_id"))).withColumn("b", F.row_number().over(by.orderBy(F.round("part", 12), "topic_id")))
+    x = x.withColumn("t", F.row_number().over(by.orderBy(F.desc("part"), "topic_id"))).withColumn("b", F.row_number().over(by.orderBy("part", "topic_id")))
     names = lambda rank, ok: F.transform(F.array_sort(F.collect_list(F.when(ok & (F.col(rank) <= k), F.struct(rank, "topic_id")))), lambda s: s["topic_id"])
-    return x.groupBy("document_id").agg(
-        names("t", F.round("part", 12) > up).alias("topic_ids_top"), names("b", F.round("part", 12) < down).alias("topic_ids_bottom")
-    )
+    under = F.col("part") < centre - near if low < 0 else F.lit(False)
+    return x.groupBy("document_id").agg(names("t", F.col("part") > centre + near).alias("topic_ids_top"), names("b", under).alias("topic_ids_bottom"))
 
 
 def by_documents(theta: DataFrame, examples: DataFrame) -> DataFrame:
@@ -55,8 +58,8 @@ def by_documents(theta: DataFrame, examples: DataFrame) -> DataFrame:
 def word_scores(phi: DataFrame, m: DataFrame) -> DataFrame:
     """sign, topic_id, word, score: weight * mark of words of marked topics, scaled by sign to (0, 1] or [-1, 0)."""
     x = phi.join(m.where("mark <> 0"), "topic_id").withColumn("raw", F.col("weight") * F.col("mark")).withColumn("sign", F.signum("mark").cast("int"))
-    by = Window.partitionBy("sign")
-    lo, hi = F.min("raw").over(by), F.max("raw").over(by)
+    ends = x.groupBy("sign").agg(F.min("raw").alias("lo"), F.max("raw").alias("hi"))  # two rows at most
+    x, lo, hi = x.join(F.broadcast(ends), "sign"), F.col("lo"), F.col("hi")
     score = F.when(F.col("sign") > 0, min_max(F.col("raw"), lo, hi, 1e-6, 1.0)).otherwise(min_max(F.col("raw"), lo, hi, -1.0, -1e-6))
     return x.select("sign", "topic_id", "word", score.alias("score"))
 
@@ -105,13 +108,19 @@ def thresholds(values: DataFrame, low: float, high: float, value: str = "value")
     return values.agg(F.percentile(value, F.lit(low)).alias("low_at"), F.percentile(value, F.lit(high)).alias("high_at"))
 
 
-def report(theta: DataFrame, m: DataFrame, limits: DataFrame, kind: int) -> DataFrame:
-    """Documents to alert on: value = sum of weight * mark; kind 1 over high_at, -1 under low_at, 0 either."""
-    v = theta.join(m, "topic_id").groupBy("document_id").agg(F.sum(F.col("topic_weight") * F.col("mark")).alias("value"))
-    x = v.crossJoin(F.broadcast(limits))
-    over, under = F.col("value") > F.col("high_at"), F.col("value") < F.col("low_at")
-    test = {1: over, -1: under, 0: over | under}[kind]
-    return x.where(test).select("document_id", "value", F.when(over, 1).otherwise(-1).alias("side"))
+def report(theta: DataFrame, m: DataFrame, limits: DataFrame, kind: int, least_topics: int = 0) -> DataFrame:
+    """document_id, value: documents to alert on; value is the sum of weight * mark over marked topics.
+
+    ``limits`` has one row: value_at and weight_at, percentiles of the corpus' values and topic weights. A document needs
+    ``least_topics`` topics of weight_at or more; kind 1 keeps those over value_at, -1 those under it, 0 all.
+    """
+    relevant = F.count_if(F.round("topic_weight", 9) >= F.round("weight_at", 9))
+    x = theta.crossJoin(F.broadcast(limits)).join(m, "topic_id", "left")
+    x = x.groupBy("document_id").agg(
+        F.coalesce(F.sum(F.col("topic_weight") * F.col("mark")), F.lit(0.0)).alias("value"), relevant.alias("relevant"), F.first("value_at").alias("value_at")
+    )
+    test = {1: F.col("value") > F.col("value_at"), -1: F.col("value") < F.col("value_at"), 0: F.lit(True)}[kind]
+    return x.where(test & (F.col("relevant") >= least_topics)).select("document_id", "value")
 
 
 __all__ = ["topic_index", "marks", "evaluate", "extremes", "by_documents", "word_scores", "first_matrix", "fuse", "document_scores", "classes", "document_classes", "thresholds", "report"]

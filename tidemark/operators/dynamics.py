@@ -6,7 +6,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 
-def series(theta: DataFrame, least: float = 0.05, since: str = "1990-01-01", step: str = "day") -> DataFrame:
+def series(theta: DataFrame, least: float = 0.05, since: str = "2000-01-01", step: str = "day") -> DataFrame:
     """topic_id, day, weight, n, weight_share, n_share; empty steps inside a topic's span are 0.
 
     Shares are of all topics at that step; a step without any total keeps its weight and gets share 0 for counts.

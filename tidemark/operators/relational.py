@@ -50,14 +50,15 @@ def shard(df: DataFrame, key: str, total: int, number: int | None = None) -> Dat
 def numbered(df: DataFrame, key: str, width: int = 65_536, name: str = "row_number") -> DataFrame:
     """1-based place by an integer key. Ranges of keys are counted, so that no task orders more than one range.
 
-    Ties share a range; their order is arbitrary. A range holds ``width`` distinct keys at most.
+    Ties share a range; their order is arbitrary. A range holds ``width`` distinct keys at most. Null keys come first.
     """
     ranged = df.withColumn("__range", F.expr(f"{key} div {width}"))
     counts = ranged.groupBy("__range").agg(F.count("*").alias("n"))
     before = F.sum("n").over(Window.orderBy("__range").rowsBetween(Window.unboundedPreceding, -1))
     bases = counts.select("__range", F.coalesce(before, F.lit(0)).alias("__base"))
     inside = F.row_number().over(Window.partitionBy("__range").orderBy(key))
-    return ranged.join(bases, "__range").withColumn(name, F.col("__base") + inside).drop("__range", "__base")
+    placed = ranged.join(bases.withColumnRenamed("__range", "__r"), F.col("__range").eqNullSafe(F.col("__r")))
+    return placed.withColumn(name, F.col("__base") + inside).drop("__range", "__r", "__base")
 
 
 def percent_slice(df: DataFrame, key: str, start: float, end: float) -> DataFrame:
@@ -90,20 +91,21 @@ def corpus_counts(df: DataFrame, before: datetime, ts: str = "datetime", corpus:
 
 def admit(
     docs: DataFrame, *, least_length: int = 100, exempt_word: str = "hate", group: DataFrame | None = None, skip: DataFrame | None = None,
-    gate: Column | None = None, most: int | None = None, key: str = "doc_id", text: str = "text", corpus: str = "corpus",
+    gate: Column | None = None, most: int | None = None, keys: Iterable[str] = ("doc_id",), text: str = "text", corpus: str = "corpus",
 ) -> DataFrame:
-    """Documents for a topic model: long enough (unless the corpus is exempt by name), one for each id and one for each
-    text, in the group, not in the skip set, through the language gate, ``most`` of them at most."""
+    """Documents for a topic model: long enough (unless the corpus is exempt by name), in the group, not in the skip set,
+    through the language gate; of those that pass, one for each value of each key; ``most`` of them at most. ``group`` and
+    ``skip`` name documents by the first key."""
+    first, *_ = keys
     out = docs.where((F.length(text) >= least_length) | F.contains(F.lower(F.col(corpus)), F.lit(exempt_word)))
-    out = out.dropDuplicates([key])
-    first = out.groupBy(F.xxhash64(text).alias("__h")).agg(F.min(key).alias(key)).select(key)
-    out = out.join(first, key, "left_semi")
-    if group is not None:
-        out = out.join(group, key, "left_semi")
-    if skip is not None:
-        out = out.join(skip, key, "left_anti")
     if gate is not None:
         out = out.where(gate)
+    if group is not None:
+        out = out.join(group, first, "left_semi")
+    if skip is not None:
+        out = out.join(skip, first, "left_anti")
+    for key in keys:
+        out = out.dropDuplicates([key])
     return out.limit(most) if most is not None else out
 
 
@@ -145,6 +147,18 @@ def latest(df: DataFrame, group: str, ts: str, tie: str) -> DataFrame:
     return df.groupBy(group).agg(F.max_by(F.struct(*df.columns), F.struct(ts, tie)).alias("r")).select("r.*")
 
 
+def first_rows(df: DataFrame, group: str, *order: str) -> DataFrame:
+    """The first row of each group by ``order``, as columns."""
+    return df.groupBy(group).agg(F.min_by(F.struct(*df.columns), F.struct(*order)).alias("r")).select("r.*")
+
+
+def fetch_since(sources: DataFrame, docs: DataFrame, source: str, ts: str, now: datetime) -> DataFrame:
+    """source, since: a week before the source's latest document, or a year before ``now`` where it has none."""
+    last = docs.groupBy(source).agg(F.max(ts).alias("__last"))
+    since = F.coalesce(F.col("__last") - F.expr("INTERVAL 7 DAYS"), F.lit(now).cast("timestamp_ntz") - F.expr("INTERVAL 365 DAYS"))
+    return sources.select(source).distinct().join(last, source, "left").select(source, since.alias("since"))
+
+
 def cursor_batch(df: DataFrame, key: str, since: int, most: int) -> DataFrame:
     """Rows with since < key <= min(greatest key, since + most)."""
     return df.where((F.col(key) > since) & (F.col(key) <= since + most))

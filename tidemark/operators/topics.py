@@ -5,8 +5,6 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import jaccard
-
 
 def topic_index(topic_id: Column) -> Column:
     return F.split_part(topic_id, F.lit("_"), F.lit(2)).cast("int")
@@ -35,51 +33,76 @@ def theta_topk(theta: DataFrame, topics: int, slices: int = 1, least: float = 1e
     return x.withColumn("rank", rank).where(F.col("rank") <= keep)
 
 
+def word_jaccards(phi: DataFrame, most: int = 100) -> DataFrame:
+    """topic_1 < topic_2, jaccard of each pair's ``most`` heaviest words. Common words are counted by a join on the word;
+    a pair without any has 0. Topics are few: their pairs are at most the square of their number."""
+    top = ranked(phi, 0.0, most).select("topic_id", "word")
+    size = top.groupBy("topic_id").agg(F.count("*").alias("n"))
+    a, b = (size.select(F.col("topic_id").alias(f"topic_{i}"), F.col("n").alias(f"n{i}")) for i in (1, 2))
+    x, y = (top.select(F.col("topic_id").alias(f"topic_{i}"), "word") for i in (1, 2))
+    both = x.join(y, "word").where("topic_1 < topic_2").groupBy("topic_1", "topic_2").agg(F.count("*").alias("both"))
+    pairs = a.join(b, F.col("topic_1") < F.col("topic_2")).join(both, ["topic_1", "topic_2"], "left").withColumn("both", F.coalesce("both", F.lit(0)))
+    return pairs.select("topic_1", "topic_2", (F.col("both") / (F.col("n1") + F.col("n2") - F.col("both"))).alias("jaccard"))
+
+
 def mean_word_jaccard(phi: DataFrame, most: int = 100) -> DataFrame:
-    """Mean pairwise Jaccard of the topics' word sets; topics are few (one row each)."""
-    sets = ranked(phi, 0.0, most).groupBy("topic_id").agg(F.collect_set("word").alias("w"))
-    a, b = sets.toDF("t1", "w1"), sets.toDF("t2", "w2")
-    return a.join(b, F.col("t1") < F.col("t2")).agg(F.count("*").alias("pairs"), F.avg(jaccard(F.col("w1"), F.col("w2"))).alias("mean_jaccard"))
+    """Number of topic pairs, and their mean Jaccard of words."""
+    return word_jaccards(phi, most).agg(F.count("*").alias("pairs"), F.avg("jaccard").alias("mean_jaccard"))
 
 
-def common_documents(theta: DataFrame, least: float = 0.05) -> DataFrame:
+def common_documents(theta: DataFrame, least: float = 0.1) -> DataFrame:
     """topic_1 < topic_2, common_docs: documents with both, by a join on the document."""
     x = theta.where(F.col("topic_weight") >= least)
     a, b = (x.select("document_id", F.col("topic_id").alias(f"topic_{i}")) for i in (1, 2))
     return a.join(b, "document_id").where("topic_1 < topic_2").groupBy("topic_1", "topic_2").agg(F.count("*").alias("common_docs"))
 
 
-def combos(theta: DataFrame, least: float = 0.05, at_least: int = 5) -> DataFrame:
-    """Pairs that either topic ranks: its ``at_least`` largest overlaps, or those over half its mean overlap."""
-    pairs = common_documents(theta, least)
-    both = pairs.select(F.col("topic_1").alias("t"), F.col("topic_2").alias("o"), "common_docs").union(pairs.select("topic_2", "topic_1", "common_docs"))
-    by = Window.partitionBy("t")
-    x = both.withColumn("rank", F.row_number().over(by.orderBy(F.desc("common_docs"), "o"))).withColumn("mean", F.avg("common_docs").over(by))
-    kept = x.where((F.col("rank") <= at_least) | (F.col("common_docs") > F.col("mean") / 2))
-    return kept.select(F.least("t", "o").alias("topic_1"), F.greatest("t", "o").alias("topic_2"), "common_docs").distinct()
+def combo_pairs(theta: DataFrame, phi: DataFrame, least: float = 0.1) -> DataFrame:
+    """topic_1, topic_2, common_docs of pairs whose words are no more alike than the mean pair's."""
+    j = word_jaccards(phi)
+    mean = j.agg(F.round(F.avg("jaccard"), 12).alias("mean"))
+    alike = j.crossJoin(F.broadcast(mean)).where(F.round("jaccard", 12) > F.col("mean"))
+    return common_documents(theta, least).join(alike, ["topic_1", "topic_2"], "left_anti")
 
 
-def greedy_combos(pairs: DataFrame, at_least: int = 5) -> list[tuple[str, str, int]]:
-    """The sequential form: topics in order, a pair once, while fewer than ``at_least`` are sent or it is over half the
-    mean. The driver holds one row for each pair of topics, so at most the square of their number."""
+def greedy_combos(pairs: DataFrame, bound: float, at_least: int = 5) -> list[tuple[str, str, int]]:
+    """Combinations in order: topic by topic, its pairs from the largest overlap down, while it has sent fewer than
+    ``at_least`` or the overlap is over ``bound``. A pair that an earlier topic sent is passed over and doesn't count.
+    The driver holds one row for each pair of topics, so at most the square of their number."""
     by: dict[str, list[tuple[int, str]]] = {}
     for a, b, n in pairs.select("topic_1", "topic_2", "common_docs").toLocalIterator():
         by.setdefault(a, []).append((n, b))
         by.setdefault(b, []).append((n, a))
     sent, out = set(), []
     for t in sorted(by):
-        mean, done = sum(n for n, _ in by[t]) / len(by[t]), 0
+        new = 0
         for n, o in sorted(by[t], key=lambda x: (-x[0], x[1])):
-            if done >= at_least and n <= mean / 2:
+            if new >= at_least and n <= bound:
                 break
-            done += 1
             key = (min(t, o), max(t, o))
             if key not in sent:
                 sent.add(key)
+                new += 1
                 out.append((*key, n))
     return out
 
 
+def combos(theta: DataFrame, phi: DataFrame, least: float = 0.1, at_least: int = 5) -> DataFrame:
+    """topic_1, topic_2, common_docs: combinations of topics with unlike words and many common documents; the bound of
+    ``greedy_combos`` is half of the documents (with any topic at ``least``) for each topic."""
+    docs = theta.where(F.col("topic_weight") >= least).agg(F.count_distinct("document_id")).first()[0]
+    topics = phi.agg(F.count_distinct("topic_id")).first()[0]
+    found = greedy_combos(combo_pairs(theta, phi, least), docs / max(1, topics) / 2, at_least)
+    return theta.sparkSession.createDataFrame(found, "topic_1 string, topic_2 string, common_docs long")
+
+
+def combo_documents(theta: DataFrame, found: DataFrame, least: float = 0.1) -> DataFrame:
+    """topic_1, topic_2, document_id: the documents of each combination."""
+    x = theta.where(F.col("topic_weight") >= least)
+    a, b = (x.select("document_id", F.col("topic_id").alias(f"topic_{i}")) for i in (1, 2))
+    return found.select("topic_1", "topic_2").join(a, "topic_1").join(b, ["topic_2", "document_id"]).select("topic_1", "topic_2", "document_id")
+
+
 def kernel(phi: DataFrame, mass: float = 0.3) -> DataFrame:
     """Words with p(topic | word) over ``mass`` (topics alike likely): kernel size, purity and contrast."""
     p = F.col("weight") / F.sum("weight").over(Window.partitionBy("word"))
@@ -113,6 +136,6 @@ def tfidf(phi_counts: DataFrame) -> DataFrame:
     n = phi_counts.agg(F.count_distinct("topic_id").alias("n_topics"))
     df = phi_counts.groupBy("word").agg(F.count("*").alias("df"))
     x = phi_counts.join(df, "word").crossJoin(F.broadcast(n)).withColumn("w", F.col("tf") * (F.ln((1 + F.col("n_topics")) / (1 + F.col("df"))) + 1))
-    by = Window.partitionBy("topic_id")
-    x = x.withColumn("unit", F.col("w") / F.sqrt(F.sum(F.col("w") * F.col("w")).over(by)))
-    return x.select("topic_id", "word", "tf", "unit", (F.col("unit") / F.max("unit").over(by)).alias("relative"))
+    by = x.groupBy("topic_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.max("w").alias("top"))
+    x = x.join(by, "topic_id")  # a row for each topic: no task gets a topic's words
+    return x.select("topic_id", "word", "tf", (F.col("w") / F.col("norm")).alias("unit"), (F.col("w") / F.col("norm") / (F.col("top") / F.col("norm"))).alias("relative"))

@@ -80,11 +80,8 @@ def corpus_date_filter(spark, d):
     return r.within_dates(o, datetime(1995, 1, 1), datetime(1996, 6, 30), ["P"]).select("doc_id", "corpus")
 
 
-@query("""with a as (select doc_id, text, lang from documents where length(text) >= 100 or lang = 'es'),
- f as (select min(doc_id) as doc_id from a group by text)
- select doc_id, lang as corpus from a where doc_id in (select doc_id from f) and doc_id in (select doc_id from labels where quality = 1)
- and doc_id not in (select doc_id from labels where toxic = 1)
- and length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / length(text) > 0.51""")
+@query("""select doc_id, lang as corpus from documents where (length(text) >= 100 or lang = 'es') and doc_id in (select doc_id from labels where quality = 1)
+ and doc_id not in (select doc_id from labels where toxic = 1) and length(regexp_replace(text, '[^a-zA-Z]', '', 'g')) / length(text) > 0.51""")
 def document_admission(spark, d):
     docs, labels = views.docs(spark, d).select("doc_id", "text", "corpus"), table(spark, d, "labels")
     return r.admit(
@@ -154,6 +151,18 @@ def latest_per_source(spark, d):
     return last.withColumn("since", F.expr("ts - interval 7 days"))
 
 
+@query("""select c_custkey as o_custkey, coalesce(max(o_orderdate) - interval 7 days, timestamp '1998-08-02' - interval 365 days) as since
+ from customer left join orders on o_custkey = c_custkey group by 1""")
+def fetch_since(spark, d):
+    sources = table(spark, d, "customer").select(F.col("c_custkey").alias("o_custkey"))
+    return r.fetch_since(sources, table(spark, d, "orders"), "o_custkey", "o_orderdate", datetime(1998, 8, 2))
+
+
+@query("""select o_custkey, o_orderkey, o_orderdate from (select *, row_number() over (partition by o_custkey order by o_orderdate, o_orderkey) as n from orders) where n = 1""")
+def first_per_group(spark, d):
+    return r.first_rows(table(spark, d, "orders").select("o_custkey", "o_orderkey", "o_orderdate"), "o_custkey", "o_orderdate", "o_orderkey")
+
+
 AGED = "select l_orderkey, l_linenumber, l_shipdate::date as pub, case when l_linenumber % 3 = 0 then null else l_shipdate::date + cast(l_quantity as integer) end as last from lineitem"
 
 

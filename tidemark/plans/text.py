@@ -49,20 +49,20 @@ def language_flags(spark, d):
     return docs(spark, d).select("doc_id", c.is_word(t).alias("is_word"), c.is_kazakh(t).alias("is_kazakh"), c.is_latin(t).alias("is_english"))
 
 
-@query(f"""select route, count(*) as n from (select case when {SHARE.format('text', 'a-zA-Z')} > 0.75 then 'eng'
+@query(f"""select route, count(*) as n from (select case when {SHARE.format('text', 'a-zA-Z')} > 0.51 then 'eng'
  when {SHARE.format('text', c.KAZAKH)} > 0.05 then 'kaz' else 'rus' end as route from documents) group by 1""")
 def language_route(spark, d):
     t = F.col("text")
-    route = F.when(c.is_latin(t, 0.75), "eng").when(c.is_kazakh(t), "kaz").otherwise("rus")
+    route = F.when(c.is_latin(t), "eng").when(c.is_kazakh(t), "kaz").otherwise("rus")
     return docs(spark, d).groupBy(route.alias("route")).agg(F.count("*").alias("n"))
 
 
 LATIN_WORD = SHARE.format("w", "a-zA-Z")
 
 
-@query(f"""select doc_id, array_to_string(list_filter(string_split(text, ' '), lambda w: {LATIN_WORD} <= 0.8), ' ') as kept from documents""")
+@query(f"""select doc_id, array_to_string(list_filter(string_split(text, ' '), lambda w: {LATIN_WORD} <= 0.1), ' ') as kept from documents""")
 def drop_latin_words(spark, d):
-    kept = F.filter(F.split("text", " "), lambda w: ~c.is_latin(w, 0.8))
+    kept = F.filter(F.split("text", " "), lambda w: ~c.is_latin(w, 0.1))
     return docs(spark, d).select("doc_id", F.array_join(kept, " ").alias("kept"))
 
 

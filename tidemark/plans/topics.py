@@ -67,7 +67,7 @@ PERIODS_SQL = (
 
 
 def series(spark, d, step="day"):
-    return dy.series(views.theta_dt(spark, d), step=step)
+    return dy.series(views.theta_dt(spark, d), since="1990-01-01", step=step)
 
 
 @query(f"with {_series_sql('day')} select topic_id, day, {s6('weight')}, n, {s6('weight_share')}, {s6('n_share')} from series")
@@ -130,12 +130,31 @@ def topic_word_jaccard(spark, d):
     return rounded(tp.mean_word_jaccard(views.phi(spark, d)), "mean_jaccard")
 
 
-@query(f"""with {THETA_SQL}, x as (select * from theta where topic_weight >= 0.05), p as (select a.topic_id as t1, b.topic_id as t2, count(*) as n from x a join x b
- using (document_id) where a.topic_id < b.topic_id group by 1, 2), sides as (select t1 as t, t2 as o, n from p union all select t2, t1, n from p),
- r as (select *, row_number() over (partition by t order by n desc, o) as rank, avg(n) over (partition by t) as mean from sides)
- select distinct least(t, o) as topic_1, greatest(t, o) as topic_2, n as common_docs from r where rank <= 5 or n > mean / 2""")
+#: The sequential choice as a recursion over the topics, with the pairs sent so far as a list.
+COMBOS = f"""{THETA_SQL}, {PHI_SQL}, r as ({RANKED.format(0)}), s as (select topic_id, list(word) as w from r where rank <= 100 group by 1),
+ j as (select a.topic_id as t1, b.topic_id as t2, round(len(list_intersect(a.w, b.w)) / (len(a.w) + len(b.w) - len(list_intersect(a.w, b.w))), 12) as j from s a join s b on a.topic_id < b.topic_id),
+ m as (select round(avg(j), 12) as m from j), x as (select * from theta where topic_weight >= 0.1),
+ bound as (select count(distinct document_id) / (select count(distinct topic_id) from phi) / 2 as bound from x),
+ p as (select a.topic_id as t1, b.topic_id as t2, count(*) as n from x a join x b using (document_id) where a.topic_id < b.topic_id group by 1, 2),
+ kept as (select t1, t2, n from p where not exists (select 1 from j, m where j.t1 = p.t1 and j.t2 = p.t2 and j.j > m.m)),
+ sides as (select t1 as t, t2 as o, t1 || ' ' || t2 as pair, n from kept union all select t2, t1, t1 || ' ' || t2, n from kept),
+ turns as (select t, row_number() over (order by t) as i from (select distinct t from sides)),
+ greedy(i, sent) as (select 0::bigint, []::varchar[] union all select g.i + 1, list_concat(g.sent, coalesce((select list(pair) from
+ (select pair, n, row_number() over (order by n desc, o) as rank from sides join turns using (t) where turns.i = g.i + 1 and not list_contains(g.sent, pair))
+ where rank <= 5 or n > (select bound from bound)), []::varchar[])) from greedy g where g.i < (select count(*) from turns)),
+ chosen as (select unnest(sent) as pair from greedy where i = (select count(*) from turns)),
+ combos as (select t1 as topic_1, t2 as topic_2, n as common_docs from kept join chosen on pair = t1 || ' ' || t2)"""
+
+
+@query(f"with recursive {COMBOS} select topic_1, topic_2, common_docs from combos")
 def topic_combos(spark, d):
-    return tp.combos(views.theta(spark, d))
+    return tp.combos(views.theta(spark, d), views.phi(spark, d))
+
+
+@query(f"with recursive {COMBOS} select topic_1, topic_2, a.document_id from combos join x a on a.topic_id = topic_1 join x b on b.topic_id = topic_2 and a.document_id = b.document_id")
+def topic_combo_documents(spark, d):
+    theta = views.theta(spark, d)
+    return tp.combo_documents(theta, tp.combos(theta, views.phi(spark, d)))
 
 
 @query(f"""with {PHI_SQL}, k as (select *, weight / sum(weight) over (partition by word) as p from phi)
@@ -170,35 +189,62 @@ def topic_tfidf(spark, d):
 # Criteria -------------------------------------------------------------------------------------------------------------
 
 
-def _eval_sql(mark: str) -> str:
+def _eval_sql(mark: str = "mark", scale: str = "value") -> str:
+    """``mark`` of each topic's mean ``scale``, 0 without one."""
     return (
-        f"{THETA_SQL}, {EVAL_SQL}, m as (select topic_id, {mark} as mark from topic_eval group by 1), x as (select document_id, topic_id, topic_weight, coalesce(mark, 0) as mark, "
-        "row_number() over (partition by document_id order by topic_weight desc, topic_id) as rank from theta left join m using (topic_id) where topic_weight >= 0.001)"
+        f"{THETA_SQL}, {EVAL_SQL}, m as (select topic_id, avg({scale}) as given from topic_eval group by 1), z as (select document_id, topic_id, topic_weight, coalesce(given, 0) as mark "
+        f"from theta left join m using (topic_id) where topic_weight >= 0.001), x as (select document_id, topic_id, topic_weight, {mark} as mark, "
+        "row_number() over (partition by document_id order by topic_weight desc, topic_id) as rank from z)"
     )
 
 
 VALUE = "select document_id, sum(topic_weight * mark) / sum(topic_weight) as value, count(*) as n_topics from x where rank <= 50 group by 1"
+UNIT = "((value + 1) / 2)"  # the experts' values on a scale from 0
+
+
+def _marks(spark, d, unit=False):
+    e = views.topic_eval(spark, d)
+    return cr.marks(e.withColumn("value", (F.col("value") + 1) / 2) if unit else e)
 
 
-@query(f"with {_eval_sql('avg(value)')}, v as ({VALUE}) select document_id, {s6('value')}, n_topics from v")
+@query(f"with {_eval_sql()}, v as ({VALUE}) select document_id, {s6('value')}, n_topics from v")
 def criterion_eval(spark, d):
-    return rounded(cr.evaluate(views.theta(spark, d), cr.marks(views.topic_eval(spark, d))), "value")
+    return rounded(cr.evaluate(views.theta(spark, d), _marks(spark, d)), "value")
 
 
-@query(f"with {_eval_sql('-avg(value)')}, v as ({VALUE}) select document_id, {s6('value')}, n_topics from v")
+@query(f"with {_eval_sql('-mark')}, v as ({VALUE}) select document_id, {s6('value')}, n_topics from v")
 def criterion_eval_negative(spark, d):
-    return rounded(cr.evaluate(views.theta(spark, d), cr.marks(views.topic_eval(spark, d), negative=True)), "value")
+    return rounded(cr.evaluate(views.theta(spark, d), _marks(spark, d), negative=True), "value")
 
 
-@query(f"""with {_eval_sql('avg(value)')}, p as (select document_id, topic_id, round(topic_weight * mark, 12) as part from x where rank <= 50),
+@query(f"with {_eval_sql('1 - mark', UNIT)}, v as ({VALUE}) select document_id, {s6('value')}, n_topics from v")
+def criterion_eval_negative_unit(spark, d):
+    """On a scale from 0: what is left of 1, so 1 for topics without a mark."""
+    return rounded(cr.evaluate(views.theta(spark, d), _marks(spark, d, unit=True), low=0.0, negative=True), "value")
+
+
+def _extremes_sql(over: str, under: str, scale: str = "value") -> str:
+    return f"""with {_eval_sql('mark', scale)}, p as (select document_id, topic_id, round(topic_weight * mark, 12) as part from x where rank <= 50),
  r as (select *, row_number() over (partition by document_id order by part desc, topic_id) as t, row_number() over (partition by document_id order by part, topic_id) as b from p)
- select document_id, coalesce(string_agg(topic_id, ',' order by t) filter (part > 0.1 and t <= 3), '') as topic_ids_top,
- coalesce(string_agg(topic_id, ',' order by b) filter (part < -0.1 and b <= 3), '') as topic_ids_bottom from r group by 1""")
-def criterion_top_bottom(spark, d):
-    x = cr.extremes(views.theta(spark, d), cr.marks(views.topic_eval(spark, d)))
+ select document_id, coalesce(string_agg(topic_id, ',' order by t) filter (part > {over} and t <= 3), '') as topic_ids_top,
+ coalesce(string_agg(topic_id, ',' order by b) filter (part < {under} and b <= 3), '') as topic_ids_bottom from r group by 1"""
+
+
+def _listed(x):
     return x.select("document_id", *(F.array_join(c, ",").alias(c) for c in ("topic_ids_top", "topic_ids_bottom")))
 
 
+@query(_extremes_sql("0.1", "-0.1"))
+def criterion_top_bottom(spark, d):
+    return _listed(cr.extremes(views.theta(spark, d), _marks(spark, d)))
+
+
+@query(_extremes_sql("0.001", "-1e9", UNIT))
+def criterion_top_unit(spark, d):
+    """On a scale from 0 there is no bottom."""
+    return _listed(cr.extremes(views.theta(spark, d), _marks(spark, d, unit=True), low=0.0))
+
+
 @query(f"""with {THETA_SQL}, v as (select topic_id, coalesce(avg(nullif(topic_weight, 0)) filter (document_id % 10 = 0), 0) as v from theta group by 1),
  e as (select min(v) as lo, max(v) as hi from v) select topic_id, {s6('(v - lo) / case when hi = lo then 1 else hi - lo end', 'mark')} from v, e""")
 def criterion_by_docs(spark, d):
@@ -212,7 +258,7 @@ def criterion_by_docs(spark, d):
  y as (select *, min(raw) over (partition by sign) as lo, max(raw) over (partition by sign) as hi from x)
  select sign, topic_id, word, {s6('(raw - lo) / case when hi = lo then 1 else hi - lo end * (1 - 1e-6) + case when sign > 0 then 1e-6 else -1 end', 'score')} from y""")
 def eval_dict(spark, d):
-    return rounded(cr.word_scores(views.phi(spark, d), cr.marks(views.topic_eval(spark, d))), "score")
+    return rounded(cr.word_scores(views.phi(spark, d), _marks(spark, d)), "score")
 
 
 TOPICS = "topics as (select 'topic_' || i as topic_id from range(20) t(i))"
@@ -253,14 +299,34 @@ def mma_classes(spark, d):
     return rounded(cr.document_classes(views.theta(spark, d), cr.classes(both, p3, 2), 20), "score")
 
 
-@query(f"""with {_eval_sql('avg(value)')}, v as ({VALUE}) select {s6('quantile_cont(value, 0.1)', 'low_at')}, {s6('quantile_cont(value, 0.9)', 'high_at')} from v""")
+@query(f"""with {_eval_sql()}, v as ({VALUE}) select {s6('quantile_cont(value, 0.1)', 'low_at')}, {s6('quantile_cont(value, 0.9)', 'high_at')} from v""")
 def percentile_threshold(spark, d):
-    v = cr.evaluate(views.theta(spark, d), cr.marks(views.topic_eval(spark, d)))
+    v = cr.evaluate(views.theta(spark, d), _marks(spark, d))
     return rounded(cr.thresholds(v, 0.1, 0.9), "low_at", "high_at")
 
 
-@query(f"""with {_eval_sql('avg(value)')}, v as (select document_id, sum(topic_weight * mark) as value from theta join m using (topic_id) group by 1)
- select document_id, {s6('value')}, case when value > 0.1512345 then 1 else -1 end as side from v where value > 0.1512345 or value < -0.1512345""")
+LIMITS = f"""e as ({VALUE}), limits as (select (select quantile_cont(value, {{0}}) from e) as value_at, (select quantile_cont(topic_weight, 0.6) from theta) as weight_at),
+ v as (select document_id, coalesce(sum(topic_weight * given), 0) as value, count(*) filter (round(topic_weight, 9) >= round(weight_at, 9)) as relevant
+ from theta left join m using (topic_id), limits group by 1)"""
+
+
+def _report(spark, d, at, kind):
+    theta, m = views.theta(spark, d), _marks(spark, d)
+    value_at = cr.evaluate(theta, m).agg(F.percentile("value", F.lit(at)).alias("value_at"))
+    limits = value_at.crossJoin(theta.agg(F.percentile("topic_weight", F.lit(0.6)).alias("weight_at")))
+    return rounded(cr.report(theta, m, limits, kind, 2), "value")
+
+
+@query(f"with {_eval_sql()}, {LIMITS.format(0.9)} select document_id, {s6('value')} from v, limits where value > value_at and relevant >= 2")
 def subscription_report(spark, d):
-    limits = spark.range(1).select(F.lit(-0.1512345).alias("low_at"), F.lit(0.1512345).alias("high_at"))
-    return rounded(cr.report(views.theta(spark, d), cr.marks(views.topic_eval(spark, d)), limits, 0), "value")
+    return _report(spark, d, 0.9, 1)
+
+
+@query(f"with {_eval_sql()}, {LIMITS.format(0.2)} select document_id, {s6('value')} from v, limits where value < value_at and relevant >= 2")
+def subscription_report_under(spark, d):
+    return _report(spark, d, 0.2, -1)
+
+
+@query(f"with {_eval_sql()}, {LIMITS.format(0.5)} select document_id, {s6('value')} from v where relevant >= 2")
+def subscription_report_all(spark, d):
+    return _report(spark, d, 0.5, 0)

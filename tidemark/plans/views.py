@@ -47,12 +47,12 @@ def phi(spark: SparkSession, d: str) -> DataFrame:
 
 
 def topic_eval(spark: SparkSession, d: str) -> DataFrame:
-    """topic_id, author, value of three experts."""
-    return table(spark, d, "part").where("p_partkey <= 60").select(
+    """topic_id, author, value of three experts; two of the twenty topics have none."""
+    return table(spark, d, "part").select(
         F.concat(F.lit("topic_"), F.col("p_partkey") % 20).alias("topic_id"),
         (F.col("p_partkey") % 3).alias("author"),
-        (((F.col("p_partkey") * 37) % 201 - 100) / F.lit(100.0)).alias("value"),
-    )
+        (((F.col("p_partkey") * 37) % 201 - 100) / F.lit(100.0) * F.lit(0.5) + F.when(F.col("p_partkey") % 3 == 0, 0.25).otherwise(F.col("p_partkey") % 20 / 40.0 - 0.25)).alias("value"),
+    ).where("topic_id not in ('topic_7', 'topic_13')")
 
 
 # The same in SQL ------------------------------------------------------------------------------------------------------
@@ -68,8 +68,8 @@ DOC_WORDS_SQL = f"""doc_words as (select doc_id, topic_id, word, count(*) as tf
  unnest({WORDS_SQL}) as word from documents) where length(word) >= 3 group by 1, 2, 3)"""
 PHI_SQL = DOC_WORDS_SQL + """, phi as (select topic_id, word, tf, tf / sum(tf) over (partition by topic_id) as weight from
  (select topic_id, word, cast(sum(tf) as bigint) as tf from doc_words group by 1, 2))"""
-EVAL_SQL = """topic_eval as (select 'topic_' || (p_partkey % 20) as topic_id, p_partkey % 3 as author, ((p_partkey * 37) % 201 - 100) / 100.0::double as value
- from part where p_partkey <= 60)"""
+EVAL_SQL = """topic_eval as (select 'topic_' || (p_partkey % 20) as topic_id, p_partkey % 3 as author, ((p_partkey * 37) % 201 - 100) / 100.0::double * 0.5::double + case when p_partkey % 3 = 0 then 0.25::double else p_partkey % 20 / 40.0::double - 0.25::double end as value
+ from part where p_partkey % 20 not in (7, 13))"""
 
 
 def q6(x: str) -> str:
