@@ -185,6 +185,49 @@ def test_quality_rejects_junk_of_the_given_tables(spark):
     assert n >= quality.labels_needed(4) and cut <= quality.RISK * n
 
 
+def test_cutoffs_against_brute_force(spark):
+    """The cutoffs of the given tables, from exact binomial sums and Holm's principle by hand."""
+    from fractions import Fraction
+
+    docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
+    scored = quality.features(docs).cache()
+    got = {r["stratum"]: [r[x] for x in quality.RULES] for r in quality.cutoffs(scored, labels).collect()}
+    good = {r["doc_id"] for r in labels.where("quality = 1").collect()}
+    rows = defaultdict(list)
+    for r in scored.collect():
+        if r["doc_id"] in good:
+            rows[r["stratum"]].append([r[x] for x in quality.RULES])
+    share, tests = quality.RISK / len(quality.RULES), {}
+    for stratum, mine in rows.items():
+        n = len(mine)
+        for i in range(len(quality.RULES)):
+            chain = []
+            for cut in sorted(quality.GRID, reverse=True):
+                x, p = sum(r[i] >= cut for r in mine), Fraction(share)
+                if x > share * n:
+                    chain.append(1.0)
+                    break
+                term = (1 - p) ** n
+                total = Fraction(0)
+                for k in range(x + 1):
+                    total += term
+                    term = term * (n - k) / (k + 1) * p / (1 - p)
+                chain.append(float(total))
+            tests[stratum, i] = chain
+    open_, level, passed = set(tests), quality.LEVEL, dict.fromkeys(tests, 0)
+    while True:
+        for t in open_:
+            while passed[t] < len(tests[t]) and tests[t][passed[t]] <= level / len(open_):
+                passed[t] += 1
+        over = {t for t in open_ if passed[t] == len(quality.GRID)}
+        if not over:
+            break
+        open_ -= over
+    lax = sorted(quality.GRID, reverse=True)
+    want = {s: [lax[passed[s, i] - 1] if passed[s, i] else None for i in range(len(quality.RULES))] for s in rows}
+    assert got == want and any(x is not None for x in want["en"])
+
+
 def test_sequences_of_tests():
     assert quality.sequences([[0.01, 0.024, 0.5], [0.03, 0.001]], 0.05) == [2, 0]
     assert quality.sequences([[0.01, 0.02], [0.03, 0.06]], 0.05) == [2, 1]  # the first passes its level on
@@ -355,6 +398,21 @@ def test_token_store(spark, rows, tmp_path):
     assert meta == {i: x[:2] for i, x in want.items()}
     some = token_store.read_tokens(spark, path, 3, 5).collect()
     assert {r["doc_id"]: len(r["ids"]) for r in some} == {i: want[i][1] for i in (3, 4, 5)}
+    import glob
+
+    import pyarrow.parquet as pq
+
+    files = [f for f in glob.glob(f"{tmp_path}/store/*.parquet") if pq.ParquetFile(f).metadata.num_rows]
+    for f in files:
+        m = pq.ParquetFile(f).metadata
+        for g in range(m.num_row_groups):
+            col = {m.row_group(g).column(i).path_in_schema: m.row_group(g).column(i) for i in range(m.num_columns)}
+            ids = next(c for n, c in col.items() if n.startswith("ids"))
+            assert any("DICTIONARY" in e for e in ids.encodings) and ids.has_dictionary_page
+            for n in ("doc_id", "n_tokens", "part_start"):
+                assert "DELTA_BINARY_PACKED" in col[n].encodings and not col[n].has_dictionary_page
+            assert all(c.has_offset_index and c.has_column_index for n, c in col.items() if not n.startswith("ids")) and ids.has_offset_index
+            assert m.row_group(g).total_byte_size <= 2 * (16 << 20)
     none = f"file://{tmp_path}/none"
     token_store.write_tokens(empty(spark), none, P.path("byte_bpe_50k.json"), spaced=True, end_id=0)
     assert token_store.digests(spark, none).count() == 0
@@ -485,6 +543,23 @@ def test_decontamination_in_blocks(spark, monkeypatch):
     assert Counter(tuple(r) for r in contamination.find_leaks(docs, bench).collect()) == whole
 
 
+def test_decontamination_of_many_texts_and_common_grams(spark, monkeypatch):
+    """Many tiny texts against many segments, and q-grams that texts and items repeat: memory follows the hits."""
+    monkeypatch.setattr(contamination, "STEP_HITS", 1000)
+    items = [(i, " ".join(f"{chr(97 + (i * 7 + k) % 26)}{i}x{k}" for k in range(60))) for i in range(300)] + [(900, "ab " * 100), (901, "no " * 10 + "ab " * 60)]
+    docs = [(i, items[i % 300][1][: 30 + i % 200]) for i in range(3000)] + [(5000, "ab " * 30_000), (5001, items[5][1]), (5001, items[5][1]), (5002, None), (5003, "q" * 300_000)]
+    got = {(r["doc_id"], r["item_id"]) for r in contamination.find_leaks(frame(spark, docs), spark.createDataFrame(items, "item_id long, text string")).collect()}
+    assert {d for d, _ in got if d >= 5000} == {5000, 5001} and {i for d, i in got if d == 5000} >= {900}
+    size = [len(contamination.normal(t)) for _, t in docs[:3000]]
+    mine = {(d, i) for d, i in got if d < 3000}
+    assert {(i, i % 300) for i in range(3000) if size[i] >= 120} <= mine <= {(i, i % 300) for i in range(3000) if size[i] >= 120 - 9}
+    ix = contamination.build(items)
+    h = np.zeros(2_000_000, np.uint64) + ix.grams[0]
+    slots = np.zeros(contamination._SLOTS, bool)
+    slots[ix.grams >> np.uint64(42)] = True
+    assert contamination.candidates(ix, h[:0], np.zeros(0, np.int64), np.zeros(1, np.int64), slots).shape == (0, 3)
+
+
 # 8 --------------------------------------------------------------------------------------------------------------------
 
 

@@ -24,6 +24,8 @@ Q = 10
 EDIT_SHARE, SEGMENT, STEP, LEAST = 0.08, 120, 60, 40
 #: Characters of benchmark text that one pass over the documents holds; more are taken in further passes.
 BLOCK_CHARS = 2_000_000
+#: Hits (a q-gram's place in a document with one in a segment) that one step holds.
+STEP_HITS = 2_000_000
 _R = 0x9E3779B97F4A7C15
 HITS = "doc_id long, item_id long, n_segments long, edits long, begin long, end long"
 _SLOTS = 1 << 22
@@ -89,25 +91,53 @@ def build(items: list[tuple[int, str]]) -> Index | None:
     return Index(np.array(item), length, edits, length - Q + 1 - edits * Q, text, grams, np.append(first, len(h)), seg[order], pos[order])
 
 
+def _add(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
+    """Distinct codes of all parts ascending, and their counts together."""
+    every, at = np.unique(np.concatenate([np.zeros(0, np.int64), *codes]), return_inverse=True)
+    total = np.bincount(at, np.concatenate([np.zeros(0, np.int64), *counts]), len(every)) if len(every) else np.zeros(0)
+    return every, total.astype(np.int64)
+
+
 def candidates(ix: Index, h: np.ndarray, doc: np.ndarray, first: np.ndarray, slots: np.ndarray) -> np.ndarray:
-    """Rows (doc, segment, band) whose band has the hits that the lemma asks for. h: q-gram hashes of all texts in a row."""
+    """Rows (doc, segment, band) whose band has the hits that the lemma asks for. h: q-gram hashes of all texts in a row.
+
+    Only pairs of a document and a segment that share a q-gram are counted, in steps of about ``STEP_HITS`` hits.
+    """
     hit = np.flatnonzero(slots[h >> np.uint64(42)])
     at = np.searchsorted(ix.grams, h[hit])
     at[at == len(ix.grams)] = 0
     ok = ix.grams[at] == h[hit]
     hit, at = hit[ok], at[ok]
     size = ix.first[at + 1] - ix.first[at]
-    entry = common.ragged(ix.first[at], size)
-    place = np.repeat(hit, size)
-    d, s = doc[place], ix.seg[entry]
-    pair = d * len(ix.item) + s
-    keep = np.bincount(pair, minlength=0)[pair] >= ix.need[s]
-    d, s, diag = d[keep], s[keep], (place - first[doc[place]] - ix.pos[entry])[keep]
-    if not len(d):
+    ends, lo, steps, n = np.cumsum(size), 0, [], len(ix.item)
+    while lo < len(hit):
+        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + STEP_HITS, "right")))
+        steps.append(slice(lo, hi))
+        lo = hi
+
+    def pairs(x: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+        entry, place = common.ragged(ix.first[at[x]], size[x]), np.repeat(hit[x], size[x])
+        return doc[place] * n + ix.seg[entry], place, entry
+
+    pair, count = _add(*zip(*(np.unique(pairs(x)[0], return_counts=True) for x in steps), strict=True)) if steps else _add([], [])
+    pair = pair[count >= ix.need[pair % n]]
+    if not len(pair):
         return np.zeros((0, 3), np.int64)
-    band = diag // (ix.edits[s] + 1)
-    rows = np.concatenate([np.stack([d, s, band], 1), np.stack([d, s, band - 1], 1)])
-    found, count = np.unique(rows, axis=0, return_counts=True)
+    codes, counts = [], []
+    for x in steps:
+        code, place, entry = pairs(x)
+        k = np.searchsorted(pair, code)
+        keep = k < len(pair)
+        keep[keep] = pair[k[keep]] == code[keep]
+        k, place, entry = k[keep], place[keep], entry[keep]
+        band = (place - first[doc[place]] - ix.pos[entry]) // (ix.edits[ix.seg[entry]] + 1)
+        code = (k << 32) + band + (1 << 31)  # a text has less than 2^31 characters
+        code, count = np.unique(np.concatenate([code, code - 1]), return_counts=True)
+        codes.append(code)
+        counts.append(count)
+    code, count = _add(codes, counts)
+    own = pair[code >> 32]
+    found = np.stack([own // n, own % n, (code & 0xFFFFFFFF) - (1 << 31)], 1)
     return found[count >= ix.need[found[:, 1]]]
 
 
@@ -195,8 +225,8 @@ def find_leaks(
     """A row for each document and benchmark item of which it holds a passage.
 
     doc_id, item_id, n_segments (of the item's segments), edits (of the best), begin and end of the best (code points of
-    the normalised text). A passage counts from one whole segment (120 characters, or a shorter item as a whole). Null
-    or empty texts, and items under 40 characters, have no rows. Repeated documents each have theirs; repeated items
+    the normalised text). A passage counts from one whole segment: 120 characters at steps of 60, so that every passage
+    of 179 characters holds one; an item of up to 180 characters counts as a whole. Null or empty texts, and items under 40 characters, have no rows; texts may be of any length. Repeated documents each have theirs; repeated items
     count once. Other columns are not read. Empty tables: no rows.
     """
     spark = docs.sparkSession

@@ -63,7 +63,9 @@ def _sets(n: int):
         for b in common.steps(batches):
             s = Sets(b.column("text"), n)
             node = pa.array(s.node, mask=s.size == 0)
-            each = [sketch(s.values[i:j]) for i, j in zip(s.first[:-1].tolist(), s.first[1:].tolist(), strict=True)]
+            new = np.zeros(len(s.node), bool)  # copies in a step need one sketch
+            new[np.unique(s.node, return_index=True)[1]] = True
+            each = [sketch(s.values[i:j]) if n else None for i, j, n in zip(s.first[:-1].tolist(), s.first[1:].tolist(), new.tolist(), strict=True)]
             yield pa.RecordBatch.from_arrays([b.column("doc_id"), node, pa.array(s.size), pa.array(each, pa.binary())], ["doc_id", "node", "n_shingles", "sketch"])
 
     return run
@@ -295,7 +297,7 @@ def near_duplicates(docs: DataFrame, *, n: int = 5, percent: int = 80, id_col: s
     buckets = common.stored(signed.groupBy("shard").applyInArrow(_buckets, BUCKETS).distinct(), "buckets")
     common.free(spark)
 
-    sketches = sets.join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
+    sketches = sets.where("sketch is not null").join(buckets.select("node").distinct(), "node", "left_semi").groupBy("node").agg(F.first("n_shingles").alias("n"), F.first("sketch").alias("sketch"))
     sketches = common.stored(sketches, "sketches")
     near = _stripes(buckets.join(sketches, "node"), "bucket", STRIPE).applyInArrow(_possible(percent), "u long, v long")
     clusters = common.stored(components(near).withColumnRenamed("component", "cluster"), "clusters")
