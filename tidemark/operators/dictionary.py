@@ -5,23 +5,32 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import clean, ngrams, words
+from tidemark.functions.columns import clean, cleaned_words
+from tidemark.scratch import stored
 
 
-def exploded_ngrams(docs: DataFrame, most: int = 3, key: str = "doc_id", text: str = "text", on_clean: bool = True) -> DataFrame:
-    """key, n, pos, word: each n-gram of 1 to ``most`` words."""
-    tokens = words(clean(F.col(text)) if on_clean else F.col(text))
-    base = docs.select(key, tokens.alias("t"))
+#: Dictionary words that each task is told of to drop other n-grams; more are found by a join.
+MOST_TOLD = 500_000
 
-    def placed(n: int) -> Column:
-        return F.transform(ngrams(F.col("t"), n), lambda w, i: F.struct(F.lit(n).alias("n"), i.alias("pos"), w.alias("word")))
 
-    lists = F.concat(*(placed(n) for n in range(1, most + 1)))
-    return base.select(key, F.inline(lists))
+def exploded_ngrams(docs: DataFrame, most: int = 3, key: str = "doc_id", text: str = "text", on_clean: bool = True) -> DataFrame:
+    """key, n, pos, word: each n-gram of 1 to ``most`` words. Rows stand partitioned by the key: the texts are shuffled, once,
+    not their n-grams."""
+    base = docs.select(key, F.col(text).alias("t")).repartition(F.col(key)) if on_clean else docs.select(key, F.col(text).alias("t"))
+    base = base.select(key, (cleaned_words(F.col("t")) if on_clean else F.array_remove(F.split("t", " "), "")).alias("w1"))
+    for j in range(2, most + 1):
+        base = base.withColumn(f"w{j}", F.slice("w1", j, F.greatest(F.size("w1"), F.lit(1))))
+    rows = base.select(key, F.posexplode(F.arrays_zip(*(f"w{j}" for j in range(1, most + 1)))).alias("pos", "w"))
+    grams = [F.col("w.w1")]
+    for j in range(2, most + 1):
+        grams.append(F.concat(grams[-1], F.lit("_"), F.col(f"w.w{j}")))  # null past the end
+    each = F.array(*(F.struct(F.lit(n).alias("n"), F.col("pos"), g.alias("word")) for n, g in enumerate(grams, 1)))
+    return rows.select(key, F.inline(each)).where("word is not null")
 
 
 def word_counts(docs: DataFrame, most: int = 1, key: str = "doc_id", text: str = "text") -> DataFrame:
-    """word, n_gram_len, word_frequency, document_frequency. Counts of a document are combined before the shuffle."""
+    """word, n_gram_len, word_frequency, document_frequency. A document's n-grams are counted where they are, and all counts
+    are combined before the shuffle."""
     grams = exploded_ngrams(docs, most, key, text)
     per_doc = grams.groupBy(key, "n", "word").agg(F.count("*").alias("tf"))
     return per_doc.groupBy("word", F.col("n").alias("n_gram_len")).agg(F.sum("tf").alias("word_frequency"), F.count("*").alias("document_frequency"))
@@ -46,11 +55,14 @@ def dictionary(counts: DataFrame, n_docs: int | Column, normal: Column, least_sh
 def ngramize(docs: DataFrame, dictionary_words: DataFrame, most: int = 3, glue: bool = True, key: str = "doc_id", text: str = "text") -> DataFrame:
     """Cleaned text followed by its n-grams (two words or more) that the dictionary has, by n, then place.
 
-    ``glue``: the first n-gram follows the text without a blank, as stored texts have it.
+    ``glue``: the first n-gram follows the text without a blank, as stored texts have it. The dictionary is stored; up to
+    ``MOST_TOLD`` words of it are told to the tasks, and a larger one is joined.
     """
-    base = docs.select(key, clean(F.col(text)).alias("cleaned"))
+    known = stored(dictionary_words.select("word").distinct(), "dictionary")
+    known = F.broadcast(known) if known.count() <= MOST_TOLD else known
+    base = docs.select(key, F.col(text).alias("__text")).repartition(F.col(key)).select(key, clean(F.col("__text")).alias("cleaned"))
     grams = exploded_ngrams(base, most, key, "cleaned", on_clean=False).where("n >= 2")
-    kept = grams.join(dictionary_words.select("word").distinct(), "word", "left_semi")
+    kept = grams.join(known, "word", "left_semi")
     listed = kept.groupBy(key).agg(F.array_join(F.transform(F.array_sort(F.collect_list(F.struct("n", "pos", "word"))), lambda x: x["word"]), " ").alias("grams"))
     sep = "" if glue else " "
     return base.join(listed, key, "left").select(key, F.concat("cleaned", F.when(F.col("grams").isNotNull(), F.concat(F.lit(sep), "grams")).otherwise(F.lit(""))).alias("text_ngramized"))

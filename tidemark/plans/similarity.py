@@ -27,7 +27,8 @@ def query(sql: str | None):
     return keep
 
 
-VOCAB = "vocab as (select word from (select word, sum(tf) as tf from doc_words group by 1) order by tf desc, word limit {0})"
+#: The dictionary filter: words of at least this share of the documents.
+VOCAB = "vocab as (select word from doc_words group by 1 having count(*) >= {0} * (select count(*) from documents))"
 COOC = """x as (select doc_id, word, tf from doc_words where word in (select word from vocab)),
  cooc as (select a.word as w1, b.word as w2, cast(sum(a.tf * b.tf) as bigint) as value from x a join x b using (doc_id) where a.word <= b.word group by 1, 2)"""
 DIST = """sym as (select w1 as row, w2 as col, value::double as v from cooc union all select w2, w1, value::double from cooc where w1 <> w2),
@@ -35,21 +36,25 @@ DIST = """sym as (select w1 as row, w2 as col, value::double as v from cooc unio
  dist as (select a, b, 1 - dot / (x.n * y.n) as distance from dot join norm x on x.row = a join norm y on y.row = b)"""
 
 
-def _vocab(spark, d, n):
-    return views.doc_words(spark, d).groupBy("word").agg(F.sum("tf").alias("tf")).orderBy(F.desc("tf"), "word").limit(n)
+def _frequent(spark, d, share):
+    """(words of the documents, those that ``share`` of the documents hold)."""
+    counted = stored(views.doc_words(spark, d), "words")
+    n = docs(spark, d).agg(F.count("*").alias("n"))
+    known = counted.groupBy("word").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n)).where(F.col("df") >= share * F.col("n"))
+    return counted, known.select("word")
 
 
-def _distances(spark, d, n=60):
-    c = sm.cooccurrence(views.doc_words(spark, d), _vocab(spark, d, n), diagonal=True)
+def _distances(spark, d, share=0.1):
+    c = sm.cooccurrence(*_frequent(spark, d, share), diagonal=True)
     return stored(sm.cosine_distances(sm.symmetric(c)), "distances")
 
 
-@query(f"with {DOC_WORDS_SQL}, {VOCAB.format(200)}, {COOC} select * from cooc where w1 < w2")
+@query(f"with {DOC_WORDS_SQL}, {VOCAB.format(0.05)}, {COOC} select * from cooc where w1 < w2")
 def cooccurrence(spark, d):
-    return sm.cooccurrence(views.doc_words(spark, d), _vocab(spark, d, 200))
+    return sm.cooccurrence(*_frequent(spark, d, 0.05))
 
 
-@query(f"with {DOC_WORDS_SQL}, {VOCAB.format(60)}, {COOC}, {DIST} select a, b, {s6('distance')} from dist")
+@query(f"with {DOC_WORDS_SQL}, {VOCAB.format(0.1)}, {COOC}, {DIST} select a, b, {s6('distance')} from dist")
 def cosine_distance(spark, d):
     return rounded(_distances(spark, d), "distance")
 
@@ -143,11 +148,11 @@ def source_dbscan(spark, d):
 
 @query(None)
 def clots(spark, d):
-    found = cl.clots(_distances(spark, d, 40), 0.3, 0.4)
+    found = cl.clots(_distances(spark, d), 0.3, 0.4)
     return found.select("seed", F.array_join("members", " ").alias("members"), F.size("members").alias("n"))
 
 
-HOODS = f"""{DOC_WORDS_SQL}, {VOCAB.format(60)}, {COOC}, {DIST}, d2 as (select a, b, distance from dist union all select b, a, distance from dist union all select w, w, 0.0 from (select a as w from dist union select b from dist)),
+HOODS = f"""{DOC_WORDS_SQL}, {VOCAB.format(0.1)}, {COOC}, {DIST}, d2 as (select a, b, distance from dist union all select b, a, distance from dist union all select w, w, 0.0 from (select a as w from dist union select b from dist)),
  hood as (select a as seed, list_sort(list(distinct b)) as members from d2 where distance <= 0.02 group by 1), sets as (select distinct members from hood where len(members) >= 2)"""
 
 

@@ -8,6 +8,7 @@ from tidemark.functions import columns as c
 from tidemark.functions.columns import q6
 from tidemark.operators import dictionary, pages
 from tidemark.plans import views
+from tidemark.scratch import stored
 from tidemark.plans.views import DOC_WORDS_SQL, WORDS_SQL, docs, table
 
 QUERIES, ORACLES = {}, {}
@@ -73,7 +74,7 @@ STOP_WORDS = ["the", "and", "that", "with", "der", "die", "und", "das", "les", "
 @query(f"""select doc_id, array_to_string(list_filter({WORDS_SQL}, lambda w: length(w) > 2 and not list_contains({STOP_WORDS}, w)), ' ') as kept from documents""")
 def stopword_filter(spark, d):
     stop = F.array(*map(F.lit, STOP_WORDS))
-    kept = F.filter(c.words(c.clean(F.col("text"))), lambda w: (F.length(w) > 2) & ~F.array_contains(stop, w))
+    kept = F.filter(c.cleaned_words(F.col("text")), lambda w: (F.length(w) > 2) & ~F.array_contains(stop, w))
     return docs(spark, d).select("doc_id", F.array_join(kept, " ").alias("kept"))
 
 
@@ -92,15 +93,15 @@ def ngrams(spark, d):
 @query(f"""with {DOC_WORDS_SQL}, n as (select count(*) as n from documents), df as (select word, count(*) as df from doc_words group by 1),
  k as (select word from df, n where df >= 5 and df <= 0.7 * n) select doc_id, word, tf from doc_words where word in (select word from k)""")
 def bow(spark, d):
-    w = views.doc_words(spark, d)
+    w = stored(views.doc_words(spark, d), "words")
     n = docs(spark, d).agg(F.count("*").alias("n"))
     kept = w.groupBy("word").agg(F.count("*").alias("df")).crossJoin(F.broadcast(n)).where("df >= 5 and df <= 0.7 * n")
     return w.join(kept.select("word"), "word", "left_semi").select("doc_id", "word", "tf")
 
 
-@query(f"""with {DOC_WORDS_SQL} select word, cast(sum(tf) as bigint) as tf from doc_words group by 1 order by tf desc, word limit 250""")
+@query(f"""with {DOC_WORDS_SQL} select word, cast(sum(tf) as bigint) as tf from doc_words group by 1 order by tf desc, word limit 250000""")
 def vocabulary(spark, d):
-    return views.doc_words(spark, d).groupBy("word").agg(F.sum("tf").alias("tf")).orderBy(F.desc("tf"), "word").limit(250)
+    return views.doc_words(spark, d).groupBy("word").agg(F.sum("tf").alias("tf")).orderBy(F.desc("tf"), "word").limit(250_000)
 
 
 @query(f"""with t as (select doc_id, unnest({WORDS_SQL}) as word from documents), k as (select word, count(*) as word_frequency, count(distinct doc_id) as document_frequency

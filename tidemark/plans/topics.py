@@ -9,6 +9,7 @@ from tidemark.operators import criteria as cr
 from tidemark.operators import dynamics as dy
 from tidemark.operators import topics as tp
 from tidemark.plans import views
+from tidemark.scratch import stored
 from tidemark.plans.views import DOC_WORDS_SQL, EVAL_SQL, PHI_SQL, THETA_DT_SQL, THETA_SQL, docs
 
 QUERIES, ORACLES = {}, {}
@@ -170,7 +171,8 @@ def topic_kernel(spark, d):
  left join j on w1 = a.word and w2 = b.word cross join n) select topic_id, count(*) as pairs, {s6('avg(v)', 'coherence')} from p group by 1""")
 def topic_coherence(spark, d):
     n = docs(spark, d).agg(F.count("*").alias("n_docs"))
-    return rounded(tp.coherence(views.doc_words(spark, d), views.phi(spark, d), n), "coherence")
+    counted = stored(views.doc_words(spark, d), "words")
+    return rounded(tp.coherence(counted, views.phi(spark, d, counted), n), "coherence")
 
 
 @query(f"""with {PHI_SQL}, r as ({RANKED.format(0)}) select count(distinct word) as distinct_words, {s6('count(distinct word) / (25 * count(distinct topic_id))', 'diversity')} from r where rank <= 25""")

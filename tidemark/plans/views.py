@@ -5,7 +5,8 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import clean, words
+from tidemark.functions.columns import NOT_WORD, cleaned_words
+from tidemark.scratch import stored
 
 
 def table(spark: SparkSession, d: str, name: str) -> DataFrame:
@@ -36,14 +37,18 @@ def theta_dt(spark: SparkSession, d: str) -> DataFrame:
 
 def doc_words(spark: SparkSession, d: str, least: int = 3) -> DataFrame:
     """doc_id, topic_id, word, tf of each document's words of ``least`` letters or more."""
-    w = docs(spark, d).select("doc_id", F.concat(F.lit("topic_"), F.expr("substr(source, 4)")).alias("topic_id"), F.explode(words(clean(F.col("text")))).alias("word"))
+    w = docs(spark, d).select("doc_id", "source", "text").repartition("doc_id")  # so that a document's words stay where they are
+    w = w.select("doc_id", F.concat(F.lit("topic_"), F.expr("substr(source, 4)")).alias("topic_id"), F.explode(cleaned_words(F.col("text"))).alias("word"))
     return w.where(F.length("word") >= least).groupBy("doc_id", "topic_id", "word").agg(F.count("*").alias("tf"))
 
 
-def phi(spark: SparkSession, d: str) -> DataFrame:
-    """topic_id, word, tf, weight; the weights of a topic add to 1."""
-    per = doc_words(spark, d).groupBy("topic_id", "word").agg(F.sum("tf").alias("tf"))
-    return per.withColumn("weight", F.col("tf") / F.sum("tf").over(Window.partitionBy("topic_id")))
+def phi(spark: SparkSession, d: str, counted: DataFrame | None = None) -> DataFrame:
+    """topic_id, word, tf, weight; the weights of a topic add to 1. The totals are a row for each topic. ``counted``:
+    ``doc_words`` that a query has stored."""
+    per = (doc_words(spark, d) if counted is None else counted).groupBy("topic_id", "word").agg(F.sum("tf").alias("tf"))
+    per = stored(per, "phi")
+    total = per.groupBy("topic_id").agg(F.sum("tf").alias("total"))
+    return per.join(total, "topic_id").select("topic_id", "word", "tf", (F.col("tf") / F.col("total")).alias("weight"))
 
 
 def topic_eval(spark: SparkSession, d: str) -> DataFrame:
@@ -57,7 +62,6 @@ def topic_eval(spark: SparkSession, d: str) -> DataFrame:
 
 # The same in SQL ------------------------------------------------------------------------------------------------------
 
-NOT_WORD = "([^А-Яа-яa-zA-ZӘәҒғҚқҢңӨөҰұҮүІі-]|[^ ]*[*][^ ]*)"
 Q6 = "(floor(cast({} as double)*1e6 + 0.50001)/1e6)"
 WORDS_SQL = f"list_filter(string_split(lower(regexp_replace(text, '{NOT_WORD}', ' ', 'g')), ' '), lambda x: x <> '')"
 THETA_SQL = """theta as (select document_id, 'topic_' || t as topic_id, q / sum(q) over (partition by document_id) as topic_weight from
