@@ -255,3 +255,77 @@ def test_stream_equals_batch(spark, tmp_path):
     q.awaitTermination()
     got = sorted(map(tuple, spark.table("t").collect()))
     assert got == sorted(map(tuple, windows.tumbling(spark.read.parquet(src), "1 hour").collect()))
+
+
+def test_russian_dates(spark):
+    cases = [
+        ("Опубликовано: 5 марта 2021, 10:00 МСК", date(2021, 3, 5)), ("12 мая", date(2021, 5, 12)), ("3 декабря", date(2020, 12, 3)), ("05.03.2019 09:00", date(2019, 3, 5)),
+        ("Сегодня, 10:15", date(2021, 6, 15)), ("вчера в 9", date(2021, 6, 14)), ("1 января 1999", None), ("31 февраля 2020", None), ("нет", None), (None, None),
+    ]
+    df = spark.createDataFrame([(i, t) for i, (t, _) in enumerate(cases)], "i int, t string")
+    got = {r["i"]: r["d"] for r in df.select("i", c.russian_date(F.col("t"), F.lit("2021-06-15").cast("date")).alias("d")).collect()}
+    assert got == {i: d for i, (_, d) in enumerate(cases)}
+
+
+def test_comments_and_long_words(spark):
+    text = '{"edges": [{"node": {"text": "a", "created_at": 1, "id": "x", "edge_threaded_comments": {"edges": [{"node": {"text": "b", "created_at": 2, "id": "y"}}]}}}, {"node": {"text": "c", "created_at": 3, "id": "z", "edge_threaded_comments": null}}]}'
+    n = "text string, created_at bigint, id string"
+    schema = f"struct<edges:array<struct<node:struct<{n.replace(' ', ':').replace(',:', ',')},edge_threaded_comments:struct<edges:array<struct<node:struct<{n.replace(' ', ':').replace(',:', ',')}>>>>>>>>"
+    got = spark.createDataFrame([(text,)], "j string").select(F.from_json("j", schema).alias("j")).select(F.inline(c.comments(F.col("j.edges")))).collect()
+    assert [tuple(r) for r in got] == [("a", 1, "x"), ("b", 2, "y"), ("c", 3, "z")]
+    assert one(spark, "<b>The OLD_man\tis here</b>", c.long_words) == "the oldman here"
+
+
+def test_registry(spark, tmp_path):
+    from tidemark.operators import registry
+
+    m = artm.Model(["b", "a", "c"], np.array([[0.1, 0.9], [0.6, 0.1], [0.3, 0.0]]), [3.0, 2.5])
+    at = f"file://{tmp_path}/models"
+    registry.save(spark, at, "one", m, corpus="main", documents=7)
+    registry.save(spark, at, "two", m, ready=False)
+    got = registry.load(spark, at, "one")
+    assert got.words == m.words and np.array_equal(got.phi, m.phi) and registry.find(spark, at, "one")["number_of_documents"] == 7
+    registry.save(spark, at, "one", artm.Model(["z"], np.array([[1.0, 1.0, 1.0]]), []))
+    assert registry.load(spark, at, "one").words == ["z"] and registry.models(spark, at).count() == 2
+    for name in ("two", "three"):
+        with pytest.raises(KeyError):
+            registry.find(spark, at, name)
+
+
+def test_upsert_and_counters(spark):
+    old = spark.createDataFrame([(1, "a", 5), (None, "b", 6), (2, "c", 7)], "k int, s string, n int")
+    new = spark.createDataFrame([(1, "a", 8), (None, "b", 9), (3, "c", 1)], "k int, s string, n int")
+    got = relational.upsert(old, new, ["k", "s"], F.lit("now")).collect()
+    assert {(r["k"], r["s"], r["n"], r["modified"]) for r in got} == {(1, "a", 8, "now"), (None, "b", 9, "now"), (2, "c", 7, None), (3, "c", 1, "now")}
+    grown = relational.increased_only(old, spark.createDataFrame([(1, 4), (2, 9)], "k int, n int"), "k", "n")
+    assert {(r["k"], r["n"]) for r in grown.collect()} == {(1, 5), (None, 6), (2, 9)}
+
+
+def test_files_are_replaced_by_partition(spark, tmp_path):
+    at = f"file://{tmp_path}/t"
+    frame = lambda rows: spark.createDataFrame(rows, "k int, v string")
+    files.overwrite_partitions(frame([(1, "a"), (2, "b")]), at, "k")
+    files.overwrite_partitions(frame([(2, "c")]), at, "k")
+    files.append(frame([(3, "d")]).select("v", F.lit(3).alias("k")).select("k", "v").repartition(1), f"{at}2")
+    files.append(frame([(4, "e")]), f"{at}2")
+    assert {(r["k"], r["v"]) for r in spark.read.parquet(at).collect()} == {(1, "a"), (2, "c")} and spark.read.parquet(f"{at}2").count() == 2
+    (tmp_path / "texts").mkdir()
+    (tmp_path / "texts" / "a.txt").write_text("x\ny")
+    assert [r["text"] for r in files.whole_texts(spark, f"file://{tmp_path}/texts").collect()] == ["x\ny"]
+
+
+def test_records_by_redirect(spark):
+    pages = spark.createDataFrame([(1, "http://a/b", None), (2, "https://q", "https://a/b/"), (3, "http://none", "http://no")], "i int, url string, redirect_url string")
+    records = spark.createDataFrame([("https://a/b", 77)], "url string, record_id long")
+    assert {r["i"]: r["record_id"] for r in files.with_normal_url(pages, records).collect()} == {1: 77, 2: 77, 3: None}
+
+
+def test_shared_folder_is_asked_for_on_a_cluster():
+    from types import SimpleNamespace
+
+    from tidemark import scratch
+
+    jvm = SimpleNamespace(sc=lambda: SimpleNamespace(getCheckpointDir=lambda: SimpleNamespace(isDefined=lambda: False)))
+    conf = lambda: SimpleNamespace(get=lambda k: None)
+    with pytest.raises(RuntimeError):
+        scratch.shared_dir(SimpleNamespace(sparkContext=SimpleNamespace(master="yarn", getConf=conf, _jsc=jvm)))

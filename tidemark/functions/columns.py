@@ -142,12 +142,60 @@ def swap_day_month(day: Column, today: Column) -> Column:
     return F.when((day > today) & (F.dayofmonth(day) <= 12), F.make_date(F.year(day), F.dayofmonth(day), F.month(day))).otherwise(day)
 
 
+def _last_year(day: Column, today: Column) -> Column:
+    """A month of this year that is yet to come was last year's."""
+    late = (F.year(day) == F.year(today)) & (F.month(day) > F.month(today))
+    return F.when(late, F.add_months(day, -12)).otherwise(day)
+
+
 def roll_back(day: Column, today: Column) -> Column:
-    """A date later in the year than today is of last year."""
-    place = lambda d: F.month(d) * 100 + F.dayofmonth(d)
-    return F.when(place(day) > place(today), F.add_months(day, -12)).otherwise(day)
+    """``_last_year``; dates before 2000 are null."""
+    return F.when(F.year(day) >= 2000, _last_year(day, today))
 
 
 def epoch_local(seconds: Column) -> Column:
     """Seconds since 1970 as local time, six hours behind UTC."""
     return (F.timestamp_seconds(seconds) - F.expr("INTERVAL 6 HOURS")).cast("timestamp_ntz")
+
+
+def long_words(text: Column, least: int = 3) -> Column:
+    """Lower case without tags; words of ``least`` characters or more, one space between; no ``_`` and no byte order mark."""
+    bare = F.regexp_replace(F.lower(text), "<[^>]++>", "")
+    kept = F.array_join(F.filter(F.split(bare, r"\s+"), lambda w: F.length(w) >= least), " ")
+    return F.replace(F.replace(kept, F.lit("_"), F.lit("")), F.lit("\ufeff"), F.lit(""))
+
+
+def comments(edges: Column) -> Column:
+    """(text, created_at, id) of each comment of ``edges`` (array of struct node), followed by its replies."""
+    node = lambda n: F.struct(n["text"].alias("text"), n["created_at"].alias("created_at"), n["id"].alias("id"))
+
+    def with_replies(e: Column) -> Column:
+        n = e["node"]
+        replies = F.transform(n["edge_threaded_comments"]["edges"], lambda r: node(r["node"]))
+        return F.concat(F.array(node(n)), F.coalesce(replies, F.array().cast("array<struct<text:string,created_at:bigint,id:string>>")))
+
+    return F.flatten(F.transform(edges, with_replies))
+
+
+# Phrases around dates, and the months' names.
+DATE_PHRASES = ["опубликовано:", "автор:", "автор", "мск", "(-ов)"]
+MONTHS = ["янв", "фев", "мар", "апр", "ма[йя]", "июн", "июл", "авг", "сен", "окт", "ноя", "дек"]
+
+
+def russian_date(text: Column, today: Column) -> Column:
+    """Day of a date in words (``5 марта 2021, 10:00``, ``сегодня``, ``вчера``) or digits (``05.03.2021``).
+
+    Without a year it is of this year; a month after today's is of last year then. Years before 2000, and what is no date,
+    are null.
+    """
+    low = F.lower(text)
+    for phrase in DATE_PHRASES:
+        low = F.replace(low, F.lit(phrase), F.lit(""))
+    part = lambda pattern, i: F.regexp_extract(low, pattern, i).try_cast("int")
+    month = F.coalesce(*(F.when(low.rlike(rf"\d\s+{m}"), F.lit(i)) for i, m in enumerate(MONTHS, 1)))
+    in_words, digits = r"(\d{1,2})\s+[а-я]+\.?(?:\s+(\d{4}))?", r"(\d{1,2})\.(\d{1,2})\.(\d{4})"
+    made = lambda *ymd: F.concat(ymd[0], F.lit("-"), ymd[1], F.lit("-"), ymd[2]).try_cast("date")
+    named = made(F.coalesce(part(in_words, 2), F.year(today)), month, part(in_words, 1))
+    plain = made(part(digits, 3), part(digits, 2), part(digits, 1))
+    day = F.when(low.contains("сегодня"), today).when(low.contains("вчера"), F.date_sub(today, 1)).otherwise(F.coalesce(named, plain))
+    return roll_back(day, today)

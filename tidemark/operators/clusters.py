@@ -97,19 +97,29 @@ def key_objects(all_weights: DataFrame, clusters: DataFrame, n: int) -> DataFram
     return x.withColumn("rank", rank).where(F.col("rank") <= n).select("cluster", "kind", "object", "rank", "weight")
 
 
-def dbscan(distances: DataFrame, points: DataFrame, eps: float, least: int) -> DataFrame:
-    """point, label: -1 for noise, else clusters from 0 by their least core point; a border point joins the lowest.
+def dbscan_grid(distances: DataFrame, points: DataFrame, grid: list[tuple[float, int]]) -> DataFrame:
+    """cell, point, label of density clusterings for each (eps, least points) of ``grid``, all at once.
 
-    ``distances``: a < b, distance (at most ``eps`` are needed); ``points``: point, a long.
+    ``distances``: a < b, distance (at most the greatest eps are needed); ``points``: point, a long of 40 bits at most.
+    Label -1 is noise; clusters count from 0 by their least core point; a border point joins the lowest.
     """
-    near = distances.where(F.col("distance") <= eps).select("a", "b")
-    both = near.unionByName(near.select(F.col("b").alias("a"), F.col("a").alias("b")))
-    core = both.groupBy("a").agg((F.count("*") + 1).alias("n")).where(F.col("n") >= least).select(F.col("a").alias("point"))
-    if least <= 1:
-        core = points.select("point")
-    edges = near.join(core.toDF("a"), "a", "left_semi").join(core.toDF("b"), "b", "left_semi").toDF("u", "v")
-    linked = core.join(components(edges).toDF("point", "c"), "point", "left").select("point", F.coalesce("c", "point").alias("c"))
-    numbers = linked.select("c").distinct().withColumn("label", F.row_number().over(Window.orderBy("c")) - 1)
-    cores = linked.join(numbers, "c").select("point", "label")
-    border = both.join(cores.toDF("b", "label"), "b").groupBy(F.col("a").alias("point")).agg(F.min("label").alias("near"))
-    return points.select("point").join(cores, "point", "left").join(border, "point", "left").select("point", F.coalesce("label", "near", F.lit(-1)).alias("label"))
+    spark, cells = points.sparkSession, len(grid)
+    params = F.broadcast(spark.createDataFrame([(i, float(e), n) for i, (e, n) in enumerate(grid)], "cell int, eps double, least int"))
+    node = lambda c: F.col(c) * cells + F.col("cell")
+    near = distances.crossJoin(params).where("distance <= eps").select("cell", "least", node("a").alias("a"), node("b").alias("b"))
+    every = points.select("point").crossJoin(params).select("cell", "least", "point", node("point").alias("node"))
+    both = near.select("least", "a", "b").unionByName(near.select("least", F.col("b").alias("a"), F.col("a").alias("b")))
+    core = both.groupBy(F.col("a").alias("node")).agg((F.count("*") + 1).alias("n"), F.first("least").alias("least")).where("n >= least").select("node")
+    core = core.unionByName(every.where("least <= 1").select("node")).distinct()
+    edges = near.join(core.toDF("a"), "a", "left_semi").join(core.toDF("b"), "b", "left_semi").select(F.col("a").alias("u"), F.col("b").alias("v"))
+    linked = core.join(components(edges).toDF("node", "c"), "node", "left").select("node", F.coalesce("c", "node").alias("c"))
+    first = linked.select("c").distinct().withColumn("cell", F.col("c") % cells)
+    numbers = first.withColumn("label", F.row_number().over(Window.partitionBy("cell").orderBy("c")) - 1).select("c", "label")
+    cores = linked.join(numbers, "c").select("node", "label")
+    border = both.join(cores.toDF("b", "label"), "b").groupBy(F.col("a").alias("node")).agg(F.min("label").alias("near"))
+    return every.join(cores, "node", "left").join(border, "node", "left").select("cell", "point", F.coalesce("label", "near", F.lit(-1)).alias("label"))
+
+
+def dbscan(distances: DataFrame, points: DataFrame, eps: float, least: int) -> DataFrame:
+    """point, label of one density clustering; see ``dbscan_grid``."""
+    return dbscan_grid(distances, points, [(eps, least)]).select("point", "label")

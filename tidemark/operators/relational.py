@@ -136,6 +136,19 @@ def merge_update(target: DataFrame, changes: DataFrame, key: str) -> DataFrame:
     return out.select(*(F.coalesce(f"__{x}", x).alias(x) if x in cols else F.col(x) for x in target.columns))
 
 
+def upsert(target: DataFrame, changes: DataFrame, keys: list[str], modified: Column | None = None) -> DataFrame:
+    """``target`` with rows of ``changes`` in place of those with equal keys (null equals null), and added where there are
+    none; ``modified`` stamps the changed rows. Of changes with equal keys one is taken."""
+    new = changes.dropDuplicates(keys)
+    if modified is not None:
+        new = new.withColumn("modified", modified)
+    on = None
+    for k in keys:
+        same = target[k].eqNullSafe(new[k])
+        on = same if on is None else on & same
+    return target.join(new, on, "left_anti").unionByName(new, allowMissingColumns=True)
+
+
 def increased_only(target: DataFrame, changes: DataFrame, key: str, counter: str) -> DataFrame:
     """Update a counter only where it grew."""
     out = target.join(changes.select(key, F.col(counter).alias("__new")), key, "left")

@@ -214,3 +214,25 @@ def incremental_cursor(spark, d):
 @query("select event_id from events where date '2024-01-20' - ts::date <= 5")
 def recent_docs(spark, d):
     return table(spark, d, "events").where(F.datediff(F.to_date(F.lit("2024-01-20")), F.to_date("ts")) <= 5).select("event_id")
+
+
+META = "select user_id % 7 as volume_days, event_type as meta_name, min(ts) as from_date, max(ts) as to_date, count(*) as n from events where user_id % 2 = {0} group by 1, 2"
+
+
+@query(f"""with old as ({META.format(0)}), new as ({META.format(1)}) select *, timestamp '2024-02-01' as modified from new union all
+ select *, null from old where not exists (select 1 from new where new.volume_days = old.volume_days and new.meta_name = old.meta_name)""")
+def window_metadata(spark, d):
+    """Upsert of the parameters of time windows."""
+    part = lambda i: (
+        table(spark, d, "events").where(F.col("user_id") % 2 == i).groupBy((F.col("user_id") % 7).alias("volume_days"), F.col("event_type").alias("meta_name"))
+        .agg(F.min("ts").alias("from_date"), F.max("ts").alias("to_date"), F.count("*").alias("n"))
+    )
+    return r.upsert(part(0), part(1), ["volume_days", "meta_name"], F.lit(datetime(2024, 2, 1)).cast("timestamp_ntz"))
+
+
+@query("""select s_suppkey, case when n is not null and n > old then n else old end as views from (select s_suppkey, s_suppkey * 5 as old from supplier)
+ left join (select l_suppkey, count(*) as n from lineitem where l_quantity > 40 group by 1) on l_suppkey = s_suppkey""")
+def counter_update(spark, d):
+    target = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") * 5).alias("views"))
+    new = table(spark, d, "lineitem").where("l_quantity > 40").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.count("*").alias("views"))
+    return r.increased_only(target, new, "s_suppkey", "views")

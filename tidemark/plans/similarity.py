@@ -5,7 +5,7 @@ from __future__ import annotations
 from pyspark.sql import Window
 from pyspark.sql import functions as F
 
-from tidemark.functions.columns import clean, words
+from tidemark.functions.columns import clean, cleaned_words, words
 from tidemark.operators import clusters as cl
 from tidemark.operators import geo
 from tidemark.operators import similarity as sm
@@ -146,6 +146,28 @@ def source_dbscan(spark, d):
     return out.select("point", F.col("label").cast("long").alias("label"))
 
 
+#: Radii and least numbers of neighbours.
+GRID = [(e / 1000, n) for e in range(1, 11) for n in range(1, 10)]
+
+
+@query(f"""with recursive {SOURCES}, grid as (select row_number() over () - 1 as cell, eps, least from (select unnest([{', '.join(str(e) for e, _ in GRID)}]) as eps, unnest([{', '.join(str(n) for _, n in GRID)}]) as least)),
+ near as (select cell, least, a, b from dist, grid where distance <= eps), sides as (select cell, least, a, b from near union all select cell, least, b, a from near),
+ core as (select cell, a as point from sides group by cell, least, a having count(*) + 1 >= least union select cell, row from norm, grid where least <= 1),
+ links as (select s.cell, a, b from sides s join core x on x.cell = s.cell and x.point = a join core y on y.cell = s.cell and y.point = b),
+ reach(cell, p, q) as (select cell, point, point from core union select reach.cell, p, b from reach join links on links.cell = reach.cell and a = q),
+ comp as (select cell, p as point, min(q) as c from reach group by 1, 2), numbered as (select cell, c, row_number() over (partition by cell order by c) - 1 as label from (select distinct cell, c from comp)),
+ cores as (select comp.cell, point, label from comp join numbered on numbered.cell = comp.cell and numbered.c = comp.c),
+ border as (select sides.cell, a as point, min(label) as label from sides join cores on cores.cell = sides.cell and point = b group by 1, 2)
+ select cast(grid.cell as bigint) as cell, row as point, cast(coalesce(cores.label, border.label, -1) as bigint) as label from norm cross join grid left join cores on cores.cell = grid.cell and cores.point = row
+ left join border on border.cell = grid.cell and border.point = row""")
+def source_dbscan_grid(spark, d):
+    """The sources' clusterings over all radii and least numbers, as rows."""
+    v = table(spark, d, "events").groupBy(F.col("user_id").alias("row"), F.col("event_type").alias("col")).agg(F.count("*").cast("double").alias("v"))
+    dist = stored(sm.cosine_distances(v).withColumn("distance", F.floor(F.col("distance") * 1e9 + 0.5) / 1e9).where("distance <= 0.01"), "distances")
+    out = cl.dbscan_grid(dist, v.select(F.col("row").alias("point")).distinct(), GRID)
+    return out.select(F.col("cell").cast("long").alias("cell"), "point", F.col("label").cast("long").alias("label"))
+
+
 @query(None)
 def clots(spark, d):
     found = cl.clots(_distances(spark, d), 0.3, 0.4)
@@ -243,3 +265,31 @@ def doc_locations(spark, d):
         F.array_join(F.slice(words(clean(F.col("text"))), 1, 3), " ").alias("name"),
     )
     return geo.phrase_hits(docs(spark, d), g, [3], ["text"])
+
+
+#: A document's four fields: its text, its first and last sentence-like parts, and its source.
+FIELDS = ["text", "title", "tail", "source"]
+FIELD_SQL = "select doc_id, text, substr(text, 1, 150) as title, right(text, 150) as tail, source from documents where text is not null"
+
+
+@query(f"""with g as (select item_id as location_id, case item_id % 3 when 0 then 'area' when 1 then 'district' else 'locality' end as level,
+ array_to_string(list_slice({WORDS_SQL}, 1, cast(item_id % 3 + 1 as int)), '_') as gram from benchmark), f as ({FIELD_SQL}),
+ t as (select doc_id, {WORDS_SQL} as t from (select doc_id, unnest([text, title, tail, source]) as text from f)),
+ n as (select doc_id, t[i] as gram from (select doc_id, t, unnest(generate_series(1, len(t))) as i from t)
+ union all select doc_id, t[i] || '_' || t[i+1] from (select doc_id, t, unnest(generate_series(1, len(t) - 1)) as i from t)
+ union all select doc_id, t[i] || '_' || t[i+1] || '_' || t[i+2] from (select doc_id, t, unnest(generate_series(1, len(t) - 2)) as i from t)),
+ h as (select doc_id, location_id, level, count(*) as tf from n join g using (gram) where gram <> '' group by 1, 2, 3),
+ l as (select doc_id, cast(sum(len(t)) as bigint) as n_words from t group by 1), s as (select count(*) as n_docs, avg(n_words) as mean_words from l),
+ df as (select location_id, count(distinct doc_id) as df from h group by 1), v as (select l_orderkey as doc_id, (sum(l_quantity) % 7) / 2 as value from lineitem group by 1)
+ select doc_id, location_id, level, tf, {s6('ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n_words / mean_words))', 'weight')}, nullif(value, 0) as value
+ from h join df using (location_id) join l using (doc_id) cross join s left join v using (doc_id)""")
+def location_scores(spark, d):
+    """Places of one to three words in four fields, weighted by BM25, with the documents' values; 0 is no value."""
+    name = F.slice(cleaned_words(F.col("text")), 1, (F.col("item_id") % 3 + 1).cast("int"))
+    g = table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.expr("case item_id % 3 when 0 then 'area' when 1 then 'district' else 'locality' end").alias("level"), F.array_join(name, " ").alias("name"))
+    x = docs(spark, d).where("text is not null").select("doc_id", "text", F.substring("text", 1, 150).alias("title"), F.expr("right(text, 150)").alias("tail"), "source")
+    hits = stored(geo.phrase_hits(x, g, [1, 2, 3], FIELDS), "hits")
+    lengths = x.select("doc_id", sum((F.size(cleaned_words(F.col(f))) for f in FIELDS), F.lit(0)).cast("long").alias("n_words"))
+    n = lengths.agg(F.count("*").alias("n_docs"), F.avg("n_words").alias("mean_words"))
+    values = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id")).agg((F.sum("l_quantity") % 7 / 2).alias("value"))
+    return rounded(geo.with_scores(geo.bm25(hits, lengths, n), values), "weight")

@@ -216,10 +216,11 @@ def date_swap(spark, d):
     return table(spark, d, "events").select("event_id", c.swap_day_month(F.to_date("ts"), F.to_date(F.lit("2024-01-10"))).alias("d"))
 
 
-@query("""select event_id, cast(case when month(ts) * 100 + day(ts) > 115 then ts::date - interval 1 year else ts::date end as date) as d from events""")
+@query("""with x as (select o_orderkey, cast(o_orderdate + interval 6 years as date) as d from orders)
+ select o_orderkey, cast(case when year(d) >= 2000 then case when year(d) = 2003 and month(d) > 6 then d - interval 1 year else d end end as date) as d from x""")
 def date_rollback(spark, d):
-    day = F.to_date("ts")
-    return table(spark, d, "events").select("event_id", c.roll_back(day, F.to_date(F.lit("2024-01-15"))).alias("d"))
+    day = F.add_months(F.to_date("o_orderdate"), 72)
+    return table(spark, d, "orders").select("o_orderkey", c.roll_back(day, F.to_date(F.lit("2003-06-15"))).alias("d"))
 
 
 @query("select event_id, to_timestamp(1700000000 + event_id * 3600)::timestamp - interval 6 hours as t from events")
@@ -242,3 +243,22 @@ def shortcode(spark, d):
 def json_props(spark, d):
     k = F.from_json("props", "k int")["k"]
     return table(spark, d, "events").groupBy("event_type").agg(F.count("*").alias("n"), F.sum(k).alias("total"))
+
+
+@query("""select doc_id, replace(replace(array_to_string(list_filter(string_split_regex(regexp_replace(lower(text), '<[^>]+>', '', 'g'), '\\s+'), lambda w: length(w) >= 3), ' '), '_', ''), chr(65279), '') as kept
+ from documents""")
+def long_words(spark, d):
+    return docs(spark, d).select("doc_id", c.long_words(F.col("text")).alias("kept"))
+
+
+@query("select conv_id, text, turn as created_at, cast(turn as varchar) as id from conversations")
+def comment_flatten(spark, d):
+    """Turns as comments: each even turn is a comment, the odd one after it a reply."""
+    node = F.struct("text", F.col("turn").alias("created_at"), F.col("turn").cast("string").alias("id"))
+    x = table(spark, d, "conversations").withColumn("thread", F.floor(F.col("turn") / 2)).groupBy("conv_id", "thread")
+    x = x.agg(F.array_sort(F.collect_list(F.struct("turn", node.alias("node")))).alias("t"))
+    reply = F.transform(F.slice("t", 2, F.greatest(F.size("t") - 1, F.lit(0))), lambda r: F.struct(r["node"].alias("node")))
+    first = F.col("t")[0]["node"]
+    parent = F.struct(first["text"].alias("text"), first["created_at"].alias("created_at"), first["id"].alias("id"), F.struct(reply.alias("edges")).alias("edge_threaded_comments"))
+    posts = x.groupBy("conv_id").agg(F.collect_list(F.struct(parent.alias("node"))).alias("edges"))
+    return posts.select("conv_id", F.inline(c.comments(F.col("edges"))))
