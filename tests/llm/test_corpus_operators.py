@@ -358,7 +358,7 @@ ODD = ["<|endoftext|> a <|endoftext|>b", "don't (x) y_. z.. 3,4 a²! \"q\"", "x
 
 
 @pytest.mark.parametrize("name, spaced", [("byte_bpe_50k.json", True), ("word_bpe_49k.json", False)])
-@pytest.mark.parametrize("cache", [48 << 20, 1000])
+@pytest.mark.parametrize("cache", [32 << 20, 1000])
 def test_encoder_is_exact(rows, monkeypatch, name, spaced, cache):
     import pyarrow as pa
     from tokenizers import Tokenizer

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tidemark.llm import common, tokens
+from tidemark.llm.exchange import trim
 
 PIECES = "part int, local long, doc_id long, start long, length int, ids_crc32 long, doc_tokens long"
 
@@ -49,6 +50,7 @@ def _cut(path: str, spaced: bool, end_id: int, window: int):
                 ],
                 ["part", "local", "doc_id", "start", "length", "ids_crc32", "doc_tokens"],
             )
+        trim()
 
     return run
 

@@ -19,6 +19,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from tidemark.llm import common, tokens
+from tidemark.llm.exchange import trim
 
 SCHEMA = "part int, part_start long, doc_id long, n_tokens int, ids array<int>"
 #: Bytes of a row group and a page, rows of a page; the dictionary page holds any 16-bit vocabulary.
@@ -49,6 +50,7 @@ def _encode(path: str, spaced: bool, end_id: int):
                 [pa.array(np.full(len(n), part, np.int32)), starts, b.column("doc_id"), pa.array(n.astype(np.int32)), lists],
                 ["part", "part_start", "doc_id", "n_tokens", "ids"],
             )
+        trim()
 
     return run
 

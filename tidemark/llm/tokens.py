@@ -24,7 +24,7 @@ from tidemark.llm import common
 
 #: Bytes of a worker's cache, beyond which it starts anew; bytes of a chunk that may enter it; chunks told to the library
 #: in one text.
-CACHE_BYTES, LONG, JOINED = 48 << 20, 128, 512
+CACHE_BYTES, LONG, JOINED = 32 << 20, 128, 512
 _OPEN: dict[tuple[str, bool], Encoder] = {}
 
 # Kinds of bytes: visible, letter or digit, punctuation, inner byte; first bytes of two-byte letters (but C3 97, C3 B7, C4 B0),
@@ -103,7 +103,8 @@ class Encoder:
         os.environ.setdefault("TOKENIZERS_PARALLELISM", "false")
         from tokenizers import Tokenizer, normalizers, pre_tokenizers
 
-        self.tok, self.plain, self.spaced = Tokenizer.from_file(path), Tokenizer.from_file(path), spaced
+        self.tok, self.spaced = Tokenizer.from_file(path), spaced
+        self.plain = self.tok if spaced else Tokenizer.from_file(path)
         # chunks of plain letters are told in one text: their tokens show where one begins (a space) or ends
         words = self.tok.get_vocab()
         self.edge = np.zeros(max(words.values()) + 1, bool)
