@@ -6,15 +6,16 @@ from pyspark.sql import functions as F
 
 from tidemark.operators import artm, wordpiece
 from tidemark.plans import views
+from tidemark.scratch import stored
 
 ORACLES: dict[str, str] = {}
 
 
 def topic_pipeline(spark, d):
-    """Fit on frequent words, then weights of every document."""
-    s = artm.Settings(topics=10, passes=5, smooth_phi=0.01, decorrelate=0.01)
-    bow = views.doc_words(spark, d).select("doc_id", "word", "tf")
-    return artm.transform(bow, artm.fit(bow, s, vocabulary=500), s)
+    """Fit on the words of all documents, then weights of every document."""
+    s = artm.Settings(topics=10, passes=10, smooth_phi=0.01, decorrelate=0.01)
+    bow = stored(views.doc_words(spark, d).select("doc_id", "word", "tf"), "words")
+    return artm.transform(bow, artm.fit(bow, s), s)
 
 
 def word_pieces(spark, d):
@@ -22,7 +23,7 @@ def word_pieces(spark, d):
     letters = [chr(c) for c in range(97, 123)] + list("äöüßéèêçáíóúñ0123456789.,!?-|*$%&#=\"@+()'")
     vocab = letters + ["##" + c for c in letters] + ["the", "of", "and", "##er", "##en", "##tion", "th", "##ed", "##ing"]
     out = wordpiece.tokenize(views.docs(spark, d), vocab)
-    return out.select("doc_id", F.size("tokens").alias("n_pieces"), F.array_join(F.slice("tokens", 1, 20), " ").alias("first_pieces"))
+    return out.select("doc_id", F.size("tokens").alias("n_pieces"), F.array_join("tokens", " ").alias("pieces"))
 
 
 QUERIES = {"topic_pipeline": topic_pipeline, "wordpiece": word_pieces}
