@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
-from tidemark.operators import artm, clusters, criteria, dynamics, graph, relational, similarity, topics, wordpiece
+from tidemark.operators import artm, clusters, criteria, dynamics, graph, posts, relational, similarity, topics, wordpiece
 from tidemark.sources import files
 from tidemark.streaming import feeds, windows
 
@@ -329,3 +329,71 @@ def test_shared_folder_is_asked_for_on_a_cluster():
     conf = lambda: SimpleNamespace(get=lambda k: None)
     with pytest.raises(RuntimeError):
         scratch.shared_dir(SimpleNamespace(sparkContext=SimpleNamespace(master="yarn", getConf=conf, _jsc=jvm)))
+
+
+def test_posts_of_networks(spark):
+    day = "timestamp_ntz'2024-01-05 10:00:00'"
+    wall = spark.sql(f"select 1 as account_id, -9 as owner_id, 5 as id, {day} as date, repeat('x', 151) as text, struct(2 as count) as comments, struct(3 as count) as reposts, struct(4 as count) as likes")
+    r = posts.wall(wall).first()
+    assert (r["url"], r["num_comments"], r["num_shares"], r["num_likes"], r["num_views"]) == ("1-5", 2, 3, 4, None)
+    assert r["title"] == "Пост от 2024-01-05 10:00:00: " + "x" * 150 + "..." and posts.wall(wall, "owner_id").first()["url"] == "-9-5"
+    photo = spark.sql(f"select 1 as account_id, {day} as date, cast(c as string) as caption, 3 as likes_count, 4 as comments_count, 'u' as display_url from values ('a #b #c'), (null) as t(c)")
+    assert [r["hashtags"] for r in posts.photos(photo).collect()] == [["b", "c"], []]
+    video = spark.sql(f"select 1 as account_id, 'v' as video_id, {day} as date, 't' as video_title, 'd' as video_description, 'a|b' as video_tags, 1 as video_comment_count, 2 as video_like_count, 3 as video_view_count")
+    r = posts.videos(video).first()
+    assert (r["title"], r["text"], r["url"], r["hashtags"], r["num_views"]) == ("Пост от 2024-01-05 10:00:00: t", "d", "1-v", ["a", "b"], 3)
+
+
+def test_posts_inserted_and_updated(spark):
+    rows = [(1, 1, "2024-01-10", "a"), (1, 2, "2024-01-10", "a"), (1, 3, "2024-01-08", "a"), (1, 4, "2024-01-08", "a"), (1, 5, "2024-01-05", "a"), (1, 6, "2024-01-10", ""),
+            (1, 7, "2024-01-10", None), (2, 8, "2020-01-01", "a"), (1, 9, None, "a"), (1, None, "2024-01-10", "a"), (1, None, "2024-01-10", "a"), (1, 1, "2024-01-09", "b")]
+    df = spark.createDataFrame(rows, "account_id long, id long, date string, text string").withColumn("date", F.col("date").cast("timestamp_ntz")).withColumn("views", F.lit(1))
+    target = spark.createDataFrame([("1-2",), ("1-4",), (None,)], "url string")
+    last = spark.sql("select 1L as account_id, timestamp_ntz'2024-01-09 00:00:00' as last")
+    got = sorted((r["url"] or "", r["action"]) for r in posts.planned(posts.channel(df), target, last).collect())
+    assert got == [("", "insert"), ("", "insert"), ("1-1", "insert"), ("1-3", "insert"), ("1-4", "update"), ("1-9", "insert"), ("2-8", "insert")]
+    assert posts.planned(posts.channel(df.limit(0)), target, last).count() == 0
+
+
+def test_coherence_of_the_topic_model(spark):
+    rng = np.random.default_rng(5)
+    counts, cells = rng.random((7, 3)), [(0, 1, 2.0), (1, 4, 0.5), (6, 0, 1.0), (3, 3, 4.0)]
+    want = np.zeros_like(counts)
+    for i, j, v in cells:
+        want[i] += v * counts[j]
+        if i != j:
+            want[j] += v * counts[i]
+    assert np.allclose(artm.neighbours(spark.createDataFrame(cells, "at1 int, at2 int, value double").repartition(3), counts), want)
+    bow = spark.createDataFrame([(d, f"w{(d % 2) * 4 + k}", 1 + k) for d in range(20) for k in range(4)], "doc_id long, word string, tf long")
+    pairs = spark.createDataFrame([("w0", "w1", 1.0), ("w0", "other", 9.0)], "w1 string, w2 string, value double")
+    plain, favoured = (artm.fit(bow, artm.Settings(topics=2, passes=3, coherence=c), pairs=pairs) for c in (0.0, 5.0))
+    share = lambda m: m.phi[[m.words.index(w) for w in ("w0", "w1")]].max(axis=1).sum()
+    assert np.allclose(favoured.phi.sum(axis=0), 1) and share(favoured) > share(plain)
+
+
+def test_mapping_of_windows_equals_dense_formula(spark):
+    rng = np.random.default_rng(11)
+    words = [f"w{i}" for i in range(9)]
+    side = lambda n: [(f"t{t}", w, float(rng.random() + 0.1)) for t in range(n) for w in rng.choice(words, 5, replace=False)]
+    one, two = side(3) + [("t9", "alone", 1.0)], side(4)
+    dist = {(a, b): float(rng.choice([0.0, 0.01, 0.3, 0.7, 1.0])) for i, a in enumerate(words) for b in words[i + 1 :]}
+    alike = lambda a, b: 1.0 if a == b else 1 - dist.get((a, b), dist.get((b, a), 1.0))
+    w1, w2 = (spark.createDataFrame(x, "topic_id string, word string, w double") for x in (one, two))
+    cells = similarity.word_cells(w1, w2, clusters.both_ways(spark.createDataFrame([(*k, v) for k, v in dist.items()], "a string, b string, distance double")))
+    got = {(r["t1"], r["t2"]): r["score"] for r in similarity.semantic_mapping(cells, w1, w2).collect()}
+    mutual = {(r["t1"], r["t2"]): r["score"] for r in similarity.mutual_similarity(cells, w1, w2, 0.5).collect()}
+    for t1 in {t for t, _, _ in one}:
+        for t2 in {t for t, _, _ in two}:
+            rows, cols = (sorted((w, v) for t, w, v in x if t == y) for x, y in ((one, t1), (two, t2)))
+            s = np.round(np.array([[alike(a, b) for b, _ in cols] for a, _ in rows]), 12)
+            weight = np.outer([v for _, v in rows], [v for _, v in cols])
+            whole = 0.0
+            for m, x in ((s, weight), (s.T, weight.T)):
+                best = m.max(axis=1)
+                limit = np.round(best.mean() - best.std(), 12)
+                whole += sum(x[i, m[i].argmax()] * best[i] for i in range(len(best)) if best[i] > limit)
+            true = (weight * (s - 0.8))[s >= 0.97].sum()
+            assert abs(got.pop((t1, t2)) - (true / whole if whole > 0 else 0.0)) < 1e-9
+            total = (weight * s).sum()
+            assert abs(mutual.pop((t1, t2)) - ((weight * s)[s >= 0.5].sum() / total if total > 0 else 0.0)) < 1e-9
+    assert not got and not mutual

@@ -11,7 +11,7 @@ from dataclasses import dataclass
 
 import numpy as np
 import pyarrow as pa
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 #: Largest vocabulary, and bytes of phi, that a model may have.
@@ -26,6 +26,7 @@ class Settings:
     smooth_phi: float = 0.0
     smooth_theta: float = 0.0
     decorrelate: float = 0.0
+    coherence: float = 0.0
 
 
 @dataclass
@@ -62,16 +63,21 @@ def e_step(phi: np.ndarray, at: np.ndarray, tf: np.ndarray, s: Settings) -> tupl
     return theta, p * (tf / total)[:, None], float((tf * np.log(total)).sum())
 
 
-def m_step(counts: np.ndarray, phi: np.ndarray, s: Settings) -> np.ndarray:
-    """Counts and the regularisers' derivatives, negative ones cut, each topic to 1. A topic that loses all keeps phi."""
-    r = counts + s.smooth_phi - s.decorrelate * phi * (phi.sum(axis=1, keepdims=True) - phi)
+def m_step(counts: np.ndarray, phi: np.ndarray, s: Settings, near: np.ndarray | float = 0.0) -> np.ndarray:
+    """Counts and the regularisers' derivatives, negative ones cut, each topic to 1. A topic that loses all keeps phi.
+    ``near``: each word's sum of its co-occurring words' counts."""
+    r = counts + s.smooth_phi - s.decorrelate * phi * (phi.sum(axis=1, keepdims=True) - phi) + s.coherence * near
     r = np.maximum(r, 0)
     total = r.sum(axis=0)
     return np.where(total > 0, r / np.where(total > 0, total, 1), phi)
 
 
+def _known(spark: SparkSession, index: dict[str, int]) -> DataFrame:
+    return spark.createDataFrame(pa.table({"word": pa.array(list(index), pa.string()), "at": pa.array(list(index.values()), pa.int32())}))
+
+
 def _bags(bow: DataFrame, index: dict[str, int]) -> DataFrame:
-    known = bow.sparkSession.createDataFrame(pa.table({"word": pa.array(list(index), pa.string()), "at": pa.array(list(index.values()), pa.int32())}))
+    known = _known(bow.sparkSession, index)
     return bow.join(known, "word").groupBy("doc_id").agg(F.collect_list(F.struct("at", F.col("tf").cast("double").alias("tf"))).alias("bag"))
 
 
@@ -80,14 +86,52 @@ def _rows(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
         yield i, np.array([x["at"] for x in bag]), np.array([x["tf"] for x in bag])
 
 
-def fit(bow: DataFrame, s: Settings, vocabulary: int = MOST_WORDS) -> Model:
-    """``bow``: doc_id, word, tf. The most frequent words make the vocabulary."""
+def _dense(cells: DataFrame, shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Sums of cells (word * topics + topic) as an array, and all cells with their sums."""
+    got = cells.groupBy("cell").agg(F.sum("v").alias("v")).toArrow()
+    at, v = got["cell"].to_numpy(), got["v"].to_numpy()
+    out = np.zeros(shape[0] * shape[1])
+    out[at[at >= 0]] = v[at >= 0]
+    return out.reshape(shape), at, v
+
+
+def _cells(total: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
+    w, t = np.nonzero(total > 1e-9)
+    return w * total.shape[1] + t, total[w, t]
+
+
+def neighbours(pairs: DataFrame, counts: np.ndarray) -> np.ndarray:
+    """For each word and topic, the sum of value * count over the words paired with it. ``pairs``: at1, at2, value, each
+    pair once, in parts that each add up their own; a pair of a word with itself counts once."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        total = np.zeros_like(counts)
+        for b in batches:
+            i, j, v = (b.column(c).to_numpy() for c in ("at1", "at2", "value"))
+            for begin in range(0, len(v), 4096):
+                part = slice(begin, begin + 4096)
+                np.add.at(total, i[part], v[part, None] * counts[j[part]])
+                other = i[part] != j[part]
+                np.add.at(total, j[part][other], v[part][other, None] * counts[i[part][other]])
+        cell, v = _cells(total)
+        yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(v)], ["cell", "v"])
+
+    return _dense(pairs.mapInArrow(run, "cell long, v double"), counts.shape)[0]
+
+
+def fit(bow: DataFrame, s: Settings, vocabulary: int = MOST_WORDS, pairs: DataFrame | None = None) -> Model:
+    """``bow``: doc_id, word, tf. The most frequent words make the vocabulary. ``pairs`` (w1, w2, value; each pair once)
+    are the co-occurrences that ``coherence`` favours; pairs with a word outside the vocabulary don't count."""
     top = bow.groupBy("word").agg(F.sum("tf").alias("n")).orderBy(F.desc("n"), "word").limit(vocabulary)
     words = [r["word"] for r in top.select("word").collect()]
     if len(words) * s.topics * 8 > MOST_BYTES:
         raise ValueError("phi is too large; take fewer words or topics")
     phi, likelihood = start(words, s.topics), []
-    bags = _bags(bow, {w: i for i, w in enumerate(words)}).persist()
+    index = {w: i for i, w in enumerate(words)}
+    bags, linked = _bags(bow, index).persist(), None
+    if s.coherence and pairs is not None:
+        known = _known(bow.sparkSession, index)
+        linked = pairs.join(known.toDF("w1", "at1"), "w1").join(known.toDF("w2", "at2"), "w2").select("at1", "at2", F.col("value").cast("double").alias("value")).persist()
     try:
         for _ in range(s.passes):
 
@@ -98,19 +142,17 @@ def fit(bow: DataFrame, s: Settings, vocabulary: int = MOST_WORDS) -> Model:
                         _, counts, one = e_step(phi, at, tf, s)
                         np.add.at(total, at, counts)
                         log, n = log + one, n + tf.sum()
-                w, t = np.nonzero(total > 1e-9)
-                cell = np.append(w * s.topics + t, [-1, -2])
-                yield pa.RecordBatch.from_arrays([pa.array(cell), pa.array(np.append(total[w, t], [log, n]))], ["cell", "v"])
-
-            cells = bags.mapInArrow(run, "cell long, v double").groupBy("cell").agg(F.sum("v").alias("v")).toArrow()
-            at, v = cells["cell"].to_numpy(), cells["v"].to_numpy()
-            counts = np.zeros(phi.size)
-            counts[at[at >= 0]] = v[at >= 0]
+                cell, v = _cells(total)
+                yield pa.RecordBatch.from_arrays([pa.array(np.append(cell, [-1, -2])), pa.array(np.append(v, [log, n]))], ["cell", "v"])
+
+            counts, at, v = _dense(bags.mapInArrow(run, "cell long, v double"), phi.shape)
             log, n = float(v[at == -1].sum()), float(v[at == -2].sum())
             likelihood.append(float(np.exp(-log / n)) if n else float("nan"))
-            phi = m_step(counts.reshape(phi.shape), phi, s)
+            phi = m_step(counts, phi, s, 0.0 if linked is None else neighbours(linked, counts))
     finally:
         bags.unpersist()
+        if linked is not None:
+            linked.unpersist()
     return Model(words, phi, likelihood)
 
 

@@ -120,11 +120,19 @@ def insert_absent(target: DataFrame, new: DataFrame, key: str) -> DataFrame:
 
 
 def with_dimension(facts: DataFrame, dimension: DataFrame, natural: str, surrogate: str) -> tuple[DataFrame, DataFrame]:
-    """(dimension with the facts' new natural keys, facts with the surrogate key); new keys continue the greatest."""
+    """(dimension with the facts' new natural keys, facts with the surrogate key); new keys continue the greatest.
+
+    New keys are numbered within 4096 buckets of their hash, each after those of the buckets before it.
+    """
     new = facts.select(natural).where(F.col(natural).isNotNull()).distinct().join(dimension.select(natural), natural, "left_anti")
+    new = new.withColumn("__bucket", F.pmod(F.xxhash64(natural), F.lit(4096)))
+    counts = new.groupBy("__bucket").agg(F.count("*").alias("n"))
+    before = F.coalesce(F.sum("n").over(Window.orderBy("__bucket").rowsBetween(Window.unboundedPreceding, -1)), F.lit(0))
     top = dimension.agg(F.coalesce(F.max(surrogate), F.lit(0)).alias("__top"))
-    keyed = new.withColumn("__n", F.row_number().over(Window.orderBy(natural))).crossJoin(F.broadcast(top))
-    whole = dimension.unionByName(keyed.select(natural, (F.col("__top") + F.col("__n")).alias(surrogate)))
+    bases = counts.select("__bucket", before.alias("__base")).crossJoin(F.broadcast(top))
+    inside = F.row_number().over(Window.partitionBy("__bucket").orderBy(natural))
+    keyed = new.withColumn("__n", inside).join(bases, "__bucket")
+    whole = dimension.unionByName(keyed.select(natural, (F.col("__top") + F.col("__base") + F.col("__n")).alias(surrogate)))
     return whole, facts.join(whole, natural, "left")
 
 

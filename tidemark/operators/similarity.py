@@ -35,31 +35,53 @@ def symmetric(upper: DataFrame, row: str = "w1", col: str = "w2", value: str = "
     return x.unionByName(x.where("row <> col").select(F.col("col").alias("row"), F.col("row").alias("col"), "v"))
 
 
-def mutual_similarity(cells: DataFrame, keys: list[str], at_least: float) -> DataFrame:
-    """Weighted similarity of cells at or over a threshold, as a share of all; 0 without any."""
+def word_cells(one: DataFrame, two: DataFrame, distances: DataFrame) -> DataFrame:
+    """t1, t2, i, j, rw, cw, s of two windows' topics (topic_id, word, w): pairs of a word of either whose similarity is
+    over 0; all others have 0. A join on the similar pairs of words (``distances``: a, b, distance, both ways); equal words
+    have 1, listed or not."""
+    alike = distances.where("a <> b and distance < 1").select(F.col("a").alias("i"), F.col("b").alias("j"), (1 - F.col("distance")).alias("s"))
+    equal = one.select(F.col("word").alias("i"), F.col("word").alias("j"), F.lit(1.0).alias("s")).distinct()
+    x = one.select(F.col("topic_id").alias("t1"), F.col("word").alias("i"), F.col("w").alias("rw")).join(alike.unionByName(equal), "i")
+    cells = x.join(two.select(F.col("topic_id").alias("t2"), F.col("word").alias("j"), F.col("w").alias("cw")), "j")
+    return cells.withColumn("s", F.round("s", 12)).where("s > 0").select("t1", "t2", "i", "j", "rw", "cw", "s")
+
+
+def _all_pairs(scores: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
+    """``scores`` with 0 for the pairs of topics it lacks. The names of one model's topics pass through the driver."""
+    names = [r["topic_id"] for r in two.select("topic_id").distinct().orderBy("topic_id").collect()]
+    every = one.select(F.col("topic_id").alias("t1")).distinct().withColumn("t2", F.explode(F.array(*map(F.lit, names)).cast("array<string>")))
+    return every.join(scores, ["t1", "t2"], "left").fillna(0.0, "score")
+
+
+def mutual_similarity(cells: DataFrame, one: DataFrame, two: DataFrame, at_least: float) -> DataFrame:
+    """t1, t2, score: weighted similarity of ``word_cells`` at or over a threshold, as a share of all; 0 without any."""
     x = F.col("rw") * F.col("cw") * F.col("s")
-    total = F.sum(x)
-    return cells.groupBy(*keys).agg(F.when(total > 0, F.sum(F.when(F.col("s") >= at_least, x).otherwise(0.0)) / total).otherwise(0.0).alias("score"))
+    scores = cells.groupBy("t1", "t2").agg((F.sum(F.when(F.col("s") >= at_least, x).otherwise(0.0)) / F.sum(x)).alias("score"))
+    return _all_pairs(scores, one, two)
 
 
-def semantic_mapping(cells: DataFrame, same: float = 0.97, base: float = 0.8) -> DataFrame:
-    """t1, t2, score of word cells (t1, t2, i, j, rw, cw, s).
+def semantic_mapping(cells: DataFrame, one: DataFrame, two: DataFrame, same: float = 0.97, base: float = 0.8) -> DataFrame:
+    """t1, t2, score of all pairs of topics, by their ``word_cells``.
 
     Over each pair of topics: the best column of each row and best row of each column (the first on ties) count fully,
-    if their similarity is over the mean less a deviation of the bests; cells at ``same`` or over count less ``base``.
+    if their similarity is over the mean less a deviation of the bests; cells at ``same`` or over count less ``base``. Words
+    without a cell have 0 as best, so only their number enters mean and deviation.
     """
     pair = ["t1", "t2"]
     side = lambda k: Window.partitionBy(*pair, k)
-    x = cells.withColumn("s", F.round("s", 12))
-    x = x.withColumn("ri", F.row_number().over(side("i").orderBy(F.desc("s"), "j"))).withColumn("rj", F.row_number().over(side("j").orderBy(F.desc("s"), "i")))
     all_of = Window.partitionBy(*pair)
+    size = lambda d, t, n: d.groupBy(F.col("topic_id").alias(t)).agg(F.count("*").alias(n))
+    x = cells.join(size(one, "t1", "ri_n"), "t1").join(size(two, "t2", "rj_n"), "t2")
+    x = x.withColumn("ri", F.row_number().over(side("i").orderBy(F.desc("s"), "j"))).withColumn("rj", F.row_number().over(side("j").orderBy(F.desc("s"), "i")))
     for r in ("ri", "rj"):
-        best = F.when(F.col(r) == 1, F.col("s"))
-        limit = F.round(F.avg(best).over(all_of) - F.stddev_pop(best).over(all_of), 12)
+        best, n = F.when(F.col(r) == 1, F.col("s")), F.col(f"{r}_n")
+        x = x.withColumn("mean", F.sum(best).over(all_of) / n)
+        off = F.sum((best - F.col("mean")) * (best - F.col("mean"))).over(all_of) + (n - F.count(best).over(all_of)) * F.col("mean") * F.col("mean")
+        limit = F.round(F.col("mean") - F.sqrt(off / n), 12)
         x = x.withColumn(f"{r}_part", F.when((F.col(r) == 1) & (F.col("s") > limit), F.col("rw") * F.col("cw") * F.col("s")).otherwise(0.0))
     true = F.sum(F.when(F.col("s") >= same, F.col("rw") * F.col("cw") * (F.col("s") - base)).otherwise(0.0))
     whole = F.sum(F.col("ri_part") + F.col("rj_part"))
-    return x.groupBy(*pair).agg(F.when(whole > 0, true / whole).otherwise(0.0).alias("score"))
+    return _all_pairs(x.groupBy(*pair).agg(F.when(whole > 0, true / whole).otherwise(0.0).alias("score")), one, two)
 
 
 def at_thresholds(scores: DataFrame, thresholds: list[float]) -> DataFrame:

@@ -7,6 +7,7 @@ from datetime import datetime
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import is_latin
+from tidemark.operators import posts
 from tidemark.operators import relational as r
 from tidemark.plans import views
 from tidemark.plans.views import THETA_DT_SQL, THETA_SQL, q6, table
@@ -236,3 +237,20 @@ def counter_update(spark, d):
     target = table(spark, d, "supplier").select("s_suppkey", (F.col("s_suppkey") * 5).alias("views"))
     new = table(spark, d, "lineitem").where("l_quantity > 40").groupBy(F.col("l_suppkey").alias("s_suppkey")).agg(F.count("*").alias("views"))
     return r.increased_only(target, new, "s_suppkey", "views")
+
+
+@query("""with p as (select doc_id % 50 as account_id, doc_id, text, n_chars, timestamp '2024-01-01' + to_days(cast(doc_id % 30 as integer)) as datetime from documents where text <> ''),
+ x as (select *, doc_id % 3 = 0 as known, account_id % 2 = 0 as had from p where account_id % 2 = 1 or datetime >= timestamp '2024-01-07')
+ select account_id, 'Пост от ' || strftime(datetime, '%Y-%m-%d %H:%M:%S') || ': ' || substr(text, 1, 150) || case when length(text) > 150 then '...' else '' end as title,
+ datetime, account_id || '-' || doc_id as url, n_chars::bigint as num_views, case when known then 'update' else 'insert' end as action from x
+ where not known or (had and datetime < timestamp '2024-01-10')""")
+def post_documents(spark, d):
+    """Documents as messages of channels: what a run inserts and updates."""
+    messages = table(spark, d, "documents").select(
+        (F.col("doc_id") % 50).alias("account_id"), F.col("doc_id").alias("id"), "text", F.col("n_chars").alias("views"),
+        F.expr("timestamp_ntz'2024-01-01 00:00:00' + make_dt_interval(cast(doc_id % 30 as int))").alias("date"),
+    )
+    rows = posts.channel(messages)
+    stored_urls = rows.where(F.substring_index("url", "-", -1).cast("long") % 3 == 0)
+    last = rows.select("account_id").distinct().where("account_id % 2 = 0").withColumn("last", F.expr("timestamp_ntz'2024-01-10 00:00:00'"))
+    return posts.planned(rows, stored_urls, last).select("account_id", "title", "datetime", "url", "num_views", "action")

@@ -69,26 +69,28 @@ def source_topic_matrix(spark, d):
 # Mapping of topics between two windows -----------------------------------------------------------------------------
 
 
+#: Words of a topic, the heaviest, without hyphens and of two characters or more.
+TOPIC_WORDS = 100
+
+
 def _phi_of(spark, d, rest):
-    w = views.doc_words(spark, d).where(F.col("doc_id") % 2 == rest).groupBy("topic_id", "word").agg(F.sum("tf").alias("tf"))
+    w = views.doc_words(spark, d).where(F.col("doc_id") % 2 == rest).withColumn("word", F.replace("word", F.lit("-"), F.lit(""))).where("length(word) >= 2").groupBy("topic_id", "word").agg(F.sum("tf").alias("tf"))
     rank = F.row_number().over(Window.partitionBy("topic_id").orderBy(F.desc("tf"), "word"))
-    return w.withColumn("rank", rank).where("rank <= 12").select("topic_id", "word", (F.col("tf") / F.max("tf").over(Window.partitionBy("topic_id"))).alias("w"))
+    return w.withColumn("rank", rank).where(F.col("rank") <= TOPIC_WORDS).select("topic_id", "word", (F.col("tf") / F.max("tf").over(Window.partitionBy("topic_id"))).alias("w"))
 
 
-def _cells(spark, d):
+def _windows(spark, d):
+    """(word cells, words of the first window's topics, of the second's)."""
     one, two = (stored(_phi_of(spark, d, i), "window") for i in (0, 1))
     tagged = one.select(F.concat(F.lit("a"), "topic_id").alias("t"), "word").union(two.select(F.concat(F.lit("b"), "topic_id"), "word"))
     x = tagged.select(F.col("t").alias("doc_id"), "word", F.lit(1).alias("tf"))
     c = sm.cooccurrence(x, x, diagonal=True)
-    dist = cl.both_ways(sm.cosine_distances(sm.symmetric(c)))
-    a, b = one.toDF("t1", "i", "rw"), two.toDF("t2", "j", "cw")
-    pairs = a.join(b)  # topics of two windows: some hundred word rows each
-    return pairs.join(dist.toDF("i", "j", "d"), ["i", "j"], "left").select("t1", "t2", "i", "j", "rw", "cw", (1 - F.coalesce("d", F.when(F.col("i") == F.col("j"), 0.0).otherwise(1.0))).alias("s"))
+    return stored(sm.word_cells(one, two, cl.both_ways(sm.cosine_distances(sm.symmetric(c)))), "cells"), one, two
 
 
 def _phi_sql(name: str, rest: int) -> str:
     return f"""{name} as (select topic_id, word, tf / max(tf) over (partition by topic_id) as w from (select *, row_number() over (partition by topic_id order by tf desc, word) as rank
- from (select topic_id, word, cast(sum(tf) as bigint) as tf from doc_words where doc_id % 2 = {rest} group by 1, 2)) where rank <= 12)"""
+ from (select topic_id, word, cast(sum(tf) as bigint) as tf from (select topic_id, doc_id, replace(word, '-', '') as word, tf from doc_words) where doc_id % 2 = {rest} and length(word) >= 2 group by 1, 2)) where rank <= {TOPIC_WORDS})"""
 
 
 CELLS = f"""{DOC_WORDS_SQL}, {_phi_sql('one', 0)}, {_phi_sql('two', 1)}, x as (select 'a' || topic_id as doc_id, word, 1 as tf from one union all select 'b' || topic_id, word, 1 from two),
@@ -106,13 +108,12 @@ SCORES = f"""{CELLS}, r as (select *, row_number() over (partition by t1, t2, i
 @query(f"""with {CELLS}, g as (select t1, t2, sum(rw * cw * s) as total, sum(case when s >= 0.5 then rw * cw * s else 0 end) as part from cells group by 1, 2)
  select t1, t2, {s6('case when total > 0 then part / total else 0 end', 'score')} from g""")
 def mutual_similarity(spark, d):
-    x = _cells(spark, d).withColumn("s", F.round("s", 12))
-    return rounded(sm.mutual_similarity(x, ["t1", "t2"], 0.5), "score")
+    return rounded(sm.mutual_similarity(*_windows(spark, d), 0.5), "score")
 
 
 @query(f"with {SCORES} select t1, t2, {s6('score')} from scores")
 def topic_mapping(spark, d):
-    return rounded(sm.semantic_mapping(_cells(spark, d)), "score")
+    return rounded(sm.semantic_mapping(*_windows(spark, d)), "score")
 
 
 @query(f"""with {SCORES}, {THETA_SQL}, th as (select unnest([0.02, 0.1, 0.2]) as threshold), mapped as (select threshold::double as threshold, t1, t2 from scores, th where {views.q6('score')} > threshold),
@@ -122,7 +123,7 @@ def topic_mapping(spark, d):
  p as (select threshold, count(distinct t1) / 20 as coverage, {views.q6('avg(j)')} as mj from j group by 1)
  select threshold, {s6('coverage')}, {s6('mj', 'mean_jaccard')}, {s6('(mj - min(mj) over ()) / case when max(mj) over () = min(mj) over () then 1 else max(mj) over () - min(mj) over () end', 'scaled')} from p""")
 def mapping_validation(spark, d):
-    mapped = stored(sm.at_thresholds(rounded(sm.semantic_mapping(_cells(spark, d)), "score"), [0.02, 0.1, 0.2]), "mapped")
+    mapped = stored(sm.at_thresholds(rounded(sm.semantic_mapping(*_windows(spark, d)), "score"), [0.02, 0.1, 0.2]), "mapped")
     return rounded(sm.validate_mapping(mapped, views.theta(spark, d), 20), "coverage", "mean_jaccard", "scaled")
 
 
