@@ -107,6 +107,13 @@ def test_components(spark):
     assert graph.components(spark.createDataFrame([], "u long, v long")).count() == 0
 
 
+def test_components_of_hubs(spark):
+    hubs = [(7, 1000 + i) for i in range(600)] + [(5000, 3000 + i) for i in range(600)] + [(9000 + i, 9001 + i) for i in range(40)]
+    got = {r["node"]: r["component"] for r in graph.components(spark.createDataFrame(hubs + [(1599, 8), (20, 21)], "u long, v long")).collect()}
+    want = {7: 7, 8: 7, 5000: 3000, 20: 20, 21: 20} | {1000 + i: 7 for i in range(600)} | {3000 + i: 3000 for i in range(600)} | {9000 + i: 9000 for i in range(41)}
+    assert got == want
+
+
 def test_dbscan_border_and_noise(spark):
     d = spark.createDataFrame([(1, 2, 0.1), (1, 3, 0.1), (2, 3, 0.1), (3, 4, 0.1), (6, 7, 0.1)], "a long, b long, distance double")
     pts = spark.createDataFrame([(i,) for i in range(1, 9)], "point long")
