@@ -2,6 +2,7 @@
 
 from __future__ import annotations
 
+from tidemark.llm import divergence, negatives, topk
 from tidemark.llm.contamination import op6_decontamination
 from tidemark.llm.jaccard import op1_ngram_jaccard
 from tidemark.llm.katz import op9_katz_score
@@ -25,6 +26,9 @@ QUERIES = {
     "op8_url_filter": op8_url_filter,
     "op9_katz_score": op9_katz_score,
     "op10_secret_scan": op10_secret_scan,
+    "op11_source_divergence": divergence.op11_source_divergence,
+    "op12_topk_search": topk.op12_topk_search,
+    "op13_hard_negatives": negatives.op13_hard_negatives,
 }
 
 # The URL rules in SQL, with links and their components.
@@ -57,5 +61,8 @@ ORACLES: dict[str, str] = {
  f as (select x, y from e where x is not null and y is not null union select y, x from e where x is not null and y is not null),
  reach(p, q) as (select node, node from c where node is not null union select p, y from reach join f on x = q),
  g as (select p as node, max(case when action = 'allow' then 1 else 0 end) as al, max(case when action = 'block' then 1 else 0 end) as bl from reach join c on c.node = q group by 1)
- select page_id, host, path, rule, coalesce(action, case when al = 1 then 'allow' when bl = 1 then 'block' else 'allow' end) as verdict from c left join g using (node)"""
+ select page_id, host, path, rule, coalesce(action, case when al = 1 then 'allow' when bl = 1 then 'block' else 'allow' end) as verdict from c left join g using (node)""",
+    "op11_source_divergence": divergence.ORACLE,
+    "op12_topk_search": topk.ORACLE,
+    "op13_hard_negatives": negatives.ORACLE,
 }

@@ -23,6 +23,9 @@ SAMPLE = 4096
 #: Cells at most.
 CELLS = 256
 
+#: Squares of larger numbers would overflow.
+FINITE = 1e150
+
 NONE = np.iinfo(np.int64).min + 1
 _LIMIT = np.iinfo(np.int64).max
 
@@ -31,14 +34,14 @@ class Table:
     """The vectors that take part: ``rows`` (row, vec_id, label, mat, norm), stored; ``width`` components, each of numpy type
     ``kind``.
 
-    Rows with a null id, a null vector or any null or non-finite component (or one whose 256-fold is not finite) take no
-    part; a shorter vector counts as zero-padded. Each row stands for itself, so repeated ids are different rows.
+    Rows with a null id, a null vector or any null or non-finite component take no part (one whose 256-fold reaches
+    ``FINITE`` counts as non-finite); a shorter vector counts as zero-padded. Each row stands for itself, so repeated ids are different rows.
     """
 
     def __init__(self, vectors: DataFrame, id_col: str, vec_col: str, label_col: str | None = None):
         label = F.lit(0).cast("long") if label_col is None else F.col(label_col).cast("long")
         known = vectors.select(F.col(id_col).cast("long").alias("vec_id"), label.alias("label"), F.col(vec_col).cast("array<double>").alias("vec"))
-        known = known.where("vec_id is not null and label is not null").where(F.forall("vec", lambda x: F.abs(x * 256) < F.lit(float("inf"))))
+        known = known.where("vec_id is not null and label is not null").where(F.forall("vec", lambda x: F.abs(x) < F.lit(FINITE / 256)))
         most = F.greatest(F.array_max("vec"), -F.array_min("vec"))
         found = known.agg(F.max(F.size("vec")).alias("width"), F.max(most).alias("most"), F.count("*").alias("n")).first()
         self.width, self.count = int(found["width"] or 0), int(found["n"])
@@ -102,7 +105,7 @@ def blocks(table: Table, dealt: DataFrame, size: int, name: str, least: int = 1)
 
     A block has cell, block, n, lo and hi (least and greatest place), ``least`` (its first few places), ``parts`` (a struct
     of label, n, center, radius for each label), center and radius of all, and the vectors by ascending id: ids, at (rows),
-    labels, mat. Centers are 32-bit; radii are measured from them and rounded up. A hot cell is cut like any other: rows are
+    labels, mat. Radii are rounded up. A hot cell is cut like any other: rows are
     dealt by range of cell, label, place and row.
     """
     width, kind = table.width, table.kind
@@ -129,7 +132,7 @@ def blocks(table: Table, dealt: DataFrame, size: int, name: str, least: int = 1)
             yield made(rest, number)
 
     def ball(x: np.ndarray) -> tuple[bytes, float]:
-        center = x.mean(axis=0).astype("<f4")
+        center = x.mean(axis=0)
         return center.tobytes(), float(lengths(x - center).max() * (1 + 1e-9)) + 1e-9
 
     def made(b: pa.RecordBatch, number: int) -> pa.RecordBatch:
@@ -167,7 +170,7 @@ class Block:
         get = lambda c: batch.column(f"{prefix}_{c}")[i].as_buffer()
         self.ids, self.rows, self.labels = (np.frombuffer(get(c), np.int64) for c in ("ids", "at", "labels"))
         self.mat = np.frombuffer(get("mat"), kind).reshape(len(self.ids), table_width).astype(np.float64)
-        self.center, self.radius = np.frombuffer(get("center"), "<f4").astype(np.float64), batch.column(f"{prefix}_radius")[i].as_py()
+        self.center, self.radius = np.frombuffer(get("center"), "<f8"), batch.column(f"{prefix}_radius")[i].as_py()
         self.norms = lengths(self.mat)
 
 
@@ -183,7 +186,7 @@ def products(x: np.ndarray, y: np.ndarray) -> np.ndarray:
 def bounds(x: np.ndarray, norms: np.ndarray, block: Block) -> np.ndarray:
     """No inner product of a row of x with the block's vectors is above this (held at the end of the range, as scores are)."""
     out = x @ block.center + norms * block.radius
-    return np.minimum(out + 1e-9 * np.abs(out) + 1, float(_LIMIT))
+    return np.clip(out + 1e-9 * (norms * (lengths(block.center[None]) + block.radius)) + 1, float(NONE), float(_LIMIT))
 
 
 class Best:
@@ -195,7 +198,8 @@ class Best:
 
     def open(self, upper: np.ndarray) -> np.ndarray:
         """Rows that a block with these bounds may still change."""
-        return np.flatnonzero(upper >= self.score[:, -1].astype(np.float64) * (1 - 1e-12) - 1)
+        least = self.score[:, -1].astype(np.float64)
+        return np.flatnonzero(upper >= least - 1e-12 * np.abs(least) - 1)
 
     def add(self, rows: np.ndarray, score: np.ndarray, block: Block) -> None:
         """score: a line for each of ``rows``, a column for each vector of the block; NONE where there is no match."""
