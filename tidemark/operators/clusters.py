@@ -2,12 +2,18 @@
 
 from __future__ import annotations
 
+from collections.abc import Iterator
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.graph import components
+from tidemark.scratch import stored
+
+#: Points whose spanning forests are finished in one task for each least number; more take connected components.
+MOST_FOREST = 200_000
 
 
 def both_ways(distances: DataFrame) -> DataFrame:
@@ -97,12 +103,145 @@ def key_objects(all_weights: DataFrame, clusters: DataFrame, n: int) -> DataFram
     return x.withColumn("rank", rank).where(F.col("rank") <= n).select("cluster", "kind", "object", "rank", "weight")
 
 
-def dbscan_grid(distances: DataFrame, points: DataFrame, grid: list[tuple[float, int]]) -> DataFrame:
+def dbscan_grid(distances: DataFrame, points: DataFrame, grid: list[tuple[float, int]], unlisted: float | None = None) -> DataFrame:
     """cell, point, label of density clusterings for each (eps, least points) of ``grid``, all at once.
 
     ``distances``: a < b, distance (at most the greatest eps are needed); ``points``: point, a long of 40 bits at most.
-    Label -1 is noise; clusters count from 0 by their least core point; a border point joins the lowest.
+    Label -1 is noise; clusters count from 0 by their least core point; a border point joins the lowest. Points without a
+    listed distance are alone; empty tables: no rows. ``unlisted``: no pair is farther apart than this, listed or not, so
+    that from this eps on all points are neighbours.
     """
+    if unlisted is not None and any(e >= unlisted for e, _ in grid):
+        return _grid_with_all(distances, points, grid, unlisted)
+    if points.count() <= MOST_FOREST:
+        return _grid_by_forests(distances, points, grid)
+    return _grid_by_components(distances, points, grid)
+
+
+def _grid_with_all(distances: DataFrame, points: DataFrame, grid: list[tuple[float, int]], unlisted: float) -> DataFrame:
+    """Cells of eps under ``unlisted``, and the others: one cluster of all points if they are enough, else noise."""
+    spark = points.sparkSession
+    some = [(i, c) for i, c in enumerate(grid) if c[0] < unlisted]
+    number = F.broadcast(spark.createDataFrame([(j, i) for j, (i, _) in enumerate(some)], "cell int, own int"))
+    out = dbscan_grid(distances, points, [c for _, c in some]).join(number, "cell").select(F.col("own").alias("cell"), "point", "label")
+    rest = spark.createDataFrame([(i, n) for i, (e, n) in enumerate(grid) if e >= unlisted], "cell int, least int")
+    total = points.agg(F.count_distinct("point").alias("total"))
+    every = points.select("point").distinct().crossJoin(F.broadcast(rest)).crossJoin(F.broadcast(total))
+    return out.unionByName(every.select("cell", "point", F.when(F.col("total") >= F.col("least"), 0).otherwise(-1).alias("label")))
+
+
+def _forest(w: np.ndarray, a: np.ndarray, b: np.ndarray) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """Edges (numbers in ``order``) of a least spanning forest, nodes, and each node's root after every kept edge's union."""
+    nodes, at = np.unique(np.append(a, b), return_inverse=True)
+    parent, kept = list(range(len(nodes))), []
+    left, right, order = at[: len(a)].tolist(), at[len(a) :].tolist(), np.argsort(w, kind="stable")
+    for k in order.tolist():
+        x, y = left[k], right[k]
+        while parent[x] != x:
+            parent[x] = x = parent[parent[x]]
+        while parent[y] != y:
+            parent[y] = y = parent[parent[y]]
+        if x != y:
+            parent[max(x, y)] = min(x, y)
+            kept.append(k)
+            if len(kept) == len(nodes) - 1:
+                break
+    return np.array(kept, np.int64), nodes, at
+
+
+def _local_forests(steps: int):
+    """Of a task's edges (a, b, e, ca, cb), for each least number k the forest by w, the first step at which the edge joins
+    two core points. What a forest leaves out joins nothing that the forest doesn't."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        held: dict[int, list[np.ndarray]] = {}
+
+        def thin(k: int) -> None:
+            w, a, b = held[k]
+            keep = _forest(w, a, b)[0]
+            held[k] = [w[keep], a[keep], b[keep]]
+
+        for x in batches:
+            if not x.num_rows:
+                continue
+            a, b, e = (x.column(c).to_numpy() for c in ("a", "b", "e"))
+            ca, cb = (x.column(c).flatten().to_numpy().reshape(x.num_rows, -1) for c in ("ca", "cb"))
+            for k in range(ca.shape[1]):
+                w = np.maximum(np.maximum(ca[:, k], cb[:, k]), e)
+                ok = w < steps
+                old = held.get(k, [np.zeros(0, w.dtype), a[:0], b[:0]])
+                held[k] = [np.append(o, n[ok]) for o, n in zip(old, (w, a, b), strict=True)]
+                thin(k)
+        for k, (w, a, b) in held.items():
+            yield pa.RecordBatch.from_arrays([pa.array(np.full(len(w), k, np.int32)), pa.array(w.astype(np.int32)), pa.array(a), pa.array(b)], ["k", "w", "a", "b"])
+
+    return run
+
+
+def _roots(steps: int):
+    """k, i, point, root: of each step the nodes with an edge of at most that step, and their least node."""
+
+    def run(t: pa.Table) -> pa.Table:
+        w, a, b = (t[c].to_numpy() for c in ("w", "a", "b"))
+        keep, nodes, at = _forest(w, a, b)
+        left, right, w = at[: len(a)][keep], at[len(a) :][keep], w[keep]
+        root, seen, out, done = np.arange(len(nodes)), np.zeros(len(nodes), bool), [], 0
+        for i in range(steps):
+            upto = int(np.searchsorted(w, i, "right"))
+            for x, y in zip(left[done:upto].tolist(), right[done:upto].tolist(), strict=True):
+                while root[x] != x:
+                    root[x] = x = root[root[x]]
+                while root[y] != y:
+                    root[y] = y = root[root[y]]
+                root[max(x, y)] = min(x, y)
+            seen[left[done:upto]] = seen[right[done:upto]] = True
+            done = upto
+            while (root != root[root]).any():
+                root = root[root]
+            n = np.flatnonzero(seen)
+            out.append((np.full(len(n), i, np.int32), nodes[n], nodes[root[n]]))
+        i, point, top = (np.concatenate(c) for c in zip(*out, strict=True))
+        return pa.table({"k": pa.array(np.full(len(i), t["k"][0].as_py(), np.int32)), "i": i, "point": point, "root": top})
+
+    return run
+
+
+def _grid_by_forests(distances: DataFrame, points: DataFrame, grid: list[tuple[float, int]]) -> DataFrame:
+    """A point is core at step i of eps if it has enough neighbours; an edge joins two core points from step w on, the
+    greatest of its own step and its ends' first core steps. So for each least number one spanning forest by w has the
+    clusters of every eps, and the pairs are read a few times whatever the number of cells."""
+    spark = points.sparkSession
+    eps, leasts = sorted({float(e) for e, _ in grid}), sorted({n for _, n in grid})
+    steps = len(eps)
+    step = sum(((F.col("distance") > e).cast("int") for e in eps), F.lit(0))
+    pairs = stored(distances.select(F.col("a").cast("long").alias("a"), F.col("b").cast("long").alias("b"), step.alias("e")).where(F.col("e") < steps), "pairs")
+    both = pairs.unionByName(pairs.select(F.col("b").alias("a"), F.col("a").alias("b"), "e"))
+    n = both.groupBy(F.col("a").alias("point")).agg(*[F.count_if(F.col("e") <= i).alias(f"n{i}") for i in range(steps)])
+    every = points.select(F.col("point").cast("long").alias("point")).distinct().join(n, "point", "left").fillna(0)
+
+    def first_step(least: int):
+        out = F.lit(steps)
+        for i in reversed(range(steps)):
+            out = F.when(F.col(f"n{i}") + 1 >= least, i).otherwise(out)
+        return out
+
+    every = stored(every.select("point", F.array(*map(first_step, leasts)).alias("core")), "points")
+    edges = pairs.join(every.toDF("a", "ca"), "a").join(every.toDF("b", "cb"), "b")
+    forests = edges.mapInArrow(_local_forests(steps), "k int, w int, a long, b long")
+    roots = forests.groupBy("k").applyInArrow(_roots(steps), "k int, i int, point long, root long")
+    spread = every.select("point", F.posexplode("core").alias("k", "c")).withColumn("i", F.explode(F.sequence(F.lit(0), F.lit(steps - 1))))
+    cores = spread.where("c <= i").join(roots, ["k", "i", "point"], "left").select("k", "i", "point", F.coalesce("root", "point").alias("root"))
+    cores = stored(cores.select("k", "i", "point", (F.dense_rank().over(Window.partitionBy("k", "i").orderBy("root")) - 1).alias("label")), "cores")
+    # a point that is not core has fewer neighbours than the greatest least number
+    near = both.join(every.select(F.col("point").alias("a"), F.posexplode("core").alias("k", "c")), "a")
+    near = near.where(F.col("c") > F.col("e")).withColumn("i", F.explode(F.expr("sequence(e, c - 1)")))
+    border = near.join(cores.withColumnRenamed("point", "b"), ["k", "i", "b"]).groupBy("k", "i", F.col("a").alias("point")).agg(F.min("label").alias("near"))
+    cells = spark.createDataFrame([(j, eps.index(float(e)), leasts.index(n)) for j, (e, n) in enumerate(grid)], "cell int, i int, k int")
+    out = every.select("point").crossJoin(F.broadcast(cells)).join(cores, ["k", "i", "point"], "left").join(border, ["k", "i", "point"], "left")
+    return out.select("cell", "point", F.coalesce("label", "near", F.lit(-1)).alias("label"))
+
+
+def _grid_by_components(distances: DataFrame, points: DataFrame, grid: list[tuple[float, int]]) -> DataFrame:
     spark, cells = points.sparkSession, len(grid)
     params = F.broadcast(spark.createDataFrame([(i, float(e), n) for i, (e, n) in enumerate(grid)], "cell int, eps double, least int"))
     node = lambda c: F.col(c) * cells + F.col("cell")

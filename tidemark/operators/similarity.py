@@ -35,6 +35,18 @@ def symmetric(upper: DataFrame, row: str = "w1", col: str = "w2", value: str = "
     return x.unionByName(x.where("row <> col").select(F.col("col").alias("row"), F.col("row").alias("col"), "v"))
 
 
+def source_vectors(theta: DataFrame, most: int = 1000) -> DataFrame:
+    """source, topic_id, weight: summed topic weights of the ``most`` sources with the most rows (ties by source).
+
+    ``theta``: source, topic_id, topic_weight. Rows of a null source are nobody's; a null weight counts as a row, not as
+    weight. The sums are combined before any shuffle, so a hot source is a row for each topic and task.
+    """
+    x = theta.where("source is not null").groupBy("source", "topic_id").agg(F.sum("topic_weight").alias("weight"), F.count("*").alias("n"))
+    x = stored(x, "sources")
+    top = x.groupBy("source").agg(F.sum("n").alias("n")).orderBy(F.desc("n"), "source").limit(most)
+    return x.join(F.broadcast(top.select("source")), "source", "left_semi").select("source", "topic_id", "weight")  # ``most`` rows at most
+
+
 def word_cells(one: DataFrame, two: DataFrame, distances: DataFrame) -> DataFrame:
     """t1, t2, i, j, rw, cw, s of two windows' topics (topic_id, word, w): pairs of a word of either whose similarity is
     over 0; all others have 0. A join on the similar pairs of words (``distances``: a, b, distance, both ways); equal words

@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions.columns import clean, cleaned_words, words
 from tidemark.operators import clusters as cl
-from tidemark.operators import geo
+from tidemark.operators import cosine, geo
 from tidemark.operators import similarity as sm
 from tidemark.plans import views
 from tidemark.plans.topics import rounded, s6
@@ -59,11 +59,31 @@ def cosine_distance(spark, d):
     return rounded(_distances(spark, d), "distance")
 
 
-@query(f"""with {THETA_SQL} select topic_id, {', '.join(f"{s6(f'coalesce(sum(topic_weight) filter (document_id % 5 = {i}), 0)', f's{i}')}" for i in range(5))} from theta group by 1""")
+#: Sources are the customers of the orders; the largest thousand have a vector.
+MOST_SOURCES = 1000
+SOURCE_SQL = f"""{THETA_SQL}, every as (select o_custkey as source, topic_id, sum(topic_weight) as weight, count(*) as n from theta join orders on o_orderkey = document_id where o_custkey is not null group by 1, 2),
+ largest as (select source from every group by 1 order by sum(n) desc, source limit {MOST_SOURCES}), source_topics as (select * from every semi join largest using (source))"""
+
+
+def _source_topics(spark, d):
+    by = table(spark, d, "orders").select(F.col("o_orderkey").alias("document_id"), F.col("o_custkey").alias("source"))
+    return stored(sm.source_vectors(views.theta(spark, d).join(by, "document_id"), MOST_SOURCES), "vectors")
+
+
+@query(f"""with {SOURCE_SQL} select source, {', '.join(s6(f"coalesce(sum(weight) filter (topic_id = 'topic_{i}'), 0)", f't{i}') for i in range(20))} from source_topics group by 1""")
 def source_topic_matrix(spark, d):
-    x = views.theta(spark, d).withColumn("source", F.concat(F.lit("s"), F.col("document_id") % 5))
-    m = x.groupBy("topic_id").pivot("source", [f"s{i}" for i in range(5)]).agg(F.sum("topic_weight")).fillna(0.0)
-    return rounded(m, *(f"s{i}" for i in range(5)))
+    """The largest sources' vectors over the topics."""
+    m = _source_topics(spark, d).groupBy("source").pivot("topic_id", [f"topic_{i}" for i in range(20)]).agg(F.sum("weight")).fillna(0.0)
+    return rounded(m.toDF("source", *(f"t{i}" for i in range(20))), *(f"t{i}" for i in range(20)))
+
+
+@query(f"""with {SOURCE_SQL}, norm as (select source, sqrt(sum(weight * weight)) as n from source_topics group by 1),
+ dot as (select a.source as a, b.source as b, sum(a.weight * b.weight) as dot from source_topics a join source_topics b using (topic_id) where a.source < b.source group by 1, 2)
+ select a, b, {s6('dot / (x.n * y.n)', 'similarity')} from dot join norm x on x.source = a join norm y on y.source = b where round(dot / (x.n * y.n), 9) >= 0.85""")
+def similar_sources(spark, d):
+    """Pairs of sources of cosine 0.85 or more."""
+    v = _source_topics(spark, d).toDF("row", "col", "v")
+    return rounded(cosine.similar_pairs(v, 0.85 - 1e-8).where(F.round("similarity", 9) >= 0.85), "similarity")
 
 
 # Mapping of topics between two windows -----------------------------------------------------------------------------
@@ -142,30 +162,38 @@ SOURCES = """v as (select user_id as row, event_type as col, count(*)::double as
  select row as point, cast(coalesce(cores.label, border.label, -1) as bigint) as label from norm left join cores on cores.point = row left join border on border.point = row""")
 def source_dbscan(spark, d):
     v = table(spark, d, "events").groupBy(F.col("user_id").alias("row"), F.col("event_type").alias("col")).agg(F.count("*").cast("double").alias("v"))
-    dist = sm.cosine_distances(v).withColumn("distance", F.floor(F.col("distance") * 1e9 + 0.5) / 1e9)
+    pairs = cosine.similar_pairs(v, 0.99 - 1e-8).select("a", "b", (1 - F.col("similarity")).alias("distance"))
+    dist = pairs.withColumn("distance", F.floor(F.col("distance") * 1e9 + 0.5) / 1e9)
     out = cl.dbscan(dist, v.select(F.col("row").alias("point")).distinct(), 0.01, 4)
     return out.select("point", F.col("label").cast("long").alias("label"))
 
 
-#: Radii and least numbers of neighbours.
-GRID = [(e / 1000, n) for e in range(1, 11) for n in range(1, 10)]
-
-
-@query(f"""with recursive {SOURCES}, grid as (select row_number() over () - 1 as cell, eps, least from (select unnest([{', '.join(str(e) for e, _ in GRID)}]) as eps, unnest([{', '.join(str(n) for _, n in GRID)}]) as least)),
- near as (select cell, least, a, b from dist, grid where distance <= eps), sides as (select cell, least, a, b from near union all select cell, least, b, a from near),
- core as (select cell, a as point from sides group by cell, least, a having count(*) + 1 >= least union select cell, row from norm, grid where least <= 1),
- links as (select s.cell, a, b from sides s join core x on x.cell = s.cell and x.point = a join core y on y.cell = s.cell and y.point = b),
- reach(cell, p, q) as (select cell, point, point from core union select reach.cell, p, b from reach join links on links.cell = reach.cell and a = q),
- comp as (select cell, p as point, min(q) as c from reach group by 1, 2), numbered as (select cell, c, row_number() over (partition by cell order by c) - 1 as label from (select distinct cell, c from comp)),
- cores as (select comp.cell, point, label from comp join numbered on numbered.cell = comp.cell and numbered.c = comp.c),
- border as (select sides.cell, a as point, min(label) as label from sides join cores on cores.cell = sides.cell and point = b group by 1, 2)
- select cast(grid.cell as bigint) as cell, row as point, cast(coalesce(cores.label, border.label, -1) as bigint) as label from norm cross join grid left join cores on cores.cell = grid.cell and cores.point = row
- left join border on border.cell = grid.cell and border.point = row""")
+#: The radii and least numbers of the grid.
+GRID = [(e / 10, n) for e in range(1, 11) for n in range(1, 10)]
+
+
+@query(f"""with recursive {SOURCE_SQL}, norm as (select source as row, sqrt(sum(weight * weight)) as n from source_topics group by 1),
+ dot as (select a.source as a, b.source as b, sum(a.weight * b.weight) as dot from source_topics a join source_topics b using (topic_id) where a.source < b.source group by 1, 2),
+ dist as (select x.row as a, y.row as b, floor((1 - coalesce(dot, 0) / (x.n * y.n)) * 1e9 + 0.5) / 1e9 as distance from norm x join norm y on x.row < y.row left join dot on a = x.row and b = y.row),
+ eps as (select unnest(range(1, 11)) as i), leasts as (select unnest(range(1, 10)) as least), grid as (select i, least, (i - 1) * 9 + least - 1 as cell from eps, leasts),
+ pairs as (select a, b, cast(greatest(ceil(distance * 10), 1) as bigint) as i from dist union all select b, a, cast(greatest(ceil(distance * 10), 1) as bigint) from dist),
+ hist as (select a as point, i, count(*) as n from pairs where i <= 10 group by 1, 2), near as (select row as point, eps.i, coalesce(sum(hist.n), 0) + 1 as n from norm cross join eps left join hist on point = row and hist.i <= eps.i group by 1, 2),
+ core as (select i, least, cell, point from near join grid using (i) where n >= least),
+ links as (select x.cell, a, b from pairs p join core x on x.i >= p.i and x.point = a join core y on y.cell = x.cell and y.point = b where b < a),
+ reach(cell, point, c) using key (cell, point) as (select cell, point, point from core union
+  (select r.cell, r.point, min(t.c) from (select cell, a as point, b as other from links union all select cell, b, a from links) l join reach t on t.cell = l.cell and t.point = l.other join recurring.reach r on r.cell = l.cell and r.point = l.point
+   where t.c < r.c group by 1, 2)),
+ numbered as (select cell, point, dense_rank() over (partition by cell order by c) - 1 as label from reach),
+ border as (select g.cell, p.a as point, min(label) as label from pairs p join grid g on g.i >= p.i join near x on x.point = p.a and x.i = g.i and x.n < g.least join numbered y on y.cell = g.cell and y.point = p.b group by 1, 2)
+ select cast(grid.cell as bigint) as cell, row as point, cast(coalesce(x.label, y.label, -1) as bigint) as label from norm cross join grid left join numbered x on x.cell = grid.cell and x.point = row
+ left join border y on y.cell = grid.cell and y.point = row""")
 def source_dbscan_grid(spark, d):
-    """The sources' clusterings over all radii and least numbers, as rows."""
-    v = table(spark, d, "events").groupBy(F.col("user_id").alias("row"), F.col("event_type").alias("col")).agg(F.count("*").cast("double").alias("v"))
-    dist = stored(sm.cosine_distances(v).withColumn("distance", F.floor(F.col("distance") * 1e9 + 0.5) / 1e9).where("distance <= 0.01"), "distances")
-    out = cl.dbscan_grid(dist, v.select(F.col("row").alias("point")).distinct(), GRID)
+    """The sources' clusterings over all radii and least numbers, as rows. Weights are not negative, so that every pair that
+    shares a topic is within 1, and two sources without a common topic are at 1."""
+    v = _source_topics(spark, d).toDF("row", "col", "v")
+    pairs = cosine.similar_pairs(v, 0.1 - 1e-8).select("a", "b", (1 - F.col("similarity")).alias("distance"))
+    pairs = stored(pairs.withColumn("distance", F.floor(F.col("distance") * 1e9 + 0.5) / 1e9), "distances")
+    out = cl.dbscan_grid(pairs, v.select(F.col("row").alias("point")).distinct(), GRID)
     return out.select(F.col("cell").cast("long").alias("cell"), "point", F.col("label").cast("long").alias("label"))
 
 
