@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import min_max
+from tidemark.operators.quantiles import quantiles
 from tidemark.operators.topics import topic_index
 
 #: Keeps odds finite.
@@ -104,8 +105,8 @@ def document_classes(theta: DataFrame, p4: DataFrame, topics: int) -> DataFrame:
 
 
 def thresholds(values: DataFrame, low: float, high: float, value: str = "value") -> DataFrame:
-    """Exact percentiles of a column: low_at, high_at."""
-    return values.agg(F.percentile(value, F.lit(low)).alias("low_at"), F.percentile(value, F.lit(high)).alias("high_at"))
+    """Exact percentiles of a column: low_at, high_at, one row; see ``quantiles`` for how and for nulls."""
+    return values.sparkSession.createDataFrame([tuple(quantiles(values, value, [low, high]))], "low_at double, high_at double")
 
 
 def report(theta: DataFrame, m: DataFrame, limits: DataFrame, kind: int, least_topics: int = 0) -> DataFrame:

@@ -8,6 +8,7 @@ from tidemark.functions.columns import q6
 from tidemark.operators import criteria as cr
 from tidemark.operators import dynamics as dy
 from tidemark.operators import topics as tp
+from tidemark.operators.quantiles import quantiles
 from tidemark.plans import views
 from tidemark.scratch import stored
 from tidemark.plans.views import DOC_WORDS_SQL, EVAL_SQL, PHI_SQL, THETA_DT_SQL, THETA_SQL, docs
@@ -304,7 +305,7 @@ def mma_classes(spark, d):
 @query(f"""with {_eval_sql()}, v as ({VALUE}) select {s6('quantile_cont(value, 0.1)', 'low_at')}, {s6('quantile_cont(value, 0.9)', 'high_at')} from v""")
 def percentile_threshold(spark, d):
     v = cr.evaluate(views.theta(spark, d), _marks(spark, d))
-    return rounded(cr.thresholds(v, 0.1, 0.9), "low_at", "high_at")
+    return rounded(cr.thresholds(stored(v, "values"), 0.1, 0.9), "low_at", "high_at")
 
 
 LIMITS = f"""e as ({VALUE}), limits as (select (select quantile_cont(value, {{0}}) from e) as value_at, (select quantile_cont(topic_weight, 0.6) from theta) as weight_at),
@@ -313,9 +314,9 @@ LIMITS = f"""e as ({VALUE}), limits as (select (select quantile_cont(value, {{0}
 
 
 def _report(spark, d, at, kind):
-    theta, m = views.theta(spark, d), _marks(spark, d)
-    value_at = cr.evaluate(theta, m).agg(F.percentile("value", F.lit(at)).alias("value_at"))
-    limits = value_at.crossJoin(theta.agg(F.percentile("topic_weight", F.lit(0.6)).alias("weight_at")))
+    theta, m = stored(views.theta(spark, d), "theta"), _marks(spark, d)
+    value_at = quantiles(stored(cr.evaluate(theta, m), "values"), "value", [at])
+    limits = spark.createDataFrame([(*value_at, *quantiles(theta, "topic_weight", [0.6]))], "value_at double, weight_at double")
     return rounded(cr.report(theta, m, limits, kind, 2), "value")
 
 
