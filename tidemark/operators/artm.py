@@ -1,7 +1,7 @@
 """Additively regularised topic model by expectation-maximisation.
 
 phi (words x topics) goes to the tasks as one array, within a checked size; each task runs the E-step over its documents
-and sends sparse counts back, which are summed by word before the driver forms the next phi.
+and sends sparse counts back, which are summed by word before the driver forms the next phi. Larger models: ``sharded``.
 """
 
 from __future__ import annotations
@@ -42,12 +42,12 @@ class Model:
         return spark.createDataFrame(rows)
 
 
-def start(words: list[str], topics: int) -> np.ndarray:
-    """Positive values that depend on word and topic alone, each topic adding to 1."""
+def start(words: list[str], topics: int, scaled: bool = True) -> np.ndarray:
+    """Positive values that depend on word and topic alone, each topic adding to 1 if ``scaled``."""
     import zlib
 
     h = np.array([[zlib.crc32(f"{w}|{t}".encode()) % 10_007 + 1 for t in range(topics)] for w in words], float)
-    return h / h.sum(axis=0)
+    return h / h.sum(axis=0) if scaled else h
 
 
 def e_step(phi: np.ndarray, at: np.ndarray, tf: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, float]:
@@ -125,7 +125,7 @@ def fit(bow: DataFrame, s: Settings, vocabulary: int = MOST_WORDS, pairs: DataFr
     top = bow.groupBy("word").agg(F.sum("tf").alias("n")).orderBy(F.desc("n"), "word").limit(vocabulary)
     words = [r["word"] for r in top.select("word").collect()]
     if len(words) * s.topics * 8 > MOST_BYTES:
-        raise ValueError("phi is too large; take fewer words or topics")
+        raise ValueError("phi is too large for one array; sharded.fit keeps it in a table")
     phi, likelihood = start(words, s.topics), []
     index = {w: i for i, w in enumerate(words)}
     bags, linked = _bags(bow, index).persist(), None

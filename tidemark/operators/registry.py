@@ -10,6 +10,7 @@ import numpy as np
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tidemark.operators import sharded
 from tidemark.operators.artm import Model
 from tidemark.sources.files import overwrite_partitions
 
@@ -26,6 +27,22 @@ def save(spark: SparkSession, path: str, name: str, model: Model, corpus: str =
     overwrite_partitions(entry, f"{path}/models", "name")
 
 
+def save_sharded(spark: SparkSession, path: str, name: str, model: sharded.Model, corpus: str = "", documents: int = 0, ready: bool = True) -> None:
+    """A model whose weights are a table; they are written from where they lie."""
+    rows = model.rows().select(F.lit(name).alias("name"), "word", "place", "weights")
+    overwrite_partitions(rows, f"{path}/phi", "name")
+    last = float(model.perplexity[-1]) if model.perplexity else None
+    entry = spark.createDataFrame([(name, corpus, len(model.totals), documents, last, ready)], INFO)
+    overwrite_partitions(entry, f"{path}/models", "name")
+
+
+def load_sharded(spark: SparkSession, path: str, name: str) -> sharded.Model:
+    """A saved model of any size, its weights left where they lie."""
+    entry = find(spark, path, name)
+    rows = spark.read.schema(PHI).parquet(f"{path}/phi").where(F.col("name") == name).select("word", "place", "weights")
+    return sharded.Model.of_rows(rows, entry["number_of_topics"], [] if entry["perplexity"] is None else [entry["perplexity"]])
+
+
 def models(spark: SparkSession, path: str) -> DataFrame:
     return spark.read.schema(INFO).parquet(f"{path}/models")
 

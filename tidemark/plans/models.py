@@ -4,7 +4,7 @@ from __future__ import annotations
 
 from pyspark.sql import functions as F
 
-from tidemark.operators import artm, wordpiece
+from tidemark.operators import artm, sharded, wordpiece
 from tidemark.plans import views
 from tidemark.scratch import stored
 
@@ -18,6 +18,13 @@ def topic_pipeline(spark, d):
     return artm.transform(bow, artm.fit(bow, s), s)
 
 
+def topic_model_sharded(spark, d):
+    """Words' weights after two passes of a model whose phi is a table, fitted on the words of all documents."""
+    s = artm.Settings(topics=20, passes=2, smooth_phi=0.01, decorrelate=0.01)
+    bow = stored(views.doc_words(spark, d).select("doc_id", "word", "tf"), "words")
+    return sharded.fit(bow, s).phi()
+
+
 def word_pieces(spark, d):
     """Pieces of every document over a vocabulary of letters and frequent beginnings."""
     letters = [chr(c) for c in range(97, 123)] + list("äöüßéèêçáíóúñ0123456789.,!?-|*$%&#=\"@+()'")
@@ -26,4 +33,4 @@ def word_pieces(spark, d):
     return out.select("doc_id", F.size("tokens").alias("n_pieces"), F.array_join("tokens", " ").alias("pieces"))
 
 
-QUERIES = {"topic_pipeline": topic_pipeline, "wordpiece": word_pieces}
+QUERIES = {"topic_pipeline": topic_pipeline, "topic_model_sharded": topic_model_sharded, "wordpiece": word_pieces}
