@@ -10,7 +10,7 @@ import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
-from tidemark.llm import divergence, negatives, topk, vectors
+from tidemark.llm import divergence, language, negatives, topk, url_filter, vectors
 
 TERM = re.compile("[^\x00-\x40\x5b-\x60\x7b-\x7f]+")
 
@@ -224,3 +224,26 @@ def test_no_vectors_or_queries(spark):
     for rows in ([], [(1, [1.0], 1)], [(20, [1.0], 1)], [(20, None, 1)], [(20, [], 1), (21, [], 1), (22, [], 2)]):
         assert sorted(tuple(r) for r in topk.search(frame(spark, rows), F.col("vec_id") % 20 == 0).collect()) == brute_search(rows, 20, 5)
         assert sorted(tuple(r) for r in negatives.mine(frame(spark, rows), F.col("vec_id") % 20 == 0).collect()) == brute_mine(rows, 20)
+
+
+# 3, 8: pages of markup that is never closed ---------------------------------------------------------------------------
+@pytest.mark.parametrize("piece", ["<link rel=canonical ", "<link rel='a canonical' ", "<script>", "<!--", "<html lang", "<", "<meta http-equiv=refresh url=", "<link rel=" + " " * 40])
+def test_open_markup_is_read_once(spark, piece):
+    import time
+
+    page = piece * (1_000_000 // len(piece))
+    df = spark.createDataFrame([(1, "http://a.b/c", page), (2, "http://a.b/c", f"<link {page}>")], "page_id long, url string, html string")
+    begin = time.time()
+    url_filter.links(df).agg(F.count("*")).collect()
+    language.page_rows(df).select(F.sum(F.length("text")), F.max("declared")).collect()
+    assert time.time() - begin < 20
+
+
+def test_links_of_pages(spark):
+    rows = [
+        (1, "http://a.b/c", '<LINK href="/x" REL="next canonical">'), (2, "http://a.b/c/d", "<link rel=canonical href='http://q/r'>"), (3, "http://a.b/c", '<link rel="canonicalx" href="/n"><link rel=\'canonical\' href=/y>'),
+        (4, "http://a.b/c", '<link rel="canonical" href="/open"'), (5, "http://a.b/c/d", "<meta http-equiv=refresh content='0; url=z'>"), (6, "http://a.b/c", None), (7, None, '<link rel=canonical href="/x">'),
+    ]
+    df = spark.createDataFrame(rows, "page_id long, url string, html string")
+    got = sorted((r["page_id"], r["target"]) for r in url_filter.links(df).collect())
+    assert got == [(1, "http://a.b/x"), (2, "http://q/r"), (3, "http://a.b/y"), (5, "http://a.b/c/z")]

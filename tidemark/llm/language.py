@@ -196,13 +196,18 @@ def identify(rows: DataFrame, labelled: DataFrame, folds: int = 1) -> DataFrame:
 
 
 def page_rows(pages: DataFrame) -> DataFrame:
-    """id, text, declared, host, suffix of raw pages: markup removed, the html tag's lang, the host and its last label."""
-    text = F.regexp_replace(F.regexp_replace("html", r"(?is)<(script|style|nav)\b.*?</\1\s*>|<!--.*?-->", " "), r"(?s)<[^>]*>", " ")
+    """id, text, declared, host, suffix of raw pages: markup removed, the html tag's lang, the host and its last label.
+
+    What is never closed runs to the end of the page, a tag to the next angle bracket, so that html of any length is read
+    once for each expression."""
+    hidden = r"(?is)<(script|style|nav)\b.*?(?:</\1\s*+>|\z)|<!--.*?(?:-->|\z)"
+    text = F.regexp_replace(F.regexp_replace("html", hidden, " "), r"(?s)<[^<>]*+>", " ")
+    tag = F.regexp_extract("html", r"(?is)<html\b[^<>]*+>", 0)
     host = host_of(F.col("url"))
     return pages.select(
         F.col("page_id").alias("id"),
         text.alias("text"),
-        F.regexp_extract("html", r"(?is)<html\b[^>]*\blang\s*=\s*[\"']?([a-z]{2,3})", 1).alias("declared"),
+        F.regexp_extract(tag, r"(?is)\blang\s*+=\s*+[\"']?([a-z]{2,3})", 1).alias("declared"),
         host.alias("host"),
         F.regexp_extract(host, r"([^.]+)$", 1).alias("suffix"),
     )

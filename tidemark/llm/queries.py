@@ -12,7 +12,7 @@ from tidemark.llm.quality import op2_quality_rules
 from tidemark.llm.secret_scan import op10_secret_scan
 from tidemark.llm.substring import op5_substring_dedup
 from tidemark.llm.token_store import op4_token_store
-from tidemark.llm.url_filter import op8_url_filter
+from tidemark.llm.url_filter import LINKS, op8_url_filter
 
 QUERIES = {
     "op1_ngram_jaccard": op1_ngram_jaccard,
@@ -43,17 +43,18 @@ _NODE = "case when host <> '' then host || regexp_replace(path, '/+$', '') end"
 
 
 def _targets(tag: str, has: str, value: str) -> str:
-    return f"""select node, host, path, regexp_extract(t, '{value}', 1, 'is') as target from (select node, host, path,
- unnest(regexp_extract_all(html, '<{tag}\\b[^>]*\\b{has}[^>]*>', 0, 'is')) as t from c where url is not null)"""
+    return f"""select node, host, path, regexp_extract(t, '\\b{value}', 1, 'is') as target from (select node, host, path,
+ unnest(list_filter(regexp_extract_all(html, '<{tag}\\b[^<>]*>', 0, 'is'), lambda t: regexp_matches(t, '\\b{has}', 'is'))) as t from c where url is not null)"""
 
 
+#: The same expressions without possessive marks, which DuckDB neither knows nor needs.
+_LINKS = " union all ".join(_targets(*(x.replace("*+", "*").replace("'", "''") for x in link)) for link in LINKS)
+
 ORACLES: dict[str, str] = {
     "op8_url_filter": f"""with recursive a as (select page_id, url, html, {_AFTER.format("url")} as rest from pages),
  b as (select page_id, url, html, coalesce({_HOST.format("rest")}, '') as host, coalesce({_PATH.format("rest")}, '') as path from a),
  c as (select *, case {_RULE} end as rule, case {_ACTION} end as action, {_NODE} as node from b),
- t as ({_targets("link", "rel\\s*=\\s*[\"'']?canonical", "\\bhref\\s*=\\s*[\"'']?([^\"''\\s>]+)")} union all
- {_targets("meta", "http-equiv\\s*=\\s*[\"'']?refresh", "\\burl\\s*=\\s*''?([^\"''\\s>]+)")} union all
- {_targets("meta", "property\\s*=\\s*[\"'']og:url", "\\bcontent\\s*=\\s*[\"'']([^\"'']+)")}),
+ t as ({_LINKS}),
  u as (select node as x, case when contains(target, '://') then target when starts_with(target, '//') then 'x:' || target when starts_with(target, '/') then 'x://' || host || target
  else 'x://' || host || regexp_extract(path, '^(.*/)?', 0) || target end as target from t where target <> ''),
  v as (select x, {_AFTER.format("target")} as rest from u), w as (select x, {_HOST.format("rest")} as host, {_PATH.format("rest")} as path from v),

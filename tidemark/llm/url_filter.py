@@ -57,23 +57,22 @@ def address(url: Column) -> Column:
     return F.concat(host_of(url), F.regexp_replace(path_of(url), r"/+\z", ""))
 
 
+#: Tag, attribute that makes it a link, and where its target stands. ``canonical`` may be any word of rel.
+LINKS = (
+    ("link", r"rel\s*+=\s*+(?:canonical\b|[\"'](?:[^\"'<>]*\s)?canonical[\"'\s])", r"href\s*+=\s*+[\"']?([^\"'\s>]+)"),
+    ("meta", r"http-equiv\s*+=\s*+[\"']?refresh", r"url\s*+=\s*+'?([^\"'\s>]+)"),
+    ("meta", r"property\s*+=\s*+[\"']og:url", r"content\s*+=\s*+[\"']([^\"']+)"),
+)
+
+
 def links(pages: DataFrame, id_col: str = "page_id", url_col: str = "url", html_col: str = "html") -> DataFrame:
-    """(page_id, url, target): canonical links, meta refreshes and og:url of each page row, made absolute against its url."""
-    tag = lambda name, has: rf"(?is)<{name}\b[^>]*\b{has}[^>]*>"
-    found = F.concat(
-        F.transform(
-            F.regexp_extract_all("html", F.lit(tag("link", r"rel\s*=\s*[\"']?canonical")), 0),
-            lambda t: F.regexp_extract(t, r"(?is)\bhref\s*=\s*[\"']?([^\"'\s>]+)", 1),
-        ),
-        F.transform(
-            F.regexp_extract_all("html", F.lit(tag("meta", r"http-equiv\s*=\s*[\"']?refresh")), 0),
-            lambda t: F.regexp_extract(t, r"(?is)\burl\s*=\s*'?([^\"'\s>]+)", 1),
-        ),
-        F.transform(
-            F.regexp_extract_all("html", F.lit(tag("meta", r"property\s*=\s*[\"']og:url")), 0),
-            lambda t: F.regexp_extract(t, r"(?is)\bcontent\s*=\s*[\"']([^\"']+)", 1),
-        ),
+    """(page_id, url, target): canonical links (the word among those of rel), meta refreshes and og:url of each page row, made absolute against its url."""
+    # A tag ends at the next angle bracket, so each is read once, closed or not; its attributes are looked for in it alone.
+    tags = lambda name: F.regexp_extract_all("html", F.lit(rf"(?is)<{name}\b[^<>]*+>"), 0)
+    having = lambda name, has, value: F.transform(
+        F.filter(tags(name), lambda t: t.rlike(rf"(?is)\b{has}")), lambda t: F.regexp_extract(t, rf"(?is)\b{value}", 1)
     )
+    found = F.concat(*(having(*x) for x in LINKS))
     rows = pages.select(F.col(id_col).alias("page_id"), F.col(url_col).alias("url"), F.col(html_col).alias("html"))
     rows = rows.where("url is not null and html is not null").select("page_id", "url", F.explode(found).alias("target")).where("target <> ''")
     scheme = F.regexp_extract("url", r"(?s)^(.*?://)", 1)
@@ -106,8 +105,8 @@ def judge(
     ``redirects``: further edges (source url, target url) from a crawl log. Equal addresses are one node, whatever their
     number of pages; a target that is no page still connects those that name it. A null url, or one without ``://``, has
     empty host and path, no rule and no alias, and is allowed. A link belongs to the url of its row, so rows with a null id
-    link too, and rows with one id and different urls link each for itself; repeated rows are judged alike. Null or very
-    long html is no matter. Empty table: no rows. Only the named columns are read.
+    link too, and rows with one id and different urls link each for itself; repeated rows are judged alike. Null html has no
+    links; html of any length is read once, closed or not. Empty table: no rows. Only the named columns are read.
     """
     url = F.col(url_col).cast("string")
     base = pages.select(F.col(id_col).cast("long").alias("page_id"), url.alias("url"), F.col(html_col).alias("html"))
