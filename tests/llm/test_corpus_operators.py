@@ -9,6 +9,7 @@ import zlib
 from collections import Counter, defaultdict
 
 import numpy as np
+import pyarrow as pa
 import pytest
 from pyspark.sql import functions as F
 
@@ -560,6 +561,30 @@ def test_decontamination_of_many_texts_and_common_grams(spark, monkeypatch):
     assert contamination.candidates(ix, h[:0], np.zeros(0, np.int64), np.zeros(1, np.int64), slots).shape == (0, 3)
 
 
+def test_decontamination_of_short_items(spark):
+    items = [(1, "yes"), (2, "New  York"), (3, "new york city"), (4, "yes"), (5, ""), (6, None), (None, "yes"), (7, "x" * 39)]
+    docs = [(1, "yes."), (2, "Oh YES\n"), (3, "in new york city"), (4, "anew york"), (5, "x" * 39), (6, "x" * 40), (7, None), (8, "yes yes")]
+    items = spark.createDataFrame(items, "item_id long, text string")
+    got = sorted(tuple(r) for r in contamination.find_leaks(frame(spark, docs), items).collect())
+    assert got == [(2, 1, 1, 0, 3, 6), (2, 4, 1, 0, 3, 6), (3, 2, 1, 0, 3, 11), (3, 3, 1, 0, 3, 16), (5, 7, 1, 0, 0, 39), (8, 1, 1, 0, 0, 3), (8, 4, 1, 0, 0, 3)]
+    assert contamination.find_leaks(frame(spark, docs), items, short=False).count() == 0
+
+
+def test_decontamination_of_templates():
+    """10,000 texts against 10,000 items that share a beginning: bounded memory, and the copies are found."""
+    import resource
+
+    rng = random.Random(9)
+    letters = lambda n: "".join(rng.choice("abcdefghijklmnop ") for _ in range(n))
+    items = [(i, f"question: which of these is right? {letters(70)}") for i in range(10_000)]
+    texts = [f"question: which of these is right? {letters(40)}" for _ in range(9_990)] + [t for _, t in items[:10]]
+    before = resource.getrusage(resource.RUSAGE_SELF).ru_maxrss
+    batch = pa.RecordBatch.from_arrays([pa.array(range(len(texts)), pa.int64()), pa.array(texts)], ["doc_id", "text"])
+    got = [(r["doc_id"], r["item_id"]) for out in contamination._find(contamination.build(items))(iter([batch])) for r in out.to_pylist()]
+    assert {(9_990 + i, i) for i in range(10)} <= set(got) and len(got) == 10
+    assert resource.getrusage(resource.RUSAGE_SELF).ru_maxrss - before < 500_000  # kB
+
+
 # 8 --------------------------------------------------------------------------------------------------------------------
 
 

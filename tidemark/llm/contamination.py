@@ -5,6 +5,10 @@ least L - q + 1 - k * q of its q-grams with that place, on at most k + 1 neighbo
 minus place in the segment). So q-gram hits are counted in diagonal bands of 2 * (k + 1) that overlap by half; bands
 with enough hits are verified by an alignment restricted to the band. Texts are compared in lower case with white space
 collapsed.
+
+Which document shares enough with which segment is first told by q-grams that are rare among the segments: of a segment with
+c common ones, all but c of the asked-for hits are rare. So a template that all items begin with makes no pairs. A segment
+that would be left without rare hits keeps its common ones.
 """
 
 from __future__ import annotations
@@ -20,12 +24,14 @@ from pyspark.sql import functions as F
 from tidemark.llm import common
 
 Q = 10
-#: Edits allowed for each character of a segment; segment length and step; shorter benchmark texts are no evidence.
+#: Edits allowed for each character of a segment; segment length and step; benchmark texts under LEAST are searched as they are.
 EDIT_SHARE, SEGMENT, STEP, LEAST = 0.08, 120, 60, 40
 #: Characters of benchmark text that one pass over the documents holds; more are taken in further passes.
 BLOCK_CHARS = 2_000_000
 #: Hits (a q-gram's place in a document with one in a segment) that one step holds.
 STEP_HITS = 2_000_000
+#: A q-gram at more places of the segments is common: templates of items have such.
+COMMON = 64
 _R = 0x9E3779B97F4A7C15
 HITS = "doc_id long, item_id long, n_segments long, edits long, begin long, end long"
 _SLOTS = 1 << 22
@@ -67,6 +73,10 @@ class Index:
     first: np.ndarray
     seg: np.ndarray
     pos: np.ndarray
+    #: The same for the entries that tell pairs, and the hits that a pair needs of them.
+    rare_first: np.ndarray
+    rare_seg: np.ndarray
+    rare_need: np.ndarray
 
 
 def build(items: list[tuple[int, str]]) -> Index | None:
@@ -88,7 +98,14 @@ def build(items: list[tuple[int, str]]) -> Index | None:
     seg, pos = np.repeat(np.arange(len(text)), [len(x) for x in g]), np.concatenate([np.arange(len(x)) for x in g])
     order = np.argsort(h, kind="stable")
     grams, first = np.unique(h[order], return_index=True)
-    return Index(np.array(item), length, edits, length - Q + 1 - edits * Q, text, grams, np.append(first, len(h)), seg[order], pos[order])
+    first, seg, pos = np.append(first, len(h)), seg[order], pos[order]
+    need = length - Q + 1 - edits * Q
+    size = np.diff(first)
+    often = np.repeat(size > COMMON, size)
+    many = np.bincount(seg[often], minlength=len(text))
+    kept = ~often | (many >= need)[seg]
+    rare_first = np.append(0, np.cumsum(kept))[first]
+    return Index(np.array(item), length, edits, need, text, grams, first, seg, pos, rare_first, seg[kept], np.where(many < need, need - many, need))
 
 
 def _add(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray, np.ndarray]:
@@ -101,44 +118,62 @@ def _add(codes: list[np.ndarray], counts: list[np.ndarray]) -> tuple[np.ndarray,
 def candidates(ix: Index, h: np.ndarray, doc: np.ndarray, first: np.ndarray, slots: np.ndarray) -> np.ndarray:
     """Rows (doc, segment, band) whose band has the hits that the lemma asks for. h: q-gram hashes of all texts in a row.
 
-    Only pairs of a document and a segment that share a q-gram are counted, in steps of about ``STEP_HITS`` hits.
+    Pairs of a document and a segment are counted and thinned in steps of whole documents of about ``STEP_HITS`` hits; a
+    document with more is a step of its own, which holds a count for each segment at most and its hits by parts.
     """
     hit = np.flatnonzero(slots[h >> np.uint64(42)])
     at = np.searchsorted(ix.grams, h[hit])
     at[at == len(ix.grams)] = 0
     ok = ix.grams[at] == h[hit]
-    hit, at = hit[ok], at[ok]
-    size = ix.first[at + 1] - ix.first[at]
-    ends, lo, steps, n = np.cumsum(size), 0, [], len(ix.item)
-    while lo < len(hit):
-        hi = max(lo + 1, int(np.searchsorted(ends, (ends[lo - 1] if lo else 0) + STEP_HITS, "right")))
-        steps.append(slice(lo, hi))
-        lo = hi
-
-    def pairs(x: slice) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
-        entry, place = common.ragged(ix.first[at[x]], size[x]), np.repeat(hit[x], size[x])
-        return doc[place] * n + ix.seg[entry], place, entry
-
-    pair, count = _add(*zip(*(np.unique(pairs(x)[0], return_counts=True) for x in steps), strict=True)) if steps else _add([], [])
-    pair = pair[count >= ix.need[pair % n]]
+    hit, at, n = hit[ok], at[ok], len(ix.item)
+
+    def steps(hit: np.ndarray, size: np.ndarray) -> Iterator[list[slice]]:
+        """Parts of each step of whole documents."""
+        ends, own, lo = np.cumsum(size), doc[hit], 0
+        cuts = np.append(np.flatnonzero(own[1:] != own[:-1]) + 1, len(own)) if len(own) else np.zeros(0, np.int64)
+        while lo < len(hit):
+            base = ends[lo - 1] if lo else 0
+            fit = np.searchsorted(cuts, np.searchsorted(ends, base + STEP_HITS, "right"), "right") - 1
+            hi = int(cuts[max(fit, int(np.searchsorted(cuts, lo, "right")))])
+            parts, i = [], lo
+            while i < hi:
+                j = max(i + 1, min(hi, int(np.searchsorted(ends, (ends[i - 1] if i else 0) + STEP_HITS, "right"))))
+                parts.append(slice(i, j))
+                i = j
+            yield parts
+            lo = hi
+
+    found = []
+    size = ix.rare_first[at + 1] - ix.rare_first[at]
+    for parts in steps(hit, size):
+        counted = [np.unique(np.repeat(doc[hit[x]], size[x]) * n + ix.rare_seg[common.ragged(ix.rare_first[at[x]], size[x])], return_counts=True) for x in parts]
+        pair, count = _add(*zip(*counted, strict=True))
+        found.append(pair[count >= ix.rare_need[pair % n]])
+    pair = np.concatenate([np.zeros(0, np.int64), *found])
     if not len(pair):
         return np.zeros((0, 3), np.int64)
-    codes, counts = [], []
-    for x in steps:
-        code, place, entry = pairs(x)
-        k = np.searchsorted(pair, code)
-        keep = k < len(pair)
-        keep[keep] = pair[k[keep]] == code[keep]
-        k, place, entry = k[keep], place[keep], entry[keep]
-        band = (place - first[doc[place]] - ix.pos[entry]) // (ix.edits[ix.seg[entry]] + 1)
-        code = (k << 32) + band + (1 << 31)  # a text has less than 2^31 characters
-        code, count = np.unique(np.concatenate([code, code - 1]), return_counts=True)
-        codes.append(code)
-        counts.append(count)
-    code, count = _add(codes, counts)
-    own = pair[code >> 32]
-    found = np.stack([own // n, own % n, (code & 0xFFFFFFFF) - (1 << 31)], 1)
-    return found[count >= ix.need[found[:, 1]]]
+    ok = np.isin(doc[hit], pair // n)
+    hit, at, out = hit[ok], at[ok], []
+    size = ix.first[at + 1] - ix.first[at]
+    for parts in steps(hit, size):
+        codes, counts = [], []
+        for x in parts:
+            entry, place = common.ragged(ix.first[at[x]], size[x]), np.repeat(hit[x], size[x])
+            code = doc[place] * n + ix.seg[entry]
+            k = np.searchsorted(pair, code)
+            keep = k < len(pair)
+            keep[keep] = pair[k[keep]] == code[keep]
+            k, place, entry = k[keep], place[keep], entry[keep]
+            band = (place - first[doc[place]] - ix.pos[entry]) // (ix.edits[ix.seg[entry]] + 1)
+            code = (k << 32) + band + (1 << 31)  # a text has less than 2^31 characters
+            code, count = np.unique(np.concatenate([code, code - 1]), return_counts=True)
+            codes.append(code)
+            counts.append(count)
+        code, count = _add(codes, counts)
+        own = pair[code >> 32]
+        rows = np.stack([own // n, own % n, (code & 0xFFFFFFFF) - (1 << 31)], 1)
+        out.append(rows[count >= ix.need[rows[:, 1]]])
+    return np.concatenate(out)
 
 
 def align(segment: np.ndarray, area: np.ndarray) -> tuple[np.ndarray, np.ndarray]:
@@ -158,6 +193,30 @@ def align(segment: np.ndarray, area: np.ndarray) -> tuple[np.ndarray, np.ndarray
     return cost[np.arange(n), j], j + length
 
 
+def _find_short(items: list[tuple[int, str]]):
+    """Whole short items between the words of a text, without edits."""
+
+    def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        import ahocorasick
+
+        known = ahocorasick.Automaton()
+        for i, t in items:
+            known.add_word(f" {t} ", (*known.get(f" {t} ", ()), i, len(t)))
+        known.make_automaton()
+        for b in batches:
+            rows = []
+            for d, t in zip(b.column("doc_id").to_pylist(), b.column("text").to_pylist(), strict=True):
+                seen = {}
+                for end, names in known.iter(f" {normal(t)} "):
+                    for i, size in zip(names[::2], names[1::2], strict=True):
+                        seen.setdefault(i, (end - 1 - size, end - 1))
+                rows += [(d, i, 1, 0, *seen[i]) for i in sorted(seen)]
+            if rows:
+                yield pa.RecordBatch.from_arrays([pa.array(c, pa.int64()) for c in zip(*rows, strict=True)], ["doc_id", "item_id", "n_segments", "edits", "begin", "end"])
+
+    return run
+
+
 def _find(ix: Index):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         slots = np.zeros(_SLOTS, bool)
@@ -220,13 +279,17 @@ def blocks(benchmark: DataFrame, item_col: str, text_col: str) -> Iterator[list[
 
 
 def find_leaks(
-    docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text"
-) -> DataFrame:
+    docs: DataFrame, benchmark: DataFrame, *, id_col: str = "doc_id", text_col: str = "text", item_col: str = "item_id", item_text_col: str = "text",
+    short: bool = True,
+) -> DataFrame:
     """A row for each document and benchmark item of which it holds a passage.
 
     doc_id, item_id, n_segments (of the item's segments), edits (of the best), begin and end of the best (code points of
     the normalised text). A passage counts from one whole segment: 120 characters at steps of 60, so that every passage
-    of 179 characters holds one; an item of up to 180 characters counts as a whole. Null or empty texts, and items under 40 characters, have no rows; texts may be of any length. Repeated documents each have theirs; repeated items
+    of 179 characters holds one; an item of up to 180 characters counts as a whole. An item under 40
+    characters counts where its words stand as they are, without edits; ``short=False`` leaves these out, as an answer like
+    "yes" is no evidence. Null or empty texts and items have no rows, nor have rows with a null item_id; texts may be of any
+    length. Repeated documents each have theirs; repeated items
     count once. Other columns are not read. Empty tables: no rows.
     """
     spark = docs.sparkSession
@@ -236,6 +299,9 @@ def find_leaks(
         ix = build(part)
         if ix is not None:
             out = out.unionByName(rows.mapInArrow(_find(ix), HITS))
+        few = sorted({(i, n) for i, t in part if 0 < len(n := normal(t)) < LEAST}) if short else []
+        if few:
+            out = out.unionByName(rows.mapInArrow(_find_short(few), HITS))
     return out
 
 
