@@ -61,13 +61,13 @@ def keep_one_of_each(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataF
 
 
 def drop_leaks(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents without a benchmark passage.
+    """Documents without a benchmark passage; items under 40 characters are no evidence to drop a document.
 
     Each row is searched in its own text, so of rows with one id some may go, and a null id protects none. Null and empty
     texts stay. Empty tables: nothing goes. Further columns go.
     """
     rows = with_rows(docs)
-    leaks = contamination.find_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row")
+    leaks = contamination.find_leaks(rows, spark.read.parquet(f"{sf_dir}/benchmark.parquet"), id_col="row", short=False)
     return rows.join(leaks.select(F.col("doc_id").alias("row")).distinct(), "row", "left_anti").select(*COLUMNS)
 
 
