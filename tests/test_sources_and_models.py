@@ -132,3 +132,26 @@ def test_sharded_model_without_documents(spark):
     bow = spark.createDataFrame([(None, "a", 1), (1, None, 2), (1, "b", None)], "doc_id long, word string, tf int")
     model = sharded.fit(bow, artm.Settings(topics=2, passes=1))
     assert model.rows().count() <= 1 and sharded.transform(bow, model, artm.Settings(topics=2)).count() == 0
+
+
+@pytest.mark.parametrize("most", [500_000, 3])
+def test_phrases(spark, monkeypatch, most):
+    from collections import Counter
+
+    from tidemark.operators import geo
+
+    monkeypatch.setattr(geo, "MOST_NAMES", most)
+    rng = random.Random(8)
+    names = [" ".join(rng.choice("abc") * 3 for _ in range(rng.randint(1, 8))) for _ in range(25)] + ["Aaa  bbb!", "", None, "???", "aaa"]
+    docs = [(i, " ".join(rng.choice(["aaa", "bbb", "ccc", "zzz"]) for _ in range(rng.randint(0, 40))), rng.choice([None, "aaa bbb", "BBB, ccc"])) for i in range(40)] + [(3, "aaa aaa", None), (None, "aaa", "")]
+    gaz = spark.createDataFrame([(i, "x", n) for i, n in enumerate(names)], "id int, level string, name string")
+    got = {(r["doc_id"], r["location_id"]): r["tf"] for r in geo.phrase_hits(spark.createDataFrame(docs, "doc_id long, text string, title string").repartition(3), gaz, ["text", "title"]).collect()}
+    want = Counter()
+    clean = lambda t: "".join(c if c.isalpha() else " " for c in (t or "").lower()).split()
+    for d, *fields in docs:
+        for w in map(clean, fields):
+            for i, n in enumerate(map(clean, names)):
+                want[d, i] += sum(bool(n) and w[k : k + len(n)] == n for k in range(len(w)))
+    assert got == {k: n for k, n in want.items() if n}
+    assert geo.phrase_hits(spark.createDataFrame([], "doc_id long, text string"), gaz, ["text"]).count() == 0
+    assert geo.phrase_hits(spark.createDataFrame([(1, "a")], "doc_id long, text string"), gaz.limit(0), ["text"]).count() == 0

@@ -293,7 +293,7 @@ def doc_locations(spark, d):
         F.col("item_id").alias("id"), F.expr("case item_id % 3 when 0 then 'area' when 1 then 'district' else 'locality' end").alias("level"),
         F.array_join(F.slice(words(clean(F.col("text"))), 1, 3), " ").alias("name"),
     )
-    return geo.phrase_hits(docs(spark, d), g, [3], ["text"])
+    return geo.phrase_hits(docs(spark, d), g, ["text"])
 
 
 #: A document's four fields: its text, its first and last sentence-like parts, and its source.
@@ -302,22 +302,22 @@ FIELD_SQL = "select doc_id, text, substr(text, 1, 150) as title, right(text, 150
 
 
 @query(f"""with g as (select item_id as location_id, case item_id % 3 when 0 then 'area' when 1 then 'district' else 'locality' end as level,
- array_to_string(list_slice({WORDS_SQL}, 1, cast(item_id % 3 + 1 as int)), '_') as gram from benchmark), f as ({FIELD_SQL}),
- t as (select doc_id, {WORDS_SQL} as t from (select doc_id, unnest([text, title, tail, source]) as text from f)),
- n as (select doc_id, t[i] as gram from (select doc_id, t, unnest(generate_series(1, len(t))) as i from t)
- union all select doc_id, t[i] || '_' || t[i+1] from (select doc_id, t, unnest(generate_series(1, len(t) - 1)) as i from t)
- union all select doc_id, t[i] || '_' || t[i+1] || '_' || t[i+2] from (select doc_id, t, unnest(generate_series(1, len(t) - 2)) as i from t)),
+ array_to_string(list_slice({WORDS_SQL}, 1, cast(item_id % 8 + 1 as int)), '_') as gram from benchmark), f as ({FIELD_SQL}),
+ t as (select doc_id, row_number() over () as f, {WORDS_SQL} as t from (select doc_id, unnest([text, title, tail, source]) as text from f)),
+ k as (select doc_id, f, unnest(t) as w, generate_subscripts(t, 1) as i from t),
+ leads as (select *, {', '.join(f'lead(w, {j}) over (partition by f order by i) as w{j}' for j in range(1, 8))} from k),
+ n as (select doc_id, unnest([{', '.join(" || '_' || ".join(['w', *(f'w{j}' for j in range(1, n))]) for n in range(1, 9))}]) as gram from leads where w in (select split_part(gram, '_', 1) from g)),
  h as (select doc_id, location_id, level, count(*) as tf from n join g using (gram) where gram <> '' group by 1, 2, 3),
  l as (select doc_id, cast(sum(len(t)) as bigint) as n_words from t group by 1), s as (select count(*) as n_docs, avg(n_words) as mean_words from l),
  df as (select location_id, count(distinct doc_id) as df from h group by 1), v as (select l_orderkey as doc_id, (sum(l_quantity) % 7) / 2 as value from lineitem group by 1)
  select doc_id, location_id, level, tf, {s6('ln(1 + (n_docs - df + 0.5) / (df + 0.5)) * tf * 2.2 / (tf + 1.2 * (0.25 + 0.75 * n_words / mean_words))', 'weight')}, nullif(value, 0) as value
  from h join df using (location_id) join l using (doc_id) cross join s left join v using (doc_id)""")
 def location_scores(spark, d):
-    """Places of one to three words in four fields, weighted by BM25, with the documents' values; 0 is no value."""
-    name = F.slice(cleaned_words(F.col("text")), 1, (F.col("item_id") % 3 + 1).cast("int"))
+    """Places of one to eight words in four fields, weighted by BM25, with the documents' values; 0 is no value."""
+    name = F.slice(cleaned_words(F.col("text")), 1, (F.col("item_id") % 8 + 1).cast("int"))
     g = table(spark, d, "benchmark").select(F.col("item_id").alias("id"), F.expr("case item_id % 3 when 0 then 'area' when 1 then 'district' else 'locality' end").alias("level"), F.array_join(name, " ").alias("name"))
     x = docs(spark, d).where("text is not null").select("doc_id", "text", F.substring("text", 1, 150).alias("title"), F.expr("right(text, 150)").alias("tail"), "source")
-    hits = stored(geo.phrase_hits(x, g, [1, 2, 3], FIELDS), "hits")
+    hits = stored(geo.phrase_hits(x, g, FIELDS), "hits")
     lengths = x.select("doc_id", sum((F.size(cleaned_words(F.col(f))) for f in FIELDS), F.lit(0)).cast("long").alias("n_words"))
     n = lengths.agg(F.count("*").alias("n_docs"), F.avg("n_words").alias("mean_words"))
     values = table(spark, d, "lineitem").groupBy(F.col("l_orderkey").alias("doc_id")).agg((F.sum("l_quantity") % 7 / 2).alias("value"))
