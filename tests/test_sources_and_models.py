@@ -155,3 +155,34 @@ def test_phrases(spark, monkeypatch, most):
     assert got == {k: n for k, n in want.items() if n}
     assert geo.phrase_hits(spark.createDataFrame([], "doc_id long, text string"), gaz, ["text"]).count() == 0
     assert geo.phrase_hits(spark.createDataFrame([(1, "a")], "doc_id long, text string"), gaz.limit(0), ["text"]).count() == 0
+
+
+def test_mapping_words_and_dates(spark):
+    from datetime import datetime
+
+    from tidemark.operators import similarity
+
+    one = spark.createDataFrame([("a", "x"), ("a", "y"), ("a", "z"), ("b", "x")], "topic_id string, word string")
+    two = spark.createDataFrame([("p", "x"), ("p", "q"), ("r", "x"), ("r", "y"), ("r", "z")], "topic_id string, word string")
+    mapped = spark.createDataFrame([(0.3, "a", "p"), (0.3, "a", "r"), (0.4, "a", "p"), (0.3, "b", "none")], "threshold double, t1 string, t2 string")
+    got = sorted(tuple(r) for r in similarity.delta_words(mapped, one, two).collect())
+    assert got == [(0.3, "a", "p", ["y", "z"], 2), (0.3, "a", "r", [], 0), (0.3, "b", "none", ["x"], 1), (0.4, "a", "p", ["y", "z"], 2)]
+    day = lambda n: datetime(2020, 1, n)
+    schema = "document_id long, topic_id string, topic_weight double, datetime timestamp_ntz"
+    first = spark.createDataFrame([(1, "a", 0.5, day(1)), (2, "a", 0.5, day(5)), (3, "a", 0.5, day(6)), (4, "a", 0.01, day(5)), (9, "a", 0.5, None)], schema)
+    second = spark.createDataFrame([(1, "p", 0.5, day(1)), (2, "p", 0.05, day(5)), (4, "p", 0.5, day(5)), (3, "r", 0.5, day(6)), (2, "r", 0.9, day(5)), (5, "r", 0.9, day(9))], schema)
+    run = lambda dates: {r["threshold"]: tuple(r)[1:] for r in similarity.validate_mapping(mapped.where("t1 = 'a'"), first, second, 4, [0.3, 0.4, 0.5], dates).collect()}
+    # in days 5 to 6: a {2, 3}, p {2, 4}, r {2, 3}
+    inside, every = run((day(5), day(6))), run(None)
+    assert inside[0.3] == (0.25, pytest.approx((1 / 3 + 1) / 2, abs=1e-6), 1.0) and inside[0.4][1:] == (pytest.approx(1 / 3, abs=1e-6), 0.0)
+    assert inside[0.5] == (0.0, 0.0, None)  # nothing is mapped: no scaled score
+    assert every[0.4][1] == pytest.approx(2 / 5, abs=1e-6)  # a {1, 2, 3, 9}, p {1, 2, 4}
+
+
+def test_topic_weights_are_by_rarity(spark):
+    """A list's word weighs by in how few lists it stands, not by its frequency."""
+    from tidemark.operators import topics
+
+    lists = spark.createDataFrame([("a", "both", 1), ("a", "own", 1), ("b", "both", 1)], "topic_id string, word string, tf int")
+    got = {(r["topic_id"], r["word"]): r["relative"] for r in topics.tfidf(lists).collect()}
+    assert got["a", "own"] == 1.0 and got["b", "both"] == 1.0 and got["a", "both"] == pytest.approx(1 / (math.log(1.5) + 1))

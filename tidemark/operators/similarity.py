@@ -101,17 +101,47 @@ def at_thresholds(scores: DataFrame, thresholds: list[float]) -> DataFrame:
     return scores.withColumn("threshold", F.explode(F.array(*map(F.lit, thresholds)))).where("score > threshold")
 
 
-def validate_mapping(mapped: DataFrame, theta: DataFrame, topics: int, least: float = 0.05) -> DataFrame:
-    """threshold, coverage (mapped topics over all), mean document Jaccard of the mappings, and that scaled to [0, 1]."""
-    x = theta.where(F.col("topic_weight") >= least).select("document_id", "topic_id")
-    size = x.groupBy("topic_id").agg(F.count("*").alias("n"))
+def delta_words(mapped: DataFrame, one: DataFrame, two: DataFrame) -> DataFrame:
+    """threshold, t1, t2, delta_words (sorted), delta_count: words of the first topic's list that the second's lacks.
+
+    ``one``, ``two``: topic_id, word. A mapping of equal lists has an empty list, a topic without words too.
+    """
+    pairs = mapped.select("t1", "t2").distinct()
+    words = pairs.join(one.select(F.col("topic_id").alias("t1"), "word").distinct(), "t1")
+    missing = words.join(two.select(F.col("topic_id").alias("t2"), "word"), ["t2", "word"], "left_anti")
+    lists = missing.groupBy("t1", "t2").agg(F.array_sort(F.collect_list("word")).alias("delta_words"))  # a topic's list is bounded
+    out = mapped.join(lists, ["t1", "t2"], "left").withColumn("delta_words", F.coalesce("delta_words", F.array().cast("array<string>")))
+    return out.select("threshold", "t1", "t2", "delta_words", F.size("delta_words").alias("delta_count"))
+
+
+def validate_mapping(
+    mapped: DataFrame, theta_one: DataFrame, theta_two: DataFrame, topics: int, thresholds: list[float], dates: tuple | None = None, least: float = 0.05
+) -> DataFrame:
+    """threshold, coverage (mapped topics over all), mean document Jaccard of the mappings, and that scaled to [0, 1].
+
+    ``theta_one``, ``theta_two``: document_id, topic_id, topic_weight, datetime of either window's model. Only documents
+    dated within ``dates`` (first and last, included: the second window's beginning and the first's end) with a weight of
+    ``least`` or more count; without ``dates`` all do. Two topics without documents overlap by 0. A threshold that nothing is
+    mapped at has coverage and Jaccard 0 and no scaled score.
+    """
+
+    def ids(theta: DataFrame) -> DataFrame:
+        x = theta.where(F.col("topic_weight") >= least)
+        if dates is not None:
+            x = x.where(F.col("datetime").between(F.lit(dates[0]).cast("timestamp_ntz"), F.lit(dates[1]).cast("timestamp_ntz")))
+        return x.select("document_id", "topic_id").distinct()
+
+    one, two = ids(theta_one), ids(theta_two)
+    size = lambda x, t, n: x.groupBy(F.col("topic_id").alias(t)).agg(F.count("*").alias(n))
     pairs = mapped.select("t1", "t2").distinct()
-    both = pairs.join(x.toDF("d", "t1"), "t1").join(x.toDF("d", "t2"), ["d", "t2"]).groupBy("t1", "t2").agg(F.count("*").alias("both"))
-    j = pairs.join(both, ["t1", "t2"], "left").join(size.toDF("t1", "n1"), "t1").join(size.toDF("t2", "n2"), "t2")
-    j = j.withColumn("both", F.coalesce("both", F.lit(0))).select("t1", "t2", (F.col("both") / (F.col("n1") + F.col("n2") - F.col("both"))).alias("jaccard"))
+    both = pairs.join(one.toDF("d", "t1"), "t1").join(two.toDF("d", "t2"), ["d", "t2"]).groupBy("t1", "t2").agg(F.count("*").alias("both"))
+    j = pairs.join(both, ["t1", "t2"], "left").join(size(one, "t1", "n1"), "t1", "left").join(size(two, "t2", "n2"), "t2", "left").fillna(0, ["both", "n1", "n2"])
+    j = j.select("t1", "t2", F.coalesce(F.try_divide("both", F.col("n1") + F.col("n2") - F.col("both")), F.lit(0.0)).alias("jaccard"))
     per = mapped.join(j, ["t1", "t2"]).groupBy("threshold").agg((F.count_distinct("t1") / topics).alias("coverage"), q6(F.avg("jaccard")).alias("mean_jaccard"))
     ends = per.agg(F.min("mean_jaccard").alias("lo"), F.max("mean_jaccard").alias("hi"))
-    return per.crossJoin(F.broadcast(ends)).select("threshold", "coverage", "mean_jaccard", min_max(F.col("mean_jaccard"), F.col("lo"), F.col("hi")).alias("scaled"))
+    scaled = per.crossJoin(F.broadcast(ends)).withColumn("scaled", min_max(F.col("mean_jaccard"), F.col("lo"), F.col("hi"))).drop("lo", "hi")
+    every = mapped.sparkSession.createDataFrame([(float(t),) for t in thresholds], "threshold double")
+    return every.join(scaled, "threshold", "left").fillna(0.0, ["coverage", "mean_jaccard"])
 
 
 def dot(a: Column, b: Column) -> Column:

@@ -9,6 +9,7 @@ from tidemark.functions.columns import clean, cleaned_words, words
 from tidemark.operators import clusters as cl
 from tidemark.operators import cosine, geo
 from tidemark.operators import similarity as sm
+from tidemark.operators.topics import tfidf
 from tidemark.plans import views
 from tidemark.plans.topics import rounded, s6
 from tidemark.plans.views import DOC_WORDS_SQL, THETA_SQL, WORDS_SQL, docs, table
@@ -94,9 +95,11 @@ TOPIC_WORDS = 100
 
 
 def _phi_of(spark, d, rest):
+    """Topics' words of one window; a word weighs by in how few of the window's lists it stands, over its list's greatest."""
     w = views.doc_words(spark, d).where(F.col("doc_id") % 2 == rest).withColumn("word", F.replace("word", F.lit("-"), F.lit(""))).where("length(word) >= 2").groupBy("topic_id", "word").agg(F.sum("tf").alias("tf"))
     rank = F.row_number().over(Window.partitionBy("topic_id").orderBy(F.desc("tf"), "word"))
-    return w.withColumn("rank", rank).where(F.col("rank") <= TOPIC_WORDS).select("topic_id", "word", (F.col("tf") / F.max("tf").over(Window.partitionBy("topic_id"))).alias("w"))
+    listed = w.withColumn("rank", rank).where(F.col("rank") <= TOPIC_WORDS).select("topic_id", "word", F.lit(1).alias("tf"))
+    return tfidf(stored(listed, "listed")).select("topic_id", "word", F.col("relative").alias("w"))
 
 
 def _windows(spark, d):
@@ -109,8 +112,10 @@ def _windows(spark, d):
 
 
 def _phi_sql(name: str, rest: int) -> str:
-    return f"""{name} as (select topic_id, word, tf / max(tf) over (partition by topic_id) as w from (select *, row_number() over (partition by topic_id order by tf desc, word) as rank
- from (select topic_id, word, cast(sum(tf) as bigint) as tf from (select topic_id, doc_id, replace(word, '-', '') as word, tf from doc_words) where doc_id % 2 = {rest} and length(word) >= 2 group by 1, 2)) where rank <= {TOPIC_WORDS})"""
+    return f"""{name}_list as (select topic_id, word from (select *, row_number() over (partition by topic_id order by tf desc, word) as rank
+ from (select topic_id, word, cast(sum(tf) as bigint) as tf from (select topic_id, doc_id, replace(word, '-', '') as word, tf from doc_words) where doc_id % 2 = {rest} and length(word) >= 2 group by 1, 2)) where rank <= {TOPIC_WORDS}),
+ {name}_idf as (select topic_id, word, ln((1 + (select count(distinct topic_id) from {name}_list)) / (1 + count(*) over (partition by word))) + 1 as idf from {name}_list),
+ {name} as (select topic_id, word, idf / max(idf) over (partition by topic_id) as w from {name}_idf)"""
 
 
 CELLS = f"""{DOC_WORDS_SQL}, {_phi_sql('one', 0)}, {_phi_sql('two', 1)}, x as (select 'a' || topic_id as doc_id, word, 1 as tf from one union all select 'b' || topic_id, word, 1 from two),
@@ -136,15 +141,36 @@ def topic_mapping(spark, d):
     return rounded(sm.semantic_mapping(*_windows(spark, d)), "score")
 
 
-@query(f"""with {SCORES}, {THETA_SQL}, th as (select unnest([0.02, 0.1, 0.2]) as threshold), mapped as (select threshold::double as threshold, t1, t2 from scores, th where {views.q6('score')} > threshold),
- td as (select document_id, topic_id from theta where topic_weight >= 0.05), n as (select topic_id, count(*) as n from td group by 1),
+#: The thresholds of a mapping; the second window's first day and the first window's last bound the documents compared.
+THRESHOLDS = [0.3, 0.4, 0.5, 0.6, 0.7, 0.8]
+SECOND_FROM, FIRST_TO = "1995-01-01", "1996-12-31"
+MAPPED = f"{SCORES}, th as (select unnest({THRESHOLDS})::double as threshold), mapped as (select threshold, t1, t2 from scores, th where {views.q6('score')} > threshold)"
+
+
+def _mapped(spark, d):
+    cells, one, two = _windows(spark, d)
+    return stored(sm.at_thresholds(rounded(sm.semantic_mapping(cells, one, two), "score"), THRESHOLDS), "mapped"), one, two
+
+
+@query(f"""with {MAPPED} select threshold, t1, t2, coalesce((select string_agg(word, ' ' order by word) from one where topic_id = t1 and word not in (select word from two where topic_id = t2)), '') as delta_words,
+ (select count(*) from one where topic_id = t1 and word not in (select word from two where topic_id = t2)) as delta_count from mapped""")
+def mapping_delta(spark, d):
+    """What the first window's topic says and the second's, to which it is mapped, doesn't."""
+    x = sm.delta_words(*_mapped(spark, d))
+    return x.select("threshold", "t1", "t2", F.array_join("delta_words", " ").alias("delta_words"), F.col("delta_count").cast("long").alias("delta_count"))
+
+
+@query(f"""with {MAPPED}, {views.THETA_DT_SQL}, td as (select document_id, topic_id from theta_dt where topic_weight >= 0.05 and datetime >= timestamp '{SECOND_FROM}' and datetime <= timestamp '{FIRST_TO}'),
+ n as (select topic_id, count(*) as n from td group by 1),
  b as (select a.topic_id as t1, b.topic_id as t2, count(*) as c from td a join td b using (document_id) group by 1, 2),
- j as (select threshold, t1, t2, coalesce(c, 0) / (n1.n + n2.n - coalesce(c, 0)) as j from mapped left join b using (t1, t2) join n n1 on n1.topic_id = t1 join n n2 on n2.topic_id = t2),
+ j as (select threshold, t1, t2, case when coalesce(n1.n, 0) + coalesce(n2.n, 0) = 0 then 0.0 else coalesce(c, 0) / (coalesce(n1.n, 0) + coalesce(n2.n, 0) - coalesce(c, 0)) end as j from mapped left join b using (t1, t2) left join n n1 on n1.topic_id = t1 left join n n2 on n2.topic_id = t2),
  p as (select threshold, count(distinct t1) / 20 as coverage, {views.q6('avg(j)')} as mj from j group by 1)
- select threshold, {s6('coverage')}, {s6('mj', 'mean_jaccard')}, {s6('(mj - min(mj) over ()) / case when max(mj) over () = min(mj) over () then 1 else max(mj) over () - min(mj) over () end', 'scaled')} from p""")
+ select threshold, {s6('coalesce(coverage, 0)', 'coverage')}, {s6('coalesce(mj, 0)', 'mean_jaccard')}, {s6('(mj - min(mj) over ()) / case when max(mj) over () = min(mj) over () then 1 else max(mj) over () - min(mj) over () end', 'scaled')} from th left join p using (threshold)""")
 def mapping_validation(spark, d):
-    mapped = stored(sm.at_thresholds(rounded(sm.semantic_mapping(*_windows(spark, d)), "score"), [0.02, 0.1, 0.2]), "mapped")
-    return rounded(sm.validate_mapping(mapped, views.theta(spark, d), 20), "coverage", "mean_jaccard", "scaled")
+    """Every threshold's share of mapped topics and their documents' overlap inside the dates that both windows have."""
+    theta = stored(views.theta_dt(spark, d).select("document_id", "topic_id", "topic_weight", "datetime"), "theta")
+    out = sm.validate_mapping(_mapped(spark, d)[0], theta, theta, 20, THRESHOLDS, (SECOND_FROM, FIRST_TO))
+    return rounded(out, "coverage", "mean_jaccard", "scaled")
 
 
 # Clusters -------------------------------------------------------------------------------------------------------------
