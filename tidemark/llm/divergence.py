@@ -31,7 +31,7 @@ BLOCK, TILE = 256, 512
 #: Parts that a group's histogram of light terms is dealt into.
 CHUNKS = 16
 #: Entries of heavy terms that one partial matrix of a pair of blocks is made from, about.
-ENTRIES = 1 << 15
+ENTRIES = 1 << 17
 #: Groups that are broadcast at most; each is two short strings and a few numbers.
 MOST_BROADCAST = 20_000
 STEP_BYTES = 8_000_000
