@@ -243,16 +243,6 @@ def test_word_vectors_and_json(spark, tmp_path):
     assert files.json_items(spark, f"file://{tmp_path}/x.json").count() == 2
 
 
-def test_stream_appends_once(spark, tmp_path):
-    src, out, ck = (f"file://{tmp_path}/{n}" for n in ("src", "out", "ck"))
-    spark.createDataFrame([(1, "a"), (1, "a"), (2, "b")], "k int, v string").write.parquet(src)
-    for _ in range(2):
-        feeds.run_once(feeds.read_files(spark, src, "k int, v string"), feeds.append_absent(out, "k"), ck)
-    spark.createDataFrame([(2, "b"), (3, "c")], "k int, v string").write.mode("append").parquet(src)
-    feeds.run_once(feeds.read_files(spark, src, "k int, v string"), feeds.append_absent(out, "k"), ck)
-    assert sorted(r["k"] for r in spark.read.parquet(out).collect()) == [1, 2, 3]
-
-
 def test_stream_equals_batch(spark, tmp_path):
     src = f"file://{tmp_path}/e"
     rows = [(datetime(2024, 1, 1) + timedelta(minutes=7 * i), "x", 1.0) for i in range(100)]
