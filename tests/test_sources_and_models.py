@@ -186,3 +186,38 @@ def test_topic_weights_are_by_rarity(spark):
     lists = spark.createDataFrame([("a", "both", 1), ("a", "own", 1), ("b", "both", 1)], "topic_id string, word string, tf int")
     got = {(r["topic_id"], r["word"]): r["relative"] for r in topics.tfidf(lists).collect()}
     assert got["a", "own"] == 1.0 and got["b", "both"] == 1.0 and got["a", "both"] == pytest.approx(1 / (math.log(1.5) + 1))
+
+
+def all_clots(dist, names, d1, d2, medoid):
+    """Whole clots by plain loops over the full matrix."""
+    at = lambda a, b: 0.0 if a == b else dist.get((min(a, b), max(a, b)), 1.0)
+    out = {}
+    for seed in names:
+        hood = [x for x in names if at(seed, x) <= d2]
+        start = min(hood, key=lambda x: sum(at(y, x) for y in hood)) if medoid else seed
+        inside, rest = [start], [x for x in hood if x != start]
+        while True:
+            rest = [x for x in rest if all(at(x, y) <= d1 for y in inside)]
+            if not rest:
+                break
+            best = min(rest, key=lambda x: sum(at(x, y) for y in inside))
+            inside.append(best)
+            rest.remove(best)
+        out[seed] = sorted(inside)
+    return out
+
+
+@pytest.mark.parametrize("seed,d1,d2,medoid,cells", [(1, 0.3, 0.4, True, 10**6), (2, 0.3, 0.4, False, 50), (3, 0.5, 0.25, True, 50), (4, 0.25, 0.99, True, 500), (5, 1.0, 0.5, False, 1)])
+def test_whole_clots(spark, monkeypatch, seed, d1, d2, medoid, cells):
+    monkeypatch.setattr(clusters, "CLOT_CELLS", cells)
+    rng = random.Random(seed)
+    names = [f"w{i:02d}" if i % 5 else f"ё {i:02d}" for i in range(30)]
+    # quarters are exact in binary, so that ties are ties however they are summed
+    dist = {(a, b): rng.choice([0.125, 0.25, 0.25, 0.5, 0.75, 1.0]) for a, b in itertools.combinations(sorted(names), 2) if rng.random() < 0.7}
+    rows = [(a, b, v) for (a, b), v in dist.items()] + [(None, "w01", 0.1), ("w01", None, 0.1), ("w01", "w02x", None)]
+    df = spark.createDataFrame(rows, "a string, b string, distance double").repartition(5).withColumn("seed", F.lit("clash"))
+    got = {r["seed"]: list(r["members"]) for r in clusters.clots(df, d1, d2, medoid).collect()}
+    assert got == all_clots(dist, sorted(names), d1, d2, medoid)
+    assert clusters.clots(df.limit(0), d1, d2, medoid).count() == 0
+    with pytest.raises(ValueError, match="under 1"):
+        clusters.clots(df, d1, 1.0)

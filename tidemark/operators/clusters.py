@@ -15,6 +15,9 @@ from tidemark.scratch import stored
 #: Points whose spanning forests are finished in one task for each least number; more take connected components.
 MOST_FOREST = 200_000
 
+#: Distances (20 bytes each, and their objects' names) that a block of seeds is sent, at most, on average.
+CLOT_CELLS = 2_000_000
+
 
 def both_ways(distances: DataFrame) -> DataFrame:
     """a, b, distance in both directions, and each object with itself at 0."""
@@ -29,36 +32,74 @@ def neighbourhoods(distances: DataFrame, radius: float) -> DataFrame:
 
 
 def grow(dm: np.ndarray, d1: float, start: int) -> list[int]:
-    """Add the candidate with the least total distance to the members, while all stay within d1 of each other."""
-    inside, rest = [start], np.delete(np.arange(len(dm)), start)
+    """Add the candidate with the least total distance to the members, the first of equals, while all stay within d1 of each
+    other. Totals and candidates are carried along, so that a step costs one row of the matrix."""
+    inside, total, fits, last = [], np.zeros(len(dm)), np.ones(len(dm), bool), start
     while True:
-        block = dm[np.ix_(inside, rest)]
-        fits = (block <= d1).all(axis=0)
+        inside.append(last)
+        total += dm[last]
+        fits &= dm[last] <= d1
+        fits[last] = False
         if not fits.any():
             return inside
-        rest, total = rest[fits], block[:, fits].sum(axis=0)
-        best = int(np.argmin(total))
-        inside.append(int(rest[best]))
-        rest = np.delete(rest, best)
+        rest = np.flatnonzero(fits)
+        last = int(rest[np.argmin(total[rest])])
+
+
+def _clots_of(d1: float, medoid: bool):
+    """Cogroup of a block's neighbourhoods (seed, x) and the distance lists of their objects (x, b, distance)."""
+
+    def run(near: pa.Table, lists: pa.Table) -> pa.Table:
+        each = lists["adjacent"].combine_chunks()
+        width = np.diff(each.offsets.to_numpy())
+        flat = each.flatten()
+        strings = lambda c: np.array(c.to_pylist(), object)
+        x, b, d = strings(lists["x"]), strings(flat.field("b")), flat.field("distance").to_numpy()
+        names, code = np.unique(np.concatenate([x, b]), return_inverse=True)
+        row_of = np.full(len(names), -1)
+        row_of[code[: len(x)]] = np.arange(len(x))
+        ends, cols = np.append(0, np.cumsum(width)), code[len(x) :]
+        at = dict(zip(names, range(len(names)), strict=True))
+        hoods: dict[str, list[int]] = {}
+        for s, m in zip(near["seed"].to_pylist(), near["x"].to_pylist(), strict=True):
+            hoods.setdefault(s, []).append(at[m])
+        place, seeds, found = np.full(len(names), -1), [], []
+        for s, hood in hoods.items():
+            members = np.unique(hood)
+            n = len(members)
+            place[members] = np.arange(n)
+            dm = np.ones((n, n))
+            for i, r in enumerate(row_of[members]):
+                local = place[cols[ends[r] : ends[r + 1]]]
+                dm[i, local[local >= 0]] = d[ends[r] : ends[r + 1]][local >= 0]
+            place[members] = -1
+            start = int(np.argmin(dm.sum(axis=0))) if medoid else int(np.searchsorted(members, at[s]))
+            seeds.append(s)
+            found.append(sorted(names[members[grow(dm, d1, start)]]))
+        return pa.table({"seed": pa.array(seeds, pa.string()), "members": pa.array(found, pa.list_(pa.string()))})
+
+    return run
 
 
 def clots(distances: DataFrame, d1: float, d2: float, medoid: bool = True) -> DataFrame:
-    """seed, members: the clot grown inside each object's neighbourhood. A task holds one neighbourhood's distances;
-    pairs that are not listed are at distance 1."""
-    near = both_ways(distances).where(F.col("distance") <= d2)
-    local = near.select(F.col("a").alias("seed"), F.col("b").alias("x")).join(near.select(F.col("a").alias("seed"), F.col("b").alias("y")), "seed")
-    local = local.join(both_ways(distances).toDF("x", "y", "distance"), ["x", "y"]).select("seed", "x", "y", "distance")
-
-    def one(key: tuple[pa.Scalar, ...], t: pa.Table) -> pa.Table:
-        names, at = np.unique(np.array(t["x"].to_pylist() + t["y"].to_pylist()), return_inverse=True)
-        dm = np.ones((len(names), len(names)))
-        n = t.num_rows
-        dm[at[:n], at[n:]] = t["distance"].to_numpy()
-        start = int(np.argmin(dm.sum(axis=0))) if medoid else int(np.flatnonzero(names == key[0].as_py())[0])
-        members = sorted(str(names[i]) for i in grow(dm, d1, start))
-        return pa.table({"seed": pa.array([key[0].as_py()], pa.string()), "members": pa.array([members], pa.list_(pa.string()))})
-
-    return local.groupBy("seed").applyInArrow(one, "seed string, members array<string>")
+    """seed, members: the clot grown inside each object's neighbourhood (objects within d2, itself included), from its medoid,
+    the first by name of equals, or from the object. Pairs that are not listed are at distance 1; each pair is listed once.
+    d2 is under 1, an error otherwise: from 1 on every object's neighbourhood would be all objects.
+
+    Objects send their list of distances once to each block of seeds that has them in a neighbourhood; blocks are as many as
+    hold ``CLOT_CELLS`` distances on average, each list counted for each seed. A task holds a block's lists, and the square
+    matrix of one neighbourhood at a time. Rows with null a, b or distance are passed over; an empty table has no clots.
+    """
+    if d2 >= 1:
+        raise ValueError(f"d2 must be under 1, the distance of pairs that are not listed: {d2}")
+    known = stored(both_ways(distances.where("a is not null and b is not null and distance is not null")), "both_ways")
+    lists = known.groupBy(F.col("a").alias("x")).agg(F.collect_list(F.struct("b", F.col("distance").cast("double").alias("distance"))).alias("adjacent"))
+    near = known.where(F.col("distance") <= d2).select(F.col("a").alias("seed"), F.col("b").alias("x"))
+    degree = known.groupBy(F.col("a").alias("x")).agg(F.count("*").alias("n"))
+    cells = near.join(degree, "x").agg(F.sum("n")).first()[0] or 0
+    near = near.withColumn("block", F.pmod(F.xxhash64("seed"), F.lit(-(-cells // CLOT_CELLS) or 1)))
+    sent = near.select("block", "x").distinct().join(lists, "x").toDF("x", "to", "adjacent")
+    return near.groupBy("block").cogroup(sent.groupBy("to")).applyInArrow(_clots_of(d1, medoid), "seed string, members array<string>")
 
 
 def unique(found: DataFrame, least: int = 1) -> DataFrame:

@@ -6,7 +6,7 @@ from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
 from tidemark.functions.columns import q6
-from tidemark.operators import dictionary, pages
+from tidemark.operators import dictionary, lemmas, pages
 from tidemark.plans import views
 from tidemark.scratch import stored
 from tidemark.plans.views import DOC_WORDS_SQL, WORDS_SQL, docs, table
@@ -144,6 +144,54 @@ def lemmatize_custom(spark, d):
     return dictionary.lemmatize(w, custom, analyser).select("word", "tf", "lemma", "kind")
 
 
+#: Words and their lemmas as the texts attest them: a word with one of these endings less, where the texts have that too.
+ATTESTED = ["ing", "ed", "en"]
+LEMMAS_SQL = f"""with {DOC_WORDS_SQL}, w as (select word, cast(sum(tf) as bigint) as tf from doc_words group by 1), e as (select unnest({ATTESTED}) as e),
+ base as (select w.word, max_by(b.word, length(b.word)) as b from w join e on ends_with(w.word, e) join w b on b.word = substr(w.word, 1, length(w.word) - length(e)) group by 1),
+ truth as (select word, tf, coalesce(b, word) as truth from w left join base using (word)),
+ pairs as (select word, truth as lemma, (select coalesce(max(i), 0) from range(1, length(word) + 1) t(i) where substr(word, 1, i) = substr(truth, 1, i)) as k from truth where length(word) % 3 > 0),
+ taught as (select word, length(word) - k as strip, substr(lemma, k + 1) as add, unnest(range(length(word) - k, least(length(word) - 1, 5) + 1)) as n from pairs),
+ counts as (select right(word, cast(n as int)) as ending, strip, add, count(*) as n from (select word, strip, add, n from taught) group by 1, 2, 3),
+ ranked as (select *, row_number() over (partition by ending order by n desc, strip, add) as r, sum(n) over (partition by ending) as total from counts),
+ rules as (select ending, strip, add from ranked where r = 1 and n >= 2 and n >= 0.5 * total),
+ known as (select word, lemma from pairs where length(word) <= 7),
+ hit as (select t.word, max_by(substr(t.word, 1, cast(length(t.word) - strip as int)) || add, length(ending)) as lemma from truth t join rules on length(ending) < length(t.word) and ends_with(t.word, ending)
+ where not exists (select 1 from known where known.word = t.word) group by 1)"""
+
+
+def _attested(spark, d):
+    """word, tf, truth."""
+    w = stored(views.doc_words(spark, d).groupBy("word").agg(F.sum("tf").alias("tf")), "words")
+    less = F.filter(F.array(*(F.when(F.endswith(F.col("word"), F.lit(e)), F.expr(f"substring(word, 1, length(word) - {len(e)})")) for e in ATTESTED)), lambda x: x.isNotNull())
+    base = w.select("word", F.explode(less).alias("b")).join(w.select(F.col("word").alias("b")), "b", "left_semi")
+    base = base.groupBy("word").agg(F.max_by("b", F.length("b")).alias("b"))
+    return w.join(base, "word", "left").select("word", "tf", F.coalesce("b", "word").alias("truth"))
+
+
+def _taught(spark, d):
+    """All words, those that teach (held out: lengths that 3 divides), and the rules learned from these."""
+    words_ = stored(_attested(spark, d), "truth")
+    pairs = words_.where("length(word) % 3 > 0").select("word", F.col("truth").alias("lemma"))
+    return words_, pairs, stored(lemmas.suffix_rules(pairs), "rules")
+
+
+@query(f"""{LEMMAS_SQL} select word, tf, coalesce(known.lemma, hit.lemma, '') as lemma, case when known.word is not null then 'known' when hit.word is not null then 'guessed' else 'unknown' end as kind
+ from truth left join known using (word) left join hit using (word)""")
+def lemmatize_unknown(spark, d):
+    words_, pairs, rules = _taught(spark, d)
+    known = pairs.where("length(word) <= 7").select("word", F.col("lemma").alias("word_normal"))
+    return lemmas.lemmatize(words_.select("word", "tf"), known.where("false"), known, rules)
+
+
+@query(f"""{LEMMAS_SQL} select truth <> word as changes, count(*) as n, count(*) filter (truth = lemma) as n_right from truth left join hit using (word) where length(word) % 3 = 0 group by 1""")
+def lemma_accuracy(spark, d):
+    """Of held-out words that change or don't, how many get their lemma by rules alone."""
+    words_, _, rules = _taught(spark, d)
+    held = words_.where("length(word) % 3 = 0")
+    out = held.join(lemmas.by_rules(held.select("word"), rules), "word")
+    return out.groupBy((F.col("truth") != F.col("word")).alias("changes")).agg(F.count("*").alias("n"), F.count_if(F.col("truth") == F.col("lemma")).alias("n_right"))
+
+
 @query("""select distinct c_mktsegment as name, regexp_replace(regexp_replace(lower(c_mktsegment), '\\s+', '_', 'g'), '[^a-z0-9_.\\-]', '', 'g') as slug from customer""")
 def slugify(spark, d):
     return table(spark, d, "customer").select(F.col("c_mktsegment").alias("name")).distinct().withColumn("slug", c.slug(F.col("name")))
