@@ -858,3 +858,25 @@ def test_components_of_stars(spark):
     edges = spark.createDataFrame([(0, i) for i in range(1, 300)] + [(i, i + 1) for i in range(1000, 1100)], "u long, v long")
     got = {(r["node"], r["component"]) for r in graph.components(edges).collect()}
     assert got == {(i, 0) for i in range(300)} | {(i, 1000) for i in range(1000, 1101)}
+
+
+def test_pieces_of_shards():
+    from tidemark.llm.exchange import pieces
+
+    rng = np.random.default_rng(3)
+    for shards in (1, 2, 7, 4_000_000):
+        h = np.sort(np.append(rng.integers(0, 2**64, 500, dtype=np.uint64), np.array([0, 2**64 - 1, 2**63, 2**63], np.uint64)))
+        got = pieces(h, shards)
+        of = [(int(x) >> 32) * shards >> 32 for x in h]
+        assert {s: list(range(x.start, x.stop)) for s, x in got.items()} == {s: [i for i, o in enumerate(of) if o == s] for s in set(of)}
+        assert pieces(h[:0], shards) == {}
+
+
+def test_alpha_keeps_its_digits():
+    """The mass that a history seen 10^12 times leaves is what was taken off, not the rest of a division."""
+    from tidemark.llm import katz
+
+    c, d = np.array([10**12, 10**12, 3, 0]), np.array([1.0, 0.5, 0.6, 0.7, 0.8, 0.9])
+    assert np.allclose(katz.taken(c, d), [katz.TINY, katz.TINY, 0.9, 0], rtol=1e-15)
+    small = np.arange(9)
+    assert np.allclose(small - katz.discounted(small, d), katz.taken(small, d), atol=1e-12)

@@ -57,10 +57,13 @@ def small(a: np.ndarray) -> np.ndarray:
     return a.astype(np.uint8 if top < 1 << 8 else np.uint16 if top < 1 << 16 else np.uint32 if top < 1 << 32 else np.uint64)
 
 
-def bounds(h: np.ndarray, shards: int) -> np.ndarray:
-    """Where each shard's range begins in ascending hashes."""
-    edges = [(i << 64) // shards for i in range(1, shards)]
-    return np.concatenate([[0], np.searchsorted(h, np.array(edges, np.uint64)), [len(h)]])
+def pieces(h: np.ndarray, shards: int) -> dict[int, slice]:
+    """Where the hashes of each shard lie among ascending ones, of the shards that have any: shards are equal ranges of the
+    first 32 bits, so that the cost is the block's, however many shards there are."""
+    shard = (h >> np.uint64(32)) * np.uint64(shards) >> np.uint64(32)
+    begin = np.flatnonzero(np.diff(shard)) + 1 if len(h) else np.zeros(0, np.int64)
+    ends = [0, *begin.tolist(), len(h)] if len(h) else [0]
+    return {int(shard[lo]): slice(lo, hi) for lo, hi in zip(ends, ends[1:])}
 
 
 def rows_of(rows: list[tuple], names: str) -> pa.RecordBatch:

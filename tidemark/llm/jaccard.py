@@ -24,7 +24,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 from tidemark.operators.graph import components
-from tidemark.llm.exchange import MESSAGE, bounds, pack, rows_of, small, unpack
+from tidemark.llm.exchange import MESSAGE, pack, pieces, rows_of, small, unpack
 
 #: Bytes of text whose signatures a block gathers, bytes of input files for each shard; members of a stripe of sketches, and
 #: of whole sets.
@@ -129,9 +129,7 @@ def _sign(n: int, percent: int, shards: int):
             new = np.ones(len(s), bool)
             new[1:] = (s[1:] != s[:-1]) | (w[1:] != w[:-1])
             s, w = s[new], w[new]
-            cut = bounds(s, shards)
-            for i in np.flatnonzero(np.diff(cut)).tolist():
-                x = slice(cut[i], cut[i + 1])
+            for i, x in pieces(s, shards).items():
                 mine, local = np.unique(w[x], return_inverse=True)
                 yield rows_of([("sig", i, 0, pack(s[x], small(local), table[mine].astype(np.uint64)))], MESSAGE)
             for x in (nodes, sigs, who):

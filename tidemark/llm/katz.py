@@ -30,7 +30,7 @@ from pyspark.sql import functions as F
 
 from tidemark.llm import common
 from tidemark.scratch import delete
-from tidemark.llm.exchange import MESSAGE, bounds, each_row, pack, rows_of, small, trim, unpack, with_answers
+from tidemark.llm.exchange import MESSAGE, each_row, pack, pieces, rows_of, small, trim, unpack, with_answers
 
 #: Counts up to K are discounted by Good-Turing; larger ones lose TINY.
 K, TINY = 5, 0.01
@@ -149,10 +149,8 @@ def _ask(shards: int, order: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in each_row(batches):
             for g in Block(r["payload"]).grams(order):
-                cut = bounds(g.names, shards)
-                for s in np.flatnonzero(np.diff(cut)).tolist():
-                    lo, hi = cut[s], cut[s + 1]
-                    yield rows_of([(kind(g.order), s, r["block"], pack(g.names[lo:hi], small(g.count[lo:hi])))], MESSAGE)
+                for s, x in pieces(g.names, shards).items():
+                    yield rows_of([(kind(g.order), s, r["block"], pack(g.names[x], small(g.count[x])))], MESSAGE)
             del g
             trim()
 
@@ -213,6 +211,12 @@ def discounted(c: np.ndarray, d: np.ndarray) -> np.ndarray:
     return np.where(c <= K, d[np.minimum(c, K)] * c, c - TINY)
 
 
+def taken(c: np.ndarray, d: np.ndarray) -> np.ndarray:
+    """What discounting takes off each count, without the difference of two large numbers; over 0 for counts over 0."""
+    c = c.astype(np.int64)
+    return np.where(c <= K, (1 - d[np.minimum(c, K)]) * c, TINY)
+
+
 class Model:
     """What a task needs besides its n-grams: a few numbers."""
 
@@ -253,12 +257,12 @@ def _sum_up(model: Model, shards: int):
                 answers.setdefault(a["kind"], []).append((a["shard"], a["payload"]))
             levels = []  # of each order: log p of seen n-grams, whether seen, whether the history was
             for g in b.grams(model.order):
-                c, own, cut = np.zeros(len(g.names), np.int64), np.zeros(len(g.names), bool), bounds(g.names, shards)
+                c, own, cut = np.zeros(len(g.names), np.int64), np.zeros(len(g.names), bool), pieces(g.names, shards)
                 for s, payload in answers.pop(kind(g.order), ()):
-                    lo, hi = cut[s], cut[s + 1]
+                    x = cut[s]
                     count, bits = unpack(payload)
-                    c[lo:hi] = count
-                    own[lo:hi] = np.unpackbits(bits, count=hi - lo)
+                    c[x] = count
+                    own[x] = np.unpackbits(bits, count=x.stop - x.start)
                 if g.order == 1:
                     n_begin = int(c[np.searchsorted(b.vocab, END)])  # every document ends once
                     p1 = model.word(c)
@@ -286,28 +290,27 @@ def _sum_up(model: Model, shards: int):
                 rank = np.empty(len(need), np.int64)
                 rank[order] = np.arange(len(need))
                 needs += [np.bincount(b.doc[ask], minlength=len(b.ids)).astype(np.uint32), small(rank[place])]
-                names, cut = names[order], bounds(names[order], shards)
-                for s in np.flatnonzero(np.diff(cut)).tolist():
-                    yield rows_of([(f"need{k}", s, r["block"], pack(names[cut[s] : cut[s + 1]]))], MESSAGE)
+                names = names[order]
+                for s, x in pieces(names, shards).items():
+                    yield rows_of([(f"need{k}", s, r["block"], pack(names[x]))], MESSAGE)
             state = pack(b.size, b.held.astype(np.uint8), known.astype(np.int64), base, score, *needs)
             yield rows_of([("state", -1, r["block"], pickle.dumps((b.ids, state)))], MESSAGE)
             del b, levels, needs, score, base, above, last, names
             trim()
 
     def sums(block: int, g: Grams, c: np.ndarray, own: np.ndarray, c_past: np.ndarray, hist: np.ndarray, low: np.ndarray) -> Iterator[pa.RecordBatch]:
-        """By history: over the n-grams that this block is to sum up, their discounted counts and lower probabilities."""
+        """By history: over the n-grams that this block is to sum up, what discounting takes off their counts, and lower probabilities."""
         first = np.empty(len(c), np.int64)
         first[g.at[::-1]] = np.arange(len(g.at) - 1, -1, -1)
         mine = first[own]
         past, where = np.unique(g.past[mine], return_inverse=True)
-        left = np.bincount(where, discounted(c[own], model.d[g.order - 1]), len(past))
+        off = np.bincount(where, taken(c[own], model.d[g.order - 1]), len(past))
         mass = np.bincount(where, low[mine], len(past))
         names = hist[past]
         order = np.argsort(names)
-        names, cut = names[order], bounds(names[order], shards)
-        for s in np.flatnonzero(np.diff(cut)).tolist():
-            x = slice(cut[s], cut[s + 1])
-            yield rows_of([(f"sums{g.order}", s, block, pack(names[x], left[order][x], mass[order][x], small(c_past[past][order][x])))], MESSAGE)
+        names = names[order]
+        for s, x in pieces(names, shards).items():
+            yield rows_of([(f"sums{g.order}", s, block, pack(names[x], off[order][x], mass[order][x], small(c_past[past][order][x])))], MESSAGE)
 
     return run
 
@@ -321,10 +324,10 @@ def _alphas(tables: bool):
         got = [unpack(p) for k, _, p in rows if k.startswith("sums")]
         names, at = np.unique(np.concatenate([g[0] for g in got] or [np.zeros(0, np.uint64)]), return_inverse=True)
         add = lambda i: np.bincount(at, np.concatenate([g[i] for g in got]), len(names)) if got else np.zeros(0)
-        left, mass, total = add(1), add(2), np.zeros(len(names))
+        off, mass, total = add(1), add(2), np.zeros(len(names))
         if got:
             total[at] = np.concatenate([g[3] for g in got])
-        alpha = np.maximum(1 - left / np.maximum(1, total), 1e-300) / np.maximum(1 - mass, 1e-12)
+        alpha = off / np.maximum(1, total) / np.maximum(1 - mass, np.finfo(float).eps)
         out = [(f"alpha{order} table", shard, None, pack(names, small(total.astype(np.int64)), alpha))] if tables else []
         for k, b, p in rows:
             if k.startswith("need"):

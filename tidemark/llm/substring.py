@@ -25,7 +25,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame, SparkSession
 
 from tidemark.llm import common
-from tidemark.llm.exchange import MESSAGE, bounds, each_row, pack, rows_of, small, trim, unpack, with_answers
+from tidemark.llm.exchange import MESSAGE, each_row, pack, pieces, rows_of, small, trim, unpack, with_answers
 
 WIDTH, GRAM = 35, 8
 #: Segments of one anchor that a shard takes whole.
@@ -105,7 +105,7 @@ class Segments:
         return a, np.bincount(at, self.weight, len(a)).astype(np.int64), at
 
     def items(self, kind: np.ndarray, shards: int, width: int) -> tuple[np.ndarray, ...]:
-        """What is sent: per distinct item its first place, words, copies (at most 2) and shard; then each item's place
+        """What is sent: per distinct item its first place, words, copies (at most 2), and the shards' slices of them; then each item's place
         among the distinct ones with the word it starts at. kind: per segment 0 unique anchor, 1 whole, 2 as windows."""
         whole, cut = np.flatnonzero(kind == 1), np.flatnonzero(kind == 2)
         start = np.concatenate([self.start[whole], common.ragged(self.start[cut], self.count[cut])])
@@ -122,16 +122,15 @@ class Segments:
         place[order] = np.cumsum(first) - 1
         lead = order[first]
         copies = np.minimum(2, np.bincount(place, minlength=len(lead)))
-        return start[lead], size[lead], copies, bounds(key[lead], shards), place, start, size
+        return start[lead], size[lead], copies, pieces(key[lead], shards), place, start, size
 
 
 def _ask_anchors(shards: int, width: int):
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for r in each_row(batches):
             a, n, _ = Segments(r["payload"], width).anchors()
-            cut = bounds(a, shards)
-            for s in np.flatnonzero(np.diff(cut)).tolist():
-                yield rows_of([("anchor", s, r["block"], pack(a[cut[s] : cut[s + 1]], small(n[cut[s] : cut[s + 1]])))], MESSAGE)
+            for s, x in pieces(a, shards).items():
+                yield rows_of([("anchor", s, r["block"], pack(a[x], small(n[x])))], MESSAGE)
 
     return run
 
@@ -149,10 +148,10 @@ def _count_anchors(key: tuple[pa.Scalar, ...], table: pa.Table) -> pa.Table:
 
 def _kinds(seg: Segments, answers: list[dict], shards: int) -> np.ndarray:
     a, _, at = seg.anchors()
-    cut, kind = bounds(a, shards), np.zeros(len(a), np.uint8)
+    cut, kind = pieces(a, shards), np.zeros(len(a), np.uint8)
     for r in answers:
         if r["kind"] == "anchor":
-            kind[cut[r["shard"]] : cut[r["shard"] + 1]] = unpack(r["payload"])[0]
+            kind[cut[r["shard"]]] = unpack(r["payload"])[0]
     return kind[at]
 
 
@@ -163,8 +162,7 @@ def _send_segments(shards: int, width: int):
             seg = Segments(r["payload"], width)
             start, size, copies, cut, *_ = seg.items(_kinds(seg, r["answers"] or [], shards), shards, width)
             w = seg.words
-            for s in np.flatnonzero(np.diff(cut)).tolist():
-                x = slice(cut[s], cut[s + 1])
+            for s, x in cut.items():
                 lo, hi = w.start[start[x]], w.end[start[x] + size[x] - 1]
                 raw = w.data[common.ragged(lo, hi - lo)].tobytes()
                 body = pickle.dumps((pack(small(hi - lo), copies[x].astype(np.uint8)), len(raw), codec.compress(raw, asbytes=True)))
@@ -311,7 +309,8 @@ def _remove(shards: int, width: int, with_text: bool):
             flags = np.zeros(int(begin[-1]), bool)
             for a in answers:
                 if a["kind"] == "segment":
-                    lo, hi = begin[cut[a["shard"]]], begin[cut[a["shard"] + 1]]
+                    x = cut[a["shard"]]
+                    lo, hi = begin[x.start], begin[x.stop]
                     flags[lo:hi] = np.unpackbits(np.frombuffer(a["payload"], np.uint8), count=hi - lo)
             n = sizes - width + 1
             hit = common.ragged(starts, n)[flags[common.ragged(begin[place], n)]]
