@@ -6,8 +6,8 @@ from pyspark.sql import Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import clean, cleaned_words, words
-from tidemark.operators import clusters as cl
-from tidemark.operators import cosine, geo
+from tidemark.operators import clusters as cl, units
+from tidemark.operators import cosine, geo, units
 from tidemark.operators import similarity as sm
 from tidemark.operators.topics import tfidf
 from tidemark.plans import views
@@ -307,6 +307,33 @@ def embedding_flatten(spark, d):
     return x.where("word <> ''")
 
 
+UNITS_SQL = """with t as (select conv_id, turn, string_split(text, '. ') as ss from conversations where text is not null), s as (select conv_id, turn, unnest(ss) as s, generate_subscripts(ss, 1) as si from t),
+ w as (select conv_id, turn, si, list_filter(string_split(s, ' '), lambda x: x <> '') as ws from s),
+ p as (select conv_id, turn, si, wi, word, unnest(range(1, length(word) + 1, 4)) as place from (select conv_id, turn, si, unnest(ws) as word, generate_subscripts(ws, 1) as wi from w)),
+ v as (select *, substr(word, place, 4) as piece from p),
+ words as (select conv_id, turn, si, wi, string_agg(piece, '' order by place) as unit, avg(length(piece)) as a, avg(ascii(piece)) as b from v group by 1, 2, 3, 4),
+ edges as (select *, row_number() over (partition by conv_id, turn, si order by wi) as up, row_number() over (partition by conv_id, turn, si order by wi desc) as down from words),
+ sents as (select conv_id, turn, si, avg(a) as a, avg(b) as b, max(a) as ma, max(b) as mb from edges where up > 1 and down > 1 group by 1, 2, 3),
+ n as (select conv_id, turn, cast(len(ss) as int) as sentences from t)"""
+
+
+@query(f"""{UNITS_SQL}, texts as (select conv_id, turn, {', '.join(f"avg({c}) as {c}" for c in ('a', 'b', 'ma', 'mb'))} from sents group by 1, 2)
+ select conv_id, turn, sentences, {', '.join(s6(c) for c in ('a', 'b', 'ma', 'mb'))} from n left join texts using (conv_id, turn)""")
+def unit_pooling(spark, d):
+    """Vectors of pieces (length, code of the first letter) pooled to words, sentences and texts."""
+    pieces = lambda w: F.transform(F.sequence(F.lit(1), F.length(w), F.lit(4)), lambda i: F.struct(
+        F.concat(F.when(i == 1, "").otherwise(units.GOES_ON), F.substring(w, i, F.lit(4))).alias("unit"),
+        F.array(F.length(F.substring(w, i, F.lit(4))).cast("double"), F.ascii(F.substring(w, i, F.lit(1))).cast("double")).alias("vector"),
+    ))
+    edge = lambda name: F.array(F.struct(F.lit(name).alias("unit"), F.array(F.lit(0.0), F.lit(0.0)).alias("vector")))
+    one = lambda s: F.concat(edge("[CLS]"), F.flatten(F.transform(F.filter(F.split(s, " "), lambda w: w != ""), pieces)), edge("[SEP]"))
+    x = table(spark, d, "conversations").where("text is not null").select("conv_id", "turn", F.transform(F.split("text", r"\. "), one).alias("pieces"))
+    x = units.to_sentences(units.to_words(x.withColumn("sentences", F.size("pieces")), "pieces"), "pieces", "Average+Max")
+    x = units.to_text(x, "pieces")
+    each = [F.get(F.col("pieces.vector"), F.lit(i)).alias(c) for i, c in enumerate(("a", "b", "ma", "mb"))]
+    return rounded(x.select("conv_id", "turn", "sentences", *each), "a", "b", "ma", "mb")
+
+
 # Places ---------------------------------------------------------------------------------------------------------------
 
 
