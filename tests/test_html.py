@@ -114,3 +114,20 @@ def test_fields(spark):
     assert pages.fields(df.limit(0), rules).count() == 0 and pages.fields(df, {"a": rules["a"]}).count() == 3
     with pytest.raises(ValueError):
         pages.fields(df, {"a": {"colour": "p"}})
+
+
+def test_cut_references_in_the_queries(spark, tmp_path):
+    """A reference that lost its semicolon is text for the queries, as in their SQL; browsers decode it."""
+    import duckdb
+
+    from tidemark.plans import text
+
+    page = "<html><head><title>a &amp</title></head><body><article><h1>one &amp</h1><p>two &amp; &lt;three&gt; &amp;lt; &quo</p></article></body></html>"
+    spark.createDataFrame([(1, "https://a.com/x", page), (2, "https://a.org/x", page)], "page_id long, url string, html string").coalesce(1).write.parquet(f"{tmp_path}/pages.parquet")
+    con = duckdb.connect()
+    con.execute(f"create view pages as select * from '{tmp_path}/pages.parquet/*.parquet'")
+    for name in ("html_text", "html_fields"):
+        df = text.QUERIES[name](spark, str(tmp_path))
+        cur = con.execute(f"select {', '.join(df.columns)} from ({text.ORACLES[name]}) order by 1")
+        assert [tuple(r) for r in df.orderBy("page_id").collect()] == cur.fetchall()
+    assert texts(page, "h1").texts == ["one &"]

@@ -2,7 +2,8 @@
 
 from __future__ import annotations
 
-from collections.abc import Iterator
+import html as entities
+from collections.abc import Callable, Iterator
 
 import pyarrow as pa
 from pyspark.sql import Column, DataFrame
@@ -16,16 +17,16 @@ LISTS = ("tags", "categories")
 LEAST_TEXT = 10
 
 
-def extract(pages: DataFrame, tag: str = "article", least: int = 10, key: str = "page_id", html: str = "html") -> DataFrame:
+def extract(pages: DataFrame, tag: str = "article", least: int = 10, key: str = "page_id", html: str = "html", decode: Callable[[str], str] = entities.unescape) -> DataFrame:
     """key, text: texts inside ``tag`` and outside scripts and styles, stripped and joined by line feeds; null under
-    ``least`` characters. A null page has no text; a page of any length is read once."""
+    ``least`` characters. A null page has no text; a page of any length is read once. ``decode``: for the references in texts."""
     wanted = [markup.compile_selector(tag)]
 
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             out = []
             for h in b.column("html").to_pylist():
-                pieces = markup.select(h or "", wanted, frozenset({"script", "style"}))[0].texts
+                pieces = markup.select(h or "", wanted, frozenset({"script", "style"}), decode)[0].texts
                 text = "\n".join(t.strip() for t in pieces if t.strip())
                 out.append(text if len(text) >= least else None)
             yield pa.RecordBatch.from_arrays([b.column("key"), pa.array(out, pa.string())], [key, "text"])
@@ -34,7 +35,8 @@ def extract(pages: DataFrame, tag: str = "article", least: int = 10, key: str =
 
 
 def fields(
-    pages: DataFrame, rules: dict[str | None, dict[str, str]], *, source: str = "source", key: str = "page_id", html: str = "html", least: int = LEAST_TEXT
+    pages: DataFrame, rules: dict[str | None, dict[str, str]], *, source: str = "source", key: str = "page_id", html: str = "html", least: int = LEAST_TEXT,
+    decode: Callable[[str], str] = entities.unescape,
 ) -> DataFrame:
     """key, the simple fields, the list fields, html: what each source's selectors find in its pages.
 
@@ -43,7 +45,7 @@ def fields(
     ``num_`` fields are whole numbers, 0 where the text is none. A list field has one such text for each element, empty ones
     left out. A field without a selector is null. A page whose ``text`` has a selector and comes out shorter than ``least``
     goes; ``html`` is the source of the elements of ``text``. Null html: an empty page. Rows with one id are pages of their
-    own. Other columns are not read. The rules go with the tasks; they are a line for each source and field.
+    own. Other columns are not read. ``decode``: for the references in texts. The rules go with the tasks; they are a line for each source and field.
     """
     compiled = {s: {f: markup.compile_selector(x) for f, x in r.items()} for s, r in rules.items()}
     unknown = {f for r in rules.values() for f in r} - {*SIMPLE, *LISTS}
@@ -52,7 +54,7 @@ def fields(
     kinds = {**{f: pa.int64() if f.startswith("num_") else pa.string() for f in SIMPLE}, **{f: pa.list_(pa.string()) for f in LISTS}, "html": pa.string()}
 
     def one(page: str, own: dict) -> dict | None:
-        found = dict(zip(own, markup.select(page, list(own.values())), strict=True))
+        found = dict(zip(own, markup.select(page, list(own.values()), decode=decode), strict=True))
         out = {}
         for f, got in found.items():
             if f in LISTS:
