@@ -121,6 +121,45 @@ def test_dbscan_border_and_noise(spark):
     assert got == {1: 0, 2: 0, 3: 0, 4: 0, 5: -1, 6: -1, 7: -1, 8: -1}
 
 
+def test_equal_sources_are_compared_once(spark, tmp_path, monkeypatch):
+    """Sources whose vectors are the same but for a factor are one weighted point; labels as over all pairs."""
+    from tidemark.plans import similarity as plans
+
+    shapes = [{"a": 9}, {"a": 9, "b": 1}, {"a": 1, "b": 9}, {"b": 4}, {"c": 2, "d": 2}, {"c": 1, "d": 1}, {"d": 5, "a": 1}, {"e": 1}]
+    events = [(u, t) for u in range(100) for t, n in shapes[u % 6 if u < 96 else 6 + u % 2].items() for _ in range(n)]
+    spark.createDataFrame(events, "user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    met, plain = [], plans.cosine.similar_pairs
+    monkeypatch.setattr(plans.cosine, "similar_pairs", lambda v, t: met.append(v.select("row").distinct().count()) or plain(v, t))
+    got = {r["point"]: r["label"] for r in plans.source_dbscan(spark, str(tmp_path)).collect()}
+    x = np.array([[shapes[u % 6 if u < 96 else 6 + u % 2].get(c, 0) for c in "abcde"] for u in range(100)], float)
+    x /= np.linalg.norm(x, axis=1, keepdims=True)
+    near = np.floor((1 - x @ x.T) * 1e9 + 0.5) / 1e9 <= 0.01
+    core, want = near.sum(axis=1) >= 4, np.full(100, -1)
+    for p in range(100):
+        if core[p] and want[p] < 0:
+            stack, label = [p], want.max() + 1
+            while stack:
+                q = stack.pop()
+                if want[q] < 0:
+                    want[q] = label
+                    stack += np.flatnonzero(near[q] & core & (want < 0)).tolist() if core[q] else []
+    for p in np.flatnonzero(~core):
+        want[p] = min((want[q] for q in np.flatnonzero(near[p] & core)), default=-1)
+    assert got == dict(enumerate(want.tolist())) and met == [7]
+
+
+def test_dbscan_weights(spark):
+    """A point that stands for many is core by itself, in forests, in components and where all are neighbours."""
+    d = spark.createDataFrame([(1, 2, 0.1), (3, 4, 0.1)], "a long, b long, distance double")
+    pts = spark.createDataFrame([(1, 2), (2, 1), (3, 1), (4, None), (5, 3)], "point long, weight long")
+    want = [(1, 0), (2, 0), (3, -1), (4, -1), (5, 1)]
+    assert sorted(map(tuple, clusters.dbscan(d, pts, 0.2, 3).collect())) == want
+    got = clusters._grid_by_components(d, clusters._weighed(pts), [(0.2, 3)])
+    assert sorted((r["point"], r["label"]) for r in got.collect()) == want
+    got = clusters.dbscan_grid(d, pts, [(0.2, 3), (1.0, 8), (1.0, 9)], unlisted=1.0).collect()
+    assert {(r["cell"], r["label"]) for r in got if r["cell"]} == {(1, 0), (2, -1)}
+
+
 def test_clot_growth():
     dm = np.array([[0, 0.1, 0.2, 0.9], [0.1, 0, 0.5, 0.9], [0.2, 0.5, 0, 0.9], [0.9, 0.9, 0.9, 0]])
     assert clusters.grow(dm, 0.3, 0) == [0, 1]
