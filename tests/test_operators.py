@@ -10,7 +10,7 @@ import pytest
 from pyspark.sql import functions as F
 
 from tidemark.functions import columns as c
-from tidemark.operators import artm, clusters, criteria, dynamics, graph, posts, relational, similarity, topics, wordpiece
+from tidemark.operators import artm, clusters, criteria, dictionary, dynamics, graph, posts, relational, similarity, topics, wordpiece
 from tidemark.sources import files
 from tidemark.streaming import feeds, windows
 
@@ -433,3 +433,29 @@ def test_mapping_of_windows_equals_dense_formula(spark):
             total = (weight * s).sum()
             assert abs(mutual.pop((t1, t2)) - ((weight * s)[s >= 0.5].sum() / total if total > 0 else 0.0)) < 1e-9
     assert not got and not mutual
+
+
+def test_texts_are_dealt_by_their_length(spark, monkeypatch):
+    """More text makes more parts, so that a task's table of words stays as large; the counts stay the same."""
+    rows = [(i % 40, "one two three two " * (1 + i % 7)) for i in range(100)] + [(1, None), (None, "one")]
+    docs = spark.createDataFrame(rows, "doc_id long, text string")
+    counts = lambda: sorted(map(tuple, dictionary.word_counts(docs, 2).collect()))
+    before = counts()
+    monkeypatch.setattr(dictionary, "TASK_CHARS", 100)
+    chars = sum(len(t or "") for _, t in rows)
+    assert dictionary.dealt(docs, "doc_id", "text").rdd.getNumPartitions() == -(-chars // 100)
+    assert dictionary.dealt(docs.limit(0), "doc_id", "text").count() == 0
+    assert counts() == before
+
+
+def test_cleaned_words_of_every_character(spark):
+    """The same as replacing ``NOT_WORD``, for all characters of the basic plane, some beyond, and runs with stars."""
+    import re
+
+    rng = random.Random(5)
+    every = [chr(i) for i in [*range(1, 0xD800), *range(0xE000, 0x10000), 0x1F600, 0x10400] if chr(i).lower() == chr(i) or chr(i).isascii() or re.match(f"[{c.RUSSIAN}{c.KAZAKH}]", chr(i))]
+    texts = ["".join(f"a{x}b" for x in every[i : i + 500]) for i in range(0, len(every), 500)] + [None, "", " ", "-"]
+    texts += ["".join(rng.choice("aБқß $*-\u2028\U0001f600") for _ in range(60)) for _ in range(300)]
+    got = spark.createDataFrame([(t,) for t in texts], "t string").select(c.cleaned_words(F.col("t"))).collect()
+    for t, (w,) in zip(texts, got, strict=True):
+        assert w == (None if t is None else [x for x in re.sub(c.NOT_WORD, " ", t).lower().split(" ") if x])

@@ -9,14 +9,26 @@ from tidemark.functions.columns import clean, cleaned_words
 from tidemark.scratch import stored
 
 
+#: Characters of text that a task takes, about: its tables of words grow with these, not with the input.
+TASK_CHARS = 6_000_000
+
 #: Dictionary words that each task is told of to drop other n-grams; more are found by a join.
 MOST_TOLD = 500_000
 
 
+def dealt(docs: DataFrame, key: str, text: str, most: int | None = None) -> DataFrame:
+    """``docs`` partitioned by the key, into as many parts as have ``most`` characters each (``TASK_CHARS`` if not given); the
+    texts' lengths are added up first. The number is given to Spark, so that it doesn't put small parts together again."""
+    chars = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
+    parts = -(-chars // (most or TASK_CHARS))
+    return docs.repartition(max(parts, docs.sparkSession.sparkContext.defaultParallelism), F.col(key)) if parts > 1 else docs.repartition(F.col(key))
+
+
 def exploded_ngrams(docs: DataFrame, most: int = 3, key: str = "doc_id", text: str = "text", on_clean: bool = True) -> DataFrame:
     """key, n, pos, word: each n-gram of 1 to ``most`` words. Rows stand partitioned by the key: the texts are shuffled, once,
     not their n-grams."""
-    base = docs.select(key, F.col(text).alias("t")).repartition(F.col(key)) if on_clean else docs.select(key, F.col(text).alias("t"))
+    base = docs.select(key, F.col(text).alias("t"))
+    base = dealt(base, key, "t", max(1, TASK_CHARS // (most * most))) if on_clean else base
     base = base.select(key, (cleaned_words(F.col("t")) if on_clean else F.array_remove(F.split("t", " "), "")).alias("w1"))
     for j in range(2, most + 1):
         base = base.withColumn(f"w{j}", F.slice("w1", j, F.greatest(F.size("w1"), F.lit(1))))
