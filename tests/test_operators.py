@@ -459,3 +459,42 @@ def test_cleaned_words_of_every_character(spark):
     got = spark.createDataFrame([(t,) for t in texts], "t string").select(c.cleaned_words(F.col("t"))).collect()
     for t, (w,) in zip(texts, got, strict=True):
         assert w == (None if t is None else [x for x in re.sub(c.NOT_WORD, " ", t).lower().split(" ") if x])
+
+
+def test_e_step_of_many_documents():
+    """The same as one document at a time; rows of one place add up."""
+    rng, s = np.random.default_rng(2), artm.Settings(topics=3, smooth_theta=-0.05)
+    phi, first = rng.random((20, 3)), np.array([0, 1, 5, 12])
+    at, tf = rng.integers(0, 20, 30), rng.integers(1, 5, 30).astype(float)
+    theta, counts, log = artm.e_steps(phi, at, tf, first, s)
+    total, want = np.zeros_like(phi), np.zeros_like(phi)
+    for k, (i, j) in enumerate(zip(first, [*first[1:], 30], strict=True)):
+        one = artm.e_step(phi, at[i:j], tf[i:j], s)
+        assert np.allclose(theta[k], one[0]) and np.allclose(counts[i:j], one[1]) and np.isclose(log[k], one[2])
+        np.add.at(want, at[i:j], one[1])
+    artm.add_rows(total, at, counts)
+    assert np.allclose(total, want)
+    assert [len(x) for x in artm.e_steps(phi, at[:0], tf[:0], first[:0], s)] == [0, 0, 0]
+
+
+def test_clot_queries_make_distances_once(spark, monkeypatch):
+    from tidemark.plans import similarity as plans
+
+    made, plain = [], plans._distances
+    monkeypatch.setattr(plans, "_distances", lambda *a: made.append(1) or plain(*a))
+    for name in ("clot_weights", "clot_key_objects"):
+        plans.QUERIES[name](spark, "/root/testdata/sf0.001")
+    assert len(made) == 2
+
+
+def test_passes_have_no_more_tasks_than_cores(spark, monkeypatch):
+    """Each task of a pass sends counts of all its words; documents in many parts make no more of them."""
+    from tidemark.operators import artm as module
+
+    rows = [(d, f"w{(d * 7 + k) % 30}", 1 + k % 3) for d in range(60) for k in range(5)]
+    bow = spark.createDataFrame(rows, "doc_id long, word string, tf long")
+    seen, plain, bags = [], module._dense, module._bags
+    monkeypatch.setattr(module, "_dense", lambda cells, shape: seen.append(cells.rdd.getNumPartitions()) or plain(cells, shape))
+    monkeypatch.setattr(module, "_bags", lambda *a: bags(*a).repartition(37))
+    model = module.fit(bow, module.Settings(topics=3, passes=2))
+    assert max(seen) <= spark.sparkContext.defaultParallelism and np.allclose(model.phi.sum(axis=0), 1)

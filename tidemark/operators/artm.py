@@ -17,6 +17,9 @@ from pyspark.sql import functions as F
 #: Largest vocabulary, and bytes of phi, that a model may have.
 MOST_WORDS, MOST_BYTES = 250_000, 1 << 29
 
+#: Entries (words of documents) whose E-step is run at once.
+PART_ENTRIES = 1 << 15
+
 
 @dataclass(frozen=True)
 class Settings:
@@ -63,6 +66,32 @@ def e_step(phi: np.ndarray, at: np.ndarray, tf: np.ndarray, s: Settings) -> tupl
     return theta, p * (tf / total)[:, None], float((tf * np.log(total)).sum())
 
 
+def e_steps(phi: np.ndarray, at: np.ndarray, tf: np.ndarray, first: np.ndarray, s: Settings) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
+    """``e_step`` of many documents at once: entries (at, tf), a document's from its place in ``first`` (as many places as
+    documents) to the next one's; no document is empty. theta and log likelihood of each document, counts of each entry."""
+    if not len(first):
+        return np.zeros((0, s.topics)), np.zeros((0, s.topics)), np.zeros(0)
+    theta, rows = np.full((len(first), s.topics), 1 / s.topics), phi[at]
+    doc = np.repeat(np.arange(len(first)), np.diff(np.append(first, len(at))))
+    for _ in range(s.inner):
+        p = rows * theta[doc]
+        p *= (tf / np.maximum(p.sum(axis=1), 1e-30))[:, None]
+        theta = np.maximum(np.add.reduceat(p, first, axis=0) + s.smooth_theta, 0)
+        theta /= np.maximum(theta.sum(axis=1, keepdims=True), 1e-30)
+    p = rows * theta[doc]
+    total = np.maximum(p.sum(axis=1), 1e-30)
+    p *= (tf / total)[:, None]
+    return theta, p, np.add.reduceat(tf * np.log(total), first)
+
+
+def add_rows(total: np.ndarray, at: np.ndarray, counts: np.ndarray) -> None:
+    """Add rows of counts to those of ``total`` at places that may come more than once."""
+    if len(at):
+        order = np.argsort(at, kind="stable")
+        begins = np.flatnonzero(np.diff(at[order], prepend=-1))
+        total[at[order][begins]] += np.add.reduceat(counts[order], begins, axis=0)
+
+
 def m_step(counts: np.ndarray, phi: np.ndarray, s: Settings, near: np.ndarray | float = 0.0) -> np.ndarray:
     """Counts and the regularisers' derivatives, negative ones cut, each topic to 1. A topic that loses all keeps phi.
     ``near``: each word's sum of its co-occurring words' counts."""
@@ -81,9 +110,17 @@ def _bags(bow: DataFrame, index: dict[str, int]) -> DataFrame:
     return bow.join(known, "word").groupBy("doc_id").agg(F.collect_list(F.struct("at", F.col("tf").cast("double").alias("tf"))).alias("bag"))
 
 
-def _rows(b: pa.RecordBatch) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    for i, bag in zip(b.column("doc_id").to_pylist(), b.column("bag").to_pylist(), strict=True):
-        yield i, np.array([x["at"] for x in bag]), np.array([x["tf"] for x in bag])
+def _parts(b: pa.RecordBatch) -> Iterator[tuple[list, np.ndarray, np.ndarray, np.ndarray]]:
+    """Documents of a batch, at most ``PART_ENTRIES`` entries (or one document) at a time: ids, at, tf, first."""
+    ids, bags = b.column("doc_id").to_pylist(), b.column("bag")
+    offs = bags.offsets.to_numpy().astype(np.int64)
+    cells = bags.values.slice(offs[0], offs[-1] - offs[0])
+    at, tf = (cells.field(c).to_numpy(zero_copy_only=False) for c in ("at", "tf"))
+    offs, i = offs - offs[0], 0
+    while i < len(ids):
+        j = max(i + 1, int(np.searchsorted(offs, offs[i] + PART_ENTRIES, "right")) - 1)
+        yield ids[i:j], at[offs[i] : offs[j]], tf[offs[i] : offs[j]], offs[i:j] - offs[i]
+        i = j
 
 
 def _dense(cells: DataFrame, shape: tuple[int, int]) -> tuple[np.ndarray, np.ndarray, np.ndarray]:
@@ -128,7 +165,9 @@ def fit(bow: DataFrame, s: Settings, vocabulary: int = MOST_WORDS, pairs: DataFr
         raise ValueError("phi is too large for one array; sharded.fit keeps it in a table")
     phi, likelihood = start(words, s.topics), []
     index = {w: i for i, w in enumerate(words)}
+    # each task sends its own counts of every word it has met, so there are no more tasks than cores
     bags, linked = _bags(bow, index).persist(), None
+    dealt = bags.coalesce(bow.sparkSession.sparkContext.defaultParallelism)
     if s.coherence and pairs is not None:
         known = _known(bow.sparkSession, index)
         linked = pairs.join(known.toDF("w1", "at1"), "w1").join(known.toDF("w2", "at2"), "w2").select("at1", "at2", F.col("value").cast("double").alias("value")).persist()
@@ -138,14 +177,14 @@ def fit(bow: DataFrame, s: Settings, vocabulary: int = MOST_WORDS, pairs: DataFr
             def run(batches: Iterator[pa.RecordBatch], phi=phi) -> Iterator[pa.RecordBatch]:
                 total, log, n = np.zeros_like(phi), 0.0, 0.0
                 for b in batches:
-                    for _, at, tf in _rows(b):
-                        _, counts, one = e_step(phi, at, tf, s)
-                        np.add.at(total, at, counts)
-                        log, n = log + one, n + tf.sum()
+                    for _, at, tf, first in _parts(b):
+                        _, counts, one = e_steps(phi, at, tf, first, s)
+                        add_rows(total, at, counts)
+                        log, n = log + one.sum(), n + tf.sum()
                 cell, v = _cells(total)
                 yield pa.RecordBatch.from_arrays([pa.array(np.append(cell, [-1, -2])), pa.array(np.append(v, [log, n]))], ["cell", "v"])
 
-            counts, at, v = _dense(bags.mapInArrow(run, "cell long, v double"), phi.shape)
+            counts, at, v = _dense(dealt.mapInArrow(run, "cell long, v double"), phi.shape)
             log, n = float(v[at == -1].sum()), float(v[at == -2].sum())
             likelihood.append(float(np.exp(-log / n)) if n else float("nan"))
             phi = m_step(counts, phi, s, 0.0 if linked is None else neighbours(linked, counts))
@@ -163,12 +202,12 @@ def transform(bow: DataFrame, model: Model, s: Settings, least: float = 1e-4) ->
     def run(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for b in batches:
             ids, topics, weights = [], [], []
-            for i, at, tf in _rows(b):
-                theta, _, _ = e_step(phi, at, tf, s)
-                for t in np.flatnonzero(theta >= least).tolist():
-                    ids.append(i)
-                    topics.append(f"topic_{t}")
-                    weights.append(float(theta[t]))
+            for part, at, tf, first in _parts(b):
+                theta, _, _ = e_steps(phi, at, tf, first, s)
+                i, t = np.nonzero(theta >= least)
+                ids += [part[k] for k in i.tolist()]
+                topics += [f"topic_{k}" for k in t.tolist()]
+                weights += theta[i, t].tolist()
             yield pa.RecordBatch.from_arrays([pa.array(ids, pa.int64()), pa.array(topics, pa.string()), pa.array(weights, pa.float64())], ["document_id", "topic_id", "topic_weight"])
 
     bags = _bags(bow, {w: i for i, w in enumerate(model.words)})

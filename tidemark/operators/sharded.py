@@ -15,7 +15,7 @@ import pyarrow as pa
 from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
-from tidemark.operators.artm import MOST_WORDS, Settings, e_step, start
+from tidemark.operators.artm import MOST_WORDS, PART_ENTRIES, Settings, add_rows, e_steps, start
 from tidemark.scratch import discard, stored
 
 #: Bytes of phi that a block of documents asks for at most (a single document of more words asks for more), and its most
@@ -113,6 +113,16 @@ def _with_phi(bags: DataFrame, raw: DataFrame, totals: np.ndarray, each: Callabl
     return bags.groupBy("block").cogroup(asked.groupBy("of")).applyInArrow(run, schema)
 
 
+def _documents(entries: dict, at: np.ndarray, topics: int) -> Iterator[tuple[slice, np.ndarray, np.ndarray, np.ndarray]]:
+    """A block's documents, some at a time: which, and their entries' at, tf and first."""
+    first, i = entries["first"].astype(np.int64), 0
+    most = max(1, PART_ENTRIES * 16 // max(16, topics))
+    while i < len(first) - 1:
+        j = max(i + 1, int(np.searchsorted(first, first[i] + most, "right")) - 1)
+        yield slice(i, j), at[first[i] : first[j]], entries["tf"][first[i] : first[j]], first[i:j] - first[i]
+        i = j
+
+
 def _summed(rows: DataFrame, keys: list[str], topics: int) -> DataFrame:
     """Rows of one key added up, one key in memory at a time."""
 
@@ -208,12 +218,12 @@ def fit(bow: DataFrame, s: Settings, vocabulary: int = MOST_WORDS, pairs: DataFr
                 x = start(names[lo : lo + 1024], topics, scaled=False)
                 yield _rows(b.column("at").to_numpy()[lo : lo + 1024], x)
 
-    def e_steps(block, entries, phi, own, at) -> pa.Table:
+    def counted(block, entries, phi, own, at) -> pa.Table:
         total, log = np.zeros_like(phi), 0.0
-        for i, j in zip(entries["first"][:-1], entries["first"][1:], strict=True):
-            _, counts, one = e_step(phi, at[i:j], entries["tf"][i:j], s)
-            np.add.at(total, at[i:j], counts)
-            log += one
+        for _, places, tf, first in _documents(entries, at, topics):
+            _, counts, one = e_steps(phi, places, tf, first, s)
+            add_rows(total, places, counts)
+            log += one.sum()
         got = _rows(own, total)
         n = len(own)
         return pa.table({
@@ -224,7 +234,7 @@ def fit(bow: DataFrame, s: Settings, vocabulary: int = MOST_WORDS, pairs: DataFr
     raw = stored(words.mapInArrow(begin, _ROW), "phi")
     totals, likelihood, many = np.maximum(_totals(raw, topics), 1e-300), [], bags.count() > MANY_BLOCKS
     for _ in range(s.passes):
-        out = stored(_with_phi(bags, raw, totals, e_steps, "at int, part int, row binary, log double, n double"), "counts")
+        out = stored(_with_phi(bags, raw, totals, counted, "at int, part int, row binary, log double, n double"), "counts")
         log, n = out.where("at < 0").agg(F.sum("log"), F.sum("n")).first()
         likelihood.append(math.exp(-log / n) if n else math.nan)
         parts = out.where("at >= 0")
@@ -249,12 +259,12 @@ def transform(bow: DataFrame, model: Model, s: Settings, least: float = 1e-4) ->
 
     def thetas(block, entries, phi, own, at) -> pa.Table:
         ids, topics, weights = [], [], []
-        for d, i, j in zip(entries["docs"].tolist(), entries["first"][:-1], entries["first"][1:], strict=True):
-            theta, _, _ = e_step(phi, at[i:j], entries["tf"][i:j], s)
-            t = np.flatnonzero(theta >= least)
-            ids += [d] * len(t)
-            topics += [f"topic_{k}" for k in t]
-            weights += theta[t].tolist()
+        for which, places, tf, first in _documents(entries, at, s.topics):
+            theta, _, _ = e_steps(phi, places, tf, first, s)
+            d, t = np.nonzero(theta >= least)
+            ids += entries["docs"][which][d].tolist()
+            topics += [f"topic_{k}" for k in t.tolist()]
+            weights += theta[d, t].tolist()
         return pa.table({"document_id": pa.array(ids, pa.int64()), "topic_id": pa.array(topics, pa.string()), "topic_weight": pa.array(weights, pa.float64())})
 
     bags = _bags(bow.where("word is not null and tf is not null"), model.vocabulary, s.topics)
