@@ -498,3 +498,14 @@ def test_passes_have_no_more_tasks_than_cores(spark, monkeypatch):
     monkeypatch.setattr(module, "_bags", lambda *a: bags(*a).repartition(37))
     model = module.fit(bow, module.Settings(topics=3, passes=2))
     assert max(seen) <= spark.sparkContext.defaultParallelism and np.allclose(model.phi.sum(axis=0), 1)
+
+
+def test_wordpiece_splits_a_run_once(spark, monkeypatch):
+    """Runs between blanks are remembered; results as for whole texts, with every kind of space, signs and controls."""
+    rng = random.Random(8)
+    texts = ["".join(rng.choice("abÉß ,\t\n\x0b\u2028\u00a0\u3000\x85漢.Σ") for _ in range(80)) for _ in range(50)] + ["", None, "a" * 500, "x " * 50]
+    vocab = ["a", "b", "##a", "##b", "e", "##e", ",", ".", "漢", "##ß", "x"]
+    got = wordpiece.tokenize(spark.createDataFrame(list(enumerate(texts)), "doc_id long, text string"), vocab)
+    want = {i: [p for w in wordpiece.basic(t or "") for p in wordpiece.pieces(w, frozenset(vocab))] for i, t in enumerate(texts)}
+    assert {r["doc_id"]: r["tokens"] for r in got.collect()} == want
+    assert wordpiece.MOST_KEPT == 200
