@@ -2,9 +2,11 @@
 
 from __future__ import annotations
 
-from functools import reduce
+from collections.abc import Iterator
 
-from pyspark.sql import Column, DataFrame, Window
+import numpy as np
+import pyarrow as pa
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.functions.columns import min_max, q6
@@ -144,32 +146,114 @@ def validate_mapping(
     return every.join(scaled, "threshold", "left").fillna(0.0, ["coverage", "mean_jaccard"])
 
 
-def dot(a: Column, b: Column) -> Column:
-    return F.aggregate(F.zip_with(a, b, lambda x, y: x.cast("double") * y.cast("double")), F.lit(0.0), lambda s, x: s + x)
+#: Vectors in a chunk of rows, and queries that meet one at a time.
+CHUNK, AT_ONCE = 4096, 256
+#: More than products of unit vectors are off, together with what nine decimals hide.
+NEAR = 3e-9
 
 
-def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", most_queries: int = 10_000) -> DataFrame:
-    """query_id, key, similarity, rank: each query's k nearest rows by cosine. All rows pass a broadcast block of queries,
-    keeping k for each query before the shuffle. More than ``most_queries`` are dealt into blocks of about 4/5 of that by
-    a hash of the key; the rows pass once for each block, one block after the other, and each result is stored."""
-    n = queries.count()
-    if n > most_queries:
-        blocks = -(-5 * n // (4 * most_queries))
-        block = F.pmod(F.xxhash64(key), F.lit(blocks))
-        found = [stored(_nearest(vectors, queries.where(block == i), k, key, vector), "nearest") for i in range(blocks)]
-        return reduce(DataFrame.unionByName, found)
-    return _nearest(vectors, queries, k, key, vector)
+def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id", vector: str = "embedding", most_queries: int = CHUNK) -> DataFrame:
+    """query_id, key, similarity, rank: each query's k nearest rows by cosine to nine decimals, ties to the smaller key (a
+    whole number; rows without one take no part).
 
-
-def _nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str, vector: str) -> DataFrame:
-    unit = lambda c: F.sqrt(dot(F.col(c), F.col(c)))
-    q = F.broadcast(queries.select(F.col(key).alias("query_id"), F.col(vector).alias("q")).withColumn("nq", unit("q")))
-    x = vectors.select(key, F.col(vector).alias("v")).withColumn("nv", unit("v")).crossJoin(q).where(F.col(key) != F.col("query_id"))
-    x = x.select("query_id", key, F.round(dot(F.col("q"), F.col("v")) / (F.col("nq") * F.col("nv")), 9).alias("similarity"))
+    Rows and queries are stored in chunks (of ``most_queries`` queries), and each chunk meets each: every row is compared
+    with every query, in memory of two chunks. Products of matrices find who may be among the k, and only their
+    similarities are summed up one component after the other. Null components and those that a shorter vector lacks count
+    as 0; a vector without any has no similarity to anything and comes last, one of zeros has NaN and comes first.
+    """
+    both = vectors.select(vector).unionAll(queries.select(vector))
+    width = both.agg(F.max(F.when(F.col(vector).isNotNull(), F.size(vector)))).first()[0] or 0
+    chunks = -(-queries.count() // most_queries)
+    rows = _chunks(vectors, key, vector, width, CHUNK)
+    asked = _chunks(queries.repartition(max(1, chunks)), key, vector, width, most_queries).toDF("asked", "q", "q_known")
+    found = rows.crossJoin(asked).mapInArrow(_among_nearest(k, width), "query_id long, vec_id long, similarity double")
+    x = found.select("query_id", F.col("vec_id").alias(key), F.round("similarity", 9).alias("similarity"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), key))
     return x.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
+def _chunks(vectors: DataFrame, key: str, vector: str, width: int, size: int) -> DataFrame:
+    """Stored chunks of up to ``size`` vectors: ids, mat (components in a row), known (whether it has any)."""
+    x = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("id is not null")
+
+    def packed(b: pa.Table) -> pa.RecordBatch:
+        b = b.combine_chunks().to_batches()[0]
+        vec = b.column("v")
+        parts = [np.frombuffer(vec.buffers()[1], np.int32)[vec.offset : vec.offset + len(vec) + 1].astype(np.int64)]
+        cells = vec.values.slice(parts[0][0], parts[0][-1] - parts[0][0])
+        size = np.diff(parts[0])
+        row = np.repeat(np.arange(len(vec)), size)
+        place = np.arange(len(row)) - np.repeat(parts[0][:-1] - parts[0][0], size)
+        valid = cells.is_valid().to_numpy(zero_copy_only=False)
+        mat = np.zeros((len(vec), width))
+        mat[row[valid], place[valid]] = cells.to_numpy(zero_copy_only=False)[valid]
+        known = np.bincount(row[valid], minlength=len(vec)) > 0
+        one = pa.array([0, len(vec)], pa.int32())
+        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(one, b.column("id")), pa.array([mat.tobytes()]), pa.array([known.tobytes()])], ["ids", "mat", "known"])
+
+    def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        rest = None
+        for b in batches:
+            rest = pa.Table.from_batches([b] if rest is None else [*rest.to_batches(), b])
+            while rest.num_rows >= size:
+                yield packed(rest.slice(0, size))
+                rest = rest.slice(size)
+        if rest is not None and rest.num_rows:
+            yield packed(rest)
+
+    return stored(x.mapInArrow(cut, "ids array<long>, mat binary, known binary"), "chunks", **{"parquet.block.size": 16 << 20})
+
+
+def _summed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
+    """Inner products of rows, from the first component to the last."""
+    out = np.zeros(len(a))
+    for i in range(a.shape[1]):
+        out += a[:, i] * b[:, i]
+    return out
+
+
+def _among_nearest(k: int, width: int):
+    def side(batch: pa.RecordBatch, i: int, names: tuple[str, str, str]) -> tuple:
+        ids, mat, known = (batch.column(n)[i] for n in names)
+        ids = ids.values.to_numpy(zero_copy_only=False)
+        x = np.frombuffer(mat.as_buffer(), np.float64).reshape(len(ids), width)
+        known, n = np.frombuffer(known.as_buffer(), bool), np.sqrt(_summed(x, x))
+        plain = known & (n > 1e-140) & (n < 1e140)  # NaN is not
+        unit = np.where(plain[:, None], x, 0.0) / np.where(plain, n, 1.0)[:, None]
+        return ids, x, known, n, plain, unit
+
+    def meet(rows: tuple, asked: tuple, lo: int) -> pa.RecordBatch:
+        ids, x, known, n, plain, unit = rows
+        q_ids, q, q_known, q_n, q_plain, q_unit = (a[lo : lo + AT_ONCE] for a in asked)
+        about = q_unit @ unit.T
+        own = q_ids[:, None] == ids[None]
+        about[:, ~plain] = -np.inf
+        about[own] = -np.inf
+        least = np.partition(about, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(q_ids), -np.inf)
+        odd = (known & ~plain)[None] | (q_known & ~q_plain)[:, None]
+        i, j = np.nonzero(((about >= (least - NEAR)[:, None]) | odd) & ~own)
+        s = _summed(q[i], x[j]) / (q_n[i] * n[j])
+        none = ~(q_known[i] & known[j])
+        # of rows that are equally near, the first k
+        kind, value = np.where(none, 2, np.where(np.isnan(s), 0, 1)), np.where(none | np.isnan(s), 0.0, s)
+        order = np.lexsort((ids[j], value, kind, i))
+        i, j, s, none, kind, value = (a[order] for a in (i, j, s, none, kind, value))
+        new = np.append(True, (i[1:] != i[:-1]) | (kind[1:] != kind[:-1]) | (value[1:] != value[:-1]))[: len(i)]
+        place = np.arange(len(i)) - np.maximum.accumulate(np.where(new, np.arange(len(i)), 0))
+        i, j, s, none = (a[place < k] for a in (i, j, s, none))
+        return pa.RecordBatch.from_arrays([pa.array(q_ids[i]), pa.array(ids[j]), pa.array(s, mask=none)], ["query_id", "vec_id", "similarity"])
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        with np.errstate(all="ignore"):
+            for b in batches:
+                for i in range(b.num_rows):
+                    rows, asked = side(b, i, ("ids", "mat", "known")), side(b, i, ("asked", "q", "q_known"))
+                    for lo in range(0, len(asked[0]), AT_ONCE):
+                        yield meet(rows, asked, lo)
+
+    return each
+
+
 def pool(vectors: DataFrame, group: str, vector: str = "embedding") -> DataFrame:
     """group, pos, average, greatest at each position of the group's vectors."""
     x = vectors.select(group, F.posexplode(vector).alias("pos", "v"))
