@@ -563,3 +563,18 @@ def test_ngramize_frequent(spark, bits):
     twice = docs.unionAll(docs.limit(3))
     assert sorted(map(str, frequent.ngramize_frequent(twice).collect())) == sorted(map(str, frequent._by_words(twice, 3, 5, True, "doc_id", "text").collect()))
     assert frequent.ngramize_frequent(docs.limit(0)).count() == 0
+
+
+def test_totals_of_topics_shuffle_no_words(spark):
+    """A few topics would take all words in as many tasks."""
+    from tidemark.plans import views
+
+    old = spark.conf.get("spark.sql.autoBroadcastJoinThreshold")
+    spark.conf.set("spark.sql.autoBroadcastJoinThreshold", "-1")
+    try:
+        words = spark.createDataFrame([(1, "topic_1", "a", 2), (1, "topic_2", "b", 1)], "doc_id long, topic_id string, word string, tf long")
+        phi = views.phi(spark, "", words)
+        assert "SortMergeJoin" not in phi._jdf.queryExecution().executedPlan().toString()
+        assert "SortMergeJoin [topic_id" not in topics.tfidf(phi.select("topic_id", "word", "tf"))._jdf.queryExecution().executedPlan().toString()
+    finally:
+        spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
