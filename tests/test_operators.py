@@ -5,6 +5,7 @@ import os
 import random
 import statistics
 import time
+from collections import Counter
 from datetime import date, datetime, timedelta
 
 import duckdb
@@ -578,3 +579,38 @@ def test_totals_of_topics_shuffle_no_words(spark):
         assert "SortMergeJoin [topic_id" not in topics.tfidf(phi.select("topic_id", "word", "tf"))._jdf.queryExecution().executedPlan().toString()
     finally:
         spark.conf.set("spark.sql.autoBroadcastJoinThreshold", old)
+
+
+def _sorted_rows(df) -> list[int]:
+    """Rows that each sort of the plan that ran was given."""
+    df.collect()
+    todo, out = [df._jdf.queryExecution().executedPlan()], []
+    while todo:
+        node = todo.pop()
+        below = [node.children().apply(i) for i in range(node.children().size())]
+        todo += below
+        if node.nodeName() == "Sort":
+            at = below[0]
+            while not at.metrics().contains("numOutputRows"):
+                at = at.children().apply(0)
+            out.append(at.metrics().apply("numOutputRows").value())
+    return out
+
+
+def test_ranked_sorts_only_what_can_rank(spark):
+    rng = random.Random(5)
+    rows = [(f"topic_{i % 3}", f"w{i}", rng.choice([0.0, 1e-5, 0.25, 1 / rng.randint(1, 5000), rng.random()])) for i in range(6000)] + [(None, "x", 0.5), ("topic_9", "y", math.inf)]
+    phi = spark.createDataFrame(rows, "topic_id string, word string, weight double")
+    for least, most in ((0.0, 25), (1e-4, 100), (0.9, 3), (-1.0, 5000)):
+        want = []
+        for t in ("topic_0", "topic_1", "topic_2", "topic_9", None):
+            own = sorted((r for r in rows if r[0] == t and r[2] > least), key=lambda r: (-r[2], r[1]))
+            want += [(*r, i) for i, r in enumerate(own[:most], 1)]
+        assert sorted(map(str, want)) == sorted(str(tuple(r)) for r in topics.ranked(phi, least, most).collect())
+    nan = spark.createDataFrame([("t", "a", 2.0), ("t", "b", math.nan), ("t", "c", 1.0)], phi.schema)
+    assert [r["word"] for r in topics.ranked(nan, 0.0, 1).collect()] == ["b"]
+    spark.conf.set("spark.sql.adaptive.enabled", "false")
+    try:
+        assert max(_sorted_rows(topics.ranked(phi, 0.0, 25))) < 1000  # each topic's step of the 25th word takes many alike
+    finally:
+        spark.conf.unset("spark.sql.adaptive.enabled")

@@ -11,9 +11,19 @@ def topic_index(topic_id: Column) -> Column:
 
 
 def ranked(phi: DataFrame, least: float = 1e-4, most: int = 100) -> DataFrame:
-    """phi over ``least``, its ``most`` heaviest words for each topic, with their rank; ties by word."""
+    """phi over ``least``, its ``most`` heaviest words for each topic, with their rank; ties by word.
+
+    Weights are counted first, in steps of a sixteenth of a power of two: words of a step that ``most`` words are over can't
+    rank, so that only the few others are sorted. phi is read twice.
+    """
+    step = F.coalesce(F.floor(F.nanvl(F.log2("weight") * 16, F.lit(float("inf")))), F.lit(-(1 << 40)))  # 0 and less come last
+    heavy = phi.where(F.col("weight") > least).withColumn("__step", step)
+    over = F.sum("n").over(Window.partitionBy("topic_id").orderBy(F.desc("__step"))) - F.col("n")
+    counts = heavy.groupBy("topic_id", "__step").agg(F.count("*").alias("n")).withColumn("over", over)
+    last = counts.where(F.col("over") < most).groupBy(F.col("topic_id").alias("__topic")).agg(F.min("__step").alias("__last"))
+    heavy = heavy.join(F.broadcast(last), F.col("topic_id").eqNullSafe(F.col("__topic")) & (F.col("__step") >= F.col("__last")))
     rank = F.row_number().over(Window.partitionBy("topic_id").orderBy(F.desc("weight"), "word"))
-    return phi.where(F.col("weight") > least).withColumn("rank", rank).where(F.col("rank") <= most)
+    return heavy.select(*phi.columns).withColumn("rank", rank).where(F.col("rank") <= most)
 
 
 def top_words(phi: DataFrame, least: float = 1e-4, most: int = 100, in_name: int = 5) -> DataFrame:
