@@ -614,3 +614,20 @@ def test_ranked_sorts_only_what_can_rank(spark):
         assert max(_sorted_rows(topics.ranked(phi, 0.0, 25))) < 1000  # each topic's step of the 25th word takes many alike
     finally:
         spark.conf.unset("spark.sql.adaptive.enabled")
+
+
+def test_kernel_deals_words_by_rows(spark, monkeypatch):
+    """Parts of a fixed size, and no more than a row's words of all topics in one."""
+    monkeypatch.setattr(dictionary, "TASK_ROWS", 50)
+    rows = [(f"topic_{i % 4}", f"w{i % 97}", 1 + i % 7) for i in range(388)]
+    phi = spark.createDataFrame(rows, "topic_id string, word string, weight long")
+    total, want = {}, {}
+    for _, w, x in rows:
+        total[w] = total.get(w, 0) + x
+    for t, w, x in rows:
+        if x / total[w] > 0.3:
+            n, m, c = want.get(t, (0, 0, 0.0))
+            want[t] = (n + 1, m + x, c + x / total[w])
+    found = topics.kernel(phi)
+    assert {r["topic_id"]: (r["kernel_size"], r["purity"], round(r["contrast"] * r["kernel_size"], 9)) for r in found.collect()} == {t: (n, m, round(c, 9)) for t, (n, m, c) in want.items()}
+    assert "hashpartitioning(word#" in (plan := found._jdf.queryExecution().executedPlan().toString()) and ", 8), REPARTITION_BY_NUM" in plan

@@ -12,6 +12,9 @@ from tidemark.scratch import stored
 #: Characters of text that a task takes, about: its tables of words grow with these, not with the input.
 TASK_CHARS = 6_000_000
 
+#: Rows of a table of counts that a task takes, about.
+TASK_ROWS = 500_000
+
 #: Dictionary words that each task is told of to drop other n-grams; more are found by a join.
 MOST_TOLD = 500_000
 
@@ -20,8 +23,18 @@ def dealt(docs: DataFrame, key: str, text: str, most: int | None = None) -> Data
     """``docs`` partitioned by the key, into as many parts as have ``most`` characters each (``TASK_CHARS`` if not given); the
     texts' lengths are added up first. The number is given to Spark, so that it doesn't put small parts together again."""
     chars = docs.agg(F.sum(F.length(text).cast("long"))).first()[0] or 0
-    parts = -(-chars // (most or TASK_CHARS))
-    return docs.repartition(max(parts, docs.sparkSession.sparkContext.defaultParallelism), F.col(key)) if parts > 1 else docs.repartition(F.col(key))
+    return _in_parts(docs, key, -(-chars // (most or TASK_CHARS)))
+
+
+def dealt_rows(rows: DataFrame, key: str, most: int | None = None) -> DataFrame:
+    """``rows`` partitioned by the key, as ``dealt``, by their number (``TASK_ROWS`` in a part if not given). What is grouped,
+    windowed or joined by the key then takes the same memory in a task however long the table; groups aren't combined before
+    the shuffle, so this is for keys with a few rows each."""
+    return _in_parts(rows, key, -(-rows.count() // (most or TASK_ROWS)))
+
+
+def _in_parts(df: DataFrame, key: str, parts: int) -> DataFrame:
+    return df.repartition(max(parts, df.sparkSession.sparkContext.defaultParallelism), F.col(key)) if parts > 1 else df.repartition(F.col(key))
 
 
 def exploded_ngrams(docs: DataFrame, most: int = 3, key: str = "doc_id", text: str = "text", on_clean: bool = True) -> DataFrame:

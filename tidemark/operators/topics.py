@@ -5,6 +5,8 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
+from tidemark.operators.dictionary import dealt_rows
+
 
 def topic_index(topic_id: Column) -> Column:
     return F.split_part(topic_id, F.lit("_"), F.lit(2)).cast("int")
@@ -116,7 +118,7 @@ def combo_documents(theta: DataFrame, found: DataFrame, least: float = 0.1) -> D
 def kernel(phi: DataFrame, mass: float = 0.3) -> DataFrame:
     """Words with p(topic | word) over ``mass`` (topics alike likely): kernel size, purity and contrast."""
     p = F.col("weight") / F.sum("weight").over(Window.partitionBy("word"))
-    return phi.withColumn("p", p).where(F.col("p") > mass).groupBy("topic_id").agg(F.count("*").alias("kernel_size"), F.sum("weight").alias("purity"), F.avg("p").alias("contrast"))
+    return dealt_rows(phi, "word").withColumn("p", p).where(F.col("p") > mass).groupBy("topic_id").agg(F.count("*").alias("kernel_size"), F.sum("weight").alias("purity"), F.avg("p").alias("contrast"))
 
 
 def coherence(doc_words: DataFrame, phi: DataFrame, n_docs: DataFrame, top: int = 11) -> DataFrame:
