@@ -631,3 +631,14 @@ def test_kernel_deals_words_by_rows(spark, monkeypatch):
     found = topics.kernel(phi)
     assert {r["topic_id"]: (r["kernel_size"], r["purity"], round(r["contrast"] * r["kernel_size"], 9)) for r in found.collect()} == {t: (n, m, round(c, 9)) for t, (n, m, c) in want.items()}
     assert "hashpartitioning(word#" in (plan := found._jdf.queryExecution().executedPlan().toString()) and ", 8), REPARTITION_BY_NUM" in plan
+
+
+def test_tfidf_deals_words_by_rows(spark, monkeypatch):
+    monkeypatch.setattr(dictionary, "TASK_ROWS", 50)
+    rows = [(f"topic_{i % 4}", f"w{i % 97}" if i % 3 else f"v{i}", 1 + i % 7) for i in range(388)]
+    found = topics.tfidf(spark.createDataFrame([*rows, ("topic_1", None, 3)], "topic_id string, word string, tf long"))
+    df = Counter(w for _, w, _ in rows)
+    raw = {(t, w): f * (math.log(5 / (1 + df[w])) + 1) for t, w, f in rows}
+    top = {t: max(x for (s, _), x in raw.items() if s == t) for t, _, _ in rows}
+    assert {(r["topic_id"], r["word"]): round(r["relative"], 9) for r in found.collect()} == {(t, w): round(x / top[t], 9) for (t, w), x in raw.items()}
+    assert ", 8), REPARTITION_BY_NUM" in (plan := found._jdf.queryExecution().executedPlan().toString()) and "SortMergeJoin" not in plan

@@ -146,8 +146,8 @@ def diversity(phi: DataFrame, top: int = 25) -> DataFrame:
 def tfidf(phi_counts: DataFrame) -> DataFrame:
     """Topics as documents: tf * (ln((1 + n) / (1 + df)) + 1), to unit length by topic, then over the topic's maximum."""
     n = phi_counts.agg(F.count_distinct("topic_id").alias("n_topics"))
-    df = phi_counts.groupBy("word").agg(F.count("*").alias("df"))
-    x = phi_counts.join(df, "word").crossJoin(F.broadcast(n)).withColumn("w", F.col("tf") * (F.ln((1 + F.col("n_topics")) / (1 + F.col("df"))) + 1))
+    x = dealt_rows(phi_counts.where("word is not null"), "word").withColumn("df", F.count("*").over(Window.partitionBy("word")))
+    x = x.crossJoin(F.broadcast(n)).withColumn("w", F.col("tf") * (F.ln((1 + F.col("n_topics")) / (1 + F.col("df"))) + 1))
     by = x.groupBy("topic_id").agg(F.sqrt(F.sum(F.col("w") * F.col("w"))).alias("norm"), F.max("w").alias("top"))
     x = x.join(F.broadcast(by), "topic_id")  # a row for each topic: no task gets a topic's words
     return x.select("topic_id", "word", "tf", (F.col("w") / F.col("norm")).alias("unit"), (F.col("w") / F.col("norm") / (F.col("top") / F.col("norm"))).alias("relative"))
