@@ -642,3 +642,20 @@ def test_tfidf_deals_words_by_rows(spark, monkeypatch):
     top = {t: max(x for (s, _), x in raw.items() if s == t) for t, _, _ in rows}
     assert {(r["topic_id"], r["word"]): round(r["relative"], 9) for r in found.collect()} == {(t, w): round(x / top[t], 9) for (t, w), x in raw.items()}
     assert ", 8), REPARTITION_BY_NUM" in (plan := found._jdf.queryExecution().executedPlan().toString()) and "SortMergeJoin" not in plan
+
+
+def test_theta_deals_items_by_rows(spark, monkeypatch, tmp_path):
+    """Parts of a fixed size, in which a document's items are added up, weighed and met: they are shuffled once."""
+    from tidemark.plans import views
+
+    monkeypatch.setattr(dictionary, "TASK_ROWS", 50)
+    items = [(i % 90, i * 7 % 40, float(1 + i % 5)) for i in range(400)]
+    spark.createDataFrame(items, "l_orderkey long, l_partkey long, l_quantity double").write.parquet(f"{tmp_path}/lineitem.parquet")
+    theta = views.theta(spark, str(tmp_path))
+    q, total = {}, {}
+    for o, p, n in items:
+        q[o, f"topic_{p % 20}"] = q.get((o, f"topic_{p % 20}"), 0) + n
+        total[o] = total.get(o, 0) + n
+    assert {(r["document_id"], r["topic_id"]): r["topic_weight"] for r in theta.collect()} == {k: n / total[k[0]] for k, n in q.items()}
+    assert theta.rdd.getNumPartitions() == 8
+    assert theta._jdf.queryExecution().executedPlan().toString().split("Initial Plan")[0].count("Exchange") == 1

@@ -6,6 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.dictionary import dealt_rows
+from tidemark.scratch import stored
 
 
 def topic_index(topic_id: Column) -> Column:
@@ -48,7 +49,7 @@ def theta_topk(theta: DataFrame, topics: int, slices: int = 1, least: float = 1e
 def word_jaccards(phi: DataFrame, most: int = 100) -> DataFrame:
     """topic_1 < topic_2, jaccard of each pair's ``most`` heaviest words. Common words are counted by a join on the word;
     a pair without any has 0. Topics are few: their pairs are at most the square of their number."""
-    top = ranked(phi, 0.0, most).select("topic_id", "word")
+    top = stored(ranked(phi, 0.0, most).select("topic_id", "word"), "top")
     size = top.groupBy("topic_id").agg(F.count("*").alias("n"))
     a, b = (size.select(F.col("topic_id").alias(f"topic_{i}"), F.col("n").alias(f"n{i}")) for i in (1, 2))
     x, y = (top.select(F.col("topic_id").alias(f"topic_{i}"), "word") for i in (1, 2))
