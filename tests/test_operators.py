@@ -190,6 +190,19 @@ def test_nearest_equals_sums_of_every_pair(spark, tmp_path):
     assert sorted(map(str, map(tuple, got))) == sorted(map(str, duckdb.sql(sql).fetchall()))
 
 
+def test_every_embedding_asks(spark, tmp_path):
+    """All rows are queries, in several chunks; one without components is equally far from all, whatever their chunk."""
+    from tidemark.plans import similarity as plans
+
+    rng = np.random.default_rng(6)
+    vecs = [rng.normal(size=3).round(2).tolist() for _ in range(90)] + [None] * 7 + [[0.0] * 3] * 6
+    v = spark.createDataFrame([(i * 11 % 103, x) for i, x in enumerate(vecs)], "vec_id long, embedding array<float>").repartition(6)
+    v.write.parquet(f"{tmp_path}/embeddings.parquet")
+    got = plans.embedding_cosine(spark, str(tmp_path)).collect()
+    sql = plans.ORACLES["embedding_cosine"].replace("from embeddings", f"from '{tmp_path}/embeddings.parquet/*.parquet'")
+    assert len(got) == 5 * 103 and sorted(map(str, map(tuple, got))) == sorted(map(str, duckdb.sql(sql).fetchall()))
+
+
 def test_nearest_of_many_rows_in_time(spark):
     """150 million pairs; summing every pair component by component took minutes."""
     v = spark.range(55_000).select(F.col("id").alias("vec_id"), F.array(*(F.rand(i) - 0.5 for i in range(64))).cast("array<float>").alias("embedding")).localCheckpoint()

@@ -6,6 +6,7 @@ from collections.abc import Iterator
 
 import numpy as np
 import pyarrow as pa
+from pyspark import TaskContext
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
@@ -148,6 +149,8 @@ def validate_mapping(
 
 #: Vectors in a chunk of rows, and queries that meet one at a time.
 CHUNK, AT_ONCE = 4096, 256
+#: Pairs that are summed up at a time, and nearest rows that a task holds.
+PAIRS, MOST_HELD = 1 << 16, 4_000_000
 #: More than products of unit vectors are off, together with what nine decimals hide.
 NEAR = 3e-9
 
@@ -158,25 +161,27 @@ def nearest(vectors: DataFrame, queries: DataFrame, k: int, key: str = "vec_id",
 
     Rows and queries are stored in chunks (of ``most_queries`` queries), and each chunk meets each: every row is compared
     with every query, in memory of two chunks. Products of matrices find who may be among the k, and only their
-    similarities are summed up one component after the other. Null components and those that a shorter vector lacks count
+    similarities are summed up one component after the other. A task carries its queries' nearest from chunk to chunk, so
+    what is shuffled doesn't grow with the pairs of chunks. ``queries`` may be ``vectors`` itself. Null components and those that a shorter vector lacks count
     as 0; a vector without any has no similarity to anything and comes last, one of zeros has NaN and comes first.
     """
-    both = vectors.select(vector).unionAll(queries.select(vector))
+    whole = queries is vectors
+    both = vectors.select(vector) if whole else vectors.select(vector).unionAll(queries.select(vector))
     width = both.agg(F.max(F.when(F.col(vector).isNotNull(), F.size(vector)))).first()[0] or 0
-    chunks = -(-queries.count() // most_queries)
     rows = _chunks(vectors, key, vector, width, CHUNK)
-    asked = _chunks(queries.repartition(max(1, chunks)), key, vector, width, most_queries).toDF("asked", "q", "q_known")
-    found = rows.crossJoin(asked).mapInArrow(_among_nearest(k, width), "query_id long, vec_id long, similarity double")
+    asked = rows if whole else _chunks(queries.repartition(max(1, -(-queries.count() // most_queries))), key, vector, width, most_queries)
+    pairs = rows.drop("chunk").crossJoin(asked.toDF("chunk", "asked", "q", "q_known"))
+    found = pairs.mapInArrow(_among_nearest(k, width), "query_id long, vec_id long, similarity double")
     x = found.select("query_id", F.col("vec_id").alias(key), F.round("similarity", 9).alias("similarity"))
     rank = F.row_number().over(Window.partitionBy("query_id").orderBy(F.desc("similarity"), key))
     return x.withColumn("rank", rank).where(F.col("rank") <= k)
 
 
 def _chunks(vectors: DataFrame, key: str, vector: str, width: int, size: int) -> DataFrame:
-    """Stored chunks of up to ``size`` vectors: ids, mat (components in a row), known (whether it has any)."""
+    """Stored chunks of up to ``size`` vectors: chunk, ids, mat (components in a row), known (whether it has any)."""
     x = vectors.select(F.col(key).cast("long").alias("id"), F.col(vector).cast("array<double>").alias("v")).where("id is not null")
 
-    def packed(b: pa.Table) -> pa.RecordBatch:
+    def packed(b: pa.Table, number: int) -> pa.RecordBatch:
         b = b.combine_chunks().to_batches()[0]
         vec = b.column("v")
         parts = [np.frombuffer(vec.buffers()[1], np.int32)[vec.offset : vec.offset + len(vec) + 1].astype(np.int64)]
@@ -189,19 +194,20 @@ def _chunks(vectors: DataFrame, key: str, vector: str, width: int, size: int) ->
         mat[row[valid], place[valid]] = cells.to_numpy(zero_copy_only=False)[valid]
         known = np.bincount(row[valid], minlength=len(vec)) > 0
         one = pa.array([0, len(vec)], pa.int32())
-        return pa.RecordBatch.from_arrays([pa.ListArray.from_arrays(one, b.column("id")), pa.array([mat.tobytes()]), pa.array([known.tobytes()])], ["ids", "mat", "known"])
+        cells = [pa.array([number]), pa.ListArray.from_arrays(one, b.column("id")), pa.array([mat.tobytes()]), pa.array([known.tobytes()])]
+        return pa.RecordBatch.from_arrays(cells, ["chunk", "ids", "mat", "known"])
 
     def cut(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
-        rest = None
+        rest, number = None, TaskContext.get().partitionId() << 32
         for b in batches:
             rest = pa.Table.from_batches([b] if rest is None else [*rest.to_batches(), b])
             while rest.num_rows >= size:
-                yield packed(rest.slice(0, size))
-                rest = rest.slice(size)
+                yield packed(rest.slice(0, size), number)
+                rest, number = rest.slice(size), number + 1
         if rest is not None and rest.num_rows:
-            yield packed(rest)
+            yield packed(rest, number)
 
-    return stored(x.mapInArrow(cut, "ids array<long>, mat binary, known binary"), "chunks", **{"parquet.block.size": 16 << 20})
+    return stored(x.mapInArrow(cut, "chunk long, ids array<long>, mat binary, known binary"), "chunks", **{"parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 1})
 
 
 def _summed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
@@ -212,6 +218,12 @@ def _summed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
     return out
 
 
+def _place(new: np.ndarray) -> np.ndarray:
+    """Each row's place in its group; ``new``: where groups begin."""
+    at = np.arange(len(new))
+    return at - np.maximum.accumulate(np.where(new, at, 0))
+
+
 def _among_nearest(k: int, width: int):
     def side(batch: pa.RecordBatch, i: int, names: tuple[str, str, str]) -> tuple:
         ids, mat, known = (batch.column(n)[i] for n in names)
@@ -222,34 +234,63 @@ def _among_nearest(k: int, width: int):
         unit = np.where(plain[:, None], x, 0.0) / np.where(plain, n, 1.0)[:, None]
         return ids, x, known, n, plain, unit
 
-    def meet(rows: tuple, asked: tuple, lo: int) -> pa.RecordBatch:
+    def meet(rows: tuple, asked: tuple, lo: int, best: tuple) -> tuple:
+        """The nearest so far of a part of the queries: query, kind (0 NaN, 1 a number, 2 nothing), value, id."""
         ids, x, known, n, plain, unit = rows
         q_ids, q, q_known, q_n, q_plain, q_unit = (a[lo : lo + AT_ONCE] for a in asked)
         about = q_unit @ unit.T
-        own = q_ids[:, None] == ids[None]
-        about[:, ~plain] = -np.inf
-        about[own] = -np.inf
-        least = np.partition(about, len(ids) - k, axis=1)[:, len(ids) - k] if len(ids) > k else np.full(len(q_ids), -np.inf)
-        odd = (known & ~plain)[None] | (q_known & ~q_plain)[:, None]
-        i, j = np.nonzero(((about >= (least - NEAR)[:, None]) | odd) & ~own)
-        s = _summed(q[i], x[j]) / (q_n[i] * n[j])
+        if not plain.all():
+            about[:, ~plain] = -np.inf
+        here = np.flatnonzero(np.isin(q_ids, ids))
+        own = ids[None] == q_ids[here][:, None]
+        about[here] = np.where(own, -np.inf, about[here])
+        least = best[-1]
+        new = np.flatnonzero(least == -np.inf)
+        if len(new) and len(ids) > k:
+            least = least.copy()
+            least[new] = np.partition(about[new], len(ids) - k, axis=1)[:, len(ids) - k]
+        near = about >= (least - NEAR)[:, None]
+        near[:, known & ~plain] = True
+        near[~(q_known & q_plain)] = True  # all rows are alike to a query without a component
+        near[here] &= ~own
+        i, j = np.divmod(np.flatnonzero(near), len(ids))
+        parts = [slice(at, at + PAIRS) for at in range(0, len(i), PAIRS)]
+        s = np.concatenate([_summed(q[i[p]], x[j[p]]) / (q_n[i[p]] * n[j[p]]) for p in parts] or [np.zeros(0)])
         none = ~(q_known[i] & known[j])
-        # of rows that are equally near, the first k
         kind, value = np.where(none, 2, np.where(np.isnan(s), 0, 1)), np.where(none | np.isnan(s), 0.0, s)
-        order = np.lexsort((ids[j], value, kind, i))
-        i, j, s, none, kind, value = (a[order] for a in (i, j, s, none, kind, value))
-        new = np.append(True, (i[1:] != i[:-1]) | (kind[1:] != kind[:-1]) | (value[1:] != value[:-1]))[: len(i)]
-        place = np.arange(len(i)) - np.maximum.accumulate(np.where(new, np.arange(len(i)), 0))
-        i, j, s, none = (a[place < k] for a in (i, j, s, none))
-        return pa.RecordBatch.from_arrays([pa.array(q_ids[i]), pa.array(ids[j]), pa.array(s, mask=none)], ["query_id", "vec_id", "similarity"])
+        i, kind, value, ids = (np.append(old, a) for old, a in zip(best, (i, kind, value, ids[j]), strict=False))
+        order = np.lexsort((ids, -value, kind, i))
+        i, kind, value, ids = (a[order] for a in (i, kind, value, ids))
+        # of rows that are equally near, the first k; none that k others are nearer than
+        place = _place(np.append(True, (i[1:] != i[:-1]) | (kind[1:] != kind[:-1]) | (value[1:] != value[:-1]))[: len(i)])
+        i, kind, value, ids = (a[place < k] for a in (i, kind, value, ids))
+        least = np.full(len(q_ids), -np.inf)
+        last = np.flatnonzero((_place(np.append(True, i[1:] != i[:-1])[: len(i)]) == k - 1) & (kind < 2))
+        least[i[last]] = np.where(kind[last] == 1, value[last], np.inf)
+        keep = (kind == 0) | (np.where(kind == 1, value, -np.inf) >= least[i] - NEAR)
+        return (*(a[keep] for a in (i, kind, value, ids)), least)
+
+    def told(best: dict, asked: dict) -> Iterator[pa.RecordBatch]:
+        for (number, lo), (i, kind, value, ids, _) in best.items():
+            s = pa.array(np.where(kind == 0, np.nan, value), mask=kind == 2)
+            yield pa.RecordBatch.from_arrays([pa.array(asked[number][lo + i]), pa.array(ids), s], ["query_id", "vec_id", "similarity"])
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        best, names = {}, {}
         with np.errstate(all="ignore"):
             for b in batches:
                 for i in range(b.num_rows):
+                    number = b.column("chunk")[i].as_py()
                     rows, asked = side(b, i, ("ids", "mat", "known")), side(b, i, ("asked", "q", "q_known"))
+                    names[number] = asked[0].copy()
                     for lo in range(0, len(asked[0]), AT_ONCE):
-                        yield meet(rows, asked, lo)
+                        none = np.zeros(0, np.int64)
+                        old = best.get((number, lo)) or (none, none, np.zeros(0), none, np.full(len(asked[0][lo : lo + AT_ONCE]), -np.inf))
+                        best[number, lo] = meet(rows, asked, lo, old)
+                    if sum(len(x[0]) for x in best.values()) > MOST_HELD:
+                        yield from told(best, names)
+                        best, names = {}, {}
+            yield from told(best, names)
 
     return each
 
