@@ -152,6 +152,49 @@ def test_equal_sources_are_compared_once(spark, tmp_path, monkeypatch):
     assert got == dict(enumerate(want.tolist())) and met == [7]
 
 
+@pytest.mark.parametrize("most", [10**9, 0])
+def test_source_dbscan_like_sql(spark, tmp_path, monkeypatch, most):
+    """By a table of pairs and by blocks: many clusters, border points, events without a type and without a source."""
+    from tidemark.plans import similarity as plans
+
+    monkeypatch.setattr(plans, "MOST_PAIRED", most)
+    monkeypatch.setattr(plans.density, "BLOCK", 16)
+    rng = np.random.default_rng(1)
+    kinds = [rng.dirichlet(np.full(8, 0.4)) for _ in range(12)]
+    events = [(u, "abcdefgh"[k]) for u in range(240) for k in rng.choice(8, size=rng.integers(2, 30), p=kinds[u % 12])]
+    events += [(u, None) for u in (3, 3, 17, 300)] + [(None, "a"), (None, None)]
+    spark.createDataFrame(events, "user_id long, event_type string").write.parquet(f"{tmp_path}/events.parquet")
+    got = sorted(map(str, map(tuple, plans.source_dbscan(spark, str(tmp_path)).collect())))
+    want = duckdb.sql(plans.ORACLES["source_dbscan"].replace("from events", f"from '{tmp_path}/events.parquet/*.parquet'")).fetchall()
+    assert got == sorted(map(str, want)) and len({label for _, label in want}) > 4
+
+
+def test_density_is_dbscan(spark, monkeypatch):
+    """Against the method as published: seeds in order, each core point's neighbours in turn, a border point to the first."""
+    from tidemark.operators import density
+
+    monkeypatch.setattr(density, "BLOCK", 25)
+    rng = np.random.default_rng(8)
+    x = np.concatenate([rng.normal(rng.normal(size=3), 0.12, size=(30, 3)) for _ in range(9)] + [np.zeros((2, 3))])
+    rows = [(int(i), v.tolist(), 0.0, 1) for i, v in enumerate(x)]
+    norm = np.linalg.norm(x, axis=1)
+    with np.errstate(all="ignore"):
+        near = (np.floor((1 - x @ x.T / (norm[:, None] * norm)) * 1e9 + 0.5) / 1e9 <= 0.002) | np.eye(len(x), dtype=bool)
+    want, n = np.full(len(x), -1), 0
+    for p in range(len(x)):
+        if want[p] < 0 and near[p].sum() >= 4:
+            todo, want[p] = [p], n
+            for q in todo:
+                if near[q].sum() >= 4:
+                    new = np.flatnonzero(near[q] & (want < 0)).tolist()
+                    want[new] = n
+                    todo += new
+            n += 1
+    got = density.dbscan(spark.createDataFrame(rows, "point long, vec array<double>, own double, weight long"), 0.002, 4).collect()
+    assert [label for _, label in sorted(map(tuple, got))] == want.tolist() and n > 4 and -1 in want
+    assert density.dbscan(spark.createDataFrame([], "point long, vec array<double>, own double, weight long"), 0.002, 4).count() == 0
+
+
 def test_dbscan_weights(spark):
     """A point that stands for many is core by itself, in forests, in components and where all are neighbours."""
     d = spark.createDataFrame([(1, 2, 0.1), (3, 4, 0.1)], "a long, b long, distance double")
