@@ -270,6 +270,20 @@ def test_combos_need_unlike_words(spark):
     assert topics.combo_documents(theta, found).count() == 8
 
 
+def test_combo_documents_are_not_shuffled_again(spark):
+    """Topic weights are evaluated once, in small splits; combinations are told to the documents where they stand."""
+    from tidemark.plans import topics as plans
+
+    before = spark.conf.get("spark.sql.files.maxPartitionBytes")
+    found = plans.topic_combo_documents(spark, "/root/testdata/sf0.001")
+    plan = found._jdf.queryExecution().executedPlan().toString()
+    assert "hashpartitioning" not in plan and "lineitem" not in plan and spark.conf.get("spark.sql.files.maxPartitionBytes") == before
+    theta = spark.createDataFrame([(1, "a", 0.5), (1, "b", 0.4), (1, "c", 0.1), (2, "b", 0.5), (2, "a", 0.05), (None, "a", 0.9), (3, "a", 0.2), (3, "b", 0.2)], "document_id long, topic_id string, topic_weight double")
+    pairs = spark.createDataFrame([("a", "b", 2), ("b", "c", 1)], "topic_1 string, topic_2 string, common_docs long")
+    assert sorted(map(tuple, topics.combo_documents(theta, pairs).collect())) == [("a", "b", 1), ("a", "b", 3), ("b", "c", 1)]
+    assert sorted(map(tuple, topics.common_documents(topics.document_topics(theta)).collect())) == [("a", "b", 2), ("a", "c", 1), ("b", "c", 1)]
+
+
 def test_marks_on_a_scale_from_0(spark):
     theta = spark.createDataFrame([(1, "a", 0.6), (1, "b", 0.4)], "document_id long, topic_id string, topic_weight double")
     m = criteria.marks(spark.createDataFrame([("a", 1.0), ("a", 0.5)], "topic_id string, value double"))

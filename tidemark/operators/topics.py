@@ -6,7 +6,7 @@ from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from tidemark.operators.dictionary import dealt_rows
-from tidemark.scratch import stored
+from tidemark.scratch import small_splits, stored
 
 
 def topic_index(topic_id: Column) -> Column:
@@ -63,19 +63,24 @@ def mean_word_jaccard(phi: DataFrame, most: int = 100) -> DataFrame:
     return word_jaccards(phi, most).agg(F.count("*").alias("pairs"), F.avg("jaccard").alias("mean_jaccard"))
 
 
-def common_documents(theta: DataFrame, least: float = 0.1) -> DataFrame:
-    """topic_1 < topic_2, common_docs: documents with both, by a join on the document."""
-    x = theta.where(F.col("topic_weight") >= least)
-    a, b = (x.select("document_id", F.col("topic_id").alias(f"topic_{i}")) for i in (1, 2))
-    return a.join(b, "document_id").where("topic_1 < topic_2").groupBy("topic_1", "topic_2").agg(F.count("*").alias("common_docs"))
+def document_topics(theta: DataFrame, least: float = 0.1) -> DataFrame:
+    """document_id, topics (sorted): the topics that a document has with a weight of ``least`` or more, if any."""
+    x = theta.where((F.col("topic_weight") >= least) & F.col("document_id").isNotNull() & F.col("topic_id").isNotNull())
+    return x.groupBy("document_id").agg(F.array_sort(F.collect_list("topic_id")).alias("topics"))
 
 
-def combo_pairs(theta: DataFrame, phi: DataFrame, least: float = 0.1) -> DataFrame:
+def common_documents(listed: DataFrame) -> DataFrame:
+    """topic_1 < topic_2, common_docs: documents (``document_topics``) with both. Pairs are counted where the lists stand."""
+    pairs = F.transform("topics", lambda a: F.transform(F.filter("topics", lambda b: a < b), lambda b: F.struct(a.alias("topic_1"), b.alias("topic_2"))))
+    return listed.select(F.inline(F.flatten(pairs))).groupBy("topic_1", "topic_2").agg(F.count("*").alias("common_docs"))
+
+
+def combo_pairs(listed: DataFrame, phi: DataFrame) -> DataFrame:
     """topic_1, topic_2, common_docs of pairs whose words are no more alike than the mean pair's."""
     j = word_jaccards(phi)
     mean = j.agg(F.round(F.avg("jaccard"), 12).alias("mean"))
     alike = j.crossJoin(F.broadcast(mean)).where(F.round("jaccard", 12) > F.col("mean"))
-    return common_documents(theta, least).join(alike, ["topic_1", "topic_2"], "left_anti")
+    return common_documents(listed).join(alike, ["topic_1", "topic_2"], "left_anti")
 
 
 def greedy_combos(pairs: DataFrame, bound: float, at_least: int = 5) -> list[tuple[str, str, int]]:
@@ -100,20 +105,28 @@ def greedy_combos(pairs: DataFrame, bound: float, at_least: int = 5) -> list[tup
     return out
 
 
-def combos(theta: DataFrame, phi: DataFrame, least: float = 0.1, at_least: int = 5) -> DataFrame:
+def combos(theta: DataFrame, phi: DataFrame, least: float = 0.1, at_least: int = 5, listed: DataFrame | None = None) -> DataFrame:
     """topic_1, topic_2, common_docs: combinations of topics with unlike words and many common documents; the bound of
-    ``greedy_combos`` is half of the documents (with any topic at ``least``) for each topic."""
-    docs = theta.where(F.col("topic_weight") >= least).agg(F.count_distinct("document_id")).first()[0]
+    ``greedy_combos`` is half of the documents (with any topic at ``least``) for each topic. ``listed``: ``document_topics`` that a
+    query has stored, else ``theta`` is evaluated once, for them."""
+    listed = stored_topics(theta, least) if listed is None else listed
     topics = phi.agg(F.count_distinct("topic_id")).first()[0]
-    found = greedy_combos(combo_pairs(theta, phi, least), docs / max(1, topics) / 2, at_least)
-    return theta.sparkSession.createDataFrame(found, "topic_1 string, topic_2 string, common_docs long")
+    found = greedy_combos(combo_pairs(listed, phi), listed.count() / max(1, topics) / 2, at_least)
+    return listed.sparkSession.createDataFrame(found, "topic_1 string, topic_2 string, common_docs long")
+
+
+def stored_topics(theta: DataFrame, least: float = 0.1) -> DataFrame:
+    """``document_topics``, evaluated once."""
+    with small_splits(theta.sparkSession):
+        return stored(document_topics(theta, least), "topics")
 
 
-def combo_documents(theta: DataFrame, found: DataFrame, least: float = 0.1) -> DataFrame:
-    """topic_1, topic_2, document_id: the documents of each combination."""
-    x = theta.where(F.col("topic_weight") >= least)
-    a, b = (x.select("document_id", F.col("topic_id").alias(f"topic_{i}")) for i in (1, 2))
-    return found.select("topic_1", "topic_2").join(a, "topic_1").join(b, ["topic_2", "document_id"]).select("topic_1", "topic_2", "document_id")
+def combo_documents(theta: DataFrame, found: DataFrame, least: float = 0.1, listed: DataFrame | None = None) -> DataFrame:
+    """topic_1, topic_2, document_id: the documents of each combination. ``found``, at most the square of the topics, is told to
+    the documents, which aren't shuffled again. ``listed``: as for ``combos``."""
+    listed = document_topics(theta, least) if listed is None else listed
+    x = listed.select("document_id", "topics", F.explode("topics").alias("topic_1")).join(F.broadcast(found.select("topic_1", "topic_2")), "topic_1")
+    return x.select("topic_1", "topic_2", "document_id", F.explode(F.filter("topics", lambda t: t == F.col("topic_2")))).select("topic_1", "topic_2", "document_id")
 
 
 def kernel(phi: DataFrame, mass: float = 0.3) -> DataFrame:

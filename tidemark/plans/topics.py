@@ -156,7 +156,8 @@ def topic_combos(spark, d):
 @query(f"with recursive {COMBOS} select topic_1, topic_2, a.document_id from combos join x a on a.topic_id = topic_1 join x b on b.topic_id = topic_2 and a.document_id = b.document_id")
 def topic_combo_documents(spark, d):
     theta = views.theta(spark, d)
-    return tp.combo_documents(theta, tp.combos(theta, views.phi(spark, d)))
+    listed = tp.stored_topics(theta)
+    return tp.combo_documents(theta, tp.combos(theta, views.phi(spark, d), listed=listed), listed=listed)
 
 
 @query(f"""with {PHI_SQL}, k as (select *, weight / sum(weight) over (partition by word) as p from phi)
