@@ -1,5 +1,6 @@
 """Operators against small literals and plain restatements."""
 
+import glob
 import math
 import os
 import random
@@ -10,6 +11,7 @@ from datetime import date, datetime, timedelta
 
 import duckdb
 import numpy as np
+import pyarrow.parquet as pq
 import pytest
 from pyspark.sql import functions as F
 
@@ -614,6 +616,14 @@ def _shuffled(spark) -> int:
     return sum(stages.apply(i).shuffleWriteBytes() for i in range(stages.size()))
 
 
+def test_blocks_stand_in_small_row_groups(spark):
+    """A reader holds a row group: two blocks, not the hundred that Parquet waits for unasked."""
+    docs = spark.range(300).select(F.col("id").alias("doc_id"), F.expr("repeat(concat('word', id, ' '), 2000)").alias("text")).coalesce(1)
+    blocks = frequent._blocks(docs, "doc_id", 50_000)
+    files = [pq.ParquetFile(f).metadata for f in glob.glob(f"{blocks.scratch.removeprefix('file://')}/*.parquet")]
+    assert blocks.count() > 40 and max(m.row_group(i).num_rows for m in files for i in range(m.num_row_groups)) <= 4
+
+
 def test_ngramize_shuffles_hashes_not_ngrams(spark):
     path = "/root/testdata/sf0.01/documents.parquet"
     docs = spark.read.parquet(path)

@@ -136,7 +136,9 @@ def _blocks(docs: DataFrame, key: str, block_bytes: int) -> DataFrame:
             yield made()
 
     x = docs.mapInArrow(cut, f"block long, bytes long, keys array<{kind}>, texts array<string>")
-    return stored(x, "blocks", **{"parquet.block.size": 4 * block_bytes, "parquet.page.size": block_bytes})
+    # a reader holds a row group; unasked, Parquet looks at its (packed) bytes after a hundred rows
+    small = {"parquet.block.row.count.limit": 2, "parquet.page.size.row.check.min": 1}
+    return stored(x, "blocks", **{"parquet.block.size": 4 * block_bytes, "parquet.page.size": block_bytes, **small})
 
 
 def _sender(most: int, least: int, bits: int, shard_bits: int):
