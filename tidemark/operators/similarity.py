@@ -207,7 +207,7 @@ def _chunks(vectors: DataFrame, key: str, vector: str, width: int, size: int) ->
         if rest is not None and rest.num_rows:
             yield packed(rest, number)
 
-    return stored(x.mapInArrow(cut, "chunk long, ids array<long>, mat binary, known binary"), "chunks", **{"parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 1})
+    return stored(x.mapInArrow(cut, "chunk long, ids array<long>, mat binary, known binary"), "chunks", **{"parquet.block.row.count.limit": 2, "parquet.block.size": 4 << 20, "parquet.page.size.row.check.min": 1})
 
 
 def _summed(a: np.ndarray, b: np.ndarray) -> np.ndarray:
